@@ -112,3 +112,134 @@ class Bindings:
             F.when(run % 3 != 0, tag("p", run % 5)).alias("project_id"),
             F.when(run % 2 == 0, tag("job_clusters/k", run % 3)).alias("cluster_path"),
         )
+
+    # -- projects, submissions, recommendations ---------------------------------------------------
+
+    @cached_property
+    def project(self) -> DataFrame:
+        key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+        return self.raw("customer").select(
+            tag("p", key).alias("project_id"),
+            F.concat(segment, (key % 50).cast("string")).alias("app_id"),
+            F.when(segment == "BUILDING", "GRADIENT_ML").when(segment == "HOUSEHOLD", "UNASSIGNED")
+            .otherwise("OTHER").alias("project_model_id"),
+            (F.col("c_acctbal") > 0).alias("auto_apply_recs"),
+            key.alias("created_at"),
+            F.col("c_name").alias("description"),
+            (key % 2 == 0).alias("optimize_instance_size"),
+        )
+
+    @cached_property
+    def project_patch(self) -> DataFrame:
+        key = F.col("c_custkey")
+        return self.raw("customer").select(
+            tag("p", key).alias("project_id"),
+            F.when(key % 3 == 0, "").when(key % 3 == 2, tag("new ", key)).alias("description"),
+            F.when(key % 4 != 0, key % 4 != 1).alias("auto_apply_recs"),
+            F.when(key % 5 != 1, key % 5 != 0).alias("optimize_instance_size"),
+        )
+
+    @cached_property
+    def submission(self) -> DataFrame:
+        key = F.col("o_orderkey")
+        config = F.struct(tag("n", key % 7).alias("node_type_id"), (key % 8).alias("num_workers"))
+        return self.raw("orders").select(
+            key.alias("id"),
+            tag("p", F.col("o_custkey")).alias("project_id"),
+            epoch_ms(F.col("o_orderdate")).alias("created_at"),
+            F.when(F.col("o_orderstatus") == "F", "SUCCESS").when(F.col("o_orderstatus") == "O", "FAILED")
+            .otherwise("PENDING").alias("state"),
+            F.when(key % 11 != 0, config).alias("configuration"),
+        )
+
+    @cached_property
+    def recommendation(self) -> DataFrame:
+        """``recommendation.configuration`` is JSON text, as delivered."""
+        key = F.col("o_orderkey")
+        text = F.format_string(
+            '{"node_type_id":"n%d","num_workers":%d,"custom_tags":{"sync:run-id":"r%d","team":"y"},'
+            '"init_scripts":["s%d"]%s}',
+            key % 7, key % 8, key, key % 3, F.when(key % 9 == 0, ',"policy_id":null').otherwise(""),
+        )
+        return self.raw("orders").select(
+            key.alias("id"),
+            tag("p", F.col("o_custkey")).alias("project_id"),
+            epoch_ms(F.col("o_orderdate")).alias("created_at"),
+            F.when(F.col("o_orderstatus") == "F", "SUCCESS").when(F.col("o_orderstatus") == "O", "FAILURE")
+            .otherwise("PENDING").alias("state"),
+            F.when(key % 5 != 0, F.struct(F.when(key % 7 != 0, text).alias("configuration")))
+            .alias("recommendation"),
+        )
+
+    @cached_property
+    def project_reference(self) -> DataFrame:
+        """Values that users type for a project: UUIDs in several spellings, app ids and unknown names."""
+        key = F.col("c_custkey")
+        digits = F.md5(F.col("c_name"))
+        dashed = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+        return self.raw("customer").select(
+            F.when(key % 6 == 0, dashed)
+            .when(key % 6 == 1, F.concat(F.lit("{"), digits, F.lit("}")))
+            .when(key % 6 == 2, F.concat(F.lit("urn:uuid:"), dashed))
+            .when(key % 6 == 3, tag("unknown", key))
+            .otherwise(F.concat(F.col("c_mktsegment"), (key % 60).cast("string"))).alias("value")
+        )
+
+    @cached_property
+    def response(self) -> DataFrame:
+        key = F.col("c_custkey")
+        return self.raw("customer").select(
+            key.alias("response_id"),
+            F.when(key % 3 != 0, F.struct(F.col("c_name").alias("id"))).alias("result"),
+            F.when(key % 4 == 1, "").when(key % 4 != 0, F.col("c_mktsegment")).alias("error_code"),
+            F.when(key % 5 != 0, F.col("c_name")).alias("message"),
+        )
+
+    # -- workspaces -------------------------------------------------------------------------------
+
+    @cached_property
+    def workspace(self) -> DataFrame:
+        key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+        return self.raw("supplier").select(
+            tag("w", key).alias("workspace_id"),
+            F.when(key % 3 == 0, F.concat(tag("https://adb-", key), F.lit(".azuredatabricks.net")))
+            .when(key % 3 == 1, F.concat(tag("https://dbc-", key), F.lit(".cloud.databricks.com/?o=1")))
+            .otherwise(F.concat(tag("https://", key), F.lit(".example.com"))).alias("databricks_host"),
+            F.when(key % 4 == 0, "Standard").when(key % 4 == 1, "Premium").when(key % 4 == 2, "Enterprise")
+            .otherwise("Trial").alias("databricks_plan_type"),
+            F.when(key % 11 == 0, None).when(key % 2 == 0, "hosted").otherwise("remote").alias("collection_type"),
+            F.when(key % 5 == 1, "hypervisor").when(key % 5 != 0, "webhook").alias("monitoring_type"),
+            F.when(key % 13 == 0, "gcp").when(key % 3 == 0, "azure").otherwise("aws").alias("compute_provider"),
+            F.when(nation % 4 == 1, "us-east-1").when(nation % 4 == 2, "eu-west-2")
+            .when(nation % 4 == 3, "mars-1").alias("aws_region"),
+            F.when(key % 5 != 0, tag("arn:i", key)).alias("instance_profile_arn"),
+            F.when(key % 7 != 0, tag("arn:r", key)).alias("aws_iam_role_arn"),
+            F.when(nation % 2 != 0, "tenant").alias("azure_tenant_id"),
+            F.when(nation % 3 != 0, "client").alias("azure_client_id"),
+            F.when(nation % 5 != 0, "secret").alias("azure_client_secret"),
+            F.when(nation % 7 != 0, "subscription").otherwise("").alias("azure_subscription_id"),
+        )
+
+    @cached_property
+    def workspace_patch(self) -> DataFrame:
+        key = F.col("s_suppkey")
+
+        def value(i: int, new: str) -> Column:
+            return F.when((key + i) % 3 == 1, "null").when((key + i) % 3 == 2, new)
+
+        return self.raw("supplier").select(
+            tag("w", key).alias("workspace_id"),
+            value(0, "us-west-2").alias("aws_region"),
+            value(1, "Premium").alias("databricks_plan_type"),
+            value(2, "arn:new").alias("aws_iam_role_arn"),
+        )
+
+    @cached_property
+    def log_url(self) -> DataFrame:
+        key, url = F.col("page_id"), F.col("url")
+        rest = F.regexp_replace(url, "^[a-z]+", "")
+        return self.raw("pages").select(
+            "page_id",
+            F.when(key % 4 == 0, F.concat(F.lit("s3"), rest)).when(key % 4 == 1, F.concat(F.lit("dbfs"), rest))
+            .otherwise(url).alias("url"),
+        )

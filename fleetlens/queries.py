@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.bindings import Bindings
+from fleetlens.functions import paths as pt
+from fleetlens.functions import status as st
+from fleetlens.operators import projects as pj
 from fleetlens.operators import tasks as tk
+from fleetlens.operators import workspaces as wk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,3 +82,126 @@ def run_end_time(b):
 @query
 def project_cluster_selection(b):
     return tk.select_project_clusters(tk.unambiguous_paths(_resolved(b)), b.request).drop("requested_project")
+
+
+@query
+def run_cluster_projects(b):
+    rows = pj.join_projects(tk.unambiguous_paths(_resolved(b)), b.project)
+    return rows.select("run_id", "cluster_path", "project_id", "project_model_id", "project_error")
+
+
+# -- projects, submissions, recommendations ---------------------------------------------------------
+
+
+@query
+def projects_by_app(b):
+    return pj.projects_by_app(b.project).select("project_id", "app_id", "project_model_id", "auto_apply_recs")
+
+
+@query
+def submissions_by_project(b):
+    return b.submission.select("project_id", "id", "state", "created_at", F.col("configuration.node_type_id"))
+
+
+@query
+def recommendations_by_project(b):
+    return b.recommendation.select(
+        "project_id", "id", "state", "created_at", F.col("recommendation.configuration").alias("configuration")
+    )
+
+
+def _config_rows(df):
+    return df.select(
+        "project_id", "submission_id", F.col("configuration.node_type_id").alias("node_type_id"),
+        F.col("configuration.num_workers").alias("num_workers"), "error",
+    )
+
+
+@query
+def latest_submission_config(b):
+    return _config_rows(pj.latest_submission_config(b.project, b.submission))
+
+
+@query
+def latest_success_submission(b):
+    return _config_rows(pj.latest_submission_config(b.project, b.submission, success_only=True))
+
+
+@query
+def first_project_by_app(b):
+    return pj.first_project_by_app(b.project)
+
+
+@query
+def resolved_project_ids(b):
+    return pj.resolve_project_ids(b.project_reference, b.project)
+
+
+@query
+def latest_recommendation(b):
+    return pj.latest_recommendation(b.project, b.recommendation)
+
+
+@query
+def recommendation_status(b):
+    return b.recommendation.select("id", st.recommendation_class(F.col("state")).alias("status"))
+
+
+@query
+def project_eligibility(b):
+    return pj.project_eligibility(b.project)
+
+
+@query
+def project_patch_merge(b):
+    return pj.patch_projects(b.project, b.project_patch).select(
+        "project_id", "description", "app_id", "auto_apply_recs", "optimize_instance_size"
+    )
+
+
+@query
+def api_error_rows(b):
+    rows = b.response.withColumn("error", st.api_error(F.col("error_code"), F.col("message")))
+    return rows.select("response_id", "error.code", F.col("error.message").alias("error_message"))
+
+
+@query
+def response_consistency(b):
+    error = st.api_error(F.col("error_code"), F.col("message"))
+    return b.response.select("response_id", st.response_problem(F.col("result"), error).alias("problem"))
+
+
+# -- workspaces and hosts ---------------------------------------------------------------------------
+
+
+@query
+def workspace_configs(b):
+    return b.workspace.select("workspace_id", "databricks_host", "collection_type", "compute_provider", "aws_region")
+
+
+@query
+def workspace_patch_merge(b):
+    return wk.patch_workspaces(b.workspace, b.workspace_patch).select(
+        "workspace_id", "aws_region", "databricks_plan_type", "aws_iam_role_arn", "collection_type"
+    )
+
+
+@query
+def workspace_violations(b):
+    return wk.workspace_violations(b.workspace)
+
+
+@query
+def platform_from_host(b):
+    platform = pt.platform_of(F.col("databricks_host"))
+    return b.workspace.select("workspace_id", platform.alias("platform"), pt.product_code(platform).alias("product"))
+
+
+@query
+def normalized_host(b):
+    return b.log_url.select("page_id", pt.normalized_host(F.col("url")).alias("host"))
+
+
+@query
+def eventlog_url_class(b):
+    return b.log_url.select("page_id", pt.log_url_class(F.col("url")).alias("url_class"))

@@ -1,19 +1,17 @@
 """One statement per registered query."""
 
-from oracle.tables import with_tables
-
-_SQL: dict[str, str] = {}
+SQL: dict[str, str] = {}
 
 # -- runs, tasks and clusters -----------------------------------------------------------------------
 
-_SQL["eligible_tasks"] = """
+SQL["eligible_tasks"] = """
 SELECT run_id, pos, task_key, cluster_id FROM b_task WHERE cluster_id IS NOT NULL AND task_key <> 't7'"""
 
-_SQL["runs_all_success"] = """
+SQL["runs_all_success"] = """
 SELECT run_id, count(*) FILTER (result_state IS DISTINCT FROM 'SUCCESS') = 0 AS all_success, count(*) AS n_tasks
 FROM b_task GROUP BY run_id"""
 
-_SQL["task_cluster_resolved"] = """
+SQL["task_cluster_resolved"] = """
 SELECT run_id, pos, cluster_path,
        CASE WHEN cluster_path IS NULL THEN 'No cluster found for task' END AS cluster_error,
        CASE WHEN cluster_path IS NOT NULL THEN node_type_id END AS node_type_id,
@@ -21,26 +19,155 @@ SELECT run_id, pos, cluster_path,
        CASE WHEN cluster_path IS NOT NULL THEN project_id END AS project_id
 FROM r_all"""
 
-_SQL["cluster_paths"] = "SELECT run_id, cluster_path, count(*) AS n_tasks FROM r_task GROUP BY run_id, cluster_path"
+SQL["cluster_paths"] = "SELECT run_id, cluster_path, count(*) AS n_tasks FROM r_task GROUP BY run_id, cluster_path"
 
-_SQL["tasks_per_cluster"] = """
+SQL["tasks_per_cluster"] = """
 SELECT run_id, cluster_id, count(*) AS n_tasks, arg_min(task_key, pos) AS first_task,
        arg_max(task_key, pos) AS last_task
 FROM r_task GROUP BY run_id, cluster_id"""
 
-_SQL["unambiguous_cluster_paths"] = "SELECT run_id, project_id, cluster_path, cluster_id FROM r_path"
+SQL["unambiguous_cluster_paths"] = "SELECT run_id, project_id, cluster_path, cluster_id FROM r_path"
 
-_SQL["run_context_id"] = """
+SQL["run_context_id"] = """
 SELECT run_id, CASE WHEN n = 1 THEN one END AS spark_context_id,
        CASE WHEN n = 0 THEN 'No cluster found for tasks' WHEN n > 1 THEN 'More than 1 cluster found for tasks'
        END AS context_error
 FROM (SELECT run_id, count(DISTINCT spark_context_id) AS n, any_value(spark_context_id) AS one
       FROM b_task GROUP BY run_id)"""
 
-_SQL["run_end_time"] = "SELECT run_id, max(end_time_ms) AS end_time_ms FROM b_task GROUP BY run_id"
+SQL["run_end_time"] = "SELECT run_id, max(end_time_ms) AS end_time_ms FROM b_task GROUP BY run_id"
 
-_SQL["project_cluster_selection"] = """
+SQL["project_cluster_selection"] = """
 SELECT run_id, project_id, cluster_id, branch FROM r_selection WHERE cluster_id IS NOT NULL"""
 
+SQL["run_cluster_projects"] = """
+SELECT r.run_id, r.cluster_path, r.project_id, p.project_model_id,
+       CASE WHEN p.project_id IS NULL THEN 'Failed to retrieve project ' || coalesce(r.project_id, 'None')
+            WHEN p.project_model_id = 'OTHER' THEN 'Unexpected project_model_id for project ' || r.project_id
+                 || ': OTHER' END AS project_error
+FROM r_path r LEFT JOIN b_project p ON p.project_id = r.project_id"""
+
+# -- projects, submissions, recommendations -----------------------------------------------------------
+
+SQL["projects_by_app"] = "SELECT project_id, app_id, project_model_id, auto_apply_recs FROM b_project"
+
+SQL["submissions_by_project"] = "SELECT project_id, id, state, created_at, node_type_id FROM b_submission"
+
+SQL["recommendations_by_project"] = "SELECT project_id, id, state, created_at, configuration FROM b_recommendation"
+
+SQL["latest_submission_config"] = """
+SELECT p.project_id, s.id AS submission_id, s.node_type_id, s.num_workers,
+       CASE WHEN s.id IS NULL THEN 'NoSubmissionsFound' END AS error
+FROM b_project p LEFT JOIN (
+  SELECT * FROM b_submission s WHERE NOT EXISTS (
+    SELECT 1 FROM b_submission x WHERE x.project_id = s.project_id
+      AND (x.created_at > s.created_at OR (x.created_at = s.created_at AND x.id > s.id)))) s
+  ON s.project_id = p.project_id"""
+
+SQL["latest_success_submission"] = """
+SELECT p.project_id, s.id AS submission_id, s.node_type_id, s.num_workers,
+       CASE WHEN s.id IS NOT NULL THEN NULL
+            WHEN p.project_id IN (SELECT project_id FROM b_submission) THEN 'NoSuccessfulSubmissionsFound'
+            ELSE 'NoSubmissionsFound' END AS error
+FROM b_project p LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY created_at DESC, id DESC) AS rn
+  FROM b_submission WHERE state = 'SUCCESS') s ON s.project_id = p.project_id AND s.rn = 1"""
+
+SQL["first_project_by_app"] = """
+SELECT app_id, project_id FROM b_project
+QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY created_at, project_id) = 1"""
+
+SQL["resolved_project_ids"] = """
+WITH v AS (
+  SELECT CASE c_custkey % 6
+    WHEN 0 THEN CAST(CAST(md5(c_name) AS UUID) AS VARCHAR)
+    WHEN 1 THEN '{' || md5(c_name) || '}'
+    WHEN 2 THEN 'urn:uuid:' || CAST(CAST(md5(c_name) AS UUID) AS VARCHAR)
+    WHEN 3 THEN 'unknown' || c_custkey
+    ELSE c_mktsegment || (c_custkey % 60) END AS value, c_custkey % 6 < 3 AS uuid FROM customer),
+earliest AS (SELECT app_id, arg_min(project_id, created_at) AS project_id FROM b_project GROUP BY app_id)
+SELECT value, CASE WHEN uuid THEN value ELSE project_id END AS project_id,
+       CASE WHEN NOT uuid AND project_id IS NULL THEN 'No project found for ''' || value || '''' END AS error
+FROM v LEFT JOIN earliest ON app_id = value"""
+
+SQL["latest_recommendation"] = """
+SELECT project_id, recommendation_id, configuration,
+       CASE WHEN recommendation_id IS NULL OR configuration IS NOT NULL THEN NULL
+            WHEN NOT has_recommendation THEN 'Recommendation not found'
+            ELSE 'Recommendation configuration not found' END AS error
+FROM w_latest_recommendation"""
+
+SQL["recommendation_status"] = """
+SELECT id, CASE state WHEN 'SUCCESS' THEN 'ready' WHEN 'FAILURE' THEN 'Recommendation failed' ELSE 'pending' END
+  AS status FROM b_recommendation"""
+
+SQL["project_eligibility"] = """
+SELECT project_id, project_model_id <> 'OTHER' AS eligible, project_model_id <> 'OTHER' AND auto_apply_recs
+  AS auto_apply,
+  CASE WHEN project_model_id = 'OTHER' THEN 'Unexpected project_model_id for project ' || project_id || ': OTHER'
+  END AS error FROM b_project"""
+
+SQL["project_patch_merge"] = """
+SELECT project_id, CASE WHEN c_custkey % 3 = 2 THEN 'new ' || c_custkey ELSE description END AS description, app_id,
+       CASE c_custkey % 4 WHEN 0 THEN auto_apply_recs WHEN 1 THEN false ELSE true END AS auto_apply_recs,
+       CASE WHEN c_custkey % 5 IN (0, 1) THEN optimize_instance_size ELSE true END AS optimize_instance_size
+FROM b_project"""
+
+SQL["api_error_rows"] = """
+SELECT response_id, CASE WHEN error_code IS NOT NULL THEN 'Databricks API Error' END AS code,
+       CASE WHEN error_code IS NULL THEN NULL WHEN error_code = '' THEN message
+            ELSE error_code || ': ' || coalesce(message, 'None') END AS error_message
+FROM b_response"""
+
+SQL["response_consistency"] = """
+SELECT response_id, CASE WHEN has_result AND error_code IS NOT NULL THEN 'must not provide both result and error'
+  WHEN NOT has_result AND error_code IS NULL THEN 'must provide result or error' END AS problem
+FROM b_response"""
+
+# -- workspaces and hosts -----------------------------------------------------------------------------
+
+SQL["workspace_configs"] = """
+SELECT workspace_id, databricks_host, collection_type, compute_provider, aws_region FROM b_workspace"""
+
+SQL["workspace_patch_merge"] = """
+SELECT workspace_id,
+       CASE s_suppkey % 3 WHEN 0 THEN aws_region WHEN 2 THEN 'us-west-2' END AS aws_region,
+       CASE (s_suppkey + 1) % 3 WHEN 0 THEN databricks_plan_type WHEN 2 THEN 'Premium' END AS databricks_plan_type,
+       CASE (s_suppkey + 2) % 3 WHEN 0 THEN aws_iam_role_arn WHEN 2 THEN 'arn:new' END AS aws_iam_role_arn,
+       collection_type
+FROM b_workspace"""
+
+SQL["workspace_violations"] = """
+SELECT workspace_id, 'Unknown plan type' AS violation FROM b_workspace WHERE databricks_plan_type = 'Trial'
+UNION ALL SELECT workspace_id, 'Unknown collection type' FROM b_workspace WHERE collection_type IS NULL
+UNION ALL SELECT workspace_id, 'Unknown monitoring type' FROM b_workspace
+  WHERE monitoring_type IS NULL AND collection_type IS DISTINCT FROM 'remote'
+UNION ALL SELECT workspace_id, 'Unknown compute provider' FROM b_workspace WHERE compute_provider = 'gcp'
+UNION ALL SELECT workspace_id, 'AWS Region is required for AWS compute provider' FROM b_workspace
+  WHERE compute_provider = 'aws' AND aws_region IS NULL
+UNION ALL SELECT workspace_id, 'Unknown AWS region' FROM b_workspace WHERE aws_region = 'mars-1'
+UNION ALL SELECT workspace_id, 'AWS Instance Profile ARN is required for REMOTE hosted AWS environments'
+  FROM b_workspace WHERE compute_provider = 'aws' AND collection_type = 'remote' AND instance_profile_arn IS NULL
+UNION ALL SELECT workspace_id, 'AWS IAM Role ARN is required for AWS compute provider'
+  FROM b_workspace WHERE compute_provider = 'aws' AND collection_type = 'hosted' AND aws_iam_role_arn IS NULL
+UNION ALL SELECT workspace_id, 'Missing required fields for Azure compute provider: ' || concat_ws(', ',
+    CASE WHEN azure_tenant_id IS NULL THEN 'azure_tenant_id' END,
+    CASE WHEN azure_client_id IS NULL THEN 'azure_client_id' END,
+    CASE WHEN azure_client_secret IS NULL THEN 'azure_client_secret' END,
+    CASE WHEN azure_subscription_id = '' THEN 'azure_subscription_id' END)
+  FROM b_workspace WHERE compute_provider = 'azure' AND collection_type = 'hosted'
+  AND (azure_tenant_id IS NULL OR azure_client_id IS NULL OR azure_client_secret IS NULL
+       OR azure_subscription_id = '')"""
+
+SQL["platform_from_host"] = """
+SELECT workspace_id, CASE s_suppkey % 3 WHEN 0 THEN 'azure' WHEN 1 THEN 'aws' END AS platform,
+       CASE s_suppkey % 3 WHEN 0 THEN 'azure-databricks' WHEN 1 THEN 'aws-databricks' END AS product
+FROM b_workspace"""
+
+SQL["normalized_host"] = """
+SELECT page_id, 'https://' || split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)
+  AS host FROM b_log_url"""
 
-ORACLE = {name: with_tables(sql) for name, sql in _SQL.items()}
+SQL["eventlog_url_class"] = """
+SELECT page_id, CASE split_part(url, ':', 1) WHEN 's3' THEN 'presign' WHEN 'http' THEN 'as_is'
+  WHEN 'https' THEN 'as_is' ELSE 'Unsupported event log URL scheme' END AS url_class FROM b_log_url"""

@@ -1,7 +1,5 @@
 """The telemetry bindings as SQL common table expressions over the supplied tables."""
 
-import re
-
 TABLES: dict[str, str] = {}
 
 TABLES["b_task0"] = """
@@ -68,22 +66,70 @@ UNION ALL
 SELECT run_id, project_id, cluster_id, 'tagged' FROM r_entry
 WHERE want IS NULL AND project_id IS NOT NULL AND (want_path IS NULL OR holds_path)"""
 
-_NAME = re.compile(r"\b[a-z]_[a-z0-9_]+\b")
-
-
-def with_tables(body: str) -> str:
-    """Prefix a statement with the tables it uses, in dependency order."""
-    done: list[str] = []
+# -- projects, submissions, recommendations -----------------------------------------------------------
+
+TABLES["b_project"] = """
+SELECT 'p' || c_custkey AS project_id, c_mktsegment || (c_custkey % 50) AS app_id,
+       CASE c_mktsegment WHEN 'BUILDING' THEN 'GRADIENT_ML' WHEN 'HOUSEHOLD' THEN 'UNASSIGNED' ELSE 'OTHER' END
+         AS project_model_id,
+       c_acctbal > 0 AS auto_apply_recs, c_custkey AS created_at, c_name AS description,
+       c_custkey % 2 = 0 AS optimize_instance_size, c_custkey
+FROM customer"""
+
+TABLES["b_submission"] = """
+SELECT o_orderkey AS id, 'p' || o_custkey AS project_id, epoch_ms(o_orderdate) AS created_at,
+       CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'FAILED' ELSE 'PENDING' END AS state,
+       CASE WHEN o_orderkey % 11 <> 0 THEN 'n' || (o_orderkey % 7) END AS node_type_id,
+       CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 8 END AS num_workers
+FROM orders"""
 
-    def need(sql: str) -> None:
-        for name in _NAME.findall(sql):
-            if name in TABLES and name not in done:
-                need(TABLES[name])
-                if name not in done:
-                    done.append(name)
+TABLES["b_recommendation"] = """
+SELECT o_orderkey AS id, 'p' || o_custkey AS project_id, epoch_ms(o_orderdate) AS created_at,
+       CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'FAILURE' ELSE 'PENDING' END AS state,
+       o_orderkey % 5 <> 0 AS has_recommendation,
+       CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN
+         '{"node_type_id":"n' || (o_orderkey % 7) || '","num_workers":' || (o_orderkey % 8)
+         || ',"custom_tags":{"sync:run-id":"r' || o_orderkey || '","team":"y"},"init_scripts":["s'
+         || (o_orderkey % 3) || '"]' || CASE WHEN o_orderkey % 9 = 0 THEN ',"policy_id":null' ELSE '' END || '}'
+       END AS configuration
+FROM orders"""
 
-    need(body)
-    if not done:
-        return body.strip()
-    parts = ",\n".join(f"{n} AS ({TABLES[n].strip()})" for n in done)
-    return f"WITH {parts}\n{body.strip()}"
+TABLES["w_latest_recommendation"] = """
+SELECT p.project_id, r.id AS recommendation_id, r.configuration, r.has_recommendation
+FROM b_project p LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY created_at DESC, id DESC) AS rn
+  FROM b_recommendation) r ON r.project_id = p.project_id AND r.rn = 1"""
+
+TABLES["b_response"] = """
+SELECT c_custkey AS response_id, c_custkey % 3 <> 0 AS has_result,
+       CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE c_mktsegment END AS error_code,
+       CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS message
+FROM customer"""
+
+# -- workspaces ---------------------------------------------------------------------------------------
+
+TABLES["b_workspace"] = """
+SELECT s_suppkey, 'w' || s_suppkey AS workspace_id,
+       CASE s_suppkey % 3 WHEN 0 THEN 'https://adb-' || s_suppkey || '.azuredatabricks.net'
+         WHEN 1 THEN 'https://dbc-' || s_suppkey || '.cloud.databricks.com/?o=1'
+         ELSE 'https://' || s_suppkey || '.example.com' END AS databricks_host,
+       CASE s_suppkey % 4 WHEN 0 THEN 'Standard' WHEN 1 THEN 'Premium' WHEN 2 THEN 'Enterprise' ELSE 'Trial' END
+         AS databricks_plan_type,
+       CASE WHEN s_suppkey % 11 = 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN 'hosted' ELSE 'remote' END
+         AS collection_type,
+       CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'hypervisor' ELSE 'webhook' END AS monitoring_type,
+       CASE WHEN s_suppkey % 13 = 0 THEN 'gcp' WHEN s_suppkey % 3 = 0 THEN 'azure' ELSE 'aws' END
+         AS compute_provider,
+       CASE s_nationkey % 4 WHEN 1 THEN 'us-east-1' WHEN 2 THEN 'eu-west-2' WHEN 3 THEN 'mars-1' END AS aws_region,
+       CASE WHEN s_suppkey % 5 <> 0 THEN 'arn:i' || s_suppkey END AS instance_profile_arn,
+       CASE WHEN s_suppkey % 7 <> 0 THEN 'arn:r' || s_suppkey END AS aws_iam_role_arn,
+       CASE WHEN s_nationkey % 2 <> 0 THEN 'tenant' END AS azure_tenant_id,
+       CASE WHEN s_nationkey % 3 <> 0 THEN 'client' END AS azure_client_id,
+       CASE WHEN s_nationkey % 5 <> 0 THEN 'secret' END AS azure_client_secret,
+       CASE WHEN s_nationkey % 7 <> 0 THEN 'subscription' ELSE '' END AS azure_subscription_id
+FROM supplier"""
+
+TABLES["b_log_url"] = """
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 's3' || substr(url, strpos(url, ':'))
+       WHEN 1 THEN 'dbfs' || substr(url, strpos(url, ':')) ELSE url END AS url
+FROM pages"""
