@@ -243,3 +243,102 @@ class Bindings:
             F.when(key % 4 == 0, F.concat(F.lit("s3"), rest)).when(key % 4 == 1, F.concat(F.lit("dbfs"), rest))
             .otherwise(url).alias("url"),
         )
+
+    # -- fleet ------------------------------------------------------------------------------------
+
+    @cached_property
+    def reservation_page(self) -> DataFrame:
+        user = F.col("user_id")
+
+        def pair(key: str, value: Column) -> Column:
+            return F.struct(F.lit(key).alias("Key"), value.alias("Value"))
+
+        vendor = F.when(user % 9 != 0, K.VENDOR).otherwise("other")
+        instance = F.struct(
+            user.cast("string").alias("InstanceId"),
+            F.struct(F.when(user % 4 != 0, "running").otherwise("stopped").alias("Name")).alias("State"),
+            F.array(pair(K.VENDOR_TAG, vendor), pair(K.CLUSTER_TAG, (user % 5).cast("string"))).alias("Tags"),
+        )
+        return (
+            self.raw("events").select("user_id").distinct()
+            .select(F.array(F.struct(F.array(instance).alias("Instances"))).alias("Reservations"))
+        )
+
+    @cached_property
+    def volume(self) -> DataFrame:
+        key, cust = F.col("o_orderkey"), F.col("o_custkey")
+
+        def attachment(owner: Column) -> Column:
+            return F.struct(owner.cast("string").alias("InstanceId"))
+
+        vendor = F.when(F.col("o_orderstatus") != "P", K.VENDOR).otherwise("other")
+        return self.raw("orders").select(
+            key.alias("VolumeId"),
+            F.array(F.struct(F.lit(K.VENDOR_TAG).alias("Key"), vendor.alias("Value"))).alias("Tags"),
+            F.when(key % 10 == 0, F.array(attachment(cust), attachment(cust + 5)))
+            .otherwise(F.array(attachment(cust))).alias("Attachments"),
+        )
+
+    @cached_property
+    def vm(self) -> DataFrame:
+        key = F.col("s_suppkey")
+        return self.raw("supplier").select(
+            key.cast("string").alias("vm_name"),
+            F.when(key % 10 != 0, F.create_map(
+                F.lit(K.VENDOR_TAG), F.when(key % 8 != 0, K.VENDOR).otherwise("other"),
+                F.lit(K.CLUSTER_TAG), tag("z", key % 7),
+            )).alias("tags"),
+            (F.col("s_nationkey") % 2 == 0).alias("group_known"),
+        )
+
+    @cached_property
+    def vm_view(self) -> DataFrame:
+        key = F.col("s_suppkey")
+        ready = F.struct(F.lit("ProvisioningState/succeeded").alias("code"))
+        power = F.struct(
+            F.when(F.col("s_acctbal") > 0, K.POWER_RUNNING).otherwise("PowerState/deallocated").alias("code")
+        )
+        return (
+            self.raw("supplier")
+            .select(
+                key.cast("string").alias("vm_name"),
+                F.when(key % 3 == 1, F.array(ready)).when(key % 3 == 2, F.array(ready, power)).alias("statuses"),
+            )
+            .filter(F.col("statuses").isNotNull())
+        )
+
+    @cached_property
+    def poll(self) -> DataFrame:
+        """Daily polls per cluster; some fail, and a cluster is seen terminated now and then."""
+        day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+        return (
+            self.raw("events")
+            .groupBy((F.col("user_id") % 5).alias("cluster_id"), day.alias("poll_ts"))
+            .agg(F.bool_or(F.col("event_id") % 400 == 7).alias("_gone"))
+            .select(
+                "cluster_id", "poll_ts",
+                ((F.dayofmonth("poll_ts") + F.col("cluster_id")) % 13 != 0).alias("ok"),
+                F.when(F.col("_gone"), "TERMINATED").otherwise("RUNNING").alias("state"),
+            )
+        )
+
+    @cached_property
+    def observation(self) -> DataFrame:
+        day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+        return (
+            self.raw("events")
+            .filter(F.col("event_type") != "error")
+            .select((F.col("user_id") % 5).alias("cluster_id"), day.alias("poll_ts"),
+                    F.col("user_id").alias("instance_id"))
+            .distinct()
+        )
+
+    @cached_property
+    def sighting(self) -> DataFrame:
+        return self.raw("events").select(
+            (F.col("user_id") % 5).alias("cluster_id"),
+            F.col("user_id").alias("instance_id"),
+            epoch_ms(F.col("ts")).alias("seen_ms"),
+            "event_id",
+            F.col("event_type").alias("state"),
+        )

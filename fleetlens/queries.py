@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.bindings import Bindings
 from fleetlens.functions import paths as pt
 from fleetlens.functions import status as st
+from fleetlens.operators import instances as fl
 from fleetlens.operators import projects as pj
 from fleetlens.operators import tasks as tk
 from fleetlens.operators import workspaces as wk
@@ -205,3 +206,81 @@ def normalized_host(b):
 @query
 def eventlog_url_class(b):
     return b.log_url.select("page_id", pt.log_url_class(F.col("url")).alias("url_class"))
+
+
+# -- fleet ------------------------------------------------------------------------------------------
+
+
+@query
+def ec2_instances(b):
+    return fl.ec2_instances(b.reservation_page)
+
+
+@query
+def ebs_volumes_for_instances(b):
+    return fl.ebs_volumes(b.volume, fl.ec2_instances(b.reservation_page))
+
+
+@query
+def azure_running_vms(b):
+    rows = fl.azure_vms(b.vm, b.vm_view).withColumns({"platform": F.lit("azure"), "state": F.lit(None).cast("string")})
+    return fl.running_only(rows).select("cluster_id", "instance_id")
+
+
+@query
+def running_instances(b):
+    aws = fl.ec2_instances(b.reservation_page).withColumn("platform", F.lit("aws"))
+    azure = fl.azure_vms(b.vm, b.vm_view).withColumn("platform", F.lit("azure"))
+    rows = aws.unionByName(azure, allowMissingColumns=True)
+    return fl.running_only(rows).select("platform", "cluster_id", "instance_id")
+
+
+@query
+def fleet_counts(b):
+    instances = fl.ec2_instances(b.reservation_page)
+    return fl.fleet_counts(instances, fl.ebs_volumes(b.volume, instances))
+
+
+def _timeline_rows(df):
+    return df.select(
+        "cluster_id", "instance_id", F.unix_millis("first_seen").alias("first_seen_ms"),
+        F.unix_millis("last_seen").alias("last_seen_ms"), "is_active",
+    )
+
+
+@query
+def instance_timelines(b):
+    return _timeline_rows(fl.instance_timelines(b.poll, b.observation))
+
+
+@query
+def timelines_all(b):
+    rows = fl.instance_timelines(b.poll, b.observation)
+    return _timeline_rows(fl.timelines_all(rows.filter(~F.col("is_active")), rows.filter("is_active")))
+
+
+@query
+def retired_instances(b):
+    return fl.retired_at_poll(b.poll, b.observation).select(
+        "cluster_id", "instance_id", F.unix_millis("retired_at").alias("retired_at_ms"),
+        F.unix_millis("last_seen").alias("last_seen_ms"),
+    )
+
+
+@query
+def inventory_latest(b):
+    return fl.inventory_latest(b.sighting, ["seen_ms", "event_id"], ["seen_ms", "state"])
+
+
+@query
+def monitored_clusters(b):
+    return _timeline_rows(fl.monitored_clusters(b.poll, b.observation))
+
+
+@query
+def monitor_step(b):
+    newest = b.poll.groupBy("cluster_id").agg(F.max("poll_ts").alias("poll_ts"))
+    earlier = b.poll.join(newest, ["cluster_id", "poll_ts"], "left_anti")
+    now = b.observation.join(newest, ["cluster_id", "poll_ts"], "left_semi")
+    before = b.observation.join(newest, ["cluster_id", "poll_ts"], "left_anti")
+    return _timeline_rows(fl.monitor_step(fl.instance_timelines(earlier, before), newest, now))

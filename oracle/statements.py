@@ -171,3 +171,53 @@ SELECT page_id, 'https://' || split_part(split_part(split_part(split_part(url, '
 SQL["eventlog_url_class"] = """
 SELECT page_id, CASE split_part(url, ':', 1) WHEN 's3' THEN 'presign' WHEN 'http' THEN 'as_is'
   WHEN 'https' THEN 'as_is' ELSE 'Unsupported event log URL scheme' END AS url_class FROM b_log_url"""
+
+# -- fleet --------------------------------------------------------------------------------------------
+
+SQL["ec2_instances"] = """
+SELECT CAST(cluster_id AS VARCHAR) AS cluster_id, CAST(instance_id AS VARCHAR) AS instance_id,
+       CASE WHEN running THEN 'running' ELSE 'stopped' END AS state
+FROM b_instance WHERE ours"""
+
+SQL["ebs_volumes_for_instances"] = """
+SELECT CAST(cluster_id AS VARCHAR) AS cluster_id, volume_id FROM w_cluster_volume"""
+
+SQL["azure_running_vms"] = "SELECT cluster_id, instance_id FROM w_running_vm"
+
+SQL["running_instances"] = """
+SELECT 'aws' AS platform, CAST(cluster_id AS VARCHAR) AS cluster_id, CAST(instance_id AS VARCHAR) AS instance_id
+FROM b_instance WHERE ours AND running
+UNION ALL SELECT 'azure', cluster_id, instance_id FROM w_running_vm"""
+
+SQL["fleet_counts"] = """
+SELECT CAST(c AS VARCHAR) AS cluster_id,
+       (SELECT count(*) FROM b_instance WHERE ours AND cluster_id = c) AS n_instances,
+       (SELECT count(*) FROM w_cluster_volume WHERE cluster_id = c) AS n_volumes
+FROM (SELECT DISTINCT cluster_id AS c FROM b_instance WHERE ours)"""
+
+SQL["instance_timelines"] = "SELECT * FROM w_timeline_rows"
+
+SQL["timelines_all"] = "SELECT * FROM w_timeline_rows"
+
+SQL["retired_instances"] = """
+SELECT o.cluster_id, o.instance_id, epoch_ms(p.next_ts) AS retired_at_ms, epoch_ms(o.poll_ts) AS last_seen_ms
+FROM b_obs o JOIN w_step p USING (cluster_id, poll_ts)
+WHERE p.next_ts IS NOT NULL
+  AND (o.cluster_id, o.instance_id, p.next_ts) NOT IN (SELECT cluster_id, instance_id, poll_ts FROM b_obs)"""
+
+SQL["inventory_latest"] = """
+SELECT cluster_id, instance_id, seen_ms, state FROM (
+  SELECT user_id % 5 AS cluster_id, user_id AS instance_id, epoch_us(ts) // 1000 AS seen_ms, event_type AS state,
+         row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+
+SQL["monitored_clusters"] = """
+SELECT cluster_id, instance_id, epoch_ms(min(poll_ts)) AS first_seen_ms, epoch_ms(max(poll_ts)) AS last_seen_ms,
+       max(nr) = any_value(newest) AS is_active
+FROM (SELECT o.cluster_id, o.instance_id, o.poll_ts, a.nr,
+             a.nr - row_number() OVER (PARTITION BY o.cluster_id, o.instance_id ORDER BY o.poll_ts) AS island,
+             (SELECT max(nr) FROM w_applied x WHERE x.cluster_id = o.cluster_id) AS newest
+      FROM b_obs o JOIN w_applied a USING (cluster_id, poll_ts))
+GROUP BY cluster_id, instance_id, island"""
+
+SQL["monitor_step"] = "SELECT * FROM w_timeline_rows"

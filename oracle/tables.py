@@ -133,3 +133,60 @@ TABLES["b_log_url"] = """
 SELECT page_id, CASE page_id % 4 WHEN 0 THEN 's3' || substr(url, strpos(url, ':'))
        WHEN 1 THEN 'dbfs' || substr(url, strpos(url, ':')) ELSE url END AS url
 FROM pages"""
+
+# -- fleet --------------------------------------------------------------------------------------------
+
+TABLES["b_instance"] = """
+SELECT DISTINCT user_id AS instance_id, user_id % 5 AS cluster_id, user_id % 9 <> 0 AS ours,
+       user_id % 4 <> 0 AS running
+FROM events"""
+
+TABLES["b_volume"] = """
+SELECT o_orderkey AS volume_id, o_custkey AS instance_id, o_orderstatus <> 'P' AS ours FROM orders
+UNION ALL SELECT o_orderkey, o_custkey + 5, o_orderstatus <> 'P' FROM orders WHERE o_orderkey % 10 = 0"""
+
+TABLES["w_cluster_volume"] = """
+SELECT DISTINCT i.cluster_id, v.volume_id FROM b_volume v JOIN b_instance i ON i.instance_id = v.instance_id
+WHERE v.ours AND i.ours"""
+
+TABLES["w_running_vm"] = """
+SELECT 'z' || (s_suppkey % 7) AS cluster_id, CAST(s_suppkey AS VARCHAR) AS instance_id FROM supplier
+WHERE s_suppkey % 10 <> 0 AND s_suppkey % 8 <> 0
+  AND (s_nationkey % 2 <> 0 OR (s_suppkey % 3 = 2 AND s_acctbal > 0))"""
+
+TABLES["b_poll"] = """
+SELECT user_id % 5 AS cluster_id, date_trunc('day', ts) AS poll_ts,
+       (day(min(ts)) + user_id % 5) % 13 <> 0 AS ok, bool_or(event_id % 400 = 7) AS gone
+FROM events GROUP BY user_id % 5, date_trunc('day', ts)"""
+
+TABLES["b_obs"] = """
+SELECT DISTINCT user_id % 5 AS cluster_id, date_trunc('day', ts) AS poll_ts, user_id AS instance_id
+FROM events WHERE event_type <> 'error'"""
+
+# Polls of a cluster next to each other.
+TABLES["w_step"] = """
+SELECT cluster_id, poll_ts, lag(poll_ts) OVER w AS prev_ts, lead(poll_ts) OVER w AS next_ts
+FROM b_poll WINDOW w AS (PARTITION BY cluster_id ORDER BY poll_ts)"""
+
+# An interval starts at a sighting the preceding poll lacks and ends at the first following one the next poll lacks.
+TABLES["w_timeline"] = """
+SELECT s.cluster_id, s.instance_id, s.poll_ts AS first_seen, min(e.poll_ts) AS last_seen
+FROM (SELECT o.* FROM b_obs o JOIN w_step p USING (cluster_id, poll_ts)
+      WHERE NOT EXISTS (SELECT 1 FROM b_obs x WHERE x.cluster_id = o.cluster_id
+                        AND x.instance_id = o.instance_id AND x.poll_ts = p.prev_ts)) s
+JOIN (SELECT o.* FROM b_obs o JOIN w_step p USING (cluster_id, poll_ts)
+      WHERE NOT EXISTS (SELECT 1 FROM b_obs x WHERE x.cluster_id = o.cluster_id
+                        AND x.instance_id = o.instance_id AND x.poll_ts = p.next_ts)) e
+  ON e.cluster_id = s.cluster_id AND e.instance_id = s.instance_id AND e.poll_ts >= s.poll_ts
+GROUP BY s.cluster_id, s.instance_id, s.poll_ts"""
+
+TABLES["w_timeline_rows"] = """
+SELECT cluster_id, instance_id, epoch_ms(first_seen) AS first_seen_ms, epoch_ms(last_seen) AS last_seen_ms,
+       last_seen = (SELECT max(poll_ts) FROM b_poll p WHERE p.cluster_id = t.cluster_id) AS is_active
+FROM w_timeline t"""
+
+# What a monitor applies: polls that worked, up to the first that saw the cluster terminated.
+TABLES["w_applied"] = """
+SELECT cluster_id, poll_ts, row_number() OVER (PARTITION BY cluster_id ORDER BY poll_ts) AS nr
+FROM b_poll p WHERE ok AND NOT EXISTS (
+  SELECT 1 FROM b_poll x WHERE x.cluster_id = p.cluster_id AND x.ok AND x.gone AND x.poll_ts < p.poll_ts)"""
