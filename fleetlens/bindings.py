@@ -12,8 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
+from fleetlens.functions.blocked import running_number
+from fleetlens.functions.paths import log_destination
 from fleetlens.session import tune
 
+# 16 January 2024, 12:00 UTC, in the middle of the supplied events.
+RUN_END_MS = 1705406400000
+
 DEFINITION = (
     "struct<cluster_name string, node_type_id string, num_workers bigint,"
     " autoscale struct<min_workers bigint, max_workers bigint>, custom_tags map<string,string>,"
@@ -342,3 +347,162 @@ class Bindings:
             "event_id",
             F.col("event_type").alias("state"),
         )
+
+    # -- clusters ---------------------------------------------------------------------------------
+
+    @cached_property
+    def cluster(self) -> DataFrame:
+        key, size = F.col("p_partkey"), F.col("p_size")
+        states = F.array(*[F.lit(s) for s in ["TERMINATED", "TERMINATING", *K.LIVE_CLUSTER_STATES, "ERROR"]])
+        cluster_id = tag("cl", key)
+        s3 = F.when(key % 3 != 0, F.concat(tag("s3://bucket_", size % 3), F.lit("/logs/"), F.col("p_brand")))
+        dbfs = F.when(key % 2 == 0, F.lit("dbfs:/cluster-logs"))
+        return self.raw("part").select(
+            cluster_id.alias("cluster_id"),
+            F.when(key % 19 != 0, F.get(states, size % 7)).alias("state"),
+            s3.alias("s3"),
+            dbfs.alias("dbfs"),
+            F.when(key % 17 != 0, key * 1000).alias("spark_context_id"),
+            F.col("p_type").alias("node_type_id"),
+            size.alias("num_workers"),
+            F.when(size % 2 == 0, "azure").otherwise("aws").alias("platform"),
+            log_destination(s3, dbfs, cluster_id).alias("log"),
+        )
+
+    @cached_property
+    def cluster_text(self) -> DataFrame:
+        """Cluster documents as JSON text."""
+        conf = F.struct(
+            F.struct(F.col("s3").alias("destination")).alias("s3"),
+            F.struct(F.col("dbfs").alias("destination")).alias("dbfs"),
+        )
+        doc = F.struct("cluster_id", "spark_context_id", "state", "node_type_id", "num_workers",
+                       conf.alias("cluster_log_conf"))
+        return self.cluster.select(F.to_json(doc).alias("value"))
+
+    @cached_property
+    def cluster_state(self) -> DataFrame:
+        kind = F.col("event_type")
+        return self.raw("events").select(
+            F.col("user_id").alias("cluster_id"),
+            F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 200).alias("seen_s"),
+            F.col("event_id").alias("seq"),
+            F.when(kind == "purchase", "TERMINATED").when(kind == "error", "RUNNING").otherwise("TERMINATING")
+            .alias("state"),
+            F.when((kind == "signup") & (F.col("event_id") % 10 == 3), "404").alias("error_code"),
+        )
+
+    @cached_property
+    def run_status(self) -> DataFrame:
+        kind, event = F.col("event_type"), F.col("event_id")
+        return self.raw("events").select(
+            F.col("user_id").alias("run_id"),
+            F.col("ts").cast("timestamp").alias("ts"),
+            event.alias("seq"),
+            F.when((kind == "purchase") & (event % 20 == 0), "SUCCESS")
+            .when((kind == "error") & (event % 20 == 1), "FAILED").alias("state"),
+            F.when((kind == "signup") & (event % 50 == 3), "404").alias("error_code"),
+        )
+
+    @cached_property
+    def event_row(self) -> DataFrame:
+        """Events of clusters with the page and position they were delivered at."""
+        event = F.col("event_id")
+        message = F.when(F.col("event_type") == "error", F.create_map(F.lit("azure_error_message"), F.lit("x")))
+        other = F.when(event % 10 == 0, F.create_map(F.lit("databricks_error_message"), F.lit("y")))
+        none = F.create_map().cast("map<string,string>")
+        return self.raw("events").select(
+            tag("cl", F.col("user_id") % 20).alias("cluster_id"),
+            F.floor(event / 500).alias("page_no"),
+            (event % 500).alias("pos"),
+            epoch_ms(F.col("ts")).alias("ts_ms"),
+            F.col("event_type").alias("type"),
+            F.map_concat(F.create_map(F.lit("k"), F.get_json_object("props", "$.k")),
+                         F.coalesce(message, none), F.coalesce(other, none)).alias("parameters"),
+            (F.floor(event / 500) + 10000).alias("total_count"),
+        )
+
+    @cached_property
+    def time(self) -> DataFrame:
+        ts = F.col("ts")
+        whole = F.date_trunc("second", ts).cast("timestamp_ntz")
+        return self.raw("events").select(
+            "event_id", F.when(F.col("event_id") % 2 == 0, whole).otherwise(ts).alias("ts")
+        )
+
+    # -- event logs -------------------------------------------------------------------------------
+
+    @cached_property
+    def listing(self) -> DataFrame:
+        """Daily listings of the log directory of each user; a day's files are that day's events."""
+        user, kind = F.col("user_id"), F.col("event_type")
+        events = self.raw("events").withColumn("day", F.date_trunc("day", F.col("ts").cast("timestamp")))
+        days = running_number(
+            events.select("user_id", "day").distinct(), ["user_id"], ["day"],
+            F.date_trunc("month", F.col("day")), "poll_no",
+        )
+        name = (
+            F.when(kind == "view", "eventlog").when(kind == "click", "eventlog.gz")
+            .when(kind == "signup", "eventlog.json.gz")
+            .otherwise(F.concat(tag("eventlog-", F.col("event_id")), F.lit(".gz")))
+        )
+        folder = F.concat(tag("dbfs:/cluster-logs/eventlog/c", user % 5), tag("_10_0_0_1/", user * 1000 + 7))
+        return events.join(days, ["user_id", "day"]).select(
+            user.alias("dir"),
+            "poll_no",
+            F.col("event_id").alias("pos"),
+            F.concat(folder, F.lit("/"), name).alias("path"),
+            F.when(F.col("value") < 1, 0).when(F.col("event_id") % 15 != 0, 10).cast("bigint").alias("file_size"),
+            epoch_ms(F.col("ts")).alias("mtime_ms"),
+            (F.unix_millis("day") + 6 * 3600 * 1000).alias("run_end_ms"),
+        )
+
+    @cached_property
+    def log_target(self) -> DataFrame:
+        """One log directory per customer; most were never listed."""
+        key = F.col("c_custkey")
+        return self.raw("customer").select(
+            key.alias("dir"),
+            F.when(key % 10 == 0, None).when(key % 10 == 1, "file").when(key % 10 < 5, "s3").otherwise("dbfs")
+            .alias("scheme"),
+            F.lit(RUN_END_MS).alias("run_end_ms"),
+        )
+
+    @cached_property
+    def log_entry(self) -> DataFrame:
+        """Directories under one log root with the sub-directories they hold."""
+        user = F.col("user_id")
+        return self.raw("events").select(user).distinct().select(
+            F.lit("dbfs:/cluster-logs/eventlog/").alias("root"),
+            (user % 5).alias("dir_pos"),
+            (user % 5 != 4).alias("is_dir"),
+            user.alias("sub_pos"),
+            F.concat(tag("dbfs:/cluster-logs/eventlog/c", user % 5), tag("_10_0_0_1/", user * 1000 + 7)).alias("path"),
+        )
+
+    @cached_property
+    def log_context(self) -> DataFrame:
+        key = F.col("c_custkey")
+        return self.raw("customer").select(
+            key.alias("run_id"),
+            F.lit("dbfs:/cluster-logs/eventlog/").alias("root"),
+            F.when(key % 4 == 0, key + 700).otherwise(key * 1000 + 7).alias("spark_context_id"),
+        )
+
+    @cached_property
+    def object_key(self) -> DataFrame:
+        user = F.col("user_id")
+        base = F.when(user % 7 != 0, F.concat(tag("base", user % 3), F.lit("/x/"))).otherwise("")
+        return self.raw("events").select(
+            "event_id",
+            F.concat(base, tag("eventlog/c", user % 50), F.lit("_10_0_0_1/"), tag("eventlog-", F.col("event_id")))
+            .alias("key"),
+        )
+
+    @cached_property
+    def log_owner(self) -> DataFrame:
+        key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+        return self.raw("supplier").select(
+            tag("c", key % 60).alias("cluster_id"),
+            F.when(nation % 5 != 0, F.concat(tag("base", nation % 3), F.lit("/x"))).otherwise("").alias("base"),
+        )

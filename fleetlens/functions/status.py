@@ -73,13 +73,14 @@ def response_problem(result: Column, error: Column) -> Column:
     )
 
 
-def is_empty_document(df: DataFrame, column: str) -> Column:
+def is_empty_struct(col: Column, dtype: T.StructType) -> Column:
     """True for NULL and for a struct whose every field is NULL (the typed form of ``{}``)."""
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, T.StructType):
-        fields = [F.col(column)[name].isNotNull() for name in dtype.names]
-        return ~reduce(lambda a, b: a | b, fields, F.lit(False))
-    return F.col(column).isNull()
+    fields = [col[name].isNotNull() for name in dtype.names]
+    return ~F.coalesce(reduce(lambda a, b: a | b, fields, F.lit(False)), F.lit(False))
+
+
+def is_empty_document(df: DataFrame, column: str) -> Column:
+    return is_empty_struct(F.col(column), df.schema[column].dataType)
 
 
 def is_blank(col: Column) -> Column:

@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens import schemas as sc
 from fleetlens.bindings import Bindings
 from fleetlens.functions import paths as pt
 from fleetlens.functions import status as st
+from fleetlens.functions import timefmt as tf
+from fleetlens.operators import eventlog as lg
+from fleetlens.operators import events as ev
 from fleetlens.operators import instances as fl
 from fleetlens.operators import projects as pj
 from fleetlens.operators import tasks as tk
 from fleetlens.operators import workspaces as wk
+from fleetlens.sources import documents as dc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -284,3 +289,119 @@ def monitor_step(b):
     now = b.observation.join(newest, ["cluster_id", "poll_ts"], "left_semi")
     before = b.observation.join(newest, ["cluster_id", "poll_ts"], "left_anti")
     return _timeline_rows(fl.monitor_step(fl.instance_timelines(earlier, before), newest, now))
+
+
+# -- clusters, events and event logs ----------------------------------------------------------------
+
+
+@query
+def scan_clusters(b):
+    rows = dc.parse_documents(b.cluster_text, "value", sc.CLUSTER)
+    return rows.select(
+        "cluster_id", "state", "spark_context_id", "node_type_id", "num_workers",
+        F.col("cluster_log_conf.s3.destination").alias("s3"), F.col("cluster_log_conf.dbfs.destination").alias("dbfs"),
+    )
+
+
+@query
+def cluster_state_class(b):
+    return b.cluster.select("cluster_id", st.cluster_state_class(F.col("state")).alias("state_class"))
+
+
+@query
+def log_destination(b):
+    return b.cluster.select("cluster_id", "log.url", "log.scheme", "log.bucket", "log.base")
+
+
+@query
+def telemetry_paths(b):
+    rows = b.cluster.filter(F.col("log.base").isNotNull())
+    return rows.select(
+        "cluster_id",
+        pt.eventlog_prefix(F.col("log.base"), F.col("cluster_id")).alias("log_prefix"),
+        pt.info_file_key(F.col("log.base"), F.col("spark_context_id"), F.col("platform")).alias("info_key"),
+        pt.dbfs_path(F.col("log.url")).alias("dbfs_url"),
+        pt.dbfs_path(F.col("log.base")).alias("dbfs_base"),
+    )
+
+
+@query
+def sink_routing(b):
+    args = (F.col("platform"), F.col("log"), F.col("cluster_id"), F.col("spark_context_id"))
+    rows = b.cluster.withColumn("plain", pt.sink_target(*args)).withColumn(
+        "moved", pt.sink_target(*args, override_filesystem="file", override_prefix="/reports")
+    )
+    return rows.select(
+        "cluster_id", "plain.filesystem", "plain.target", "plain.error",
+        F.col("moved.target").alias("moved_target"), F.col("moved.error").alias("moved_error"),
+    )
+
+
+@query
+def cluster_events_all(b):
+    rows = ev.all_events(ev.union_pages(b.event_row))
+    return rows.select("cluster_id", "seq", "page_no", "pos", "ts_ms", "type", "total_count")
+
+
+@query
+def redacted_events(b):
+    kept = ev.redacted(F.col("parameters"))
+    return b.event_row.select(
+        "cluster_id", "page_no", "pos", F.array_join(F.sort_array(F.map_keys(kept)), ",").alias("keys"),
+        F.try_element_at(kept, F.lit("k")).alias("k"),
+    )
+
+
+@query
+def json_time_encodings(b):
+    ts = F.col("ts")
+    return b.time.select(
+        "event_id", tf.iso_offset(ts.cast("timestamp")).alias("zoned"), tf.iso_naive(ts).alias("naive"),
+        tf.iso_utc(ts).alias("utc"), tf.iso_utc(ts, fraction=False).alias("utc_seconds"),
+    )
+
+
+@query
+def log_listing_by_prefix(b):
+    return lg.files_by_prefix(b.object_key, b.log_owner).select("event_id", "cluster_id", "key")
+
+
+@query
+def log_dir_by_context(b):
+    return lg.log_dirs_by_context(b.log_context, b.log_entry).select("run_id", "spark_context_id", "log_dir")
+
+
+@query
+def final_rollover_files(b):
+    path = F.col("path")
+    return b.listing.select(
+        F.col("pos").alias("event_id"), pt.file_stem(path).alias("stem"), pt.is_final_log(path).alias("is_final")
+    )
+
+
+@query
+def final_log_flushed(b):
+    ends = b.listing.groupBy("dir", "poll_no").agg(F.max("run_end_ms").alias("run_end_ms"))
+    rows = lg.poll_summaries(b.listing).join(ends, ["dir", "poll_no"])
+    return rows.select("dir", "poll_no", lg.final_flushed(F.col("run_end_ms")).alias("flushed"))
+
+
+@query
+def log_size_changes(b):
+    rows = lg.size_changes(lg.poll_summaries(b.listing))
+    return rows.select("dir", "poll_no", "total_size", "last_size", "size_changed", "any_empty")
+
+
+@query
+def eventlog_completeness(b):
+    return lg.completeness(b.log_target, b.listing).select("dir", "scheme", "poll_no", "verdict")
+
+
+@query
+def eventlog_ready_poll(b):
+    return lg.ready_polls(b.log_target, b.listing).select("dir", "scheme", "ready_poll", "polls", "outcome")
+
+
+@query
+def eventlog_bundle_manifest(b):
+    return lg.bundle_manifest(b.log_target, b.listing)

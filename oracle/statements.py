@@ -221,3 +221,86 @@ FROM (SELECT o.cluster_id, o.instance_id, o.poll_ts, a.nr,
 GROUP BY cluster_id, instance_id, island"""
 
 SQL["monitor_step"] = "SELECT * FROM w_timeline_rows"
+
+# -- clusters, events and event logs ------------------------------------------------------------------
+
+SQL["scan_clusters"] = """
+SELECT cluster_id, state, spark_context_id, node_type_id, num_workers, s3, dbfs FROM b_cluster"""
+
+SQL["cluster_state_class"] = """
+SELECT cluster_id, CASE WHEN state = 'TERMINATED' THEN 'done' WHEN state = 'TERMINATING' THEN 'wait'
+  WHEN state IS NULL THEN 'Unexpected cluster state: None' WHEN state = 'ERROR' THEN 'Unexpected cluster state: ERROR'
+  ELSE 'terminate' END AS state_class FROM b_cluster"""
+
+SQL["log_destination"] = "SELECT cluster_id, url, scheme, bucket, base FROM b_cluster"
+
+SQL["telemetry_paths"] = """
+SELECT cluster_id, base || '/eventlog/' || cluster_id AS log_prefix,
+       base || '/sync_data/' || spark_context_id || '/' || platform || '_cluster_info.json' AS info_key,
+       CASE WHEN url LIKE '%dbfs:/%' THEN url ELSE 'dbfs:/' || url END AS dbfs_url, 'dbfs:/' || base AS dbfs_base
+FROM b_cluster WHERE base IS NOT NULL"""
+
+SQL["sink_routing"] = """
+SELECT cluster_id, scheme AS filesystem,
+       CASE WHEN error IS NULL AND scheme = 's3' THEN 's3://' || bucket || '/' || key
+            WHEN error IS NULL THEN 'dbfs:/' || key END AS target, error,
+       CASE WHEN spark_context_id IS NOT NULL THEN
+         'reports/sync_data/' || spark_context_id || '/' || platform || '_cluster_info.json' END AS moved_target,
+       CASE WHEN spark_context_id IS NULL THEN 'missing spark context' END AS moved_error
+FROM (SELECT *, base || '/sync_data/' || spark_context_id || '/' || platform || '_cluster_info.json' AS key,
+             CASE WHEN spark_context_id IS NULL THEN 'missing spark context'
+                  WHEN url IS NULL THEN 'missing cluster log destination'
+                  WHEN platform = 'azure' AND scheme = 's3' THEN 'Unsupported filesystem: s3' END AS error
+      FROM b_cluster)"""
+
+SQL["cluster_events_all"] = """
+SELECT cluster_id, row_number() OVER (PARTITION BY cluster_id ORDER BY page_no, pos) AS seq, page_no, pos, ts_ms,
+       type, first_value(total_count) OVER (PARTITION BY cluster_id ORDER BY page_no) AS total_count
+FROM b_event_row"""
+
+SQL["redacted_events"] = """
+SELECT cluster_id, page_no, pos, 'k' AS keys, props ->> '$.k' AS k FROM b_event_row"""
+
+SQL["json_time_encodings"] = """
+SELECT event_id, stamp || fraction || '+00:00' AS zoned, stamp || fraction AS naive, stamp || fraction || 'Z' AS utc,
+       stamp || 'Z' AS utc_seconds
+FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp,
+             CASE WHEN event_id % 2 = 0 OR epoch_us(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END AS fraction
+      FROM events)"""
+
+SQL["log_listing_by_prefix"] = """
+SELECT k.event_id, o.cluster_id, k.key
+FROM (SELECT event_id, CASE WHEN user_id % 7 <> 0 THEN 'base' || (user_id % 3) || '/x/' ELSE '' END || 'eventlog/c'
+             || (user_id % 50) || '_10_0_0_1/eventlog-' || event_id AS key FROM events) k
+JOIN (SELECT DISTINCT 'c' || (s_suppkey % 60) AS cluster_id,
+             CASE WHEN s_nationkey % 5 <> 0 THEN 'base' || (s_nationkey % 3) || '/x/' ELSE '' END || 'eventlog/c'
+             || (s_suppkey % 60) AS prefix FROM supplier) o ON starts_with(k.key, o.prefix)"""
+
+SQL["log_dir_by_context"] = """
+WITH sub AS (SELECT DISTINCT user_id, 'dbfs:/cluster-logs/eventlog/c' || (user_id % 5) || '_10_0_0_1/'
+             || (user_id * 1000 + 7) AS path FROM events WHERE user_id % 5 <> 4),
+want AS (SELECT c_custkey AS run_id, CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 700 ELSE c_custkey * 1000 + 7 END
+         AS spark_context_id FROM customer)
+SELECT run_id, spark_context_id, arg_min(path, (-(user_id % 5), user_id)) AS log_dir
+FROM want LEFT JOIN sub ON contains(path, CAST(spark_context_id AS VARCHAR))
+GROUP BY run_id, spark_context_id"""
+
+SQL["final_rollover_files"] = """
+SELECT pos AS event_id, CASE WHEN path LIKE '%.json.gz' THEN 'eventlog.json' WHEN is_final THEN 'eventlog'
+  ELSE 'eventlog-' || pos END AS stem, is_final FROM b_listing"""
+
+SQL["final_log_flushed"] = """
+SELECT dir, poll_no, coalesce(final_mtime_ms >= run_end_ms, false) AS flushed FROM w_look"""
+
+SQL["log_size_changes"] = """
+SELECT dir, poll_no, total_size, last_size, total_size <> last_size AS size_changed, any_empty FROM w_look"""
+
+SQL["eventlog_completeness"] = "SELECT dir, scheme, poll_no, verdict FROM w_verdict"
+
+SQL["eventlog_ready_poll"] = "SELECT dir, scheme, ready_poll, polls, outcome FROM w_ready"
+
+SQL["eventlog_bundle_manifest"] = """
+SELECT l.dir, l.poll_no, l.path,
+       CASE WHEN r.scheme = 'dbfs' AND NOT ends_with(l.path, '.gz') THEN split_part(l.path, '/', -1) || '.gz'
+            ELSE split_part(l.path, '/', -1) END AS bundle_name, l.file_size::BIGINT AS file_size
+FROM b_listing l JOIN w_ready r ON r.dir = l.dir AND r.ready_poll = l.poll_no"""

@@ -190,3 +190,72 @@ TABLES["w_applied"] = """
 SELECT cluster_id, poll_ts, row_number() OVER (PARTITION BY cluster_id ORDER BY poll_ts) AS nr
 FROM b_poll p WHERE ok AND NOT EXISTS (
   SELECT 1 FROM b_poll x WHERE x.cluster_id = p.cluster_id AND x.ok AND x.gone AND x.poll_ts < p.poll_ts)"""
+
+# -- clusters, events and event logs ------------------------------------------------------------------
+
+TABLES["b_cluster"] = """
+SELECT *, coalesce(s3, dbfs) AS url,
+       CASE WHEN s3 IS NOT NULL THEN 's3' WHEN dbfs IS NOT NULL THEN 'dbfs' END AS scheme,
+       CASE WHEN s3 IS NOT NULL THEN 'bucket_' || (p_size % 3) WHEN dbfs IS NOT NULL THEN '' END AS bucket,
+       -- A '#' starts a URL fragment, which is no part of the path.
+       CASE WHEN s3 IS NOT NULL THEN 'logs/' || split_part(p_brand, '#', 1) || '/' || cluster_id
+            WHEN dbfs IS NOT NULL THEN 'cluster-logs/' || cluster_id END AS base
+FROM (SELECT p_partkey, p_size, p_brand, 'cl' || p_partkey AS cluster_id,
+       CASE WHEN p_partkey % 19 <> 0 THEN
+         ['TERMINATED', 'TERMINATING', 'PENDING', 'RUNNING', 'RESTARTING', 'RESIZING', 'ERROR'][p_size % 7 + 1] END
+         AS state,
+       CASE WHEN p_partkey % 3 <> 0 THEN 's3://bucket_' || (p_size % 3) || '/logs/' || p_brand END AS s3,
+       CASE WHEN p_partkey % 2 = 0 THEN 'dbfs:/cluster-logs' END AS dbfs,
+       CASE WHEN p_partkey % 17 <> 0 THEN p_partkey * 1000 END AS spark_context_id,
+       p_type AS node_type_id, p_size AS num_workers,
+       CASE WHEN p_size % 2 = 0 THEN 'azure' ELSE 'aws' END AS platform
+  FROM part)"""
+
+TABLES["b_event_row"] = """
+SELECT event_id, 'cl' || (user_id % 20) AS cluster_id, event_id // 500 AS page_no, event_id % 500 AS pos,
+       epoch_us(ts) // 1000 AS ts_ms, event_type AS type, props, 10000 + event_id // 500 AS total_count
+FROM events"""
+
+TABLES["b_listing"] = """
+SELECT user_id AS dir, dense_rank() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts)) AS poll_no,
+       event_id AS pos,
+       'dbfs:/cluster-logs/eventlog/c' || (user_id % 5) || '_10_0_0_1/' || (user_id * 1000 + 7) || '/'
+       || CASE event_type WHEN 'view' THEN 'eventlog' WHEN 'click' THEN 'eventlog.gz'
+            WHEN 'signup' THEN 'eventlog.json.gz' ELSE 'eventlog-' || event_id || '.gz' END AS path,
+       event_type IN ('view', 'click') AS is_final,
+       CASE WHEN value < 1 THEN 0 WHEN event_id % 15 <> 0 THEN 10 END AS file_size,
+       epoch_us(ts) // 1000 AS mtime_ms, epoch_ms(date_trunc('day', ts)) + 21600000 AS run_end_ms
+FROM events"""
+
+TABLES["w_look"] = """
+SELECT dir, poll_no, total_size, any_empty, final_mtime_ms, run_end_ms,
+       coalesce((SELECT sum(coalesce(file_size, 0)) FROM b_listing x
+                 WHERE x.dir = l.dir AND x.poll_no = l.poll_no - 1), 0)::BIGINT AS last_size
+FROM (SELECT dir, poll_no, sum(coalesce(file_size, 0))::BIGINT AS total_size,
+             count(*) FILTER (file_size = 0) > 0 AS any_empty,
+             arg_min(mtime_ms, pos) FILTER (is_final) AS final_mtime_ms, max(run_end_ms) AS run_end_ms
+      FROM b_listing GROUP BY dir, poll_no) l"""
+
+TABLES["b_log_target"] = """
+SELECT c_custkey AS dir, CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN 'file'
+  WHEN c_custkey % 10 < 5 THEN 's3' ELSE 'dbfs' END AS scheme FROM customer"""
+
+TABLES["w_verdict"] = """
+SELECT t.dir, t.scheme, l.poll_no, l.total_size,
+       CASE WHEN t.scheme IS NULL THEN 'No eventlog location found for cluster.'
+            WHEN t.scheme = 'file' THEN 'Unknown log destination: file'
+            WHEN t.scheme = 's3' AND final_mtime_ms >= 1705406400000 THEN 'complete'
+            WHEN t.scheme = 's3' THEN 'Event log was missing or incomplete. Please retry.'
+            WHEN l.dir IS NULL THEN 'No eventlog found'
+            WHEN final_mtime_ms >= 1705406400000 AND NOT any_empty AND total_size = last_size THEN 'complete'
+            ELSE 'Event log was missing or incomplete. Please retry.' END AS verdict
+FROM b_log_target t LEFT JOIN w_look l ON l.dir = t.dir"""
+
+TABLES["w_ready"] = """
+SELECT dir, scheme, ready_poll, polls,
+       CASE WHEN ready_poll IS NOT NULL THEN 'ready'
+            WHEN a_verdict NOT IN ('complete', 'Event log was missing or incomplete. Please retry.') THEN a_verdict
+            WHEN polls >= 20 THEN 'No eventlog found' ELSE 'waiting' END AS outcome
+FROM (SELECT dir, scheme, min(poll_no) FILTER (verdict = 'complete' AND poll_no <= 20) AS ready_poll,
+             max(poll_no) AS polls, any_value(verdict) AS a_verdict
+      FROM w_verdict GROUP BY dir, scheme)"""
