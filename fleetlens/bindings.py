@@ -506,3 +506,116 @@ class Bindings:
             tag("c", key % 60).alias("cluster_id"),
             F.when(nation % 5 != 0, F.concat(tag("base", nation % 3), F.lit("/x"))).otherwise("").alias("base"),
         )
+
+    # -- jobs and documents -----------------------------------------------------------------------
+
+    def _job_clusters(self) -> Column:
+        job, cust = F.col("o_orderkey"), F.col("o_custkey")
+
+        def entry(k: int) -> Column:
+            owner = (cust + k) % 4
+            size = F.when(F.lit(k == 2), F.struct(F.lit(1).alias("min_workers"), F.lit(k).alias("max_workers")))
+            return F.struct(
+                F.lit(f"k{k}").alias("job_cluster_key"),
+                definition(
+                    cluster_name=F.lit(f"name{k}" if k != 1 else None),
+                    node_type_id=tag("n", cust % 5), num_workers=job % 8, autoscale=size,
+                    custom_tags=project_tags(F.when(owner != 0, tag("p", owner))),
+                    policy_id=F.lit("pol" if k == 0 else None), init_scripts=F.array(F.lit(f"b{k}")),
+                ).alias("new_cluster"),
+            )
+
+        return F.array(*[entry(k) for k in range(3)])
+
+    @cached_property
+    def job(self) -> DataFrame:
+        job, cust = F.col("o_orderkey"), F.col("o_custkey")
+        count, mode = job % 5, job % 3
+
+        def task(i: Column) -> Column:
+            owner = (cust + i) % 3
+            inline = (mode == 2) & ((cust + i) % 2 == 0)
+            key = F.when(mode == 0, tag("k", cust % 4)).when(mode == 1, tag("k", (cust + i) % 4)).otherwise(
+                tag("k", cust % 3)
+            )
+            own = definition(
+                cluster_name=F.lit("own"), node_type_id=tag("n", (cust + i) % 5), num_workers=(job + i) % 8,
+                custom_tags=project_tags(F.when(owner != 0, tag("p", owner))),
+            )
+            return F.struct(
+                tag("t", i).alias("task_key"),
+                F.when(inline, own).alias("new_cluster"),
+                F.when(~inline, key).alias("job_cluster_key"),
+            )
+
+        tasks = F.when(count > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), task)).otherwise(
+            F.transform(F.array().cast("array<bigint>"), task)
+        )
+        return self.raw("orders").select(
+            job.alias("job_id"),
+            F.struct(tag("job", job).alias("name"), tasks.alias("tasks"),
+                     self._job_clusters().alias("job_clusters")).alias("settings"),
+        )
+
+    @cached_property
+    def job_request(self) -> DataFrame:
+        key = F.col("o_orderkey")
+        return self.raw("orders").select(
+            key.alias("job_id"), tag("p", F.col("o_custkey") % 5).alias("project_id"),
+            key.alias("recommendation_id"),
+        )
+
+    @cached_property
+    def job_text(self) -> DataFrame:
+        return self.job.select(F.to_json(F.struct("job_id", "settings")).alias("value"))
+
+    @cached_property
+    def run_text(self) -> DataFrame:
+        """Run documents as JSON text: the tasks of the job of the same number with their clusters and results."""
+        run = F.col("job_id")
+
+        def task(t: Column, i: Column) -> Column:
+            started = i % 3 != 2
+            return F.struct(
+                t["task_key"].alias("task_key"), t["new_cluster"].alias("new_cluster"),
+                t["job_cluster_key"].alias("job_cluster_key"),
+                F.when(started, F.struct(
+                    F.concat(run.cast("string"), F.lit("-"), t["job_cluster_key"]).alias("cluster_id"),
+                    (run * 10 + i).cast("string").alias("spark_context_id"),
+                )).alias("cluster_instance"),
+                F.struct(F.when(i % 2 == 0, "SUCCESS").alias("result_state")).alias("state"),
+                (run * 1000 + i).alias("end_time"),
+            )
+
+        doc = F.struct(
+            run.alias("run_id"), run.alias("job_id"), F.transform("settings.tasks", task).alias("tasks"),
+            F.col("settings.job_clusters").alias("job_clusters"),
+        )
+        return self.job.select(F.to_json(doc).alias("value"))
+
+    @cached_property
+    def project_definition(self) -> DataFrame:
+        key = F.col("c_custkey")
+        conf = F.struct(F.struct(F.lit("dbfs:/old").alias("destination")).alias("dbfs"))
+        return self.raw("customer").select(
+            tag("p", key).alias("project_id"),
+            definition(
+                cluster_name=F.lit("base"), node_type_id=tag("n", key % 5), num_workers=key % 8,
+                autoscale=F.when(key % 2 == 0, F.struct(F.lit(1).alias("min_workers"), F.lit(9).alias("max_workers"))),
+                custom_tags=project_tags(tag("p", key)),
+                policy_id=F.lit("pol"), init_scripts=F.when(key % 3 != 0, F.array(F.lit("b"))),
+                cluster_log_conf=F.when(key % 4 == 0, conf),
+            ).alias("definition"),
+        )
+
+    @cached_property
+    def template(self) -> DataFrame:
+        """One template per customer whose nation is even: project tag and log destination."""
+        key = F.col("c_custkey")
+        text = F.format_string(
+            '{"custom_tags":{"sync:project-id":"p%d","owner":"o%d"},'
+            '"cluster_log_conf":{"dbfs":{"destination":"dbfs:/new%d"}}}', key, key % 25, key % 25,
+        )
+        return self.raw("customer").select(
+            tag("p", key).alias("project_id"), F.when(F.col("c_nationkey") % 2 == 0, text).alias("template")
+        )

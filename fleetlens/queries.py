@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from fleetlens import schemas as sc
 from fleetlens.bindings import Bindings
+from fleetlens.functions import merge as mg
 from fleetlens.functions import paths as pt
 from fleetlens.functions import status as st
 from fleetlens.functions import timefmt as tf
 from fleetlens.operators import eventlog as lg
 from fleetlens.operators import events as ev
 from fleetlens.operators import instances as fl
+from fleetlens.operators import jobs as jb
 from fleetlens.operators import projects as pj
+from fleetlens.operators import recommend as rc
 from fleetlens.operators import tasks as tk
 from fleetlens.operators import workspaces as wk
 from fleetlens.sources import documents as dc
@@ -405,3 +408,144 @@ def eventlog_ready_poll(b):
 @query
 def eventlog_bundle_manifest(b):
     return lg.bundle_manifest(b.log_target, b.listing)
+
+
+# -- jobs, definitions and recommendations ----------------------------------------------------------
+
+
+def _definition_columns(definition: str):
+    """A definition flattened to scalar columns."""
+    d = F.col(definition)
+    pairs = F.transform(
+        F.map_entries(d["custom_tags"]),
+        lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))),
+    )
+    return [
+        d["cluster_name"].alias("cluster_name"),
+        d["node_type_id"].alias("node_type_id"),
+        d["num_workers"].alias("num_workers"),
+        d["autoscale"]["max_workers"].alias("max_workers"),
+        F.array_join(F.sort_array(pairs), ";").alias("tags"),
+        d["policy_id"].alias("policy_id"),
+        F.array_join(d["init_scripts"], ",").alias("scripts"),
+        d["cluster_log_conf"]["dbfs"]["destination"].alias("log_url"),
+    ]
+
+
+@query
+def scan_run_tasks(b):
+    rows = dc.run_tasks_of(dc.parse_documents(b.run_text, "value", sc.RUN))
+    return rows.select(
+        "run_id", "pos", "task_key", "job_cluster_key", "cluster_id", "spark_context_id", "result_state",
+        "end_time_ms", F.col("new_cluster.node_type_id").alias("node_type_id"),
+    )
+
+
+@query
+def scan_job_clusters(b):
+    rows = dc.job_clusters_of(dc.parse_documents(b.job_text, "value", sc.JOB))
+    return rows.select(
+        "job_id", "pos", "job_cluster_key", F.col("new_cluster.node_type_id").alias("node_type_id"),
+        F.col("new_cluster.num_workers").alias("num_workers"), tk.project_of("new_cluster").alias("project_id"),
+    )
+
+
+@query
+def job_single_cluster(b):
+    rows = jb.single_clusters(b.job)
+    return rows.select("job_id", *_definition_columns("cluster"), "cluster_error")
+
+
+@query
+def job_project_clusters(b):
+    rows = jb.project_job_clusters(b.job)
+    return rows.select("job_id", "project_id", "path_kind", "path_key", *_definition_columns("cluster"))
+
+
+@query
+def recommendation_target(b):
+    rows = jb.target_clusters(b.job_request, jb.project_job_clusters(b.job))
+    return rows.select("job_id", "project_id", "path_kind", "path_key", "target_error")
+
+
+@query
+def deep_merge_config(b):
+    patches = b.recommendation.select("id", "recommendation.configuration")
+    shared = dc.job_clusters_of(b.job)
+    kind = shared.schema["new_cluster"].dataType
+    rows = shared.join(patches, shared.job_id == patches.id)
+    merged = mg.deep_merge(F.col("new_cluster"), kind, mg.parse_patch(F.col("configuration")))
+    return rows.withColumn("merged", merged).select("job_id", "pos", *_definition_columns("merged"))
+
+
+@query
+def recommended_cluster_defs(b):
+    latest = pj.latest_recommendation(b.project, b.recommendation)
+    rows = rc.updated_definitions(b.project_definition, latest)
+    return rows.select("project_id", *_definition_columns("definition"), "error")
+
+
+@query
+def definition_vs_recommendation(b):
+    latest = pj.latest_recommendation(b.project, b.recommendation)
+    rows = rc.definition_and_recommendation(b.project_definition, latest)
+    return rows.select(
+        "project_id", F.col("cluster_definition.node_type_id").alias("node_type_id"), "cluster_recommendation", "error"
+    )
+
+
+def _job_recommendations(b):
+    rows = rc.with_recommendation(
+        jb.single_clusters(b.job).withColumn("recommendation_id", F.col("job_id")), b.recommendation
+    )
+    kind = jb.definition_type(b.job)
+    patch = mg.parse_patch(F.col("configuration"))
+    merged = F.when(
+        F.col("recommendation_error").isNull(), jb.recommended_definition(F.col("cluster"), kind, patch)
+    )
+    return rows.withColumn("merged", merged)
+
+
+@query
+def rewritten_jobs(b):
+    rows = jb.job_parts(jb.rewrite_jobs(_job_recommendations(b), "merged"))
+    return rows.select("job_id", "section", "pos", "key", *_definition_columns("definition"))
+
+
+@query
+def job_update_payloads(b):
+    targets = jb.target_clusters(b.job_request, jb.project_job_clusters(b.job))
+    payload = jb.update_payload(F.col("path_kind"), F.col("path_key"), F.col("cluster"))
+    rows = targets.filter(F.col("target_error").isNull()).withColumn("payload", payload)
+
+    def item(path):
+        return F.get_json_object("payload", path)
+
+    return rows.select(
+        "job_id",
+        item("$.job_clusters[0].job_cluster_key").alias("job_cluster_key"),
+        item("$.job_clusters[0].new_cluster.node_type_id").alias("shared_node"),
+        item("$.tasks[0].task_key").alias("task_key"),
+        item("$.tasks[0].new_cluster.node_type_id").alias("inline_node"),
+    )
+
+
+@query
+def one_off_payloads(b):
+    rows = jb.one_off_runs(b.job)
+    first = F.get("tasks", F.lit(0))
+    return rows.select(
+        "job_id", "run_name", F.size(F.coalesce("tasks", F.array())).alias("n_tasks"),
+        first["new_cluster"]["node_type_id"].alias("inline_node"),
+        first["new_cluster"]["cluster_name"].alias("inline_name"),
+        F.col("cluster.cluster_name").alias("cluster_name"),
+        F.col("cluster.policy_id").alias("policy_id"),
+        F.col("cluster.autotermination_minutes").alias("autotermination_minutes"),
+        "error",
+    )
+
+
+@query
+def templated_clusters(b):
+    rows = rc.templated(b.project_definition, "definition", b.template)
+    return rows.select("project_id", *_definition_columns("definition"))

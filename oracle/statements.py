@@ -304,3 +304,113 @@ SELECT l.dir, l.poll_no, l.path,
        CASE WHEN r.scheme = 'dbfs' AND NOT ends_with(l.path, '.gz') THEN split_part(l.path, '/', -1) || '.gz'
             ELSE split_part(l.path, '/', -1) END AS bundle_name, l.file_size::BIGINT AS file_size
 FROM b_listing l JOIN w_ready r ON r.dir = l.dir AND r.ready_poll = l.poll_no"""
+
+# -- jobs, definitions and recommendations ------------------------------------------------------------
+
+_TAGS = "CASE WHEN project_id IS NOT NULL THEN 'sync:project-id=' || project_id ELSE 'team=x' END"
+
+SQL["scan_run_tasks"] = """
+SELECT job_id AS run_id, CAST(i AS INTEGER) AS pos, task_key, job_cluster_key,
+       CASE WHEN i % 3 <> 2 THEN job_id || '-' || job_cluster_key END AS cluster_id,
+       CASE WHEN i % 3 <> 2 THEN job_id * 10 + i END AS spark_context_id,
+       CASE WHEN i % 2 = 0 THEN 'SUCCESS' END AS result_state, job_id * 1000 + i AS end_time_ms, node_type_id
+FROM b_job_task
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 5 = 0"""
+
+SQL["scan_job_clusters"] = """
+SELECT job_id, pos, job_cluster_key, node_type_id, CAST(num_workers AS INTEGER) AS num_workers, project_id
+FROM b_job_shared"""
+
+SQL["job_single_cluster"] = f"""
+SELECT job_id, CASE WHEN ok THEN cluster_name END AS cluster_name, CASE WHEN ok THEN node_type_id END AS node_type_id,
+       CASE WHEN ok THEN num_workers END AS num_workers,
+       CASE WHEN ok THEN CAST(max_workers AS BIGINT) END AS max_workers,
+       CASE WHEN ok THEN {_TAGS} END AS tags, CASE WHEN ok THEN policy_id END AS policy_id,
+       CASE WHEN ok THEN scripts END AS scripts, CAST(NULL AS VARCHAR) AS log_url, error AS cluster_error
+FROM (SELECT *, error IS NULL AS ok FROM w_job_single)"""
+
+SQL["job_project_clusters"] = f"""
+SELECT job_id, project_id, path_kind, path_key, cluster_name, node_type_id, num_workers,
+       CAST(max_workers AS BIGINT) AS max_workers, {_TAGS} AS tags, policy_id, scripts,
+       CAST(NULL AS VARCHAR) AS log_url
+FROM w_job_project"""
+
+SQL["recommendation_target"] = "SELECT job_id, project_id, path_kind, path_key, target_error FROM w_target"
+
+SQL["deep_merge_config"] = """
+SELECT s.job_id, s.pos, s.cluster_name, CASE WHEN patched THEN 'n' || (s.job_id % 7) ELSE s.node_type_id END AS node_type_id,
+       s.job_id % 8 AS num_workers, CAST(s.max_workers AS BIGINT) AS max_workers,
+       CASE WHEN s.project_id IS NOT NULL THEN 'sync:project-id=' || s.project_id || CASE WHEN patched THEN ';' ELSE '' END
+            ELSE '' END
+         || CASE WHEN patched THEN 'sync:run-id=r' || s.job_id || ';team=y'
+                 WHEN s.project_id IS NULL THEN 'team=x' ELSE '' END AS tags,
+       CASE WHEN NOT patched OR s.job_id % 9 <> 0 THEN s.policy_id END AS policy_id,
+       CASE WHEN patched THEN s.scripts || ',s' || (s.job_id % 3) ELSE s.scripts END AS scripts,
+       CAST(NULL AS VARCHAR) AS log_url
+FROM b_job_shared s JOIN (SELECT id, configuration IS NOT NULL AS patched FROM b_recommendation) r
+  ON r.id = s.job_id"""
+
+SQL["recommended_cluster_defs"] = """
+SELECT project_id, CASE WHEN ok THEN 'base' END AS cluster_name,
+       CASE WHEN ok THEN 'n' || (r % 7) END AS node_type_id, CASE WHEN ok THEN r % 8 END AS num_workers,
+       CAST(NULL AS BIGINT) AS max_workers,
+       CASE WHEN ok THEN 'sync:project-id=' || project_id || ';sync:run-id=r' || r || ';team=y' END AS tags,
+       CASE WHEN ok AND r % 9 <> 0 THEN 'pol' END AS policy_id,
+       CASE WHEN ok THEN CASE WHEN c % 3 <> 0 THEN 'b,' ELSE '' END || 's' || (r % 3) END AS scripts,
+       CASE WHEN ok AND c % 4 = 0 THEN 'dbfs:/old' END AS log_url,
+       CASE WHEN ok THEN NULL WHEN r IS NULL THEN 'no_recommendation'
+            WHEN NOT has_recommendation THEN 'Recommendation not found'
+            ELSE 'Recommendation configuration not found' END AS error
+FROM (SELECT project_id, recommendation_id AS r, configuration IS NOT NULL AS ok, has_recommendation,
+             CAST(substr(project_id, 2) AS BIGINT) AS c FROM w_latest_recommendation)"""
+
+SQL["definition_vs_recommendation"] = """
+SELECT project_id, CASE WHEN recommendation_id IS NOT NULL THEN 'n' || (CAST(substr(project_id, 2) AS BIGINT) % 5) END
+         AS node_type_id, configuration AS cluster_recommendation,
+       CASE WHEN recommendation_id IS NULL THEN 'Recommendation failed' END AS error
+FROM w_latest_recommendation"""
+
+SQL["rewritten_jobs"] = """
+SELECT t.job_id, 'tasks' AS section, CAST(t.i AS INTEGER) AS pos, t.task_key AS key,
+       CASE WHEN here THEN NULL WHEN t.inline THEN 'own' END AS cluster_name,
+       CASE WHEN here THEN m.node_type_id ELSE t.node_type_id END AS node_type_id,
+       CASE WHEN here THEN m.num_workers ELSE t.num_workers END AS num_workers, CAST(NULL AS BIGINT) AS max_workers,
+       CASE WHEN here THEN m.tags WHEN NOT t.inline THEN NULL
+            WHEN t.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || t.project_id END AS tags,
+       CASE WHEN here THEN m.policy_id END AS policy_id, CASE WHEN here THEN m.scripts END AS scripts,
+       CAST(NULL AS VARCHAR) AS log_url
+FROM (SELECT t.*, t.i = 0 AND m.usable AND m.task_cluster_key IS NULL AS here
+      FROM b_job_task t JOIN w_job_merged m ON m.job_id = t.job_id) t JOIN w_job_merged m ON m.job_id = t.job_id
+UNION ALL
+SELECT s.job_id, 'job_clusters',
+       CAST(row_number() OVER (PARTITION BY s.job_id ORDER BY here, s.pos) - 1 AS INTEGER), s.job_cluster_key,
+       s.cluster_name, CASE WHEN here THEN m.node_type_id ELSE s.node_type_id END,
+       CASE WHEN here THEN m.num_workers ELSE s.num_workers END,
+       CASE WHEN NOT here THEN CAST(s.max_workers AS BIGINT) END,
+       CASE WHEN here THEN m.tags WHEN s.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || s.project_id END,
+       CASE WHEN here THEN m.policy_id ELSE s.policy_id END, CASE WHEN here THEN m.scripts ELSE s.scripts END, NULL
+FROM (SELECT s.*, coalesce(m.usable AND m.task_cluster_key = s.job_cluster_key, false) AS here
+      FROM b_job_shared s JOIN w_job_merged m ON m.job_id = s.job_id) s JOIN w_job_merged m ON m.job_id = s.job_id"""
+
+SQL["job_update_payloads"] = """
+SELECT job_id, CASE WHEN path_kind = 'job_clusters' THEN path_key END AS job_cluster_key,
+       CASE WHEN path_kind = 'job_clusters' THEN node_type_id END AS shared_node,
+       CASE WHEN path_kind = 'tasks' THEN path_key END AS task_key,
+       CASE WHEN path_kind = 'tasks' THEN node_type_id END AS inline_node
+FROM w_target WHERE target_error IS NULL"""
+
+SQL["one_off_payloads"] = """
+SELECT job_id, 'job' || job_id AS run_name, CASE WHEN error IS NULL THEN CAST(n AS INTEGER) ELSE 0 END AS n_tasks,
+       CASE WHEN error IS NULL AND n = 1 THEN node_type_id END AS inline_node, CAST(NULL AS VARCHAR) AS inline_name,
+       CASE WHEN error IS NULL AND n > 1 THEN coalesce(cluster_name, 'job' || job_id) END AS cluster_name,
+       CAST(NULL AS VARCHAR) AS policy_id,
+       CASE WHEN error IS NULL AND n > 1 THEN CAST(10 AS BIGINT) END AS autotermination_minutes, error
+FROM w_job_single"""
+
+SQL["templated_clusters"] = """
+SELECT 'p' || c_custkey AS project_id, 'base' AS cluster_name, 'n' || (c_custkey % 5) AS node_type_id,
+       c_custkey % 8 AS num_workers, CASE WHEN c_custkey % 2 = 0 THEN CAST(9 AS BIGINT) END AS max_workers,
+       CASE WHEN t THEN 'owner=o' || (c_custkey % 25) || ';' ELSE '' END || 'sync:project-id=p' || c_custkey AS tags,
+       'pol' AS policy_id, CASE WHEN c_custkey % 3 <> 0 THEN 'b' END AS scripts,
+       CASE WHEN t THEN 'dbfs:/new' || (c_custkey % 25) WHEN c_custkey % 4 = 0 THEN 'dbfs:/old' END AS log_url
+FROM (SELECT *, c_nationkey % 2 = 0 AS t FROM customer)"""

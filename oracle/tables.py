@@ -259,3 +259,72 @@ SELECT dir, scheme, ready_poll, polls,
 FROM (SELECT dir, scheme, min(poll_no) FILTER (verdict = 'complete' AND poll_no <= 20) AS ready_poll,
              max(poll_no) AS polls, any_value(verdict) AS a_verdict
       FROM w_verdict GROUP BY dir, scheme)"""
+
+# -- jobs, definitions and recommendations ------------------------------------------------------------
+
+TABLES["b_job_shared"] = """
+SELECT o_orderkey AS job_id, k AS pos, 'k' || k AS job_cluster_key, CASE WHEN k <> 1 THEN 'name' || k END AS cluster_name,
+       'n' || (o_custkey % 5) AS node_type_id, o_orderkey % 8 AS num_workers, CASE WHEN k = 2 THEN 2 END AS max_workers,
+       CASE WHEN (o_custkey + k) % 4 <> 0 THEN 'p' || ((o_custkey + k) % 4) END AS project_id,
+       CASE WHEN k = 0 THEN 'pol' END AS policy_id, 'b' || k AS scripts
+FROM orders, (VALUES (0), (1), (2)) AS t(k)"""
+
+TABLES["b_job_task"] = """
+SELECT job_id, i, n, 't' || i AS task_key, inline,
+       CASE WHEN inline THEN NULL WHEN mode = 0 THEN 'k' || (c % 4) WHEN mode = 1 THEN 'k' || ((c + i) % 4)
+            ELSE 'k' || (c % 3) END AS job_cluster_key,
+       CASE WHEN inline THEN 'n' || ((c + i) % 5) END AS node_type_id,
+       CASE WHEN inline THEN (job_id + i) % 8 END AS num_workers,
+       CASE WHEN inline AND (c + i) % 3 <> 0 THEN 'p' || ((c + i) % 3) END AS project_id
+FROM (SELECT o_orderkey AS job_id, o_custkey AS c, o_orderkey % 5 AS n, o_orderkey % 3 AS mode, i,
+             o_orderkey % 3 = 2 AND (o_custkey + i) % 2 = 0 AS inline
+      FROM orders, range(0, 5) AS r(i) WHERE i < o_orderkey % 5)"""
+
+# Every task with the definition it resolves to.
+TABLES["w_job_resolved"] = """
+SELECT t.job_id, t.i, t.n, t.task_key, t.inline, t.job_cluster_key AS task_cluster_key,
+       CASE WHEN t.inline THEN 'tasks' ELSE 'job_clusters' END AS path_kind,
+       CASE WHEN t.inline THEN t.task_key ELSE t.job_cluster_key END AS path_key,
+       t.inline OR s.job_id IS NOT NULL AS found,
+       CASE WHEN t.inline THEN 'own' ELSE s.cluster_name END AS cluster_name,
+       coalesce(t.node_type_id, s.node_type_id) AS node_type_id, coalesce(t.num_workers, s.num_workers) AS num_workers,
+       s.max_workers, CASE WHEN t.inline THEN t.project_id ELSE s.project_id END AS project_id, s.policy_id, s.scripts
+FROM b_job_task t LEFT JOIN b_job_shared s ON s.job_id = t.job_id AND s.job_cluster_key = t.job_cluster_key"""
+
+TABLES["w_job_single"] = """
+SELECT o.o_orderkey AS job_id, r.inline, r.task_cluster_key, r.cluster_name, r.node_type_id, r.num_workers,
+       r.max_workers, r.project_id, r.policy_id, r.scripts, o.o_orderkey % 5 AS n,
+       CASE WHEN o.o_orderkey % 5 = 0 THEN 'No task found in job'
+            WHEN o.o_orderkey % 5 > 1 AND k.kinds > 1 THEN 'Not all tasks use the same cluster'
+            WHEN o.o_orderkey % 5 > 1 AND k.all_inline THEN 'No cluster found for task'
+            WHEN NOT r.found THEN 'No cluster found for task' END AS error
+FROM orders o
+LEFT JOIN w_job_resolved r ON r.job_id = o.o_orderkey AND r.i = 0
+LEFT JOIN (SELECT job_id, count(DISTINCT coalesce(job_cluster_key, '-')) AS kinds, bool_and(inline) AS all_inline
+           FROM b_job_task GROUP BY job_id) k ON k.job_id = o.o_orderkey"""
+
+TABLES["w_job_project"] = """
+SELECT job_id, project_id, any_value(path_kind) AS path_kind, any_value(path_key) AS path_key,
+       any_value(cluster_name) AS cluster_name, any_value(node_type_id) AS node_type_id,
+       any_value(num_workers) AS num_workers, any_value(max_workers) AS max_workers,
+       any_value(policy_id) AS policy_id, any_value(scripts) AS scripts
+FROM w_job_resolved WHERE found GROUP BY job_id, project_id HAVING count(DISTINCT path_kind || '/' || path_key) = 1"""
+
+TABLES["w_target"] = """
+SELECT q.job_id, q.want AS project_id, coalesce(a.path_kind, b.path_kind) AS path_kind,
+       coalesce(a.path_key, b.path_key) AS path_key, coalesce(a.node_type_id, b.node_type_id) AS node_type_id,
+       CASE WHEN a.job_id IS NULL AND b.job_id IS NULL
+            THEN 'Failed to locate cluster in job ' || q.job_id || ' for project ' || q.want END AS target_error
+FROM (SELECT o_orderkey AS job_id, 'p' || (o_custkey % 5) AS want FROM orders) q
+LEFT JOIN w_job_project a ON a.job_id = q.job_id AND a.project_id = q.want
+LEFT JOIN (SELECT * FROM w_job_project QUALIFY count(*) OVER (PARTITION BY job_id) = 1) b ON b.job_id = q.job_id"""
+
+# What a recommendation with a configuration makes of a definition.
+TABLES["w_job_merged"] = """
+SELECT s.job_id, s.inline, s.task_cluster_key, s.error IS NULL AND r.configuration IS NOT NULL AS usable,
+       s.cluster_name, 'n' || (s.job_id % 7) AS node_type_id, s.job_id % 8 AS num_workers,
+       CASE WHEN s.project_id IS NOT NULL THEN 'sync:project-id=' || s.project_id || ';' ELSE '' END
+         || 'sync:run-id=r' || s.job_id || ';team=y' AS tags,
+       CASE WHEN s.job_id % 9 <> 0 THEN s.policy_id END AS policy_id,
+       concat_ws(',', s.scripts, 's' || (s.job_id % 3)) AS scripts
+FROM w_job_single s JOIN b_recommendation r ON r.id = s.job_id"""
