@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fleetlens import constants as K
 from fleetlens.functions.blocked import running_number
 from fleetlens.functions.paths import log_destination
+from fleetlens.plans.telemetry import Telemetry
 from fleetlens.session import tune
 
 # 16 January 2024, 12:00 UTC, in the middle of the supplied events.
@@ -619,3 +620,112 @@ class Bindings:
         return self.raw("customer").select(
             tag("p", key).alias("project_id"), F.when(F.col("c_nationkey") % 2 == 0, text).alias("template")
         )
+
+    # -- clusters of runs and what is known about them --------------------------------------------
+
+    @cached_property
+    def _run_slot(self) -> DataFrame:
+        slots = F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(3)]))
+        return self.raw("orders").select("o_orderkey", "o_custkey", slots.alias("k")).withColumn(
+            "cluster_id", F.concat(F.col("o_orderkey").cast("string"), tag("-c", F.col("k")))
+        )
+
+    @cached_property
+    def run_cluster(self) -> DataFrame:
+        kind = (F.col("o_orderkey") + F.col("k")) % 10
+        return self._run_slot.select(
+            "cluster_id",
+            F.when(F.col("o_custkey") % 2 == 1, "azure").otherwise("aws").alias("platform"),
+            F.when(kind == 0, None).when(kind < 3, "s3").when(kind == 3, "file").otherwise("dbfs").alias("log_scheme"),
+            (F.col("o_orderkey") % 150).alias("log_dir"),
+        )
+
+    @cached_property
+    def run_cluster_state(self) -> DataFrame:
+        """Two looks at each cluster: still ending at first, then ended, back up, or ending for too long."""
+        kind, seq = F.col("o_orderkey") + F.col("k"), F.col("seq")
+        slow = kind % 23 == 1
+        later = F.when(slow, "TERMINATING").when(kind % 17 == 0, "RUNNING").otherwise("TERMINATED")
+        return self._run_slot.withColumn("seq", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+            "cluster_id",
+            F.when(seq == 0, 0).when(slow, 700).otherwise(10).alias("seen_s"),
+            "seq",
+            F.when(seq == 0, "TERMINATING").otherwise(later).alias("state"),
+            F.lit(None).cast("string").alias("error_code"),
+        )
+
+    @cached_property
+    def _info_size(self) -> DataFrame:
+        """How many items each section of each existing cluster-info document holds."""
+        run, cust, k = F.col("o_orderkey"), F.col("o_custkey"), F.col("k")
+        aws = cust % 2 == 0
+
+        def size(source: str, exists: Column, section: str, n: Column) -> Column:
+            return F.when(exists, F.struct(F.lit(source).alias("source"), F.lit(section).alias("section"),
+                                           n.cast("bigint").alias("n")))
+
+        stored, live = cust % 5 >= 2, aws & (cust % 5).isin(1, 2)
+        sizes = F.array(
+            size("stored", stored, "instances", run % 4),
+            size("stored", stored, "instance_timelines", run % 3),
+            size("stored", stored, "volumes", F.when(aws, k).otherwise(0)),
+            size("live", live, "instances", (run + 1) % 4),
+            size("live", live, "volumes", k + 1),
+        )
+        return self._run_slot.select("cluster_id", F.explode(F.array_compact(sizes)).alias("s")).select(
+            "cluster_id", "s.*"
+        )
+
+    @cached_property
+    def info_header(self) -> DataFrame:
+        return self._info_size.filter("section = 'instances'").select("cluster_id", "source")
+
+    @cached_property
+    def info_item(self) -> DataFrame:
+        numbers = F.when(F.col("n") > 0, F.sequence(F.lit(1).cast("bigint"), "n"))
+        return self._info_size.withColumn("j", F.explode(numbers)).select(
+            "cluster_id", "source", "section", tag("item", F.col("j")).alias("item")
+        )
+
+    @cached_property
+    def run_cluster_event(self) -> DataFrame:
+        return self.raw("events").select(
+            F.concat(F.col("user_id").cast("string"), tag("-c", F.col("event_id") % 3)).alias("cluster_id"),
+            F.col("event_type").alias("type"),
+        )
+
+    @cached_property
+    def run_outcome(self) -> DataFrame:
+        """Two looks at each run: going on at first, later as its order stands."""
+        status, key = F.col("o_orderstatus"), F.col("o_orderkey")
+        last = F.when(status == "F", "SUCCESS").when(status == "O", "FAILED")
+        return self.raw("orders").withColumn("seq", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+            key.alias("run_id"), F.col("seq").alias("ts"), "seq",
+            F.when(F.col("seq") == 1, last).alias("state"),
+            F.when((F.col("seq") == 1) & (key % 31 == 0), "404").alias("error_code"),
+        )
+
+    @cached_property
+    def run_state(self) -> DataFrame:
+        states = F.array(*[F.lit(s) for s in [*K.FINAL_RUN_STATES, "RUNNING"]])
+        key = F.col("o_orderkey")
+        return self.raw("orders").select(
+            key.alias("run_id"), F.when(key % 6 < 5, F.get(states, (key % 6).cast("int"))).alias("state")
+        )
+
+    @cached_property
+    def info_request(self) -> DataFrame:
+        run = F.col("run_id")
+        return self.request.withColumns({
+            "skip_eventlog": run % 7 == 0,
+            "known_size": F.when(run % 4 != 0, (run % 4) * 10),
+        })
+
+    @cached_property
+    def telemetry(self) -> Telemetry:
+        return Telemetry(
+            tasks=self.task, job_clusters=self.job_cluster, projects=self.project, clusters=self.run_cluster,
+            cluster_states=self.run_cluster_state, info_headers=self.info_header, info_items=self.info_item,
+            cluster_events=self.run_cluster_event, listing=self.listing, jobs=self.job,
+            recommendations=self.recommendation,
+        )

@@ -19,8 +19,12 @@ from fleetlens.operators import instances as fl
 from fleetlens.operators import jobs as jb
 from fleetlens.operators import projects as pj
 from fleetlens.operators import recommend as rc
+from fleetlens.operators import reports as rp
 from fleetlens.operators import tasks as tk
+from fleetlens.operators import waits as wt
 from fleetlens.operators import workspaces as wk
+from fleetlens.plans import apply as ap
+from fleetlens.plans import submit as sb
 from fleetlens.sources import documents as dc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -549,3 +553,147 @@ def one_off_payloads(b):
 def templated_clusters(b):
     rows = rc.templated(b.project_definition, "definition", b.template)
     return rows.select("project_id", *_definition_columns("definition"))
+
+
+# -- waiting ----------------------------------------------------------------------------------------
+
+
+@query
+def run_final_state(b):
+    return b.run_state.select("run_id", st.is_final_run_state(F.col("state")).alias("is_final"))
+
+
+@query
+def run_first_final_state(b):
+    return wt.first_final_runs(b.run_status)
+
+
+@query
+def cluster_termination_outcome(b):
+    return wt.cluster_terminations(b.cluster_state)
+
+
+@query
+def recommendation_first_final(b):
+    states = F.when(F.col("state") == "FAILED", "FAILURE").otherwise(F.col("state"))
+    return wt.first_final_recommendations(
+        b.run_status.withColumnRenamed("run_id", "recommendation_id").withColumn("state", states)
+    )
+
+
+# -- cluster information, reports and submissions ---------------------------------------------------
+
+
+@query
+def cluster_info_fallback(b):
+    rows = rp.cluster_info(b.run_cluster, b.info_header, b.info_item)
+    return rows.select("cluster_id", "source", "n_instances", "n_instance_timelines", "n_volumes")
+
+
+def _checked_info(b):
+    info = rp.cluster_info(b.run_cluster, b.info_header, b.info_item)
+    # Clusters in their run's last slot may be reported without instances.
+    return rp.completeness(info, F.col("cluster_id").endswith("-c2"))
+
+
+@query
+def report_completeness(b):
+    return _checked_info(b).select(
+        "cluster_id", "instances_missing", "timelines_missing", "volumes_missing", "info_error"
+    )
+
+
+@query
+def cluster_reports(b):
+    return rp.cluster_reports(_checked_info(b), b.run_cluster_event, "Standard", "Jobs Compute")
+
+
+@query
+def report_json(b):
+    doc = F.struct("cluster_id", "state", "num_workers", F.struct("log.url", "log.bucket").alias("log"))
+    return b.cluster.select("cluster_id", rp.without_nulls(doc).alias("report"))
+
+
+def _info_documents(b):
+    cluster = F.col("cluster_id")
+    clusters = b.poll.select("cluster_id").distinct().select(
+        "cluster_id",
+        F.when(cluster != 3, cluster * 1000 + 7).alias("spark_context_id"),
+        (cluster != 4).alias("writable"),
+    )
+    instances = fl.inventory_latest(b.sighting, ["seen_ms", "event_id"], ["seen_ms", "state"])
+    volumes = fl.ebs_volumes(b.volume, fl.ec2_instances(b.reservation_page)).withColumn(
+        "cluster_id", F.col("cluster_id").cast("bigint")
+    )
+    return rp.info_documents(clusters, {
+        "instances": instances,
+        "instance_timelines": fl.instance_timelines(b.poll, b.observation),
+        "volumes": volumes,
+    })
+
+
+@query
+def cluster_info_documents(b):
+    return rp.section_counts(_info_documents(b), ["cluster_id", "spark_context_id"])
+
+
+@query
+def submission_rows(b):
+    selected = tk.select_project_clusters(tk.unambiguous_paths(_resolved(b)), b.request)
+    rows = selected.join(b.run_cluster, "cluster_id", "left")
+    return rp.submissions(rows, pt.product_code(F.col("platform")))
+
+
+# -- workflows --------------------------------------------------------------------------------------
+
+
+@query
+def cluster_report_for_run(b):
+    return sb.cluster_reports_for_runs(b.telemetry, b.request, "Standard", "Jobs Compute")
+
+
+@query
+def submission_for_run(b):
+    return sb.submissions_for_runs(b.telemetry, b.request)
+
+
+@query
+def submission_with_cluster_info(b):
+    return sb.submissions_with_info(b.telemetry, b.info_request)
+
+
+@query
+def record_runs(b):
+    return sb.recorded_clusters(b.telemetry, b.request).select(
+        "run_id", "project_id", "cluster_id", "submission_id", "error"
+    )
+
+
+@query
+def record_run_summary(b):
+    return sb.recorded_runs(b.request, sb.recorded_clusters(b.telemetry, b.request))
+
+
+@query
+def record_finished_runs(b):
+    return sb.recorded_finished_runs(b.telemetry, b.request, b.run_outcome)
+
+
+@query
+def handle_successful_runs(b):
+    rows = ap.handled_runs(b.telemetry, b.request)
+    node = F.coalesce(
+        F.get_json_object("payload", "$.job_clusters[0].new_cluster.node_type_id"),
+        F.get_json_object("payload", "$.tasks[0].new_cluster.node_type_id"),
+    )
+    return rows.select(
+        "run_id", "project_id", "submission_id", "recommendation_id", "apply_status", "path_key",
+        node.alias("new_node"), "error",
+    )
+
+
+@query
+def apply_recommendations(b):
+    rows = ap.job_updates(b.job, b.recommendation, b.job_request)
+    return rows.select("job_id", "project_id", "path_kind", "path_key", *_definition_columns("definition"),
+                       F.col("update_error").alias("error"))

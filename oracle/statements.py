@@ -414,3 +414,167 @@ SELECT 'p' || c_custkey AS project_id, 'base' AS cluster_name, 'n' || (c_custkey
        'pol' AS policy_id, CASE WHEN c_custkey % 3 <> 0 THEN 'b' END AS scripts,
        CASE WHEN t THEN 'dbfs:/new' || (c_custkey % 25) WHEN c_custkey % 4 = 0 THEN 'dbfs:/old' END AS log_url
 FROM (SELECT *, c_nationkey % 2 = 0 AS t FROM customer)"""
+
+# -- waiting ------------------------------------------------------------------------------------------
+
+SQL["run_final_state"] = "SELECT o_orderkey AS run_id, o_orderkey % 6 < 4 AS is_final FROM orders"
+
+SQL["run_first_final_state"] = """
+SELECT u.run_id, CASE WHEN e.error_code IS NULL THEN e.state END AS state, 'Databricks API Error: ' || e.error_code AS error
+FROM (SELECT DISTINCT user_id AS run_id FROM events) u LEFT JOIN (
+  SELECT * FROM b_status WHERE state IS NOT NULL OR error_code IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) = 1) e ON e.run_id = u.run_id"""
+
+SQL["cluster_termination_outcome"] = """
+SELECT u.cluster_id, coalesce(
+  CASE WHEN x.error_code IS NOT NULL THEN 'Databricks API Error: ' || x.error_code
+       WHEN x.state = 'TERMINATED' THEN 'ok'
+       WHEN x.state = 'TERMINATING' THEN 'Cluster failed to terminate after waiting 600 seconds'
+       ELSE 'Unexpected cluster state: ' || x.state END, 'waiting') AS outcome
+FROM (SELECT DISTINCT user_id AS cluster_id FROM events) u LEFT JOIN (
+  SELECT * FROM (SELECT *, s - min(s) OVER (PARTITION BY cluster_id) AS elapsed FROM b_cluster_look)
+  WHERE error_code IS NOT NULL OR state <> 'TERMINATING' OR elapsed > 600
+  QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY s, seq) = 1) x ON x.cluster_id = u.cluster_id"""
+
+SQL["recommendation_first_final"] = """
+SELECT u.recommendation_id, CASE e.state WHEN 'SUCCESS' THEN 'ready' WHEN 'FAILED' THEN 'Recommendation failed'
+  ELSE 'pending' END AS outcome
+FROM (SELECT DISTINCT user_id AS recommendation_id FROM events) u LEFT JOIN (
+  SELECT * FROM b_status WHERE state IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) = 1) e ON e.run_id = u.recommendation_id"""
+
+# -- cluster information, reports and submissions -----------------------------------------------------
+
+SQL["cluster_info_fallback"] = """
+SELECT cluster_id, source, n_instances, n_instance_timelines, n_volumes FROM w_info"""
+
+SQL["report_completeness"] = """
+SELECT cluster_id, coalesce(n_instances, 0) = 0 AS instances_missing,
+       coalesce(n_instance_timelines, 0) = 0 AS timelines_missing, coalesce(n_volumes, 0) = 0 AS volumes_missing,
+       CASE WHEN k <> 2 THEN problem END AS info_error
+FROM w_info"""
+
+SQL["cluster_reports"] = """
+SELECT i.cluster_id, CASE WHEN aws THEN 'aws' ELSE 'azure' END AS platform, 'Standard' AS plan_type,
+       'Jobs Compute' AS compute_type, CASE WHEN ok THEN n_instances END AS n_instances,
+       CASE WHEN ok AND aws THEN coalesce(n_instance_timelines, 0) WHEN ok THEN n_instance_timelines END AS n_timelines,
+       CASE WHEN ok AND aws THEN coalesce(n_volumes, 0) END AS n_volumes, coalesce(n_events, 0) AS n_events,
+       CASE WHEN NOT ok THEN problem END AS info_error
+FROM (SELECT *, k = 2 OR problem IS NULL AS ok FROM w_info) i LEFT JOIN w_event_count e ON e.cluster_id = i.cluster_id"""
+
+SQL["report_json"] = """
+SELECT cluster_id, '{"cluster_id":"' || cluster_id || '"' || coalesce(',"state":"' || state || '"', '')
+  || ',"num_workers":' || num_workers || ',"log":{'
+  || coalesce('"url":"' || url || '","bucket":"' || bucket || '"', '') || '}}' AS report
+FROM b_cluster"""
+
+SQL["cluster_info_documents"] = """
+SELECT c AS cluster_id, c * 1000 + 7 AS spark_context_id,
+       (SELECT count(DISTINCT user_id) FROM events WHERE user_id % 5 = c) AS n_instances,
+       (SELECT count(*) FROM w_timeline_rows t WHERE t.cluster_id = c) AS n_instance_timelines,
+       (SELECT count(*) FROM w_cluster_volume v WHERE v.cluster_id = c) AS n_volumes
+FROM (SELECT DISTINCT user_id % 5 AS c FROM events) WHERE c NOT IN (3, 4)"""
+
+SQL["submission_rows"] = """
+SELECT sha256(s.run_id || '|' || s.project_id || '|' || s.cluster_id) AS submission_id, s.run_id, s.project_id,
+       s.cluster_id, CASE WHEN c.aws THEN 'aws-databricks' ELSE 'azure-databricks' END AS product
+FROM r_selection s JOIN b_run_cluster c ON c.cluster_id = s.cluster_id"""
+
+# -- workflows ----------------------------------------------------------------------------------------
+
+SQL["cluster_report_for_run"] = """
+SELECT l.run_id, requested_project, 'Standard' AS plan_type, 'Jobs Compute' AS compute_type,
+       CASE WHEN ok THEN l.cluster_id END AS cluster_id, CASE WHEN ok THEN n_tasks END AS n_tasks,
+       CASE WHEN ok THEN n_instances END AS n_instances, CASE WHEN ok THEN n_instance_timelines END AS n_timelines,
+       CASE WHEN ok AND aws THEN n_volumes END AS n_volumes, CASE WHEN ok THEN coalesce(n_events, 0) END AS n_events,
+       coalesce(locate_error, ending, problem) AS error
+FROM (SELECT *, coalesce(locate_error, ending, problem) IS NULL AS ok FROM w_located) l
+LEFT JOIN w_event_count e ON e.cluster_id = l.cluster_id"""
+
+SQL["submission_for_run"] = """
+SELECT run_id, requested_project, cluster_id,
+       CASE WHEN error IS NULL THEN CASE WHEN aws THEN 'aws-databricks' ELSE 'azure-databricks' END END AS product,
+       CASE WHEN error IS NULL THEN sha256(run_id || '|' || requested_project || '|' || cluster_id) END AS submission_id,
+       error
+FROM (SELECT l.*, coalesce(locate_error, ending, problem, g.log_error) AS error
+      FROM w_located l LEFT JOIN w_run_log g ON g.cluster_id = l.cluster_id WHERE requested_project IS NOT NULL)"""
+
+SQL["submission_with_cluster_info"] = """
+SELECT run_id, requested_project, cluster_id,
+       CASE WHEN error IS NULL THEN sha256(run_id || '|' || requested_project || '|' || cluster_id) END AS submission_id,
+       CASE WHEN error IS NULL THEN coalesce(state = 'complete', false) END AS has_log, error
+FROM (SELECT *, coalesce(locate_error, CASE WHEN state = 'incomplete'
+                         THEN 'Event log was missing or incomplete. Please retry.' END) AS error
+  FROM (SELECT l.*, CASE WHEN l.run_id % 7 = 0 THEN 'skipped' WHEN scheme IS NULL OR scheme = 'file' THEN 'no place'
+                    WHEN scheme = 'dbfs' AND context_error IS NOT NULL THEN 'no context'
+                    WHEN scheme = 'dbfs' AND n.dir IS NULL THEN 'no log'
+                    WHEN n.final_mtime_ms >= l.end_time_ms
+                         AND (scheme = 's3' OR (NOT n.any_empty AND n.total_size = (l.run_id % 4) * 10)) THEN 'complete'
+                    ELSE 'incomplete' END AS state
+        FROM w_located l LEFT JOIN (
+          SELECT * FROM w_look QUALIFY row_number() OVER (PARTITION BY dir ORDER BY poll_no DESC) = 1) n ON n.dir = l.dir
+        WHERE requested_project IS NOT NULL))"""
+
+SQL["record_runs"] = """
+SELECT run_id, project_id, cluster_id,
+       CASE WHEN error IS NULL THEN sha256(run_id || '|' || project_id || '|' || cluster_id) END AS submission_id, error
+FROM w_recorded"""
+
+SQL["record_run_summary"] = "SELECT run_id, n_clusters, n_submitted, error FROM w_summary"
+
+SQL["record_finished_runs"] = """
+SELECT o.o_orderkey AS run_id, CASE WHEN good THEN n_clusters ELSE 0 END AS n_clusters,
+       CASE WHEN good THEN n_submitted ELSE 0 END AS n_submitted,
+       CASE WHEN good THEN s.error WHEN o_orderkey % 31 = 0 THEN 'Databricks API Error: 404'
+            WHEN o_orderstatus = 'O' THEN 'Unsuccessful run result state: FAILED' ELSE 'waiting' END AS error
+FROM (SELECT *, o_orderstatus = 'F' AND o_orderkey % 31 <> 0 AS good FROM orders) o
+JOIN w_summary s ON s.run_id = o.o_orderkey"""
+
+SQL["handle_successful_runs"] = """
+WITH ready AS (SELECT project_id, arg_max(id, (created_at, id)) AS rec FROM b_recommendation WHERE state = 'SUCCESS'
+               GROUP BY project_id),
+picked AS (
+  SELECT r.run_id, r.project_id, r.cluster_id, r.error, r.auto_apply_recs, y.rec,
+         coalesce(a.path_key, b.path_key) AS path_key, b2.configuration, b2.has_recommendation,
+         CASE WHEN r.error IS NOT NULL THEN 'not recorded' WHEN NOT r.auto_apply_recs THEN 'not wanted'
+              WHEN y.rec IS NULL THEN 'no ready recommendation'
+              WHEN a.job_id IS NULL AND b.job_id IS NULL
+              THEN 'Failed to locate cluster in job ' || r.run_id || ' for project ' || r.project_id
+              WHEN NOT b2.has_recommendation THEN 'Recommendation not found'
+              WHEN b2.configuration IS NULL THEN 'Recommendation configuration not found'
+              ELSE 'applied' END AS apply_status
+  FROM w_recorded r
+  LEFT JOIN ready y ON y.project_id = r.project_id
+  LEFT JOIN b_recommendation b2 ON b2.id = y.rec
+  LEFT JOIN w_job_project a ON a.job_id = r.run_id AND a.project_id = r.project_id
+  LEFT JOIN (SELECT * FROM w_job_project QUALIFY count(*) OVER (PARTITION BY job_id) = 1) b ON b.job_id = r.run_id)
+SELECT run_id, project_id,
+       CASE WHEN error IS NULL THEN sha256(run_id || '|' || project_id || '|' || cluster_id) END AS submission_id,
+       CASE WHEN apply_status = 'applied' THEN rec END AS recommendation_id, apply_status,
+       CASE WHEN apply_status = 'applied' THEN path_key END AS path_key,
+       CASE WHEN apply_status = 'applied' THEN 'n' || (rec % 7) END AS new_node, error
+FROM picked"""
+
+SQL["apply_recommendations"] = f"""
+WITH t AS (
+  SELECT q.job_id, q.want, coalesce(a.path_kind, b.path_kind) AS path_kind, coalesce(a.path_key, b.path_key) AS path_key,
+         CASE WHEN a.job_id IS NULL THEN b.project_id ELSE a.project_id END AS project_id,
+         CASE WHEN a.job_id IS NULL THEN b.cluster_name ELSE a.cluster_name END AS cluster_name,
+         CASE WHEN a.job_id IS NULL THEN b.policy_id ELSE a.policy_id END AS policy_id,
+         CASE WHEN a.job_id IS NULL THEN b.scripts ELSE a.scripts END AS scripts,
+         CASE WHEN a.job_id IS NULL AND b.job_id IS NULL
+              THEN 'Failed to locate cluster in job ' || q.job_id || ' for project ' || q.want
+              WHEN q.job_id % 5 = 0 THEN 'Recommendation not found'
+              WHEN q.job_id % 7 = 0 THEN 'Recommendation configuration not found' END AS error
+  FROM (SELECT o_orderkey AS job_id, 'p' || (o_custkey % 5) AS want FROM orders) q
+  LEFT JOIN w_job_project a ON a.job_id = q.job_id AND a.project_id = q.want
+  LEFT JOIN (SELECT * FROM w_job_project QUALIFY count(*) OVER (PARTITION BY job_id) = 1) b ON b.job_id = q.job_id)
+SELECT job_id, want AS project_id, path_kind, path_key, CASE WHEN ok THEN cluster_name END AS cluster_name,
+       CASE WHEN ok THEN 'n' || (job_id % 7) END AS node_type_id, CASE WHEN ok THEN job_id % 8 END AS num_workers,
+       CAST(NULL AS BIGINT) AS max_workers,
+       CASE WHEN ok THEN CASE WHEN project_id IS NOT NULL THEN 'sync:project-id=' || project_id || ';' ELSE '' END
+         || 'sync:run-id=r' || job_id || ';team=y' END AS tags,
+       CASE WHEN ok AND job_id % 9 <> 0 THEN policy_id END AS policy_id,
+       CASE WHEN ok THEN concat_ws(',', scripts, 's' || (job_id % 3)) END AS scripts,
+       CAST(NULL AS VARCHAR) AS log_url, error
+FROM (SELECT *, error IS NULL AS ok FROM t)"""

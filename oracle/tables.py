@@ -328,3 +328,92 @@ SELECT s.job_id, s.inline, s.task_cluster_key, s.error IS NULL AND r.configurati
        CASE WHEN s.job_id % 9 <> 0 THEN s.policy_id END AS policy_id,
        concat_ws(',', s.scripts, 's' || (s.job_id % 3)) AS scripts
 FROM w_job_single s JOIN b_recommendation r ON r.id = s.job_id"""
+
+# -- clusters of runs and what is known about them ----------------------------------------------------
+
+TABLES["b_run_cluster"] = """
+SELECT *, CASE w % 10 WHEN 0 THEN NULL WHEN 1 THEN 's3' WHEN 2 THEN 's3' WHEN 3 THEN 'file' ELSE 'dbfs' END AS scheme,
+       CASE WHEN w % 23 = 1 THEN 'Cluster failed to terminate after waiting 600 seconds'
+            WHEN w % 17 = 0 THEN 'Unexpected cluster state: RUNNING' END AS ending,
+       CASE WHEN c % 5 >= 2 THEN 'stored' WHEN aws AND c % 5 = 1 THEN 'live' END AS source
+FROM (SELECT o_orderkey AS run_id, o_custkey AS c, k, o_orderkey + k AS w, o_custkey % 2 = 0 AS aws,
+             o_orderkey || '-c' || k AS cluster_id, o_orderkey % 150 AS dir
+      FROM orders, (VALUES (0), (1), (2)) AS t(k))"""
+
+TABLES["w_info"] = """
+SELECT *, CASE WHEN aws AND coalesce(n_instances, 0) = 0 THEN
+            'Unable to find any active or recently terminated instances for cluster `' || cluster_id || '`.'
+          WHEN NOT aws AND source IS NULL THEN
+            'Unable to find cluster information for cluster `' || cluster_id || '`.' END AS problem
+FROM (SELECT *, CASE source WHEN 'stored' THEN run_id % 4 WHEN 'live' THEN (run_id + 1) % 4 END AS n_instances,
+             CASE source WHEN 'stored' THEN run_id % 3 WHEN 'live' THEN 0 END AS n_instance_timelines,
+             CASE source WHEN 'stored' THEN CASE WHEN aws THEN CAST(k AS BIGINT) ELSE 0 END WHEN 'live' THEN k + 1 END
+               AS n_volumes
+      FROM b_run_cluster)"""
+
+TABLES["w_event_count"] = """
+SELECT user_id || '-c' || (event_id % 3) AS cluster_id, count(*) AS n_events FROM events
+GROUP BY user_id || '-c' || (event_id % 3)"""
+
+TABLES["w_fact"] = """
+SELECT run_id, cluster_id, count(*) AS n_tasks, max(end_time_ms) AS end_time_ms,
+       CASE WHEN count(DISTINCT spark_context_id) = 0 THEN 'No cluster found for tasks'
+            WHEN count(DISTINCT spark_context_id) > 1 THEN 'More than 1 cluster found for tasks' END AS context_error
+FROM r_task GROUP BY run_id, cluster_id"""
+
+# How waiting for the log of a selected cluster ends: NULL means it is there.
+TABLES["w_run_log"] = """
+SELECT f.run_id, f.cluster_id,
+       CASE WHEN c.scheme IS NULL THEN 'No eventlog location found for cluster.'
+            WHEN c.scheme = 'file' THEN 'Unknown log destination: file'
+            WHEN c.scheme = 'dbfs' AND f.context_error IS NOT NULL THEN f.context_error
+            WHEN bool_or(l.poll_no <= 20 AND l.final_mtime_ms >= f.end_time_ms
+                         AND (c.scheme = 's3' OR (NOT l.any_empty AND l.total_size = l.last_size))) THEN NULL
+            WHEN c.scheme = 'dbfs' AND count(l.dir) = 0 THEN 'No eventlog found'
+            WHEN max(l.poll_no) >= 20 THEN 'No eventlog found' ELSE 'waiting' END AS log_error
+FROM w_fact f JOIN b_run_cluster c ON c.cluster_id = f.cluster_id LEFT JOIN w_look l ON l.dir = c.dir
+GROUP BY f.run_id, f.cluster_id, c.scheme, f.context_error"""
+
+TABLES["w_located"] = """
+SELECT q.run_id, q.want AS requested_project, s.cluster_id, f.n_tasks, f.end_time_ms, f.context_error,
+       CASE WHEN s.cluster_id IS NULL THEN 'Failed to locate cluster in run ' || q.run_id || ' for project '
+         || coalesce(q.want, 'None') END AS locate_error,
+       i.ending, i.problem, i.source, i.aws, i.n_instances, i.n_instance_timelines, i.n_volumes, i.scheme, i.dir
+FROM b_request q
+LEFT JOIN (SELECT run_id, any_value(cluster_id) AS cluster_id FROM r_selection WHERE cluster_id IS NOT NULL
+           GROUP BY run_id HAVING count(*) = 1) s ON s.run_id = q.run_id
+LEFT JOIN w_fact f ON f.cluster_id = s.cluster_id
+LEFT JOIN w_info i ON i.cluster_id = s.cluster_id"""
+
+TABLES["w_recorded"] = """
+SELECT s.run_id, s.project_id, s.cluster_id, p.auto_apply_recs,
+       coalesce(CASE WHEN p.project_id IS NULL THEN 'Failed to retrieve project ' || s.project_id
+                     WHEN p.project_model_id = 'OTHER'
+                     THEN 'Unexpected project_model_id for project ' || s.project_id || ': OTHER' END,
+                i.ending, i.problem, l.log_error) AS error
+FROM r_selection s
+LEFT JOIN b_project p ON p.project_id = s.project_id
+LEFT JOIN w_info i ON i.cluster_id = s.cluster_id
+LEFT JOIN w_run_log l ON l.cluster_id = s.cluster_id
+WHERE s.cluster_id IS NOT NULL"""
+
+TABLES["w_summary"] = """
+SELECT q.run_id, count(r.run_id) AS n_clusters, count(r.run_id) FILTER (r.error IS NULL) AS n_submitted,
+       CASE WHEN count(r.run_id) = 0 THEN 'Failed to locate cluster in run ' || q.run_id || ' for project '
+              || coalesce(q.want, 'None')
+            WHEN count(r.run_id) FILTER (r.error IS NULL) = 0
+            THEN 'Failed to submit run ' || q.run_id || ' to any projects' END AS error
+FROM b_request q LEFT JOIN w_recorded r ON r.run_id = q.run_id GROUP BY q.run_id, q.want"""
+
+TABLES["b_status"] = """
+SELECT user_id AS run_id, epoch_us(ts) AS ts, event_id,
+       CASE WHEN event_type = 'purchase' AND event_id % 20 = 0 THEN 'SUCCESS'
+            WHEN event_type = 'error' AND event_id % 20 = 1 THEN 'FAILED' END AS state,
+       CASE WHEN event_type = 'signup' AND event_id % 50 = 3 THEN '404' END AS error_code
+FROM events"""
+
+TABLES["b_cluster_look"] = """
+SELECT user_id AS cluster_id, event_id AS seq, epoch_us(ts) // 1000000 // 200 AS s,
+       CASE event_type WHEN 'purchase' THEN 'TERMINATED' WHEN 'error' THEN 'RUNNING' ELSE 'TERMINATING' END AS state,
+       CASE WHEN event_type = 'signup' AND event_id % 10 = 3 THEN '404' END AS error_code
+FROM events"""
