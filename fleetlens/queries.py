@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import schemas as sc
+from fleetlens import sinks as sk
 from fleetlens.bindings import Bindings
 from fleetlens.functions import merge as mg
 from fleetlens.functions import paths as pt
@@ -25,7 +26,12 @@ from fleetlens.operators import waits as wt
 from fleetlens.operators import workspaces as wk
 from fleetlens.plans import apply as ap
 from fleetlens.plans import submit as sb
+from fleetlens.session import scratch_dir
 from fleetlens.sources import documents as dc
+from fleetlens.sources import logs as ls
+from fleetlens.streaming import timelines as tl
+from fleetlens.streaming import waits as sw
+from fleetlens.streaming.replay import replay
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -697,3 +703,82 @@ def apply_recommendations(b):
     rows = ap.job_updates(b.job, b.recommendation, b.job_request)
     return rows.select("job_id", "project_id", "path_kind", "path_key", *_definition_columns("definition"),
                        F.col("update_error").alias("error"))
+
+
+# -- written and read back --------------------------------------------------------------------------
+
+
+@query
+def scan_cluster_info(b):
+    """Cluster-info documents through the sink and back."""
+    path = scratch_dir(b.spark, "cluster-info")
+    sk.write_cluster_info(_info_documents(b), path)
+    return rp.section_counts(sk.read_cluster_info_items(b.spark, path), ["cluster_id", "spark_context_id"])
+
+
+@query
+def read_log_lines(b):
+    """Texts as gzipped log bundles, one folder per source, and their lines read back."""
+    path = scratch_dir(b.spark, "logs")
+    sk.write_log_bundle(b.raw("documents").select("source", F.col("text").alias("line")), ["source"], path)
+    source = F.regexp_extract("path", "/source=([^/]+)/", 1)
+    return ls.read_log_lines(b.spark, path).groupBy(source.alias("source")).agg(
+        F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars")
+    )
+
+
+# -- streams ----------------------------------------------------------------------------------------
+
+
+def _poll_stream_rows(b):
+    us = F.unix_micros("poll_ts").alias("poll_us")
+    cluster = F.col("cluster_id").cast("string").alias("cluster_id")
+    seen = b.observation.join(b.poll.select("cluster_id", "poll_ts", "ok", "state"), ["cluster_id", "poll_ts"])
+    heartbeats = b.poll.select(cluster, us, F.lit(None).cast("string").alias("instance_id"), "ok", "state")
+    sightings = seen.select(cluster, us, F.col("instance_id").cast("string").alias("instance_id"), "ok", "state")
+    return heartbeats.unionByName(sightings)
+
+
+def _stream_timeline_rows(updates):
+    rows = tl.current_timelines(updates)
+    return rows.select(
+        F.col("cluster_id").cast("bigint").alias("cluster_id"), F.col("instance_id").cast("bigint").alias("instance_id"),
+        F.floor(F.col("first_us") / 1000).alias("first_seen_ms"),
+        F.floor(F.col("last_us") / 1000).alias("last_seen_ms"), "is_active",
+    )
+
+
+@query
+def instance_timelines_stream(b):
+    rows = _poll_stream_rows(b).withColumn("ok", F.lit(True))
+    return _stream_timeline_rows(replay(rows, tl.timeline_updates, "timelines", "poll_us"))
+
+
+@query
+def monitored_clusters_stream(b):
+    def monitor(polls):
+        return tl.timeline_updates(polls, stop_on_termination=True)
+
+    return _stream_timeline_rows(replay(_poll_stream_rows(b), monitor, "monitor", "poll_us"))
+
+
+@query
+def eventlog_ready_stream(b):
+    looks = b.log_target.join(lg.poll_summaries(b.listing), "dir").select(
+        "dir", "scheme", "poll_no", "total_size", "any_empty",
+        lg.final_flushed(F.col("run_end_ms")).alias("flushed"),
+    )
+    return replay(looks, sw.ready_logs, "ready-logs", "poll_no").select("dir", "poll_no", "outcome")
+
+
+@query
+def run_first_final_stream(b):
+    rows = b.run_status.withColumn("ts", F.unix_micros("ts"))
+    updates = replay(rows, wt.first_final_runs, "final-runs", "ts")
+    newest = F.max_by(F.struct("state", "error"), "batch")
+    return updates.groupBy("run_id").agg(newest.alias("_n")).select("run_id", "_n.state", "_n.error")
+
+
+@query
+def cluster_termination_stream(b):
+    return replay(b.cluster_state, sw.terminations, "terminations", "seen_s").select("cluster_id", "outcome")

@@ -1,0 +1,53 @@
+"""State machines over the rows of a key, in time order.
+
+Only small per-key facts are kept in state. Rows of one key and micro-batch are sorted together, so bound the
+micro-batch at the source (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``) when history is replayed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from typing import Protocol
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+
+class Machine(Protocol):
+    def step(self, row) -> list[tuple]:
+        """Take the next row of the key; returns rows to emit."""
+
+    def finish(self) -> list[tuple]:
+        """Rows to emit at the end of a micro-batch."""
+
+    def dump(self) -> tuple:
+        """What to carry over."""
+
+
+def run_machine(
+    rows: DataFrame,
+    keys: list[str],
+    order: list[str],
+    machine: Callable[[tuple | None], Machine],
+    out_schema: str,
+    state_schema: str,
+) -> DataFrame:
+    """Run one machine per key; emitted tuples follow the key in the output.
+
+    ``machine`` gets the carried state, or None at the first row of a key.
+    """
+    names = [field.strip().split()[0] for field in out_schema.split(",")]
+
+    def apply(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        current = machine(tuple(state.get) if state.exists else None)
+        emitted: list[tuple] = []
+        for row in pd.concat(list(frames)).sort_values(order, kind="stable").itertuples(index=False):
+            emitted += current.step(row)
+        emitted += current.finish()
+        state.update(current.dump())
+        yield pd.DataFrame([(*key, *e) for e in emitted], columns=names)
+
+    return rows.groupBy(*keys).applyInPandasWithState(
+        apply, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout
+    )

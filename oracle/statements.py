@@ -578,3 +578,26 @@ SELECT job_id, want AS project_id, path_kind, path_key, CASE WHEN ok THEN cluste
        CASE WHEN ok THEN concat_ws(',', scripts, 's' || (job_id % 3)) END AS scripts,
        CAST(NULL AS VARCHAR) AS log_url, error
 FROM (SELECT *, error IS NULL AS ok FROM t)"""
+
+# -- written and read back, streams -------------------------------------------------------------------
+
+SQL["scan_cluster_info"] = SQL["cluster_info_documents"].replace(
+    "c AS cluster_id", "CAST(c AS VARCHAR) AS cluster_id"
+)
+
+SQL["read_log_lines"] = """
+SELECT source, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars
+FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source"""
+
+SQL["instance_timelines_stream"] = SQL["instance_timelines"]
+
+SQL["monitored_clusters_stream"] = SQL["monitored_clusters"]
+
+SQL["eventlog_ready_stream"] = """
+SELECT dir, coalesce(ready_poll, CASE WHEN outcome = 'No eventlog found' THEN 20 ELSE 1 END) AS poll_no, outcome
+FROM w_ready WHERE polls IS NOT NULL AND outcome <> 'waiting'"""
+
+SQL["run_first_final_stream"] = SQL["run_first_final_state"]
+
+SQL["cluster_termination_stream"] = f"""
+SELECT * FROM ({SQL["cluster_termination_outcome"]}) WHERE outcome <> 'waiting'"""
