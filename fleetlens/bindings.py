@@ -55,8 +55,11 @@ class Bindings:
         self.spark = tune(spark)
         self.sf_dir = sf_dir
 
-    def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+    def raw(self, name: str, spread: bool = False) -> DataFrame:
+        """A supplied table; ``spread`` deals a table of fewer scan tasks than cores out to all cores."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
     # -- runs -------------------------------------------------------------------------------------
 
@@ -167,7 +170,7 @@ class Bindings:
             '"init_scripts":["s%d"]%s}',
             key % 7, key % 8, key, key % 3, F.when(key % 9 == 0, ',"policy_id":null').otherwise(""),
         )
-        return self.raw("orders").select(
+        return self.raw("orders", spread=True).select(
             key.alias("id"),
             tag("p", F.col("o_custkey")).alias("project_id"),
             epoch_ms(F.col("o_orderdate")).alias("created_at"),
@@ -552,7 +555,7 @@ class Bindings:
         tasks = F.when(count > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), task)).otherwise(
             F.transform(F.array().cast("array<bigint>"), task)
         )
-        return self.raw("orders").select(
+        return self.raw("orders", spread=True).select(
             job.alias("job_id"),
             F.struct(tag("job", job).alias("name"), tasks.alias("tasks"),
                      self._job_clusters().alias("job_clusters")).alias("settings"),
@@ -626,7 +629,7 @@ class Bindings:
     @cached_property
     def _run_slot(self) -> DataFrame:
         slots = F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(3)]))
-        return self.raw("orders").select("o_orderkey", "o_custkey", slots.alias("k")).withColumn(
+        return self.raw("orders", spread=True).select("o_orderkey", "o_custkey", slots.alias("k")).withColumn(
             "cluster_id", F.concat(F.col("o_orderkey").cast("string"), tag("-c", F.col("k")))
         )
 

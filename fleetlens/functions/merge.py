@@ -20,7 +20,7 @@ def parse_patch(text: Column) -> Column:
 
 
 def deep_merge(base: Column, schema: T.StructType, *patches: Column) -> Column:
-    """Apply patches left to right.
+    """Apply patches left to right. Give parsed patches as columns of their own, so each is parsed once per row.
 
     Structs merge field by field, maps key by key, arrays are concatenated (base first), anything else
     is replaced by the patch. A patch value the schema cannot hold reads as null.

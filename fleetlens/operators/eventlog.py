@@ -133,23 +133,45 @@ def completeness(targets: DataFrame, listing: DataFrame) -> DataFrame:
     return rows.withColumn("verdict", verdict(F.col("scheme"), F.col("run_end_ms"), found))
 
 
-def ready_polls(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
-    """Per target the first complete poll among the first ``limit``; otherwise the outcome says why not."""
-    rows = completeness(targets, listing)
-    counted = F.coalesce(F.col("poll_no") <= limit, F.lit(True))
-    keys = [c for c in targets.columns]
-    per_target = rows.groupBy(*keys).agg(
-        F.min(F.when(counted & (F.col("verdict") == "complete"), F.col("poll_no"))).alias("ready_poll"),
-        F.max("poll_no").alias("polls"),
-        F.max(F.when(~F.col("verdict").isin("complete", K.LOG_INCOMPLETE), F.col("verdict"))).alias("_fatal"),
+def first_looks(listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
+    """Per directory its looks among the first ``limit`` polls, as one array, and the number of its last poll.
+
+    The limit bounds the array, so waiting for a directory is one join row however many runs wait for it.
+    """
+    looks = size_changes(poll_summaries(listing))
+    kept = F.struct("poll_no", "final_mtime_ms", (F.col("any_empty") | F.col("size_changed")).alias("unstable"))
+    return looks.groupBy("dir").agg(
+        F.collect_list(F.when(F.col("poll_no") <= limit, kept)).alias("looks"), F.max("poll_no").alias("polls")
     )
+
+
+def ready_polls(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
+    """Per target the first complete poll among the first ``limit``; otherwise the outcome says why not.
+
+    Other columns of the targets are kept.
+    """
+    end, scheme = F.col("run_end_ms"), F.coalesce("scheme", F.lit(""))
+
+    def complete(look: Column) -> Column:
+        flushed = F.coalesce(look["final_mtime_ms"] >= end, F.lit(False))
+        return flushed & ((scheme == "s3") | ~look["unstable"])
+
+    polled = scheme.isin("s3", "dbfs")
+    first = F.array_min(F.transform(F.filter("looks", complete), lambda look: look["poll_no"]))
     outcome = (
-        F.when(F.col("ready_poll").isNotNull(), "ready")
-        .when(F.col("_fatal").isNotNull(), F.col("_fatal"))
+        F.when(scheme == "", K.NO_LOG_LOCATION)
+        .when(~polled, F.concat(F.lit("Unknown log destination: "), scheme))
+        .when(F.col("ready_poll").isNotNull(), "ready")
+        .when((scheme == "dbfs") & F.col("polls").isNull(), "No eventlog found")
         .when(F.col("polls") >= limit, "No eventlog found")
         .otherwise("waiting")
     )
-    return per_target.withColumn("outcome", outcome).drop("_fatal")
+    return (
+        targets.join(first_looks(listing, limit), "dir", "left")
+        .withColumn("ready_poll", F.when(polled, first))
+        .withColumn("outcome", outcome)
+        .drop("looks")
+    )
 
 
 # -- bundles ----------------------------------------------------------------------------------------

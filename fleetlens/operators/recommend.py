@@ -34,9 +34,11 @@ def updated_definitions(definitions: DataFrame, latest: DataFrame) -> DataFrame:
     ``definitions(project_id, definition)``; ``latest`` from :func:`projects.latest_recommendation`.
     """
     kind = definitions.schema["definition"].dataType
-    rows = definitions.join(latest, "project_id", "left")
+    rows = definitions.join(latest, "project_id", "left").withColumn(
+        "_patch", parse_patch(F.col("configuration"))
+    )
     error = F.when(F.col("configuration").isNull(), F.coalesce("error", F.lit("no_recommendation")))
-    merged = recommended_definition(F.col("definition"), kind, parse_patch(F.col("configuration")))
+    merged = recommended_definition(F.col("definition"), kind, F.col("_patch"))
     return rows.select(
         "project_id", F.when(error.isNull(), merged).alias("definition"), error.alias("error")
     )
@@ -57,6 +59,10 @@ def definition_and_recommendation(definitions: DataFrame, latest: DataFrame) ->
 def templated(rows: DataFrame, definition: str, templates: DataFrame) -> DataFrame:
     """Deep-merge the project's template (JSON text) into a definition column; no template leaves it as it is."""
     kind = rows.schema[definition].dataType
-    patched = rows.join(templates.select("project_id", "template"), "project_id", "left")
-    merged = deep_merge(F.col(definition), kind, parse_patch(F.col("template")))
-    return patched.withColumn(definition, F.when(F.col(definition).isNotNull(), merged)).drop("template")
+    patches = templates.select("project_id", parse_patch(F.col("template")).alias("_patch"))
+    merged = deep_merge(F.col(definition), kind, F.col("_patch"))
+    return (
+        rows.join(patches, "project_id", "left")
+        .withColumn(definition, F.when(F.col(definition).isNotNull(), merged))
+        .drop("_patch")
+    )

@@ -14,42 +14,55 @@ from pyspark.sql import functions as F
 SECTIONS = ["instances", "instance_timelines", "volumes"]
 
 
-def choose_source(stored: DataFrame, live: DataFrame) -> DataFrame:
+def choose_source(headers: DataFrame) -> DataFrame:
     """(cluster_id, source): the stored snapshot where there is one, else the live one.
 
     A document is taken as a whole; parts of the two are never mixed.
     """
-    has_stored = stored.select("cluster_id").distinct().withColumn("_stored", F.lit(True))
-    has_live = live.select("cluster_id").distinct().withColumn("_live", F.lit(True))
-    return has_stored.join(has_live, "cluster_id", "full").select(
-        "cluster_id", F.when(F.col("_stored"), "stored").otherwise("live").alias("source")
-    )
+    stored = F.bool_or(F.col("source") == "stored")
+    return headers.groupBy("cluster_id").agg(F.when(stored, "stored").otherwise("live").alias("source"))
+
+
+def _count(section: str) -> Column:
+    return F.count(F.when(F.col("section") == section, 1))
 
 
 def section_counts(items: DataFrame, keys: list[str]) -> DataFrame:
-    counts = [F.count(F.when(F.col("section") == s, 1)).alias(f"n_{s}") for s in SECTIONS]
-    return items.groupBy(*keys).agg(*counts)
+    return items.groupBy(*keys).agg(*[_count(s).alias(f"n_{s}") for s in SECTIONS])
 
 
 def cluster_info(clusters: DataFrame, headers: DataFrame, items: DataFrame) -> DataFrame:
     """Per cluster the chosen source and its item counts; ``source`` is NULL when there is no document.
 
     ``headers(cluster_id, source)`` has one row per existing document, ``items(cluster_id, source, section, item)``
-    its content.
+    its content. Both sources are counted in one grouping, then the chosen one's counts are taken.
     """
-    chosen = choose_source(headers.filter("source = 'stored'"), headers.filter("source = 'live'"))
-    counts = section_counts(items, ["cluster_id", "source"])
-    rows = clusters.join(chosen, "cluster_id", "left").join(counts, ["cluster_id", "source"], "left")
-    return rows.select(
-        "cluster_id", "platform", "source",
-        *[F.when(F.col("source").isNotNull(), F.coalesce(f"n_{s}", F.lit(0))).alias(f"n_{s}") for s in SECTIONS],
+    parts = headers.select("cluster_id", "source", F.lit("header").alias("section")).unionByName(
+        items.select("cluster_id", "source", "section")
+    )
+
+    def counts(source: str) -> list[Column]:
+        own = F.col("source") == source
+        return [
+            F.count(F.when(own & (F.col("section") == s), 1)).alias(f"{source}_{s}") for s in ["header", *SECTIONS]
+        ]
+
+    counted = parts.groupBy("cluster_id").agg(*counts("stored"), *counts("live"))
+    source = F.when(F.col("stored_header") > 0, "stored").when(F.col("live_header") > 0, "live")
+
+    def chosen(section: str) -> Column:
+        return F.when(F.col("source") == "stored", F.col(f"stored_{section}")).when(
+            F.col("source") == "live", F.col(f"live_{section}")
+        )
+
+    return clusters.join(counted, "cluster_id", "left").withColumn("source", source).select(
+        "cluster_id", "platform", "source", *[chosen(s).alias(f"n_{s}") for s in SECTIONS]
     )
 
 
 def chosen_items(headers: DataFrame, items: DataFrame) -> DataFrame:
     """The items of each cluster's chosen document."""
-    chosen = choose_source(headers.filter("source = 'stored'"), headers.filter("source = 'live'"))
-    return items.join(chosen, ["cluster_id", "source"])
+    return items.join(choose_source(headers), ["cluster_id", "source"])
 
 
 def completeness(info: DataFrame, allow_incomplete: Column) -> DataFrame:

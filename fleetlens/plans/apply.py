@@ -19,8 +19,10 @@ def job_updates(job_rows: DataFrame, recommendations: DataFrame, requests: DataF
     """
     kind = jobs.definition_type(job_rows)
     targets = jobs.target_clusters(requests, jobs.project_job_clusters(job_rows))
-    rows = recommend.with_recommendation(targets, recommendations)
-    merged = jobs.recommended_definition(F.col("cluster"), kind, parse_patch(F.col("configuration")))
+    rows = recommend.with_recommendation(targets, recommendations).withColumn(
+        "_patch", parse_patch(F.col("configuration"))
+    )
+    merged = jobs.recommended_definition(F.col("cluster"), kind, F.col("_patch"))
     problem = F.coalesce("target_error", "recommendation_error")
     payload = jobs.update_payload(F.col("path_kind"), F.col("path_key"), F.col("_new"))
     usable = F.col("update_error").isNull()

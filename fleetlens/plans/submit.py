@@ -57,12 +57,13 @@ def with_report(t: Telemetry, rows: DataFrame, allow_incomplete: bool) -> DataFr
     counted = t.cluster_events.groupBy("cluster_id").agg(F.count("*").alias("n_events"))
     joined = (
         rows.join(done, "cluster_id", "left").join(checked, "cluster_id", "left").join(counted, "cluster_id", "left")
+        .withColumn("_ending", F.coalesce("outcome", F.lit("waiting"))).drop("outcome")
     )
-    ended = F.when(F.coalesce("outcome", F.lit("waiting")) != "ok", F.coalesce("outcome", F.lit("waiting")))
+    ended = F.when(F.col("_ending") != "ok", F.col("_ending"))
     error = F.when(F.col("cluster_id").isNotNull(), F.coalesce(ended, F.col("info_error")))
     return joined.withColumns(reports.report_columns()).withColumns({
         "n_events": F.coalesce("n_events", F.lit(0)), "report_error": error,
-    })
+    }).drop("_ending")
 
 
 def cluster_reports_for_runs(
@@ -88,27 +89,14 @@ def cluster_reports_for_runs(
 
 def with_log(t: Telemetry, rows: DataFrame) -> DataFrame:
     """Add ``log_error`` from waiting for the event log of each row's cluster and Spark context."""
-    places = t.clusters.select(
-        "cluster_id", F.col("log_dir").alias("dir"), F.col("log_scheme").alias("scheme")
-    )
-    keyed = rows.join(places, "cluster_id", "left").withColumn("run_end_ms", F.col("end_time_ms"))
-    targets = keyed.filter(F.col("cluster_id").isNotNull()).select("dir", "scheme", "run_end_ms").distinct()
-    ready = eventlog.ready_polls(targets, t.listing).select(
-        F.col("dir").alias("_dir"), F.col("scheme").alias("_scheme"), F.col("run_end_ms").alias("_end"), "outcome"
-    )
-    same = (
-        keyed.dir.eqNullSafe(ready["_dir"])
-        & keyed.scheme.eqNullSafe(ready["_scheme"])
-        & (keyed.run_end_ms == ready["_end"])
-    )
-    log = F.col("_log")
+    places = t.clusters.select("cluster_id", F.col("log_dir").alias("dir"), F.col("log_scheme").alias("scheme"))
+    targets = rows.join(places, "cluster_id", "left").withColumn("run_end_ms", F.col("end_time_ms"))
+    waited = eventlog.ready_polls(targets, t.listing)
     # Without a usable context id a DBFS directory cannot be told; S3 listings do not need it.
     needs_context = (F.col("scheme") == "dbfs") & F.col("context_error").isNotNull()
-    error = F.when(needs_context, F.col("context_error")).when(log != "ready", log)
-    return (
-        keyed.join(ready.withColumnRenamed("outcome", "_log"), same, "left")
-        .withColumn("log_error", F.when(F.col("cluster_id").isNotNull(), error))
-        .drop("_log", "_dir", "_scheme", "_end", "run_end_ms", "dir", "scheme")
+    error = F.when(needs_context, F.col("context_error")).when(F.col("outcome") != "ready", F.col("outcome"))
+    return waited.withColumn("log_error", F.when(F.col("cluster_id").isNotNull(), error)).drop(
+        "run_end_ms", "dir", "scheme", "ready_poll", "polls", "outcome"
     )
 
 

@@ -480,11 +480,11 @@ def recommendation_target(b):
 
 @query
 def deep_merge_config(b):
-    patches = b.recommendation.select("id", "recommendation.configuration")
+    patches = b.recommendation.select("id", mg.parse_patch(F.col("recommendation.configuration")).alias("patch"))
     shared = dc.job_clusters_of(b.job)
     kind = shared.schema["new_cluster"].dataType
     rows = shared.join(patches, shared.job_id == patches.id)
-    merged = mg.deep_merge(F.col("new_cluster"), kind, mg.parse_patch(F.col("configuration")))
+    merged = mg.deep_merge(F.col("new_cluster"), kind, F.col("patch"))
     return rows.withColumn("merged", merged).select("job_id", "pos", *_definition_columns("merged"))
 
 
@@ -509,11 +509,10 @@ def _job_recommendations(b):
         jb.single_clusters(b.job).withColumn("recommendation_id", F.col("job_id")), b.recommendation
     )
     kind = jb.definition_type(b.job)
-    patch = mg.parse_patch(F.col("configuration"))
-    merged = F.when(
-        F.col("recommendation_error").isNull(), jb.recommended_definition(F.col("cluster"), kind, patch)
+    merged = jb.recommended_definition(F.col("cluster"), kind, F.col("patch"))
+    return rows.withColumn("patch", mg.parse_patch(F.col("configuration"))).withColumn(
+        "merged", F.when(F.col("recommendation_error").isNull(), merged)
     )
-    return rows.withColumn("merged", merged)
 
 
 @query
