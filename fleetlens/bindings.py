@@ -474,14 +474,15 @@ class Bindings:
 
     @cached_property
     def log_entry(self) -> DataFrame:
-        """Directories under one log root with the sub-directories they hold."""
+        """Directories under three log roots with the sub-directories they hold."""
         user = F.col("user_id")
+        root = F.concat(tag("dbfs:/logs", user % 3), F.lit("/eventlog/"))
         return self.raw("events").select(user).distinct().select(
-            F.lit("dbfs:/cluster-logs/eventlog/").alias("root"),
+            root.alias("root"),
             (user % 5).alias("dir_pos"),
             (user % 5 != 4).alias("is_dir"),
             user.alias("sub_pos"),
-            F.concat(tag("dbfs:/cluster-logs/eventlog/c", user % 5), tag("_10_0_0_1/", user * 1000 + 7)).alias("path"),
+            F.concat(root, tag("c", user % 5), tag("_10_0_0_1/", user * 1000 + 7)).alias("path"),
         )
 
     @cached_property
@@ -489,7 +490,7 @@ class Bindings:
         key = F.col("c_custkey")
         return self.raw("customer").select(
             key.alias("run_id"),
-            F.lit("dbfs:/cluster-logs/eventlog/").alias("root"),
+            F.concat(tag("dbfs:/logs", F.col("c_nationkey") % 3), F.lit("/eventlog/")).alias("root"),
             F.when(key % 4 == 0, key + 700).otherwise(key * 1000 + 7).alias("spark_context_id"),
         )
 
@@ -695,6 +696,8 @@ class Bindings:
         return self.raw("events").select(
             F.concat(F.col("user_id").cast("string"), tag("-c", F.col("event_id") % 3)).alias("cluster_id"),
             F.col("event_type").alias("type"),
+            F.create_map(F.lit("azure_error_message"), F.col("event_type"), F.lit("k"),
+                         F.get_json_object("props", "$.k")).alias("parameters"),
         )
 
     @cached_property

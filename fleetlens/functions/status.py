@@ -73,6 +73,23 @@ def response_problem(result: Column, error: Column) -> Column:
     )
 
 
+def split_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Consistent result/error rows, and the others with their ``problem`` for quarantine."""
+    checked = responses.withColumn("problem", response_problem(F.col("result"), F.col("error")))
+    return checked.filter(F.col("problem").isNull()).drop("problem"), checked.filter(F.col("problem").isNotNull())
+
+
+def check_envelope(plan_type: str, compute_type: str, platform: str | None = None) -> None:
+    """Refuse report envelopes outside the closed sets."""
+    for name, value, allowed in (
+        ("plan type", plan_type, K.PLAN_TYPES),
+        ("compute type", compute_type, K.COMPUTE_TYPES),
+        ("platform", platform, [None, *K.PROVIDERS]),
+    ):
+        if value not in allowed:
+            raise ValueError(f"Unknown {name}: {value}")
+
+
 def is_empty_struct(col: Column, dtype: T.StructType) -> Column:
     """True for NULL and for a struct whose every field is NULL (the typed form of ``{}``)."""
     fields = [col[name].isNotNull() for name in dtype.names]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fleetlens import constants as K
 from fleetlens.functions.blocked import number_block, previous_value
 from fleetlens.functions.paths import base_name, is_final_log
+from fleetlens.functions.unnest import unnest
 
 POLL_BLOCK = 1000
 
@@ -33,7 +34,7 @@ def files_by_prefix(listing: DataFrame, clusters: DataFrame) -> DataFrame:
     parts = F.split("key", "/")
     cuts = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: F.get(parts, i - 1) == "eventlog")
     rooted = (
-        listing.withColumn("_cut", F.explode(cuts))
+        unnest(listing, cuts, listing.columns, "_cut")
         .withColumn("_root", F.concat(F.array_join(F.slice(parts, F.lit(1), F.col("_cut")), "/"), F.lit("/")))
         .drop("_cut")
     )
@@ -70,15 +71,13 @@ def log_dirs_by_context(targets: DataFrame, entries: DataFrame) -> DataFrame:
     )))))
     order = F.struct((-F.col("dir_pos")).alias("d"), F.col("sub_pos").alias("s"))
     first = (
-        entries.filter("is_dir").join(lengths, "root")
-        .select("root", "path", order.alias("_order"), F.explode(pieces).alias("_id"))
+        unnest(entries.filter("is_dir").join(lengths, "root"), pieces, ["root", "path", order.alias("_order")], "_id")
         .groupBy("root", "_id")
         .agg(F.min_by("path", "_order").alias("path"))
     )
-    found = wanted.join(first, ["root", "_id"])
     return (
         targets.withColumn("_id", F.col("spark_context_id").cast("string"))
-        .join(found, ["root", "_id"], "left")
+        .join(first, ["root", "_id"], "left")
         .drop("_id")
         .withColumnRenamed("path", "log_dir")
     )

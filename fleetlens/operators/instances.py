@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fleetlens import constants as K
 from fleetlens.functions.blocked import day_block, number_block, previous_value, running_number
 from fleetlens.functions.status import is_running
+from fleetlens.functions.unnest import unnest
 
 # Polls per block when runs of consecutive polls are looked for.
 POLL_BLOCK = 4096
@@ -25,7 +26,7 @@ def has_vendor_tag(tags: Column) -> Column:
 
 def ec2_instances(pages: DataFrame) -> DataFrame:
     """Reservation pages → the platform's instances with their cluster."""
-    flat = pages.select(F.explode("Reservations").alias("r")).select(F.explode("r.Instances").alias("i"))
+    flat = unnest(unnest(pages, F.col("Reservations"), [], "r"), F.col("r.Instances"), [], "i")
     return flat.filter(has_vendor_tag(F.col("i.Tags"))).select(
         tag_value(F.col("i.Tags"), K.CLUSTER_TAG).alias("cluster_id"),
         F.col("i.InstanceId").alias("instance_id"),

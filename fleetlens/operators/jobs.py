@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from fleetlens import constants as K
 from fleetlens.functions.merge import deep_merge
 from fleetlens.functions.status import is_blank, is_empty_struct
+from fleetlens.functions.unnest import unnest
 
 _TASKS = "settings.tasks"
 _CLUSTERS = "settings.job_clusters"
@@ -77,7 +78,7 @@ def project_job_clusters(jobs: DataFrame, exclude: Iterable[str] | None = None)
         )
 
     rows = (
-        jobs.select("job_id", F.explode(F.transform(tasks, resolved)).alias("r"))
+        unnest(jobs, F.transform(tasks, resolved), ["job_id"], "r")
         .select("job_id", "r.*")
         .filter(F.col("cluster").isNotNull())
         .withColumn("project_id", F.col("cluster.custom_tags")[K.PROJECT_TAG])
@@ -211,4 +212,4 @@ def job_parts(jobs: DataFrame) -> DataFrame:
         F.transform(F.col(_TASKS), part("tasks", "task_key")),
         F.transform(F.col(_CLUSTERS), part("job_clusters", "job_cluster_key")),
     )
-    return jobs.select("job_id", F.explode(parts).alias("p")).select("job_id", "p.*")
+    return unnest(jobs, parts, ["job_id"], "p").select("job_id", "p.*")

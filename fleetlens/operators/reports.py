@@ -11,6 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.functions.status import check_envelope
+from fleetlens.operators.events import redacted
+
 SECTIONS = ["instances", "instance_timelines", "volumes"]
 
 
@@ -102,6 +105,7 @@ def report_columns() -> dict[str, Column]:
 
 def cluster_reports(info: DataFrame, events: DataFrame, plan_type: str, compute_type: str) -> DataFrame:
     """Header row of each cluster's report; ``events(cluster_id)`` has one row per cluster event."""
+    check_envelope(plan_type, compute_type)
     counted = events.groupBy("cluster_id").agg(F.count("*").alias("n_events"))
     sections = {k: F.when(F.col("info_error").isNull(), c) for k, c in report_columns().items()}
     return info.join(counted, "cluster_id", "left").select(
@@ -137,6 +141,27 @@ def submission_id(run_id: Column, project_id: Column, cluster_id: Column) -> Col
     return F.sha2(F.concat_ws("|", run_id.cast("string"), project_id, cluster_id), 256)
 
 
+def submission_items(
+    submitted: DataFrame, tasks: DataFrame, events: DataFrame, headers: DataFrame, items: DataFrame
+) -> DataFrame:
+    """What each submission carries, one row per item: ``(submission_id, section, item)``, items as JSON.
+
+    ``submitted(submission_id, run_id, cluster_id, platform)``. Error texts are taken out of the events; disks
+    belong to AWS reports only.
+    """
+    keyed = submitted.select("submission_id", "run_id", "cluster_id", "platform")
+    task = F.to_json(F.struct("task_key", "result_state", "end_time_ms"))
+    event = F.to_json(F.struct("type", redacted(F.col("parameters")).alias("parameters")))
+    by_cluster = (
+        events.select("cluster_id", F.lit("cluster_events").alias("section"), event.alias("item"))
+        .unionByName(chosen_items(headers, items).select("cluster_id", "section", "item"))
+    )
+    own_tasks = tasks.select("run_id", "cluster_id", F.lit("tasks").alias("section"), task.alias("item"))
+    parts = by_cluster.join(keyed, "cluster_id").filter((F.col("section") != "volumes") | (F.col("platform") != "azure"))
+    columns = ["submission_id", "section", "item"]
+    return own_tasks.join(keyed, ["run_id", "cluster_id"]).select(*columns).unionByName(parts.select(*columns))
+
+
 def submissions(rows: DataFrame, product: Column) -> DataFrame:
     """Submission rows of ``(run_id, project_id, cluster_id)``."""
     return rows.select(

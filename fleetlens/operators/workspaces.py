@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.functions.status import is_blank
+from fleetlens.functions.unnest import unnest
 
 NULL_TEXT = "null"
 
@@ -58,4 +59,4 @@ def violations(ws: DataFrame) -> Column:
 
 def workspace_violations(ws: DataFrame) -> DataFrame:
     """One row per broken rule."""
-    return ws.select("workspace_id", F.explode(violations(ws)).alias("violation"))
+    return unnest(ws, violations(ws), ["workspace_id"], "violation")

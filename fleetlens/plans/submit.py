@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
+from fleetlens.functions.status import check_envelope
 from fleetlens.operators import eventlog, reports, tasks, waits
 from fleetlens.operators.projects import join_projects
 from fleetlens.plans.telemetry import Telemetry
@@ -75,6 +76,7 @@ def cluster_reports_for_runs(
     exclude: Iterable[str] | None = None,
 ) -> DataFrame:
     """One report header, or error, per requested run."""
+    check_envelope(plan_type, compute_type)
     rows = with_report(t, located_requests(t, requests, exclude), allow_incomplete)
     error = F.coalesce("locate_error", "report_error")
     ok = error.isNull()
@@ -116,7 +118,15 @@ def submissions_for_runs(
     wanted = requests.filter(F.nullif("project_id", F.lit("")).isNotNull())
     rows = with_log(t, with_report(t, located_requests(t, wanted, exclude), allow_incomplete))
     done = _submitted(rows, F.coalesce("locate_error", "report_error", "log_error"))
-    return done.select("run_id", "requested_project", "cluster_id", "product", "submission_id", "error")
+    return done.select("run_id", "requested_project", "cluster_id", "platform", "product", "submission_id", "error")
+
+
+def submission_items(t: Telemetry, submitted: DataFrame, exclude: Iterable[str] | None = None) -> DataFrame:
+    """The report content of the accepted ones among :func:`submissions_for_runs`."""
+    accepted = submitted.filter(F.col("submission_id").isNotNull())
+    return reports.submission_items(
+        accepted, resolved_tasks(t, exclude), t.cluster_events, t.info_headers, t.info_items
+    )
 
 
 def submissions_with_info(t: Telemetry, requests: DataFrame) -> DataFrame:

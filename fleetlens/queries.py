@@ -659,7 +659,19 @@ def cluster_report_for_run(b):
 
 @query
 def submission_for_run(b):
-    return sb.submissions_for_runs(b.telemetry, b.request)
+    return sb.submissions_for_runs(b.telemetry, b.request).drop("platform")
+
+
+@query
+def submission_report_items(b):
+    """Submissions are written first, so their content is gathered from the stored table."""
+    path = scratch_dir(b.spark, "submissions")
+    made = sb.submissions_for_runs(b.telemetry, b.request).filter(F.col("submission_id").isNotNull())
+    sk.write_submissions(made, path)
+    items = sb.submission_items(b.telemetry, b.spark.read.schema(made.schema).parquet(path))
+    return items.groupBy("submission_id", "section").agg(
+        F.count("*").alias("n_items"), F.min("item").alias("first_item"), F.max("item").alias("last_item")
+    )
 
 
 @query

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import schemas as S
+from fleetlens.functions.unnest import unnest
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -45,7 +46,7 @@ def job_clusters_of(jobs: DataFrame) -> DataFrame:
 
 
 def _keyed_clusters(df: DataFrame, owner: str, clusters: Column) -> DataFrame:
-    return df.select(owner, F.posexplode(clusters).alias("pos", "c")).select(
+    return unnest(df, clusters, [owner], "c", "pos").select(
         owner, "pos", F.col("c.job_cluster_key").alias("job_cluster_key"), F.col("c.new_cluster").alias("new_cluster")
     )
 
@@ -59,9 +60,7 @@ def job_tasks_of(jobs: DataFrame) -> DataFrame:
 
 def cluster_events_of(pages: DataFrame) -> DataFrame:
     """One row per event of each page, with its position in the page."""
-    return pages.select(
-        "cluster_id", "page_no", "total_count", F.posexplode("events").alias("pos", "e")
-    ).select(
+    return unnest(pages, F.col("events"), ["cluster_id", "page_no", "total_count"], "e", "pos").select(
         "cluster_id", "page_no", "pos", F.col("e.timestamp").alias("ts_ms"), F.col("e.type").alias("type"),
         F.col("e.details.reason.parameters").alias("parameters"), "total_count",
     )

@@ -277,12 +277,12 @@ JOIN (SELECT DISTINCT 'c' || (s_suppkey % 60) AS cluster_id,
              || (s_suppkey % 60) AS prefix FROM supplier) o ON starts_with(k.key, o.prefix)"""
 
 SQL["log_dir_by_context"] = """
-WITH sub AS (SELECT DISTINCT user_id, 'dbfs:/cluster-logs/eventlog/c' || (user_id % 5) || '_10_0_0_1/'
-             || (user_id * 1000 + 7) AS path FROM events WHERE user_id % 5 <> 4),
-want AS (SELECT c_custkey AS run_id, CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 700 ELSE c_custkey * 1000 + 7 END
+WITH sub AS (SELECT DISTINCT user_id, 'dbfs:/logs' || (user_id % 3) || '/eventlog/c' || (user_id % 5)
+             || '_10_0_0_1/' || (user_id * 1000 + 7) AS path FROM events WHERE user_id % 5 <> 4),
+want AS (SELECT c_custkey AS run_id, 'dbfs:/logs' || (c_nationkey % 3) || '/' AS root, CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 700 ELSE c_custkey * 1000 + 7 END
          AS spark_context_id FROM customer)
 SELECT run_id, spark_context_id, arg_min(path, (-(user_id % 5), user_id)) AS log_dir
-FROM want LEFT JOIN sub ON contains(path, CAST(spark_context_id AS VARCHAR))
+FROM want LEFT JOIN sub ON starts_with(path, root) AND contains(path, CAST(spark_context_id AS VARCHAR))
 GROUP BY run_id, spark_context_id"""
 
 SQL["final_rollover_files"] = """
@@ -601,3 +601,25 @@ SQL["run_first_final_stream"] = SQL["run_first_final_state"]
 
 SQL["cluster_termination_stream"] = f"""
 SELECT * FROM ({SQL["cluster_termination_outcome"]}) WHERE outcome <> 'waiting'"""
+
+SQL["submission_report_items"] = """
+WITH done AS (
+  SELECT l.run_id, l.cluster_id, l.aws, l.source, l.n_instances, l.n_instance_timelines, l.n_volumes,
+         sha256(l.run_id || '|' || l.requested_project || '|' || l.cluster_id) AS submission_id
+  FROM w_located l LEFT JOIN w_run_log g ON g.cluster_id = l.cluster_id
+  WHERE l.requested_project IS NOT NULL AND coalesce(locate_error, ending, problem, g.log_error) IS NULL),
+items AS (
+  SELECT submission_id, 'tasks' AS section, '{"task_key":"' || task_key || '","result_state":"' || result_state
+         || '","end_time_ms":' || end_time_ms || '}' AS item
+  FROM done JOIN r_task USING (run_id, cluster_id)
+  UNION ALL
+  SELECT submission_id, 'cluster_events', '{"type":"' || event_type || '","parameters":{"k":"' || (props ->> '$.k')
+         || '"}}'
+  FROM done JOIN events ON cluster_id = user_id || '-c' || (event_id % 3)
+  UNION ALL SELECT submission_id, 'instances', 'item' || i FROM done, range(1, 10) AS r(i) WHERE i <= n_instances
+  UNION ALL
+  SELECT submission_id, 'instance_timelines', 'item' || i FROM done, range(1, 10) AS r(i)
+  WHERE i <= n_instance_timelines
+  UNION ALL SELECT submission_id, 'volumes', 'item' || i FROM done, range(1, 10) AS r(i) WHERE i <= n_volumes AND aws)
+SELECT submission_id, section, count(*) AS n_items, min(item) AS first_item, max(item) AS last_item
+FROM items GROUP BY submission_id, section"""
