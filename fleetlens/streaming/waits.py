@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.functions.paths import is_final_log
-from fleetlens.functions.status import is_final_run_state
+from fleetlens.operators import waits
 from fleetlens.streaming.machine import run_machine
 
 LISTING_SCHEMA = (
@@ -71,22 +71,18 @@ def ready_logs(looks: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
     )
 
 
-def final_runs(observations: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Each run once, when it first shows a final state or an API error; state is kept for ``delay``."""
-    ends = is_final_run_state(F.col("state")) | F.col("error_code").isNotNull()
-    return (
-        observations.withWatermark("ts", delay).filter(ends).dropDuplicatesWithinWatermark(["run_id"])
-        .select("run_id", "ts", "state", "error_code")
-    )
+def final_runs(observations: DataFrame) -> DataFrame:
+    """Runs that have ended, by their first final state in time order (one state row per run is kept).
+
+    A run is emitted again when more is heard of it; its outcome changes only if an earlier final state
+    arrives late. Use the update mode and a sink keyed by run.
+    """
+    return waits.first_final_runs(observations).filter(F.col("state").isNotNull() | F.col("error").isNotNull())
 
 
-def final_recommendations(observations: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Each recommendation once, when it is ready or has failed."""
-    return (
-        observations.withWatermark("ts", delay).filter(F.col("state").isin("SUCCESS", "FAILURE"))
-        .dropDuplicatesWithinWatermark(["recommendation_id"])
-        .select("recommendation_id", "ts", "state")
-    )
+def final_recommendations(observations: DataFrame) -> DataFrame:
+    """Recommendations that are ready or have failed; emitted like :func:`final_runs`."""
+    return waits.first_final_recommendations(observations).filter(F.col("outcome") != "pending")
 
 
 class _TerminationWait:

@@ -623,3 +623,6 @@ items AS (
   UNION ALL SELECT submission_id, 'volumes', 'item' || i FROM done, range(1, 10) AS r(i) WHERE i <= n_volumes AND aws)
 SELECT submission_id, section, count(*) AS n_items, min(item) AS first_item, max(item) AS last_item
 FROM items GROUP BY submission_id, section"""
+
+SQL["recommendation_first_final_stream"] = f"""
+SELECT * FROM ({SQL["recommendation_first_final"]}) WHERE outcome <> 'pending'"""
