@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,11 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "fleetl
     return tune(spark)
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="fleetlens-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -48,6 +54,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="fleetlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
