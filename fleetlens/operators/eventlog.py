@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.functions.blocked import number_block, previous_value
+from fleetlens.functions.lookup import left_lookup
 from fleetlens.functions.paths import base_name, is_final_log
 from fleetlens.functions.unnest import unnest
 
@@ -166,7 +167,7 @@ def ready_polls(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_
         .otherwise("waiting")
     )
     return (
-        targets.join(first_looks(listing, limit), "dir", "left")
+        left_lookup(targets, first_looks(listing, limit), "dir")
         .withColumn("ready_poll", F.when(polled, first))
         .withColumn("outcome", outcome)
         .drop("looks")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
+from fleetlens.functions.lookup import left_lookup
 from fleetlens.functions.status import is_blank, model_error
 
 
@@ -121,9 +122,7 @@ def join_projects(clusters: DataFrame, projects: DataFrame) -> DataFrame:
         F.col("_known").isNull(),
         F.concat(F.lit("Failed to retrieve project "), F.coalesce("project_id", F.lit("None"))),
     ).otherwise(model_error(F.col("project_id"), F.col("project_model_id")))
-    return (
-        clusters.join(known, "project_id", "left").withColumn("project_error", error).drop("_known")
-    )
+    return left_lookup(clusters, known, "project_id").withColumn("project_error", error).drop("_known")
 
 
 # Text fields change on any non-empty patch value; the two flags follow their own rules.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
+from fleetlens.functions.lookup import left_lookup
 from fleetlens.functions.merge import deep_merge, parse_patch
 from fleetlens.operators.jobs import recommended_definition
 
@@ -22,7 +23,7 @@ def with_recommendation(rows: DataFrame, recommendations: DataFrame) -> DataFram
         F.col("configuration").isNull(), K.CONFIGURATION_NOT_FOUND
     )
     return (
-        rows.join(found, "recommendation_id", "left")
+        left_lookup(rows, found, "recommendation_id")
         .withColumn("recommendation_error", error)
         .drop("_known", "_given")
     )

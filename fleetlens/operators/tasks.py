@@ -82,8 +82,50 @@ def unambiguous_paths(resolved: DataFrame) -> DataFrame:
     )
 
 
+def _entries(paths: DataFrame, requests: DataFrame, how: str) -> DataFrame:
+    """Per request and project tag of its run: whether it is the wanted tag, whether it holds the wanted
+    path, and the cluster it yields (``_pick``): several paths need the wanted one among them."""
+    asked = requests.select(
+        "run_id",
+        F.nullif("project_id", F.lit("")).alias("_want"),
+        F.nullif("cluster_path", F.lit("")).alias("_at"),
+    )
+    at_path = F.when(F.col("cluster_path") == F.col("_at"), F.col("cluster_id"))
+    return (
+        asked.join(paths, "run_id", how)
+        .groupBy("run_id", "_want", "_at", "project_id")
+        .agg(F.count("cluster_path").alias("_paths"), F.max(at_path).alias("_here"), F.max("cluster_id").alias("_any"))
+        .withColumns({
+            "_pick": F.when(F.col("_paths") > 1, F.col("_here")).otherwise(F.col("_any")),
+            "_tagged": F.coalesce(F.col("project_id") == F.col("_want"), F.lit(False)),
+            "_holds": F.col("_here").isNotNull(),
+        })
+        # Without a wanted project every tagged entry counts, if it holds the wanted path.
+        .withColumn("_listed", ~is_blank(F.col("project_id")) & (F.col("_at").isNull() | F.col("_holds")))
+    )
+
+
+def _wanted_branches() -> dict[str, Column]:
+    """What the entries of a request with a project amount to: tagged (a), holding the path (b), only one (c)."""
+    return {
+        "_a": F.bool_or("_tagged"), "_pick_a": F.max(F.when(F.col("_tagged"), F.col("_pick"))),
+        "_b": F.bool_or("_holds"), "_pick_b": F.max(F.when(F.col("_holds"), F.col("_pick"))),
+        "_c": F.count(F.when(F.col("_paths") > 0, 1)) == 1, "_pick_c": F.max("_pick"),
+    }
+
+
+def _branch() -> Column:
+    return F.when(F.col("_a"), "a").when(F.col("_b"), "b").when(F.col("_c"), "c")
+
+
+def _picked() -> Column:
+    return (
+        F.when(F.col("_a"), F.col("_pick_a")).when(F.col("_b"), F.col("_pick_b")).when(F.col("_c"), F.col("_pick_c"))
+    )
+
+
 def select_project_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
-    """Choose the cluster that stands for a project in a run.
+    """Choose the clusters that stand for projects in runs.
 
     ``requests(run_id, project_id, cluster_path)``; project and path are optional. An *entry* is a project
     tag of the run with its paths. With a project P: (a) the entry tagged P, else (b) the entry holding the
@@ -93,56 +135,51 @@ def select_project_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
 
     The one join is on the run, and both groupings keep the run's partitioning.
     """
-    asked = requests.select(
-        "run_id",
-        F.nullif("project_id", F.lit("")).alias("_want"),
-        F.nullif("cluster_path", F.lit("")).alias("_at"),
-    )
-    at_path = F.when(F.col("cluster_path") == F.col("_at"), F.col("cluster_id"))
-    entries = (
-        asked.join(paths, "run_id")
-        .groupBy("run_id", "_want", "_at", "project_id")
-        .agg(F.count("*").alias("_paths"), F.max(at_path).alias("_here"), F.max("cluster_id").alias("_any"))
-        .withColumn("_pick", F.when(F.col("_paths") > 1, F.col("_here")).otherwise(F.col("_any")))
-    )
-    tagged = F.col("project_id") == F.col("_want")
-    here = F.col("_here").isNotNull()
     slot = F.when(F.col("_want").isNull(), F.col("project_id")).alias("_slot")
-    chosen = entries.groupBy("run_id", "_want", "_at", slot).agg(
-        F.coalesce(F.bool_or(tagged), F.lit(False)).alias("_a"),
-        F.max(F.when(tagged, F.col("_pick"))).alias("_pick_a"),
-        F.bool_or(here).alias("_b"),
-        F.max(F.when(here, F.col("_pick"))).alias("_pick_b"),
-        F.count("*").alias("_entries"),
-        F.max("_pick").alias("_pick_c"),
-    )
-    listed = ~is_blank(F.col("_slot")) & (F.col("_at").isNull() | F.col("_b"))
-    branch = (
-        F.when(F.col("_want").isNull(), F.when(listed, "tagged"))
-        .when(F.col("_a"), "a")
-        .when(F.col("_b"), "b")
-        .when(F.col("_entries") == 1, "c")
-    )
-    cluster = (
-        F.when(F.col("branch") == "a", F.col("_pick_a"))
-        .when(F.col("branch") == "b", F.col("_pick_b"))
-        .otherwise(F.col("_pick_c"))
+    columns = _wanted_branches() | {"_tag_listed": F.bool_or("_listed")}
+    chosen = (
+        _entries(paths, requests, "inner").groupBy("run_id", "_want", "_at", slot)
+        .agg(*[c.alias(name) for name, c in columns.items()])
     )
+    free = F.col("_want").isNull()
     return (
-        chosen.withColumn("branch", branch)
-        .filter(F.col("branch").isNotNull())
+        chosen.withColumn("branch", F.when(free, F.when(F.col("_tag_listed"), "tagged")).otherwise(_branch()))
         .select(
             "run_id",
             F.col("_want").alias("requested_project"),
             F.coalesce("_want", "_slot").alias("project_id"),
-            cluster.alias("cluster_id"),
+            F.when(free, F.col("_pick_c")).otherwise(_picked()).alias("cluster_id"),
             "branch",
         )
-        .filter(F.col("cluster_id").isNotNull())
+        .filter(F.col("branch").isNotNull() & F.col("cluster_id").isNotNull())
+    )
+
+
+def locate_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
+    """The one cluster of each request by the same rules: run_id, requested_project, project_id, cluster_id.
+
+    Every request gives one row; a request without project has a cluster only if a single one is selected.
+    """
+    usable = F.col("_listed") & F.col("_pick").isNotNull()
+    columns = _wanted_branches() | {
+        "_free": F.count(F.when(usable, 1)),
+        "_free_project": F.max(F.when(usable, F.col("project_id"))),
+        "_free_pick": F.max(F.when(usable, F.col("_pick"))),
+    }
+    rows = (
+        _entries(paths, requests, "left").groupBy("run_id", "_want", "_at")
+        .agg(*[c.alias(name) for name, c in columns.items()])
+    )
+    free, single = F.col("_want").isNull(), F.col("_free") == 1
+    return rows.select(
+        "run_id",
+        F.col("_want").alias("requested_project"),
+        F.when(free, F.when(single, F.col("_free_project"))).otherwise(F.col("_want")).alias("project_id"),
+        F.when(free, F.when(single, F.col("_free_pick"))).otherwise(_picked()).alias("cluster_id"),
     )
 
 
-def selected_cluster_facts(selection: DataFrame, resolved: DataFrame) -> DataFrame:
+def with_cluster_facts(selection: DataFrame, resolved: DataFrame, how: str = "inner") -> DataFrame:
     """Per selected cluster: task count, end time, and the one Spark context its tasks share (or why none)."""
     facts = (
         resolved.groupBy("run_id", "cluster_id")
@@ -153,7 +190,7 @@ def selected_cluster_facts(selection: DataFrame, resolved: DataFrame) -> DataFra
             F.max("spark_context_id").alias("_high"),
         )
     )
-    return selection.join(with_context(facts), ["run_id", "cluster_id"])
+    return selection.join(with_context(facts), ["run_id", "cluster_id"], how)
 
 
 def with_context(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
+from fleetlens.functions.lookup import left_lookup
 from fleetlens.functions.status import check_envelope
 from fleetlens.operators import eventlog, reports, tasks, waits
 from fleetlens.operators.projects import join_projects
@@ -23,25 +24,15 @@ def selected_clusters(t: Telemetry, requests: DataFrame, exclude: Iterable[str]
     """Selected clusters of the requested runs with their task count, end time and Spark context."""
     resolved = resolved_tasks(t, exclude)
     selection = tasks.select_project_clusters(tasks.unambiguous_paths(resolved), requests)
-    return tasks.selected_cluster_facts(selection, resolved)
+    return tasks.with_cluster_facts(selection, resolved)
 
 
 def located_requests(t: Telemetry, requests: DataFrame, exclude: Iterable[str] | None = None) -> DataFrame:
     """One row per request: its one cluster, or ``locate_error``. A request without project needs a single
     tagged cluster in its run."""
-    found = selected_clusters(t, requests, exclude).groupBy("run_id", "requested_project").agg(
-        F.count("*").alias("_clusters"),
-        F.min("project_id").alias("project_id"),
-        *[F.min(c).alias(c) for c in ("cluster_id", "n_tasks", "end_time_ms", "spark_context_id", "context_error")],
-    )
-    asked = requests.select("run_id", F.nullif("project_id", F.lit("")).alias("requested_project")).distinct()
-    same_request = (asked.run_id == found.run_id) & asked.requested_project.eqNullSafe(found.requested_project)
-    rows = asked.join(
-        found.filter("_clusters = 1"), same_request, "left"
-    ).select(
-        asked.run_id, asked.requested_project, found.project_id, found.cluster_id, found.n_tasks,
-        found.end_time_ms, found.spark_context_id, found.context_error,
-    )
+    resolved = resolved_tasks(t, exclude)
+    located = tasks.locate_clusters(tasks.unambiguous_paths(resolved), requests)
+    rows = tasks.with_cluster_facts(located, resolved, "left")
     known = t.projects.select(F.col("project_id").alias("requested_project"), F.lit(True).alias("_known"))
     unknown = F.col("requested_project").isNotNull() & F.col("_known").isNull()
     error = F.when(
@@ -56,10 +47,10 @@ def with_report(t: Telemetry, rows: DataFrame, allow_incomplete: bool) -> DataFr
     info = reports.cluster_info(t.clusters, t.info_headers, t.info_items)
     checked = reports.completeness(info, F.lit(allow_incomplete))
     counted = t.cluster_events.groupBy("cluster_id").agg(F.count("*").alias("n_events"))
-    joined = (
-        rows.join(done, "cluster_id", "left").join(checked, "cluster_id", "left").join(counted, "cluster_id", "left")
-        .withColumn("_ending", F.coalesce("outcome", F.lit("waiting"))).drop("outcome")
-    )
+    known = checked.join(done, "cluster_id", "left").join(counted, "cluster_id", "left")
+    joined = left_lookup(rows, known, "cluster_id").withColumn(
+        "_ending", F.coalesce("outcome", F.lit("waiting"))
+    ).drop("outcome")
     ended = F.when(F.col("_ending") != "ok", F.col("_ending"))
     error = F.when(F.col("cluster_id").isNotNull(), F.coalesce(ended, F.col("info_error")))
     return joined.withColumns(reports.report_columns()).withColumns({
@@ -92,7 +83,7 @@ def cluster_reports_for_runs(
 def with_log(t: Telemetry, rows: DataFrame) -> DataFrame:
     """Add ``log_error`` from waiting for the event log of each row's cluster and Spark context."""
     places = t.clusters.select("cluster_id", F.col("log_dir").alias("dir"), F.col("log_scheme").alias("scheme"))
-    targets = rows.join(places, "cluster_id", "left").withColumn("run_end_ms", F.col("end_time_ms"))
+    targets = left_lookup(rows, places, "cluster_id").withColumn("run_end_ms", F.col("end_time_ms"))
     waited = eventlog.ready_polls(targets, t.listing)
     # Without a usable context id a DBFS directory cannot be told; S3 listings do not need it.
     needs_context = (F.col("scheme") == "dbfs") & F.col("context_error").isNotNull()
@@ -144,7 +135,9 @@ def submissions_with_info(t: Telemetry, requests: DataFrame) -> DataFrame:
     ).select("dir", "_look.*", F.lit(True).alias("_listed"))
     rows = (
         located_requests(t, wanted).join(options, ["run_id", "requested_project"])
-        .join(places, "cluster_id", "left").join(newest, "dir", "left")
+    )
+    rows = (
+        left_lookup(left_lookup(rows, places, "cluster_id"), newest, "dir")
         .withColumn("size_changed", F.col("total_size") != F.coalesce("known_size", F.lit(0)))
     )
     seen = eventlog.verdict(F.col("scheme"), F.col("end_time_ms"), F.coalesce("_listed", F.lit(False)))
