@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetlens import constants as K
 from fleetlens.functions.blocked import running_number
@@ -17,6 +18,9 @@ from fleetlens.functions.paths import log_destination
 from fleetlens.plans.telemetry import Telemetry
 from fleetlens.session import tune
 
+# Schemas of the supplied files read so far, so that a file's footer is looked at once per process.
+_SCHEMAS: dict[str, StructType] = {}
+
 # 16 January 2024, 12:00 UTC, in the middle of the supplied events.
 RUN_END_MS = 1705406400000
 
@@ -53,13 +57,24 @@ def epoch_ms(ts: Column) -> Column:
 class Bindings:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[tuple[str, bool], DataFrame] = {}
 
     def raw(self, name: str, spread: bool = False) -> DataFrame:
         """A supplied table; ``spread`` deals a table of fewer scan tasks than cores out to all cores."""
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+        if (name, spread) not in self._tables:
+            self._tables[name, spread] = self._spread(name) if spread else self._read(name)
+        return self._tables[name, spread]
+
+    def _read(self, name: str) -> DataFrame:
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+    def _spread(self, name: str) -> DataFrame:
+        df, cores = self.raw(name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
     # -- runs -------------------------------------------------------------------------------------
 
@@ -80,7 +95,7 @@ class Bindings:
                 F.min("l_partkey").alias("part"),
                 F.min("l_suppkey").alias("supp"),
                 F.max("l_shipdate").alias("ship"),
-                F.max("l_returnflag").alias("flag"),
+                F.bool_or(F.col("l_returnflag") == "R").alias("failed"),
             )
             .select(
                 "run_id",
@@ -92,7 +107,7 @@ class Bindings:
                 F.when(started, F.concat(run.cast("string"), F.lit("-c"), slot.cast("string")))
                 .alias("cluster_id"),
                 F.when(started, run * 10 + slot).alias("spark_context_id"),
-                F.when(F.col("flag") == "R", "FAILED").otherwise("SUCCESS").alias("result_state"),
+                F.when(F.col("failed"), "FAILED").otherwise("SUCCESS").alias("result_state"),
                 epoch_ms(F.col("ship")).alias("end_time_ms"),
             )
         )
@@ -102,7 +117,7 @@ class Bindings:
         k, cust = F.col("k"), F.col("o_custkey")
         owner = (cust + k) % 4
         return (
-            self.raw("orders")
+            self.raw("orders", spread=True)
             .select("o_orderkey", "o_custkey", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
             .select(
                 F.col("o_orderkey").alias("run_id"),
