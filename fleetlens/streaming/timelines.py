@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens.sinks import Destination, deliver
+from fleetlens.functions.timefmt import iso_offset
+from fleetlens.operators.reports import info_documents
+from fleetlens.sinks import Destination, deliver, write_cluster_info
 from fleetlens.streaming.machine import run_machine
 
 BUCKETS = 8
@@ -109,6 +111,21 @@ def read_updates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def publish(
+    spark: SparkSession, updates_path: str, clusters: DataFrame, info_path: str,
+    sections: dict[str, DataFrame] | None = None,
+) -> None:
+    """Write the cluster-info documents of ``clusters(cluster_id, spark_context_id, writable)`` as the stream has
+    them now, with other ``sections`` (instances, volumes) if given; documents of other clusters stay."""
+    updates = read_updates(spark, updates_path).join(clusters.select("cluster_id"), "cluster_id", "left_semi")
+    spans = current_timelines(updates).select(
+        "cluster_id", "instance_id",
+        iso_offset(F.timestamp_micros("first_us")).alias("first_seen_running_time"),
+        iso_offset(F.timestamp_micros("last_us")).alias("last_seen_running_time"),
+    )
+    write_cluster_info(info_documents(clusters, {"instance_timelines": spans, **(sections or {})}), info_path)
+
+
 def start_monitor(
     polls: DataFrame,
     destination: Destination,

@@ -1,12 +1,14 @@
 """Lifetimes from polls against a literal state machine, in batch, step by step and as a stream."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.operators import instances as fl
+from fleetlens.sinks import read_cluster_info_items
 from fleetlens.streaming import timelines as tl
 from fleetlens.streaming.replay import replay
 
@@ -139,6 +141,19 @@ def test_monitor_goes_on_from_its_checkpoint_and_calls_a_function(spark, tmp_pat
     assert from_us(tl.current_timelines(spark.createDataFrame(got, schema))) == machine(polls, only_ok=True)
 
 
+def test_monitored_clusters_are_published_as_documents(spark, tmp_path):
+    rows = [("c", us, i, True, "RUNNING") for us, ids in ((1_000_000, ["a"]), (2_500_000, [])) for i in (None, *ids)]
+    spark.createDataFrame(rows, tl.POLL_SCHEMA).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(tl.POLL_SCHEMA).parquet(f"{tmp_path}/in")
+    tl.start_monitor(stream, tl.Destination("file", f"{tmp_path}/updates"), f"{tmp_path}/c").awaitTermination()
+    clusters = spark.createDataFrame([("c", 7, True)], "cluster_id string, spark_context_id bigint, writable boolean")
+    tl.publish(spark, f"{tmp_path}/updates", clusters, f"{tmp_path}/info")
+    got = read_cluster_info_items(spark, f"{tmp_path}/info").collect()
+    assert [(r.cluster_id, r.spark_context_id, r.section) for r in got] == [("c", 7, "instance_timelines")]
+    assert json.loads(got[0].item) == {"instance_id": "a", "first_seen_running_time": "1970-01-01T00:00:01+00:00",
+                                       "last_seen_running_time": "1970-01-01T00:00:01+00:00"}
+
+
 def test_late_polls_are_dropped_and_counted(spark, tmp_path):
     source = f"{tmp_path}/in"
     got = []
