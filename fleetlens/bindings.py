@@ -585,6 +585,12 @@ class Bindings:
             key.alias("recommendation_id"),
         )
 
+    @cached_property
+    def job_owner(self) -> DataFrame:
+        return self.raw("orders").select(
+            F.col("o_orderkey").alias("job_id"), tag("p", F.col("o_custkey")).alias("project_id")
+        )
+
     @cached_property
     def job_text(self) -> DataFrame:
         return self.job.select(F.to_json(F.struct("job_id", "settings")).alias("value"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.merge import parse_patch
+from fleetlens.functions.lookup import left_lookup
+from fleetlens.functions.merge import deep_merge, parse_patch
 from fleetlens.operators import jobs, recommend
 from fleetlens.plans.submit import recorded_clusters
 from fleetlens.plans.telemetry import Telemetry
@@ -34,6 +35,40 @@ def job_updates(job_rows: DataFrame, recommendations: DataFrame, requests: DataF
     )
 
 
+def recommended_jobs(job_rows: DataFrame, recommendations: DataFrame, requests: DataFrame) -> DataFrame:
+    """Whole jobs with a recommendation merged into the one cluster their tasks share.
+
+    ``requests(job_id, recommendation_id)``. Jobs that cannot be changed stay as they are, with ``error``.
+    """
+    kind = jobs.definition_type(job_rows)
+    asked = jobs.single_clusters(job_rows).join(requests.select("job_id", "recommendation_id"), "job_id")
+    rows = recommend.with_recommendation(asked, recommendations).withColumn(
+        "_patch", parse_patch(F.col("configuration"))
+    )
+    merged = jobs.recommended_definition(F.col("cluster"), kind, F.col("_patch"))
+    return _rewritten(rows, F.col("recommendation_error"), merged, keep_name=False)
+
+
+def project_jobs(job_rows: DataFrame, templates: DataFrame, requests: DataFrame) -> DataFrame:
+    """Whole jobs with a project's template merged into the one cluster their tasks share.
+
+    ``requests(job_id, project_id)``. Jobs that cannot be changed stay as they are, with ``error``.
+    """
+    kind = jobs.definition_type(job_rows)
+    asked = jobs.single_clusters(job_rows).join(requests.select("job_id", "project_id"), "job_id")
+    rows = left_lookup(
+        asked, templates.select("project_id", "template", parse_patch(F.col("template")).alias("_patch")), "project_id"
+    )
+    missing = F.when(F.col("template").isNull(), "no_template")
+    return _rewritten(rows, missing, deep_merge(F.col("cluster"), kind, F.col("_patch")), keep_name=True)
+
+
+def _rewritten(rows: DataFrame, problem: Column, merged: Column, keep_name: bool) -> DataFrame:
+    error = F.coalesce(F.col("cluster_error"), problem)
+    changed = rows.withColumn("error", error).withColumn("_new", F.when(F.col("error").isNull(), merged))
+    return jobs.rewrite_jobs(changed, "_new", keep_name).select("job_id", "settings", "error")
+
+
 def ready_recommendations(recommendations: DataFrame) -> DataFrame:
     """Per project the newest recommendation that is ready."""
     order = F.struct("created_at", "id")

@@ -504,21 +504,18 @@ def definition_vs_recommendation(b):
     )
 
 
-def _job_recommendations(b):
-    rows = rc.with_recommendation(
-        jb.single_clusters(b.job).withColumn("recommendation_id", F.col("job_id")), b.recommendation
-    )
-    kind = jb.definition_type(b.job)
-    merged = jb.recommended_definition(F.col("cluster"), kind, F.col("patch"))
-    return rows.withColumn("patch", mg.parse_patch(F.col("configuration"))).withColumn(
-        "merged", F.when(F.col("recommendation_error").isNull(), merged)
-    )
+def _job_part_rows(jobs):
+    return jb.job_parts(jobs).select("job_id", "section", "pos", "key", *_definition_columns("definition"))
 
 
 @query
 def rewritten_jobs(b):
-    rows = jb.job_parts(jb.rewrite_jobs(_job_recommendations(b), "merged"))
-    return rows.select("job_id", "section", "pos", "key", *_definition_columns("definition"))
+    return _job_part_rows(ap.recommended_jobs(b.job, b.recommendation, b.job_request))
+
+
+@query
+def project_jobs(b):
+    return _job_part_rows(ap.project_jobs(b.job, b.template, b.job_owner))
 
 
 @query

@@ -626,3 +626,23 @@ FROM items GROUP BY submission_id, section"""
 
 SQL["recommendation_first_final_stream"] = f"""
 SELECT * FROM ({SQL["recommendation_first_final"]}) WHERE outcome <> 'pending'"""
+
+SQL["project_jobs"] = """
+SELECT t.job_id, 'tasks' AS section, CAST(t.i AS INTEGER) AS pos, t.task_key AS key,
+       CASE WHEN t.inline THEN 'own' END AS cluster_name, t.node_type_id, t.num_workers,
+       CAST(NULL AS BIGINT) AS max_workers,
+       CASE WHEN t.here THEN m.tags WHEN NOT t.inline THEN NULL
+            WHEN t.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || t.project_id END AS tags,
+       CAST(NULL AS VARCHAR) AS policy_id, CAST(NULL AS VARCHAR) AS scripts, CASE WHEN t.here THEN m.log_url END AS log_url
+FROM (SELECT t.*, t.i = 0 AND m.usable AND m.task_cluster_key IS NULL AS here
+      FROM b_job_task t JOIN w_job_templated m ON m.job_id = t.job_id) t
+JOIN w_job_templated m ON m.job_id = t.job_id
+UNION ALL
+SELECT s.job_id, 'job_clusters',
+       CAST(row_number() OVER (PARTITION BY s.job_id ORDER BY s.here, s.pos) - 1 AS INTEGER), s.job_cluster_key,
+       s.cluster_name, s.node_type_id, s.num_workers, CAST(s.max_workers AS BIGINT),
+       CASE WHEN s.here THEN m.tags WHEN s.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || s.project_id END,
+       s.policy_id, s.scripts, CASE WHEN s.here THEN m.log_url END
+FROM (SELECT s.*, coalesce(m.usable AND m.task_cluster_key = s.job_cluster_key, false) AS here
+      FROM b_job_shared s JOIN w_job_templated m ON m.job_id = s.job_id) s
+JOIN w_job_templated m ON m.job_id = s.job_id"""

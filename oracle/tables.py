@@ -417,3 +417,12 @@ SELECT user_id AS cluster_id, event_id AS seq, epoch_us(ts) // 1000000 // 200 AS
        CASE event_type WHEN 'purchase' THEN 'TERMINATED' WHEN 'error' THEN 'RUNNING' ELSE 'TERMINATING' END AS state,
        CASE WHEN event_type = 'signup' AND event_id % 10 = 3 THEN '404' END AS error_code
 FROM events"""
+
+# What a project template makes of the cluster a job's tasks share.
+TABLES["w_job_templated"] = """
+SELECT s.job_id, s.inline, s.task_cluster_key, s.error IS NULL AND c.c_nationkey % 2 = 0 AS usable, s.cluster_name,
+       s.node_type_id, s.num_workers, s.max_workers, s.policy_id, s.scripts,
+       'owner=o' || (c.c_custkey % 25) || ';sync:project-id=p' || c.c_custkey
+         || CASE WHEN s.project_id IS NULL THEN ';team=x' ELSE '' END AS tags,
+       'dbfs:/new' || (c.c_custkey % 25) AS log_url
+FROM w_job_single s JOIN orders o ON o.o_orderkey = s.job_id JOIN customer c ON c.c_custkey = o.o_custkey"""
