@@ -20,17 +20,23 @@ def day_block(ts: Column) -> Column:
 
 
 def number_block(position: Column, size: int) -> Column:
-    return F.floor(position / F.lit(size))
+    """Blocks of ``size`` whole numbers, each named by its first one."""
+    return position - position % F.lit(size)
 
 
 def running_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, out: str, total: str | None = None
 ) -> DataFrame:
-    """Number the rows of each key from 1 in ``order``; ``block`` must not decrease along ``order``."""
+    """Number the rows of each key from 1 in ``order``; ``block`` must not decrease along ``order``.
+
+    ``total`` names a column for the number of rows of the key.
+    """
     df = df.withColumn(_BLOCK, block)
     sizes = df.groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, _BLOCK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    totals = [F.sum("_n").over(W.partitionBy(*keys)).alias(total)] if total else []
+    offsets = sizes.select(*keys, _BLOCK, offset, *totals)
     within = W.partitionBy(*keys, _BLOCK).orderBy(*order)
     return (
         df.withColumn("_local", F.row_number().over(within))

@@ -74,9 +74,9 @@ def fleet_counts(instances: DataFrame, cluster_volumes: DataFrame) -> DataFrame:
 
 
 def number_polls(polls: DataFrame) -> DataFrame:
-    """Distinct (cluster, poll time) with the poll's number within its cluster."""
+    """Distinct (cluster, poll time) with the poll's number within its cluster and the number of the last one."""
     times = polls.select("cluster_id", "poll_ts").distinct()
-    return running_number(times, ["cluster_id"], ["poll_ts"], day_block(F.col("poll_ts")), "seq")
+    return running_number(times, ["cluster_id"], ["poll_ts"], day_block(F.col("poll_ts")), "seq", total="last_seq")
 
 
 def instance_timelines(polls: DataFrame, observations: DataFrame) -> DataFrame:
@@ -104,22 +104,23 @@ def instance_timelines(polls: DataFrame, observations: DataFrame) -> DataFrame:
         .agg(
             F.min("seq").alias("_from"), F.max("seq").alias("_to"),
             F.min("poll_ts").alias("_first"), F.max("poll_ts").alias("_last"),
+            F.bool_or(F.col("seq") == F.col("last_seq")).alias("_active"),
         )
     )
     at_edge = (F.col("_from") % POLL_BLOCK == 0) | (F.col("_to") % POLL_BLOCK == POLL_BLOCK - 1)
     alone = F.when(~at_edge, F.col("_from"))
     chain = W.partitionBy(*instance, "_alone").orderBy("_from")
     opens = F.when(F.col("_from") == F.lag("_to").over(chain) + 1, 0).otherwise(1)
-    joined = (
+    return (
         runs.withColumn("_alone", alone)
         .withColumn("_opens", opens)
         .withColumn("_nr", F.sum("_opens").over(chain.rowsBetween(W.unboundedPreceding, W.currentRow)))
         .groupBy(*instance, "_alone", "_nr")
-        .agg(F.min("_first").alias("first_seen"), F.max("_last").alias("last_seen"))
-    )
-    newest = polls.groupBy("cluster_id").agg(F.max("poll_ts").alias("_newest"))
-    return joined.join(newest, "cluster_id").select(
-        *instance, "first_seen", "last_seen", (F.col("last_seen") == F.col("_newest")).alias("is_active")
+        .agg(
+            F.min("_first").alias("first_seen"), F.max("_last").alias("last_seen"),
+            F.bool_or("_active").alias("is_active"),
+        )
+        .select(*instance, "first_seen", "last_seen", "is_active")
     )
 
 
