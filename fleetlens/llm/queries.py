@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, chat, hosts, mixing, quality
+from fleetlens.llm import bpe, chat, hosts, jaccard, mixing, quality, suffixes
 from fleetlens.llm.common import materialize, n_words, read_table, small_batches
+from fleetlens.llm.idfilter import passing
 from fleetlens.llm.sql import ORACLE  # noqa: F401
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -49,6 +50,12 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("targets").cast("long").alias("loss_chars"), F.sha2("targets", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark, 1000)
+    found = jaccard.classes(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
 def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's labelled outcome is the label of the document of the same id: bad if of low quality or toxic."""
     pages = read_table(spark, sf_dir, "pages", "page_id", "url")
@@ -58,10 +65,30 @@ def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(pages, outcomes, URL_RULES, most_bad=0.3).drop("url")
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only rows that lose some of their bytes need their text again; digests of the others are known."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = materialize(suffixes.repeated_spans(docs), "suffix-spans").withColumn("n_removed", suffixes.covered(F.col("spans")))
+    cut = found.where("0 < n_removed AND n_removed < n_bytes")
+    may = passing(cut, "doc_id")
+    key = [F.coalesce("doc_id", F.lit(suffixes.FIRST_ID)).alias("_id"), F.col("code").alias("_code")]
+    texts = docs.where(F.col("doc_id").isNull() | may(F.col("doc_id"))).withColumn("code", F.xxhash64(F.coalesce("text", F.lit(""))))
+    small_batches(spark)
+    digests = texts.select(*key, "text").join(cut.select(*key, "spans"), ["_id", "_code"]).select(
+        "_id", "_code", F.sha2(suffixes.remaining(F.col("text"), F.col("spans")), 256).alias("_kept")).dropDuplicates(["_id", "_code"])
+    at = (F.coalesce("doc_id", F.lit(suffixes.FIRST_ID)) == F.col("_id")) & (F.col("code") == F.col("_code"))
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    kept = F.when(F.col("n_removed") == 0, F.col("digest")).when(F.col("n_removed") == F.col("n_bytes"), empty).otherwise(F.col("_kept"))
+    return found.join(digests, at, "left").select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), kept.alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
     "op5_quality": op5_quality,
     "op7_chat": op7_chat,
+    "op8_jaccard": op8_jaccard,
     "op9_hosts": op9_hosts,
+    "op10_suffixes": op10_suffixes,
 }
