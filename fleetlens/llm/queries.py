@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, chat, hosts, jaccard, language, mixing, quality, suffixes
+from fleetlens.llm import bpe, chat, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
 from fleetlens.llm.common import materialize, n_words, read_table, small_batches
 from fleetlens.llm.idfilter import passing
 from fleetlens.llm.sql import ORACLE  # noqa: F401
 
 RANKS = "byte_bpe_50k.tiktoken"
+# The key of the queries' surrogates; real runs pass a secret of their own.
+PII_KEY = "registered-queries"
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
@@ -33,6 +35,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized, F.col("size")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole texts with their personal data and secrets replaced."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY).select("doc_id", "text", "n_entities")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality.ledger(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return entries.select(
@@ -95,6 +107,8 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
+    "op3_neighbours": op3_neighbours,
+    "op4_pii": op4_pii,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op7_chat": op7_chat,
