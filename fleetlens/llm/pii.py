@@ -48,7 +48,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:sk|pk|ghp|gho|xox[bp])[-_][0-9A-Za-z_-]{16,200}",
-    "hex": r"(?<![0-9A-Za-z])[0-9a-f]{32,128}(?![0-9A-Za-z])",
+    "hex": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
     "secret": r"(?i:(?<=(?:password|passwd|secret|token|api_key|apikey) {0,3}[=:] {0,3}[\"']?))(?![\"'])[^\s\"',;]{6,200}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
