@@ -83,7 +83,7 @@ def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = F.greatest(1 - F.col("quality"), F.col("toxic"))
     labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").groupBy("doc_id").agg(F.max(bad).alias("bad"))
     outcomes = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", "bad")
-    return hosts.judge(pages, outcomes, URL_RULES, most_bad=0.3).drop("url")
+    return hosts.judge(pages, outcomes, URL_RULES, most_bad=0.3).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
