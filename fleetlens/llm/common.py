@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +38,16 @@ def small_batches(spark: SparkSession, rows: int = TEXTS_PER_BATCH) -> None:
 def n_words(text: Column) -> Column:
     """Number of words; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def gathered(batches: Iterator[pd.DataFrame], rows: int = 8192) -> Iterator[pd.DataFrame]:
+    """The same rows in batches of at least ``rows``, for work that is vectorized over short rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import WORD, materialize
+from fleetlens.llm.common import WORD, gathered, materialize
 from fleetlens.llm.components import connected
 from fleetlens.llm.idfilter import passing
 from fleetlens.llm.shingles import U64, mix, set_key, shingles
@@ -169,7 +169,7 @@ def _split_or_compare(last: bool):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         node, held, large, out = None, [], False, []
-        for rows in batches:
+        for rows in gathered(batches):
             # Rows alone in their bucket within the batch need no look, but for the batch's ends.
             nodes = rows["node"].to_numpy()
             same = nodes[1:] == nodes[:-1]
