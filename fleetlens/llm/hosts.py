@@ -123,20 +123,20 @@ def judge(
     """
     levels = reputations(outcomes.select(host_of(F.col(url)).alias("host"), "bad"))
     named = ["host", "path", "rule", "verdict", "bad_rate", "bad_rate_low"]
-    rows = pages.drop(*[c for c in named if c != url]).withColumns({"_host": host_of(F.col(url)), "_path": path_of(F.col(url))})
+    rows = pages.drop(*[c for c in named if c != url]).withColumns({"__llm_host": host_of(F.col(url)), "__llm_path": path_of(F.col(url))})
     # A row per host, not per page, meets the reputations.
-    hosts = rows.select("_host").distinct().withColumns(
-        {"_domain": domain_of(F.col("_host")), "_suffix": suffix_of(F.col("_host")), "_everything": F.lit(0)})
+    hosts = rows.select("__llm_host").distinct().withColumns(
+        {"__llm_domain": domain_of(F.col("__llm_host")), "__llm_suffix": suffix_of(F.col("__llm_host")), "__llm_everything": F.lit(0)})
     for level in ("host", "domain", "suffix", "everything"):
         side = levels[level].select(
-            F.col(level).alias(f"_{level}"), F.struct("mean", "weight").alias(f"_at_{level}"))
-        hosts = hosts.join(side, f"_{level}", "left")
+            F.col(level).alias(f"__llm_{level}"), F.struct("mean", "weight").alias(f"_at_{level}"))
+        hosts = hosts.join(side, f"__llm_{level}", "left")
     best = F.coalesce("_at_host", "_at_domain", "_at_suffix", "_at_everything")
-    judged = hosts.select("_host", best.alias("_best")).select(
-        "_host", F.col("_best.mean").alias("bad_rate"), lower_bound(F.col("_best.mean"), F.col("_best.weight"), z).alias("bad_rate_low"))
-    rule, decision = longest_rule(F.col("_host"), F.col("_path"), rules)
+    judged = hosts.select("__llm_host", best.alias("_best")).select(
+        "__llm_host", F.col("_best.mean").alias("bad_rate"), lower_bound(F.col("_best.mean"), F.col("_best.weight"), z).alias("bad_rate_low"))
+    rule, decision = longest_rule(F.col("__llm_host"), F.col("__llm_path"), rules)
     method = F.when(F.col("bad_rate_low") > most_bad, F.lit("block")).otherwise(F.lit("allow"))
     kept = [c for c in pages.columns if c not in named or c == url]
-    return rows.join(judged, "_host", "left").select(
-        *kept, F.col("_host").alias("host"), F.col("_path").alias("path"), rule.alias("rule"),
+    return rows.join(judged, "__llm_host", "left").select(
+        *kept, F.col("__llm_host").alias("host"), F.col("__llm_path").alias("path"), rule.alias("rule"),
         F.coalesce(decision, method).alias("verdict"), "bad_rate", "bad_rate_low")

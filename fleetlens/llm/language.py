@@ -183,9 +183,9 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
             best = p.argmax(1)
             yield pd.DataFrame({"lang": [m.languages[b] for b in best], "score": p.max(1)})
 
-    scored = df.withColumn("_p", run(F.when(known, F.lower(F.col(text)).cast("binary")))).withColumn("_known", known)
-    score = F.when(F.col("_known"), F.col("_p.score")).otherwise(0.0)
+    scored = df.withColumn("__llm_p", run(F.when(known, F.lower(F.col(text)).cast("binary")))).withColumn("__llm_known", known)
+    score = F.when(F.col("__llm_known"), F.col("__llm_p.score")).otherwise(0.0)
     return scored.withColumns({
-        "lang_pred": F.when(F.col("_known"), F.col("_p.lang")).otherwise(UNKNOWN), "score": score,
-        "rejected": ~F.col("_known") | (score < model.least),
-    }).drop("_p", "_known")
+        "lang_pred": F.when(F.col("__llm_known"), F.col("__llm_p.lang")).otherwise(UNKNOWN), "score": score,
+        "rejected": ~F.col("__llm_known") | (score < model.least),
+    }).drop("__llm_p", "__llm_known")

@@ -103,35 +103,35 @@ def mix(
     in_order = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, 0)
     cut_range = (
         ranges.withColumn("_end", F.sum("_sum").over(in_order)).withColumn("before", F.col("_end") - F.col("_sum"))
-        .withColumnRenamed("source", "_source")
-        .join(targets, F.col("_source").eqNullSafe(F.col("source")))
+        .withColumnRenamed("source", "__llm_source")
+        .join(targets, F.col("__llm_source").eqNullSafe(F.col("source")))
         .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("_end")))
-        .select(F.col("_source"), F.col("range").alias("_range"), "before", "rest")
+        .select(F.col("__llm_source"), F.col("range").alias("_range"), "before", "rest")
     )
     # The row that holds it: the first whose prefix sum passes the rest.
-    by_key = W.partitionBy("_source", "_range").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, 0)
+    by_key = W.partitionBy("__llm_source", "_range").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, 0)
     words = F.col("size") * F.col("n")
     cut = (
-        slim.join(cut_range, F.col("source").eqNullSafe(F.col("_source")) & (at == F.col("_range")))
-        .groupBy("_source", "_range", "before", "rest", "key", "id", "size").agg(F.count(F.lit(1)).alias("n"))
+        slim.join(cut_range, F.col("source").eqNullSafe(F.col("__llm_source")) & (at == F.col("_range")))
+        .groupBy("__llm_source", "_range", "before", "rest", "key", "id", "size").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_end", F.sum(words).over(by_key) + F.col("before"))
         .where((F.col("_end") - words <= F.col("rest")) & (F.col("rest") < F.col("_end")))
-        .select("_source", F.struct("key", "id", "size").alias("_cut"),
-                F.floor((F.col("rest") - F.col("_end") + words) / F.col("n")).cast("long").alias("_left"))
+        .select("__llm_source", F.struct("key", "id", "size").alias("__llm_cut"),
+                F.floor((F.col("rest") - F.col("_end") + words) / F.col("n")).cast("long").alias("__llm_left"))
     )
-    decided = targets.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left").select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
-        F.col("epochs").alias("_epochs"), "_cut", "_left")
-
-    here = F.struct(F.col("_key").alias("key"), F.col(row_id).alias("id"), F.col("_size").alias("size"))
-    extra = F.when(F.col("_cut").isNull(), 0).when(here < F.col("_cut"), F.col("_size")).when(
-        here == F.col("_cut"), F.col("_left")).otherwise(0)
-    rows = df.withColumns({"_size": F.coalesce(size.cast("long"), F.lit(0)), "_key": key_of(F.col(row_id), seed)})
+    decided = targets.join(cut, F.col("source").eqNullSafe(F.col("__llm_source")), "left").select(
+        F.col("source").alias("__llm_source"), F.col("source_size").alias("__llm_source_size"), F.col("target").alias("__llm_target"),
+        F.col("epochs").alias("__llm_epochs"), "__llm_cut", "__llm_left")
+
+    here = F.struct(F.col("__llm_key").alias("key"), F.col(row_id).alias("id"), F.col("__llm_size").alias("size"))
+    extra = F.when(F.col("__llm_cut").isNull(), 0).when(here < F.col("__llm_cut"), F.col("__llm_size")).when(
+        here == F.col("__llm_cut"), F.col("__llm_left")).otherwise(0)
+    rows = df.withColumns({"__llm_size": F.coalesce(size.cast("long"), F.lit(0)), "__llm_key": key_of(F.col(row_id), seed)})
     added = ["size", "source_size", "target", "taken"]
     return (
-        rows.join(decided, F.col(source).eqNullSafe(F.col("_source")), "left")
-        .withColumn("_taken", F.col("_epochs") * F.col("_size") + extra)
-        .select(*[c for c in df.columns if c not in added], *[F.col(f"_{c}").alias(c) for c in added])
+        rows.join(decided, F.col(source).eqNullSafe(F.col("__llm_source")), "left")
+        .withColumn("__llm_taken", F.col("__llm_epochs") * F.col("__llm_size") + extra)
+        .select(*[c for c in df.columns if c not in added], *[F.col(f"__llm_{c}").alias(c) for c in added])
     )
 
 
@@ -141,8 +141,8 @@ def repeated(mixed: DataFrame, text: str = "text") -> DataFrame:
     Expects the columns of ``mix``; a cut text keeps its first words with the white space before them.
     """
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    rows = mixed.where("taken > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), times)))
-    left = F.col("taken") - (F.col("_epoch") - 1) * F.col("size")
+    rows = mixed.where("taken > 0").withColumn("__llm_epoch", F.explode(F.sequence(F.lit(1), times)))
+    left = F.col("taken") - (F.col("__llm_epoch") - 1) * F.col("size")
     words = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.array_join(F.slice(words, F.lit(1), left.cast("int")), "")
-    return rows.withColumn(text, F.when(left < F.col("size"), cut).otherwise(F.col(text))).drop("_epoch")
+    return rows.withColumn(text, F.when(left < F.col("size"), cut).otherwise(F.col(text))).drop("__llm_epoch")

@@ -263,22 +263,22 @@ def pseudonymize(df: DataFrame, key: str, row_id: str = "doc_id", text: str = "t
     """Replace all mentions in ``text``; adds ``n_entities``, the number of mentions replaced."""
     at = F.struct(F.col(row_id).alias("id"), F.xxhash64(text).alias("hash"))
     found = materialize(
-        df.where(maybe(F.col(text))).select(at.alias("_at"), F.explode(F.array_distinct(mentions_of(F.col(text)))).alias("mention"))
-        .select("_at", F.explode(units_of(F.col("mention"))).alias("u")).select("_at", "u.*").where("kind <> 'title'"), "pii-mentions")
+        df.where(maybe(F.col(text))).select(at.alias("__llm_at"), F.explode(F.array_distinct(mentions_of(F.col(text)))).alias("mention"))
+        .select("__llm_at", F.explode(units_of(F.col("mention"))).alias("u")).select("__llm_at", "u.*").where("kind <> 'title'"), "pii-mentions")
     tried = attempts(found.select("kind", "norm").distinct(), key).where("attempt > 0").withColumnsRenamed({"kind": "_kind", "norm": "_norm"})
     name = lambda kind, norm: F.concat_ws("\x1f", kind, norm)
     # Rows with units that had to draw again: their attempts. Mostly empty, and then small enough for Spark to broadcast.
-    special = found.join(tried, (F.col("kind") == F.col("_kind")) & (F.col("norm") == F.col("_norm"))).groupBy("_at").agg(
-        F.map_from_entries(F.collect_set(F.struct(name(F.col("kind"), F.col("norm")), "attempt"))).alias("_tried"))
-    special = materialize(special.withColumnRenamed("_at", "_special"), "pii-special")
+    special = found.join(tried, (F.col("kind") == F.col("_kind")) & (F.col("norm") == F.col("_norm"))).groupBy("__llm_at").agg(
+        F.map_from_entries(F.collect_set(F.struct(name(F.col("kind"), F.col("norm")), "attempt"))).alias("__llm_tried"))
+    special = materialize(special.withColumnRenamed("__llm_at", "__llm_special"), "pii-special")
 
-    rows = df.withColumn("_at", at).join(special, F.col("_at") == F.col("_special"), "left")
+    rows = df.withColumn("__llm_at", at).join(special, F.col("__llm_at") == F.col("__llm_special"), "left")
     mentions = F.when(maybe(F.col(text)), mentions_of(F.col(text))).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("_found", mentions)
-    attempt_of = lambda kind, norm: F.coalesce(F.try_element_at(F.col("_tried"), name(kind, norm)), F.lit(0))
-    rows = rows.withColumn("_new", F.transform("_found", lambda m: replacement(m, attempt_of, key)))
+    rows = rows.withColumn("__llm_found", mentions)
+    attempt_of = lambda kind, norm: F.coalesce(F.try_element_at(F.col("__llm_tried"), name(kind, norm)), F.lit(0))
+    rows = rows.withColumn("__llm_new", F.transform("__llm_found", lambda m: replacement(m, attempt_of, key)))
     between = F.split(F.col(text), ANY, -1)
-    whole = F.array_join(F.zip_with(between, F.col("_new"), lambda b, s: F.concat(b, F.coalesce(s, F.lit("")))), "")
+    whole = F.array_join(F.zip_with(between, F.col("__llm_new"), lambda b, s: F.concat(b, F.coalesce(s, F.lit("")))), "")
     others = [c for c in df.columns if c not in (text, "n_entities")]
-    return rows.select(*others, F.when(F.size("_found") > 0, whole).otherwise(F.col(text)).alias(text),
-                       F.size("_found").cast("long").alias("n_entities"))
+    return rows.select(*others, F.when(F.size("__llm_found") > 0, whole).otherwise(F.col(text)).alias(text),
+                       F.size("__llm_found").cast("long").alias("n_entities"))

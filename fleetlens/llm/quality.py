@@ -75,43 +75,43 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda line: line.rlike(WORD))
     df = df.withColumns({
-        "_words": F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)),
-        "_lines": lines,
+        "__llm_words": F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)),
+        "__llm_lines": lines,
         "word_chars": F.length(F.translate(t, BLANKS, "")).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
         "n_upper": F.length(F.regexp_replace(t, r"\P{Lu}+", "")).cast("long"),
         "n_chars": F.length(t).cast("long"),
     })
     df = df.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_n": F.greatest(F.size("_words") - (WINDOW - 1), F.lit(0)),
+        "n_words": F.size("__llm_words").cast("long"),
+        "n_lines": F.size("__llm_lines").cast("long"),
+        "n_dup_lines": (F.size("__llm_lines") - F.size(F.array_distinct("__llm_lines"))).cast("long"),
+        "__llm_n": F.greatest(F.size("__llm_words") - (WINDOW - 1), F.lit(0)),
     })
-    parts = [_shifted(F.col("_words"), k, F.col("_n")) for k in range(WINDOW)]
-    df = df.withColumn("_windows", F.transform(F.arrays_zip(*parts), lambda s: F.xxhash64(s)))
-    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    parts = [_shifted(F.col("__llm_words"), k, F.col("__llm_n")) for k in range(WINDOW)]
+    df = df.withColumn("__llm_windows", F.transform(F.arrays_zip(*parts), lambda s: F.xxhash64(s)))
+    repeats = F.size(F.array_distinct("__llm_windows")) < F.size("__llm_windows")
     # (hash, place), sorted; only for texts that hold a repeat
     places = F.when(repeats, F.array_sort(F.arrays_zip(
-        F.col("_windows").alias("h"), F.sequence(F.lit(0), F.col("_n") - 1).alias("i"))))
-    df = df.withColumn("_sorted", places)
-    hashes = F.transform(F.col("_sorted"), lambda s: s["h"])
-    df = df.withColumn("_hashes", hashes)
+        F.col("__llm_windows").alias("h"), F.sequence(F.lit(0), F.col("__llm_n") - 1).alias("i"))))
+    df = df.withColumn("__llm_sorted", places)
+    hashes = F.transform(F.col("__llm_sorted"), lambda s: s["h"])
+    df = df.withColumn("__llm_hashes", hashes)
     none = F.array(F.lit(None).cast("long"))
     neighbours = F.arrays_zip(
-        F.col("_sorted").alias("s"),
-        F.concat(none, F.slice("_hashes", F.lit(1), F.size("_hashes") - 1)).alias("before"),
-        F.concat(F.slice("_hashes", F.lit(2), F.size("_hashes")), none).alias("after"),
+        F.col("__llm_sorted").alias("s"),
+        F.concat(none, F.slice("__llm_hashes", F.lit(1), F.size("__llm_hashes") - 1)).alias("before"),
+        F.concat(F.slice("__llm_hashes", F.lit(2), F.size("__llm_hashes")), none).alias("after"),
     )
     again = F.filter(neighbours, lambda x: x["s"]["h"].eqNullSafe(x["before"]) | x["s"]["h"].eqNullSafe(x["after"]))
-    df = df.withColumn("_places", F.sort_array(F.transform(again, lambda x: x["s"]["i"])))
+    df = df.withColumn("__llm_places", F.sort_array(F.transform(again, lambda x: x["s"]["i"])))
     # Each repeated window covers its words up to the next one's first word.
     gaps = F.zip_with(
-        F.col("_places"), F.slice("_places", F.lit(2), F.size("_places")),
+        F.col("__llm_places"), F.slice("__llm_places", F.lit(2), F.size("__llm_places")),
         lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))))
     covered = F.aggregate(gaps, F.lit(0), lambda acc, g: acc + g)
     df = df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
-    return df.drop("_words", "_lines", "_n", "_windows", "_sorted", "_hashes", "_places")
+    return df.drop("__llm_words", "__llm_lines", "__llm_n", "__llm_windows", "__llm_sorted", "__llm_hashes", "__llm_places")
 
 
 def ledger(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -129,9 +129,9 @@ def rejected(policy: str | Sequence[str], rules: Sequence[Rule] = RULES, failure
 
 def keep(df: DataFrame, policy: str | Sequence[str], text: str = "text") -> DataFrame:
     """The rows that the policy keeps, with the columns of ``df``."""
-    marked = ledger(df.withColumn("_row", F.struct(*df.columns)), text)
+    marked = ledger(df.withColumn("__llm_row", F.struct(*df.columns)), text)
     # A filter would be pushed below the measurements and compute them again; a generator is not.
-    return marked.select(F.inline(F.when(~rejected(policy), F.array("_row"))))
+    return marked.select(F.inline(F.when(~rejected(policy), F.array("__llm_row"))))
 
 
 def ablations(entries: DataFrame, policy: str | Sequence[str], rules: Sequence[Rule] = RULES) -> DataFrame:
