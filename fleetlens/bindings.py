@@ -58,13 +58,13 @@ class Bindings:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir.rstrip("/")
-        self._tables: dict[tuple[str, bool], DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
-    def raw(self, name: str, spread: bool = False) -> DataFrame:
-        """A supplied table; ``spread`` deals a table of fewer scan tasks than cores out to all cores."""
-        if (name, spread) not in self._tables:
-            self._tables[name, spread] = self._spread(name) if spread else self._read(name)
-        return self._tables[name, spread]
+    def raw(self, name: str) -> DataFrame:
+        """A supplied table."""
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
 
     def _read(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
@@ -72,10 +72,6 @@ class Bindings:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
-    def _spread(self, name: str) -> DataFrame:
-        df, cores = self.raw(name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     # -- runs -------------------------------------------------------------------------------------
 
     @cached_property
@@ -117,7 +113,7 @@ class Bindings:
         k, cust = F.col("k"), F.col("o_custkey")
         owner = (cust + k) % 4
         return (
-            self.raw("orders", spread=True)
+            self.raw("orders")
             .select("o_orderkey", "o_custkey", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
             .select(
                 F.col("o_orderkey").alias("run_id"),
@@ -137,6 +133,13 @@ class Bindings:
             F.when(run % 2 == 0, tag("job_clusters/k", run % 3)).alias("cluster_path"),
         )
 
+    @cached_property
+    def run(self) -> DataFrame:
+        """Runs and their jobs: the runs of a customer are runs of the job of the first of them."""
+        orders = self.raw("orders")
+        first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("job_id"))
+        return orders.join(first, "o_custkey").select(F.col("o_orderkey").alias("run_id"), "job_id")
+
     # -- projects, submissions, recommendations ---------------------------------------------------
 
     @cached_property
@@ -185,7 +188,7 @@ class Bindings:
             '"init_scripts":["s%d"]%s}',
             key % 7, key % 8, key, key % 3, F.when(key % 9 == 0, ',"policy_id":null').otherwise(""),
         )
-        return self.raw("orders", spread=True).select(
+        return self.raw("orders").select(
             key.alias("id"),
             tag("p", F.col("o_custkey")).alias("project_id"),
             epoch_ms(F.col("o_orderdate")).alias("created_at"),
@@ -571,12 +574,36 @@ class Bindings:
         tasks = F.when(count > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), task)).otherwise(
             F.transform(F.array().cast("array<bigint>"), task)
         )
-        return self.raw("orders", spread=True).select(
+        return self.raw("orders").select(
             job.alias("job_id"),
             F.struct(tag("job", job).alias("name"), tasks.alias("tasks"),
                      self._job_clusters().alias("job_clusters")).alias("settings"),
         )
 
+    @cached_property
+    def whole_document(self) -> DataFrame:
+        """Cluster definitions and configurations as JSON texts with keys beyond the typed definition."""
+        k = F.col("o_orderkey")
+
+        def text(*parts: Column | str) -> Column:
+            return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+        number = lambda n: (k % n).cast("string")
+        base = text(
+            '{"node_type_id":"n', number(5), '","num_workers":3,"autoscale":null,"data_security_mode":"M', number(3),
+            '","aws_attributes":{"zone_id":"z', number(4), '","instance_profile_arn":"arn', number(11),
+            '","deep":{"a":{"b":', number(6), '}}},"init_scripts":[{"workspace":{"destination":"w', number(5),
+            '"}}],"custom_tags":{"a":"1"}}',
+        )
+        patch = text(
+            '{"node_type_id":"m', number(7), '","autoscale":{"max_workers":', number(9), '},"aws_attributes":{"ebs_volume_size":',
+            number(8), ',"deep":{"a":{"c":[', number(2), ']}}},"docker_image":{"url":"u', number(6),
+            '"},"init_scripts":[{"s3":{"destination":"s', number(3), '"}}]',
+            F.when(k % 5 == 0, ',"custom_tags":null}').otherwise(',"custom_tags":{"b":"2"}}'),
+        )
+        return self.raw("orders").select(
+            k.alias("job_id"), base.alias("definition"), F.when(k % 13 != 0, patch).alias("configuration"))
+
     @cached_property
     def job_request(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -651,7 +678,7 @@ class Bindings:
     @cached_property
     def _run_slot(self) -> DataFrame:
         slots = F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(3)]))
-        return self.raw("orders", spread=True).select("o_orderkey", "o_custkey", slots.alias("k")).withColumn(
+        return self.raw("orders").select("o_orderkey", "o_custkey", slots.alias("k")).withColumn(
             "cluster_id", F.concat(F.col("o_orderkey").cast("string"), tag("-c", F.col("k")))
         )
 
@@ -753,6 +780,6 @@ class Bindings:
         return Telemetry(
             tasks=self.task, job_clusters=self.job_cluster, projects=self.project, clusters=self.run_cluster,
             cluster_states=self.run_cluster_state, info_headers=self.info_header, info_items=self.info_item,
-            cluster_events=self.run_cluster_event, listing=self.listing, jobs=self.job,
+            cluster_events=self.run_cluster_event, listing=self.listing, jobs=self.job, runs=self.run,
             recommendations=self.recommendation,
         )

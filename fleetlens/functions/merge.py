@@ -38,6 +38,42 @@ def unknown_keys(patch: Column, schema: T.StructType) -> Column:
                           F.array(*[F.lit(n) for n in schema.names]))
 
 
+def merge_documents(base: Column, patch: Column, depth: int = 16) -> Column:
+    """Apply a patch to a whole document, both VARIANT, without a schema: keys unknown to any schema survive at every level.
+
+    Objects merge key by key, arrays are concatenated (base first), anything else is replaced; an explicit null replaces, too. Below
+    ``depth`` nested objects the patch's value replaces the base's. A SQL NULL patch changes nothing.
+    """
+    return F.when(patch.isNull(), base).when(base.isNull(), patch).otherwise(_merged_value(base, patch, depth))
+
+
+def _merged_value(base: Column, patch: Column, depth: int) -> Column:
+    if depth == 0:
+        return patch
+    old, new = (F.try_variant_get(v, "$", "map<string,variant>") for v in (base, patch))
+    first, second = (F.try_variant_get(v, "$", "array<variant>") for v in (base, patch))
+    both = F.map_zip_with(
+        old, new,
+        lambda key, a, b: F.when(
+            F.map_contains_key(new, key) & F.map_contains_key(old, key), _merged_value(a, b, depth - 1)
+        ).when(F.map_contains_key(new, key), b).otherwise(a),
+    )
+    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
+    is_array = lambda v: F.schema_of_variant(v).startswith("ARRAY")
+    return (
+        F.when(is_object(base) & is_object(patch), F.to_variant_object(both))
+        .when(is_array(base) & is_array(patch), F.to_variant_object(F.concat(first, second)))
+        .otherwise(patch)
+    )
+
+
+def without_keys(document: Column, *keys: str) -> Column:
+    """A VARIANT object without the given top-level keys; other values stay as they are."""
+    members = F.try_variant_get(document, "$", "map<string,variant>")
+    kept = F.map_filter(members, lambda key, value: ~key.isin(*keys))
+    return F.when(members.isNull(), document).otherwise(F.to_variant_object(kept))
+
+
 def _member(path: str, name: str) -> str:
     return f"{path}['{name}']"
 

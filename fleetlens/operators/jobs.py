@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlens import constants as K
-from fleetlens.functions.merge import deep_merge
+from fleetlens.functions.merge import deep_merge, merge_documents, without_keys
 from fleetlens.functions.status import is_blank, is_empty_struct
 from fleetlens.functions.unnest import unnest
 
@@ -130,6 +130,11 @@ def recommended_definition(cluster: Column, kind: T.StructType, configuration: C
     return F.when(cluster.isNotNull(), deep_merge(bare, kind, configuration))
 
 
+def recommended_document(cluster: Column, configuration: Column) -> Column:
+    """As :func:`recommended_definition`, for whole documents (VARIANT): keys outside the typed definition are kept."""
+    return F.when(cluster.isNotNull(), merge_documents(without_keys(cluster, "num_workers", "autoscale"), configuration))
+
+
 def rewrite_jobs(jobs: DataFrame, definition: str, keep_name: bool = False) -> DataFrame:
     """Put the new ``definition`` where the job's shared cluster was (see :func:`single_clusters`).
 
@@ -148,9 +153,10 @@ def rewrite_jobs(jobs: DataFrame, definition: str, keep_name: bool = False) -> D
     )
     usable = F.col(definition).isNotNull()
     shared = usable & key.isNotNull()
+    appended = F.when(F.col(_CLUSTERS).isNull(), F.array(entry)).otherwise(F.concat(kept, F.array(entry)))
     settings = (
         F.col("settings")
-        .withField("job_clusters", F.when(shared, F.concat(kept, F.array(entry))).otherwise(F.col(_CLUSTERS)))
+        .withField("job_clusters", F.when(shared, appended).otherwise(F.col(_CLUSTERS)))
         .withField("tasks", F.when(usable & ~shared, first_replaced).otherwise(F.col(_TASKS)))
     )
     return jobs.withColumn("settings", settings)

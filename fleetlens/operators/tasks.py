@@ -156,7 +156,7 @@ def select_project_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def locate_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
-    """The one cluster of each request by the same rules: run_id, requested_project, project_id, cluster_id.
+    """The one cluster of each request by the same rules: run_id, requested_project, requested_path, project_id, cluster_id.
 
     Every request gives one row; a request without project has a cluster only if a single one is selected.
     """
@@ -174,6 +174,7 @@ def locate_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
     return rows.select(
         "run_id",
         F.col("_want").alias("requested_project"),
+        F.col("_at").alias("requested_path"),
         F.when(free, F.when(single, F.col("_free_project"))).otherwise(F.col("_want")).alias("project_id"),
         F.when(free, F.when(single, F.col("_free_pick"))).otherwise(_picked()).alias("cluster_id"),
     )

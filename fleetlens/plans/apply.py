@@ -79,9 +79,9 @@ def ready_recommendations(recommendations: DataFrame) -> DataFrame:
 
 
 def handled_runs(t: Telemetry, requests: DataFrame) -> DataFrame:
-    """Record runs, then update the jobs of submitted projects that ask for it with their newest ready
+    """Record runs, then update the runs' jobs for submitted projects that ask for it with their newest ready
     recommendation. A failed update does not undo the submission."""
-    recorded = recorded_clusters(t, requests).withColumnRenamed("run_id", "job_id")
+    recorded = recorded_clusters(t, requests).join(t.runs.select("run_id", "job_id"), "run_id", "left")
     asked = recorded.join(ready_recommendations(t.recommendations), "project_id", "left")
     updates = job_updates(t.jobs, t.recommendations, asked)
     status = (
@@ -91,7 +91,7 @@ def handled_runs(t: Telemetry, requests: DataFrame) -> DataFrame:
         .otherwise(F.coalesce("update_error", F.lit("applied")))
     )
     return updates.withColumn("apply_status", status).select(
-        F.col("job_id").alias("run_id"), "project_id", "submission_id", "apply_status",
+        "run_id", "job_id", "project_id", "submission_id", "apply_status",
         *[F.when(F.col("apply_status") == "applied", F.col(c)).alias(c)
           for c in ("recommendation_id", "path_kind", "path_key", "payload")],
         "error",

@@ -127,15 +127,21 @@ def submissions_with_info(t: Telemetry, requests: DataFrame) -> DataFrame:
     incomplete log is fatal; other log problems give a submission without log.
     """
     wanted = requests.filter(F.nullif("project_id", F.lit("")).isNotNull())
-    options = wanted.select("run_id", F.col("project_id").alias("requested_project"), "skip_eventlog", "known_size")
+    options = wanted.select(
+        F.col("run_id").alias("_run"), F.col("project_id").alias("_project"),
+        F.nullif("cluster_path", F.lit("")).alias("_path"), "skip_eventlog", "known_size",
+    ).distinct()
+    # A request is its run, project and path; two requests of a run may differ in one of them only.
+    asked = (
+        (F.col("run_id") == F.col("_run")) & (F.col("requested_project") == F.col("_project"))
+        & F.nullif("requested_path", F.lit("")).eqNullSafe(F.col("_path"))
+    )
     places = t.clusters.select("cluster_id", "platform", F.col("log_dir").alias("dir"),
                                F.col("log_scheme").alias("scheme"))
     newest = eventlog.poll_summaries(t.listing).groupBy("dir").agg(
         F.max_by(F.struct("total_size", "any_empty", "final_mtime_ms"), "poll_no").alias("_look")
     ).select("dir", "_look.*", F.lit(True).alias("_listed"))
-    rows = (
-        located_requests(t, wanted).join(options, ["run_id", "requested_project"])
-    )
+    rows = located_requests(t, wanted).join(options, asked).drop("_run", "_project", "_path")
     rows = (
         left_lookup(left_lookup(rows, places, "cluster_id"), newest, "dir")
         .withColumn("size_changed", F.col("total_size") != F.coalesce("known_size", F.lit(0)))
@@ -163,14 +169,26 @@ def recorded_clusters(
     )
 
 
-def recorded_runs(requests: DataFrame, recorded: DataFrame) -> DataFrame:
-    """Per requested run how many projects got a submission; none at all is an error."""
-    counts = recorded.groupBy("run_id").agg(
+def recorded_runs(requests: DataFrame, recorded: DataFrame, projects: DataFrame) -> DataFrame:
+    """Per request (a run, for a project or for all) how many projects got a submission; none at all is an error.
+
+    A requested project that doesn't exist is an error of its own, whatever was found in the run.
+    """
+    counts = recorded.groupBy(F.col("run_id").alias("_run"), F.col("requested_project").alias("_wanted")).agg(
         F.count("*").alias("n_clusters"), F.count("submission_id").alias("n_submitted")
     )
-    rows = requests.select("run_id", "project_id").join(counts, "run_id", "left")
+    known = projects.select(F.col("project_id").alias("_known")).distinct()
+    wanted = F.nullif("project_id", F.lit(""))
+    rows = (
+        requests.select("run_id", wanted.alias("project_id"))
+        .join(counts, (F.col("run_id") == F.col("_run")) & F.col("project_id").eqNullSafe(F.col("_wanted")), "left")
+        .join(known, F.col("project_id") == F.col("_known"), "left")
+    )
     error = F.when(
-        F.col("n_clusters").isNull(), tasks.locate_error(F.col("run_id"), F.nullif("project_id", F.lit("")))
+        F.col("project_id").isNotNull() & F.col("_known").isNull(),
+        F.concat(F.lit("Failed to retrieve project "), F.col("project_id")),
+    ).when(
+        F.col("n_clusters").isNull(), tasks.locate_error(F.col("run_id"), F.col("project_id"))
     ).when(
         F.col("n_submitted") == 0,
         F.concat(F.lit("Failed to submit run "), F.col("run_id").cast("string"), F.lit(" to any projects")),
@@ -186,7 +204,7 @@ def recorded_finished_runs(t: Telemetry, requests: DataFrame, statuses: DataFram
     ended = waits.first_final_runs(statuses)
     rows = requests.join(ended.select("run_id", "state", F.col("error").alias("_api")), "run_id", "left")
     good = rows.filter("state = 'SUCCESS'").select(*requests.columns)
-    done = recorded_runs(good, recorded_clusters(t, good))
+    done = recorded_runs(good, recorded_clusters(t, good), t.projects)
     other = rows.filter(~F.coalesce(F.col("state") == "SUCCESS", F.lit(False))).select(
         "run_id",
         F.lit(0).cast("bigint").alias("n_clusters"),

@@ -18,7 +18,8 @@ class Telemetry:
     info_headers, info_items  cluster-info documents (see operators.reports)
     cluster_events          one row per cluster event, with cluster_id
     listing                 polled log listings (see operators.eventlog)
-    jobs                    job documents, job_id as the run's number
+    jobs                    job documents
+    runs                    run_id, job_id: the job that a run is a run of
     recommendations         id, project_id, created_at, state, recommendation
     """
 
@@ -32,4 +33,5 @@ class Telemetry:
     cluster_events: DataFrame
     listing: DataFrame
     jobs: DataFrame | None = None
+    runs: DataFrame | None = None
     recommendations: DataFrame | None = None

@@ -488,6 +488,22 @@ def deep_merge_config(b):
     return rows.withColumn("merged", merged).select("job_id", "pos", *_definition_columns("merged"))
 
 
+@query
+def merged_documents(b):
+    """Whole definitions with whole configurations merged in: nothing that a schema doesn't know is lost."""
+    rows = b.whole_document.select(
+        "job_id", F.parse_json("definition").alias("base"), mg.parse_patch(F.col("configuration")).alias("patch"))
+    merged = rows.select("job_id", jb.recommended_document(F.col("base"), F.col("patch")).alias("d"))
+    paths = {
+        "node_type_id": "$.node_type_id", "num_workers": "$.num_workers", "max_workers": "$.autoscale.max_workers", "mode": "$.data_security_mode",
+        "zone": "$.aws_attributes.zone_id", "profile": "$.aws_attributes.instance_profile_arn", "ebs": "$.aws_attributes.ebs_volume_size",
+        "deep_b": "$.aws_attributes.deep.a.b", "deep_c": "$.aws_attributes.deep.a.c[0]", "image": "$.docker_image.url",
+        "script": "$.init_scripts[0].workspace.destination", "script_added": "$.init_scripts[1].s3.destination",
+        "tag_a": "$.custom_tags.a", "tag_b": "$.custom_tags.b",
+    }
+    return merged.select("job_id", *[F.try_variant_get("d", path, "string").alias(name) for name, path in paths.items()])
+
+
 @query
 def recommended_cluster_defs(b):
     latest = pj.latest_recommendation(b.project, b.recommendation)
@@ -685,7 +701,7 @@ def record_runs(b):
 
 @query
 def record_run_summary(b):
-    return sb.recorded_runs(b.request, sb.recorded_clusters(b.telemetry, b.request))
+    return sb.recorded_runs(b.request, sb.recorded_clusters(b.telemetry, b.request), b.project)
 
 
 @query
@@ -701,7 +717,7 @@ def handle_successful_runs(b):
         F.get_json_object("payload", "$.tasks[0].new_cluster.node_type_id"),
     )
     return rows.select(
-        "run_id", "project_id", "submission_id", "recommendation_id", "apply_status", "path_key",
+        "run_id", "job_id", "project_id", "submission_id", "recommendation_id", "apply_status", "path_key",
         node.alias("new_node"), "error",
     )
 

@@ -337,6 +337,15 @@ FROM w_job_project"""
 
 SQL["recommendation_target"] = "SELECT job_id, project_id, path_kind, path_key, target_error FROM w_target"
 
+SQL["merged_documents"] = """
+WITH o AS (SELECT o_orderkey AS k, o_orderkey % 13 <> 0 AS patched FROM orders)
+SELECT k AS job_id, CASE WHEN patched THEN 'm' || (k % 7) ELSE 'n' || (k % 5) END AS node_type_id, NULL::VARCHAR AS num_workers,
+       CASE WHEN patched THEN (k % 9)::VARCHAR END AS max_workers, 'M' || (k % 3) AS mode, 'z' || (k % 4) AS zone, 'arn' || (k % 11) AS profile,
+       CASE WHEN patched THEN (k % 8)::VARCHAR END AS ebs, (k % 6)::VARCHAR AS deep_b, CASE WHEN patched THEN (k % 2)::VARCHAR END AS deep_c,
+       CASE WHEN patched THEN 'u' || (k % 6) END AS image, 'w' || (k % 5) AS script, CASE WHEN patched THEN 's' || (k % 3) END AS script_added,
+       CASE WHEN NOT patched OR k % 5 <> 0 THEN '1' END AS tag_a, CASE WHEN patched AND k % 5 <> 0 THEN '2' END AS tag_b
+FROM o"""
+
 SQL["deep_merge_config"] = """
 SELECT s.job_id, s.pos, s.cluster_name, CASE WHEN patched THEN 'n' || (s.job_id % 7) ELSE s.node_type_id END AS node_type_id,
        s.job_id % 8 AS num_workers, CAST(s.max_workers AS BIGINT) AS max_workers,
@@ -534,21 +543,22 @@ SQL["handle_successful_runs"] = """
 WITH ready AS (SELECT project_id, arg_max(id, (created_at, id)) AS rec FROM b_recommendation WHERE state = 'SUCCESS'
                GROUP BY project_id),
 picked AS (
-  SELECT r.run_id, r.project_id, r.cluster_id, r.error, r.auto_apply_recs, y.rec,
+  SELECT r.run_id, k.job_id, r.project_id, r.cluster_id, r.error, r.auto_apply_recs, y.rec,
          coalesce(a.path_key, b.path_key) AS path_key, b2.configuration, b2.has_recommendation,
          CASE WHEN r.error IS NOT NULL THEN 'not recorded' WHEN NOT r.auto_apply_recs THEN 'not wanted'
               WHEN y.rec IS NULL THEN 'no ready recommendation'
               WHEN a.job_id IS NULL AND b.job_id IS NULL
-              THEN 'Failed to locate cluster in job ' || r.run_id || ' for project ' || r.project_id
+              THEN 'Failed to locate cluster in job ' || k.job_id || ' for project ' || r.project_id
               WHEN NOT b2.has_recommendation THEN 'Recommendation not found'
               WHEN b2.configuration IS NULL THEN 'Recommendation configuration not found'
               ELSE 'applied' END AS apply_status
   FROM w_recorded r
+  JOIN (SELECT o_orderkey AS run_id, min(o_orderkey) OVER (PARTITION BY o_custkey) AS job_id FROM orders) k ON k.run_id = r.run_id
   LEFT JOIN ready y ON y.project_id = r.project_id
   LEFT JOIN b_recommendation b2 ON b2.id = y.rec
-  LEFT JOIN w_job_project a ON a.job_id = r.run_id AND a.project_id = r.project_id
-  LEFT JOIN (SELECT * FROM w_job_project QUALIFY count(*) OVER (PARTITION BY job_id) = 1) b ON b.job_id = r.run_id)
-SELECT run_id, project_id,
+  LEFT JOIN w_job_project a ON a.job_id = k.job_id AND a.project_id = r.project_id
+  LEFT JOIN (SELECT * FROM w_job_project QUALIFY count(*) OVER (PARTITION BY job_id) = 1) b ON b.job_id = k.job_id)
+SELECT run_id, job_id, project_id,
        CASE WHEN error IS NULL THEN sha256(run_id || '|' || project_id || '|' || cluster_id) END AS submission_id,
        CASE WHEN apply_status = 'applied' THEN rec END AS recommendation_id, apply_status,
        CASE WHEN apply_status = 'applied' THEN path_key END AS path_key,

@@ -399,7 +399,9 @@ WHERE s.cluster_id IS NOT NULL"""
 
 TABLES["w_summary"] = """
 SELECT q.run_id, count(r.run_id) AS n_clusters, count(r.run_id) FILTER (r.error IS NULL) AS n_submitted,
-       CASE WHEN count(r.run_id) = 0 THEN 'Failed to locate cluster in run ' || q.run_id || ' for project '
+       CASE WHEN q.want IS NOT NULL AND q.want NOT IN (SELECT project_id FROM b_project WHERE project_id IS NOT NULL)
+            THEN 'Failed to retrieve project ' || q.want
+            WHEN count(r.run_id) = 0 THEN 'Failed to locate cluster in run ' || q.run_id || ' for project '
               || coalesce(q.want, 'None')
             WHEN count(r.run_id) FILTER (r.error IS NULL) = 0
             THEN 'Failed to submit run ' || q.run_id || ' to any projects' END AS error

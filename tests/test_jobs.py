@@ -136,3 +136,11 @@ def test_job_updates(spark):
     assert json.loads(got[1].payload) == {"tasks": [{"task_key": "a", "new_cluster": {"node": "new", "num_workers": 9}}]}
     assert (got[2].payload, got[2].update_error) == (None, "Recommendation not found")
     assert (got[3].payload, got[3].update_error) == (None, "Recommendation configuration not found")
+
+
+def test_a_job_without_shared_clusters_gets_the_new_definition(spark):
+    """The only task defines its cluster inline and still names a key; there is no list to append to."""
+    rows = jobs(spark, [("t", cluster("n"), "k9")], clusters=None)
+    new = jb.single_clusters(rows).withColumn("new", F.col("cluster"))
+    got = jb.rewrite_jobs(new, "new").first().settings
+    assert [(c.job_cluster_key, c.new_cluster.node) for c in got.job_clusters] == [("k9", "n")]

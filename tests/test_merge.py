@@ -114,3 +114,20 @@ def test_recommended_definitions(spark, cloud):
     got = df.select(F.to_json(recommended_definition(F.col("b"), kind, F.col("p")))).first()[0]
     old = {k: v for k, v in base.items() if k not in ("num_workers", "autoscale")}
     assert json.loads(got) == merged(old, patch)
+
+
+def test_whole_documents_keep_unknown_keys(spark):
+    from fleetlens.functions.merge import merge_documents, without_keys
+
+    cases = [
+        ({"a": 1, "u": {"x": [1], "y": {"deep": {"er": 1}}}}, {"u": {"x": [2, {"z": None}], "y": {"deep": {"new": 2}}}, "p": {"q": 1}},
+         {"a": 1, "p": {"q": 1}, "u": {"x": [1, 2, {"z": None}], "y": {"deep": {"er": 1, "new": 2}}}}),
+        ({"a": {"b": 1}, "l": [1]}, {"a": None, "l": {"k": 1}}, {"a": None, "l": {"k": 1}}),
+        ({"a": None}, {"a": {"b": 1}}, {"a": {"b": 1}}), ({"a": 1}, None, {"a": 1}), ({}, {"a": []}, {"a": []}),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(a), None if b is None else json.dumps(b)) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
+    df = df.select("i", F.parse_json("a").alias("a"), F.try_parse_json("b").alias("b"))
+    got = df.select("i", F.to_json(merge_documents(F.col("a"), F.col("b"))).alias("m")).orderBy("i").collect()
+    assert [json.loads(r.m) for r in got] == [want for *_, want in cases]
+    bare = df.where("i = 0").select(F.to_json(without_keys(F.col("a"), "a", "none")).alias("m")).first().m
+    assert json.loads(bare) == {"u": {"x": [1], "y": {"deep": {"er": 1}}}}

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from check_oracle import TABLES, compare, connect  # noqa: E402
 
-from __spark_entry__ import queries  # noqa: E402
+from fleetlens.queries import REGISTRY  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 # One key holds a third of the rows of each of these tables.
@@ -34,7 +34,7 @@ def hot(tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, name):
     status, rows, _, note = compare(spark, con, name, SF)
     assert (status, note) == ("ok", "") and rows > 0
