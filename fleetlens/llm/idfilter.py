@@ -1,17 +1,16 @@
 """A filter of fixed size that lets through all rows whose id is in a set, and few others.
 
-It stands before a join that would else move every text. Its size doesn't grow with the set, so it may be shipped to all tasks; on sets
-too large for it, it lets everything through and the join alone decides.
+It stands before a join that would else move every text. The set becomes 2^BITS bits, kept as at most 2^(BITS - 6) rows of 64 bits: that size
+doesn't grow with the set, so the rows may be broadcast. On sets too large for it, it lets everything through and the join alone decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import materialize
+
 BITS = 23
 
 
@@ -19,18 +18,11 @@ def _bit(value: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(value), 64 - BITS)
 
 
-def passing(ids: DataFrame, column: str) -> Callable[[Column], Column]:
-    """A condition that holds for every value of ``column``; at most 2^BITS bits reach the driver."""
-    words = ids.select(_bit(F.col(column)).alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(bit & 31 AS INT))")).alias("bits")).collect()
-    bitmap = np.zeros(1 << (BITS - 5), "<u4")
-    if words:
-        bitmap[[r.word for r in words]] = np.array([r.bits & 0xFFFFFFFF for r in words], np.uint32)
-    blob = F.lit(bytearray(bitmap.tobytes()))
-
-    def condition(value: Column) -> Column:
-        bit = _bit(value)
-        octet = F.conv(F.hex(F.substring(blob, F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.getbit(octet, bit.bitwiseAND(F.lit(7).cast("long")).cast("int")) == 1
-
-    return condition
+def narrowed(df: DataFrame, value: Column, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``value`` is in ``column`` of ``ids``, and few others."""
+    words = ids.select(_bit(F.col(column)).alias("_b")).select(
+        F.shiftright("_b", 6).alias("_word"), F.expr("shiftleft(1L, CAST(_b & 63 AS INT))").alias("_bits"))
+    words = materialize(words.groupBy("_word").agg(F.bit_or("_bits").alias("_bits")), "id-filter")
+    at = df.withColumn("_at", _bit(value))
+    met = at.join(F.broadcast(words), F.shiftright("_at", 6) == F.col("_word"))
+    return met.where(F.expr("shiftright(_bits, CAST(_at & 63 AS INT)) & 1") == 1).select(*df.columns)

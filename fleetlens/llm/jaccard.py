@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.common import WORD, gathered, materialize
 from fleetlens.llm.components import connected
-from fleetlens.llm.idfilter import passing
+from fleetlens.llm.idfilter import narrowed
 from fleetlens.llm.shingles import U64, mix, set_key, shingles
 
 THRESHOLD = 0.8
@@ -207,7 +207,7 @@ def _in_blocks(rows: DataFrame, key: str, block: int, name: str) -> DataFrame:
     at = rows.join(sizes, rows[key] == sizes._key).drop("_key")
     at = at.withColumn("block", F.pmod(F.xxhash64(name), F.col("_blocks")).cast("int"))
     at = at.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return at.withColumns({"block_i": F.least("block", "_o"), "block_j": F.greatest("block", "_o")}).drop("_o", "_blocks")
+    return at.withColumns({"block_i": F.least("block", "_o"), "block_j": F.greatest("block", "_o")}).drop("_o").withColumnRenamed("_blocks", "blocks")
 
 
 def candidate_links(sets: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     else:
         rest = _in_blocks(step, "node", BLOCK, "set").select("node", "set", "n", "sketch", "block", "block_i", "block_j")
 
-        def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             a, b = rows[rows["block"] == key[1]], rows[rows["block"] == key[2]]
             pairs = _candidates(a["n"].to_numpy(), _sketches(a["sketch"]), b["n"].to_numpy(), _sketches(b["sketch"])) if len(a) and len(b) else np.zeros((len(a), len(b)), bool)
             size = len(a) + len(b)
@@ -289,7 +289,7 @@ def _decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             both = a + b
         links = square @ np.array([r.copies for r in both])
         roots = _roots(square | np.eye(len(both), dtype=bool))
-        return [(bytes(r.set), int(n), bytes(both[root].set)) for r, n, root in zip(both, links, roots, strict=True)]
+        return [(bytes(r.set), int(n), bytes(both[root].set), r.blocks > 1) for r, n, root in zip(both, links, roots, strict=True)]
 
     key, held = None, []
     for frame in batches:
@@ -299,8 +299,8 @@ def _decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out += decide(held) if held else []
                 key, held = (row.component, row.block_i, row.block_j), []
             held.append(row)
-        yield pd.DataFrame(out, columns=["set", "links", "root"])
-    yield pd.DataFrame(decide(held) if held else [], columns=["set", "links", "root"])
+        yield pd.DataFrame(out, columns=["set", "links", "root", "split"])
+    yield pd.DataFrame(decide(held) if held else [], columns=["set", "links", "root", "split"])
 
 
 def _values(df: DataFrame, text: str) -> DataFrame:
@@ -329,21 +329,26 @@ def classes(df: DataFrame, row_id: str = "doc_id", text: str = "text", recall: f
 
     groups = materialize(connected(candidate_links(sets)).join(
         sets.select(F.col("set").alias("node"), "copies", "least"), "node"), "jaccard-groups")
-    may = passing(groups, "least")
-    texts = df.select(F.col(row_id).alias("_id"), F.col(text).alias("_text")).where(F.col("_id").isNull() | may(F.col("_id")))
+    texts = df.select(F.col(row_id).alias("_id"), F.col(text).alias("_text"))
     # Rows without an id can't be looked up by it; their sets are matched by name like all others.
-    texts = texts.join(groups.select(F.col("least").alias("_id")).distinct(), "_id", "left_semi").unionByName(texts.where("_id IS NULL"))
+    without = texts.where("_id IS NULL")
+    texts = narrowed(texts.where("_id IS NOT NULL"), F.col("_id"), groups, "least")
+    texts = texts.join(groups.select(F.col("least").alias("_id")).distinct(), "_id", "left_semi").unionByName(without)
     members = _values(texts, "_text").groupBy("set").agg(F.first("values").alias("values"))
     keys = ["component", "block_i", "block_j"]
     places = _in_blocks(groups.drop("least").withColumnRenamed("node", "set"), "component", GROUP_BLOCK, "set")
     members = places.join(members, "set")
     decided = materialize(members.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(
-        _decide, "set binary, links long, root binary"), "jaccard-decided")
-
-    links = decided.groupBy("set").agg(F.sum("links").alias("links"))
-    joined = connected(decided.select(F.col("set").alias("a"), F.col("root").alias("b")))
-    per_set = sets.select("set", "copies", "least").join(links, "set", "left").join(
-        joined.withColumnRenamed("node", "set"), "set", "left").withColumn("class", F.coalesce("component", "set"))
+        _decide, "set binary, links long, root binary, split boolean"), "jaccard-decided")
+
+    links = decided.groupBy("set").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
+    # A group decided in one task is final. The parts of a group decided in blocks are put together by their links.
+    split = decided.where("split").select(F.col("set").alias("a"), F.col("root").alias("b"))
+    name = F.coalesce("root", "set")
+    if split.limit(1).count():
+        links = links.join(connected(split).withColumnRenamed("node", "set"), "set", "left")
+        name = F.coalesce("component", "root", "set")
+    per_set = sets.select("set", "copies", "least").join(links, "set", "left").withColumn("class", name)
     per_class = per_set.groupBy("class").agg(F.min("least").alias("class_id"))
     per_set = per_set.join(per_class, "class").select(
         "set", "class", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
@@ -356,9 +361,11 @@ def representatives(df: DataFrame, row_id: str = "doc_id", text: str = "text") -
     """One row of each class, that of the smallest id; all columns of ``df``. Rows without a word all stay."""
     chosen = classes(df, row_id, text).where("class IS NOT NULL").groupBy("class").agg(
         F.min(F.struct(F.col(row_id).alias("id"), F.col("text_hash").alias("hash"))).alias("_k")).select("_k")
-    rows = df.withColumn("_k", F.struct(F.col(row_id).alias("id"), F.xxhash64(text).alias("hash")))
-    has_word = F.coalesce(F.col(text).rlike(WORD), F.lit(False))
+    # The row travels whole beside its key, so its columns may have any names.
+    rows = df.select(
+        F.struct(*df.columns).alias("row"), F.struct(F.col(row_id).alias("id"), F.xxhash64(text).alias("hash")).alias("_k"),
+        F.coalesce(F.col(text).rlike(WORD), F.lit(False)).alias("worded"))
     # Equal rows share a key; one of them stays.
-    kept = rows.where(has_word).join(chosen, "_k").withColumn(
+    kept = rows.where("worded").join(chosen, "_k").withColumn(
         "_n", F.row_number().over(W.partitionBy("_k").orderBy("_k"))).where("_n = 1")
-    return kept.select(*df.columns).unionByName(rows.where(~has_word).select(*df.columns))
+    return kept.select("row.*").unionByName(rows.where("NOT worded").select("row.*"))

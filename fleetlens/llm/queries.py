@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm import bpe, chat, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
 from fleetlens.llm.common import materialize, n_words, read_table, small_batches
-from fleetlens.llm.idfilter import passing
+from fleetlens.llm.idfilter import narrowed
 from fleetlens.llm.sql import ORACLE  # noqa: F401
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -72,7 +72,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark, 1000)
+    small_batches(spark)
     found = jaccard.classes(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "class_id", "n_links")
 
@@ -91,9 +91,8 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     found = materialize(suffixes.repeated_spans(docs), "suffix-spans").withColumn("n_removed", suffixes.covered(F.col("spans")))
     cut = found.where("0 < n_removed AND n_removed < n_bytes")
-    may = passing(cut, "doc_id")
     key = [F.coalesce("doc_id", F.lit(suffixes.FIRST_ID)).alias("_id"), F.col("code").alias("_code")]
-    texts = docs.where(F.col("doc_id").isNull() | may(F.col("doc_id"))).withColumn("code", F.xxhash64(F.coalesce("text", F.lit(""))))
+    texts = narrowed(docs, key[0], cut.select(key[0]), "_id").withColumn("code", F.xxhash64(F.coalesce("text", F.lit(""))))
     small_batches(spark)
     digests = texts.select(*key, "text").join(cut.select(*key, "spans"), ["_id", "_code"]).select(
         "_id", "_code", F.sha2(suffixes.remaining(F.col("text"), F.col("spans")), 256).alias("_kept")).dropDuplicates(["_id", "_code"])
