@@ -33,7 +33,7 @@ THRESHOLD = 0.8
 DEPTH = 3
 RECALL = 0.995
 # Buckets up to this many sets are compared at once; the last step's buckets in blocks of so many.
-SMALL, BLOCK = 256, 2048
+SMALL, BLOCK = 256, 1024
 # Candidate groups are decided in blocks of so many sets.
 GROUP_BLOCK = 1024
 # Sets below this size have sketches too coarse to rule a pair out.
@@ -56,7 +56,12 @@ def runs_for(recall: float = RECALL, depth: int = DEPTH, threshold: float = THRE
 
 
 def sketch(values: np.ndarray) -> bytes:
-    """One bit of the smallest shingle in each of 256 ranges of the hash; an empty range looks to the next one."""
+    """One bit of the smallest shingle in each of 256 ranges of the hash; an empty range looks to the next one.
+
+    Sets too small for it have none.
+    """
+    if len(values) < SKETCHED:
+        return bytes(SKETCH_BITS // 8)
     place = (values >> U64(64 - 8)).astype(np.int64)
     first = np.flatnonzero(np.diff(place, prepend=-1))
     bits, filled = np.zeros(SKETCH_BITS, np.uint8), np.zeros(SKETCH_BITS, bool)
@@ -71,14 +76,25 @@ def sketch(values: np.ndarray) -> bytes:
 
 
 def _chosen(values: np.ndarray, seeds: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """(seed number, path) of every shingle that a seed chooses."""
+    """(seed number, path) of every shingle that a seed chooses, by seed.
+
+    Shingles are hashes already; two multiplications part the seeds.
+    """
     at, paths = [], []
     for k in range(0, len(values), TOKENS_AT_ONCE):
-        h = mix(values[None, k:k + TOKENS_AT_ONCE] ^ seeds[:, None])
-        seed, token = np.nonzero(h <= U64(limit))
+        h = values[None, k:k + TOKENS_AT_ONCE] ^ seeds[:, None]
+        h *= U64(0xBF58476D1CE4E5B9)
+        h ^= h >> U64(32)
+        h *= U64(0x94D049BB133111EB)
+        found = np.flatnonzero(h.ravel() <= U64(limit))
+        seed = found // h.shape[1]
         at.append(seed)
-        paths.append(mix(h[seed, token] + seeds[seed]))
-    return np.concatenate(at), np.concatenate(paths)
+        paths.append(mix(h.ravel()[found] + seeds[seed]))
+    if len(at) == 1:
+        return at[0], paths[0]
+    seed, path = np.concatenate(at), np.concatenate(paths)
+    order = np.argsort(seed, kind="stable")
+    return seed[order], path[order]
 
 
 def paths_of(values: np.ndarray, runs: int, threshold: float = THRESHOLD) -> list[tuple[int, bytes]]:
@@ -89,12 +105,16 @@ def paths_of(values: np.ndarray, runs: int, threshold: float = THRESHOLD) -> lis
     if not len(first):
         return []
     parent, second = _chosen(values, first, limit)
-    above, third = _chosen(values, second, limit) if len(second) else (np.zeros(0, int), second)
-    out = []
-    for k, step in enumerate(first):
-        rows = [(int(second[s]), int(t)) for s in np.flatnonzero(parent == k) for t in (third[above == s] if (above == s).any() else [0])]
-        out.append((int(step.astype(np.int64)), np.array(rows, U64).tobytes()))
-    return out
+    if not len(second):
+        return [(step, b"") for step in first.astype(np.int64).tolist()]
+    above, third = _chosen(values, second, limit)
+    children = np.bincount(above, minlength=len(second))
+    rows = np.zeros((np.maximum(children, 1).sum(), 2), U64)
+    rows[:, 0] = np.repeat(second, np.maximum(children, 1))
+    rows[np.repeat(children > 0, np.maximum(children, 1)), 1] = third
+    ends = np.searchsorted(np.repeat(parent, np.maximum(children, 1)), np.arange(len(first) + 1)) * rows.itemsize * 2
+    packed = rows.tobytes()
+    return [(step, packed[a:b]) for step, a, b in zip(first.astype(np.int64).tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 FEATURES = "set binary, n long, sketch binary, paths array<struct<node: long, deeper: binary>>"
@@ -256,7 +276,7 @@ def _similar(values: list[np.ndarray], other: list[np.ndarray], threshold: float
         at = np.searchsorted(known, v)
         at[at == len(known)] = 0
         left.append(at[known[at] == v])
-    width = max(1, min(len(known), (1 << 25) // max(1, len(values) + len(other))))
+    width = max(1, min(len(known), (1 << 23) // max(1, len(values) + len(other))))
     for k in range(0, len(known), width):
         x, y = np.zeros((len(values), width), np.float32), np.zeros((len(other), width), np.float32)
         for m, parts in ((x, left), (y, right)):
