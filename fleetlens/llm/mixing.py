@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import materialize
 
 ROWS_PER_RANGE = 20_000
+# Up to so many sources, what is decided for them (a row of under 100 bytes each) is broadcast; beyond, it is joined by shuffles.
+FEW_SOURCES = 10_000
 
 
 def key_of(row_id: Column, seed: int) -> Column:
@@ -94,8 +96,9 @@ def mix(
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, epochs).otherwise(0).cast("long"))
     targets = targets.withColumn("rest", F.floor("target").cast("long") - F.col("epochs") * F.col("source_size"))
 
-    largest = targets.agg(F.max("rows")).first()[0] or 0
-    bits = max(8, (largest // ROWS_PER_RANGE).bit_length())
+    shape = targets.agg(F.max("rows").alias("largest"), F.count(F.lit(1)).alias("sources")).first()
+    bits = max(8, ((shape.largest or 0) // ROWS_PER_RANGE).bit_length())
+    beside = F.broadcast if shape.sources <= FEW_SOURCES else (lambda side: side)
     at = F.shiftright("key", 62 - bits)
 
     # The range that holds the cut of each source.
@@ -112,7 +115,7 @@ def mix(
     by_key = W.partitionBy("__llm_source", "_range").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, 0)
     words = F.col("size") * F.col("n")
     cut = (
-        slim.join(cut_range, F.col("source").eqNullSafe(F.col("__llm_source")) & (at == F.col("_range")))
+        slim.join(beside(cut_range), F.col("source").eqNullSafe(F.col("__llm_source")) & (at == F.col("_range")))
         .groupBy("__llm_source", "_range", "before", "rest", "key", "id", "size").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_end", F.sum(words).over(by_key) + F.col("before"))
         .where((F.col("_end") - words <= F.col("rest")) & (F.col("rest") < F.col("_end")))
@@ -129,7 +132,7 @@ def mix(
     rows = df.withColumns({"__llm_size": F.coalesce(size.cast("long"), F.lit(0)), "__llm_key": key_of(F.col(row_id), seed)})
     added = ["size", "source_size", "target", "taken"]
     return (
-        rows.join(decided, F.col(source).eqNullSafe(F.col("__llm_source")), "left")
+        rows.join(beside(decided), F.col(source).eqNullSafe(F.col("__llm_source")), "left")
         .withColumn("__llm_taken", F.col("__llm_epochs") * F.col("__llm_size") + extra)
         .select(*[c for c in df.columns if c not in added], *[F.col(f"__llm_{c}").alias(c) for c in added])
     )
