@@ -490,6 +490,16 @@ class Bindings:
             F.lit(RUN_END_MS).alias("run_end_ms"),
         )
 
+    @cached_property
+    def log_wait(self) -> DataFrame:
+        """Three runs wait for each log directory, one after the other."""
+        nth = F.col("nth")
+        waits = self.log_target.withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(2))))
+        return waits.withColumns({
+            "first_poll": (1 + 5 * nth + F.col("dir") % 4).cast("bigint"),
+            "run_end_ms": F.col("run_end_ms") + (nth - 1) * (5 * 24 * 3600 * 1000),
+        })
+
     @cached_property
     def log_entry(self) -> DataFrame:
         """Directories under three log roots with the sub-directories they hold."""

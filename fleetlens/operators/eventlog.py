@@ -174,6 +174,52 @@ def ready_polls(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_
     )
 
 
+def ready_per_wait(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
+    """As :func:`ready_polls`, for waits that begin at ``first_poll``: several runs may wait for one directory.
+
+    The ``limit`` polls of a wait count from its own first one, which compares sizes with 0. A DBFS directory that is missing
+    from a poll ends the wait. Polls are looked up in blocks of ``limit``, two of which hold any wait.
+    """
+    looks = size_changes(poll_summaries(listing))
+    block = F.floor((F.col("poll_no") - 1) / limit)
+    entry = F.struct("poll_no", "final_mtime_ms", "any_empty", "size_changed", "total_size")
+    key = lambda at: F.concat_ws(":", F.col("dir").cast("string"), at.cast("string"))
+    blocks = looks.groupBy(key(block).alias("_key")).agg(F.array_sort(F.collect_list(entry)).alias("_looks"))
+    last = looks.groupBy("dir").agg(F.max("poll_no").alias("polls"))
+    start, end, scheme = F.col("first_poll"), F.col("run_end_ms"), F.coalesce("scheme", F.lit(""))
+    first_block = F.floor((start - 1) / limit)
+    rows = left_lookup(targets.withColumn("_key", key(first_block)), blocks, "_key").withColumnRenamed("_looks", "_a")
+    rows = left_lookup(rows.withColumn("_key", key(first_block + 1)), blocks, "_key").withColumnRenamed("_looks", "_b")
+    rows = left_lookup(rows.drop("_key"), last, "dir")
+    none = F.expr("CAST(array() AS " + looks.select(F.array(entry).alias("x")).schema["x"].dataType.simpleString() + ")")
+    seen = F.filter(
+        F.concat(F.coalesce("_a", none), F.coalesce("_b", none)),
+        lambda x: (x["poll_no"] >= start) & (x["poll_no"] < start + limit),
+    )
+    rows = rows.withColumn("_seen", seen)
+
+    def complete(look: Column, at: Column) -> Column:
+        changed = F.when(look["poll_no"] == start, look["total_size"] != 0).otherwise(look["size_changed"])
+        unbroken = (scheme == "s3") | (look["poll_no"] == start + at)
+        flushed = F.coalesce(look["final_mtime_ms"] >= end, F.lit(False))
+        return unbroken & flushed & ((scheme == "s3") | ~(look["any_empty"] | changed))
+
+    polled = scheme.isin("s3", "dbfs")
+    first = F.array_min(F.transform(F.filter("_seen", complete), lambda x: x["poll_no"]))
+    # Polls of this wait that were made, as far as the directory was listed; fewer of them with files mean a gap.
+    made = F.least(F.col("polls") - start + 1, F.lit(limit))
+    gap = (scheme == "dbfs") & (made > F.size("_seen"))
+    outcome = (
+        F.when(scheme == "", K.NO_LOG_LOCATION)
+        .when(~polled, F.concat(F.lit("Unknown log destination: "), scheme))
+        .when(F.col("ready_poll").isNotNull(), "ready")
+        .when((scheme == "dbfs") & F.col("polls").isNull(), "No eventlog found")
+        .when(gap | (F.col("polls") >= start + limit - 1), "No eventlog found")
+        .otherwise("waiting")
+    )
+    return rows.withColumn("ready_poll", F.when(polled, first)).withColumn("outcome", outcome).drop("_a", "_b", "_seen")
+
+
 # -- bundles ----------------------------------------------------------------------------------------
 
 

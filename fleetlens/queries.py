@@ -415,6 +415,11 @@ def eventlog_ready_poll(b):
     return lg.ready_polls(b.log_target, b.listing).select("dir", "scheme", "ready_poll", "polls", "outcome")
 
 
+@query
+def eventlog_ready_per_run(b):
+    return lg.ready_per_wait(b.log_wait, b.listing).select("dir", "nth", "scheme", "first_poll", "ready_poll", "polls", "outcome")
+
+
 @query
 def eventlog_bundle_manifest(b):
     return lg.bundle_manifest(b.log_target, b.listing)

@@ -156,3 +156,45 @@ def test_contexts_match_like_contains(spark):
         want[run] = min(found, key=lambda e: (-e[1], e[3]))[4] if found else None
     assert {r.run_id: r.log_dir for r in got.collect()} == want
     assert any(want.values()) and not all(want.values())
+
+
+def plain_wait(polls, scheme, end, start, limit):
+    """What a wait that begins at poll ``start`` sees; ``polls``: number → (total size, any empty file, final log's time)."""
+    if not polls and scheme == "dbfs":
+        return None, "No eventlog found"
+    last, size = max(polls, default=0), 0
+    for n in range(start, start + limit):
+        if n > last:
+            return None, "waiting"
+        if n not in polls:
+            if scheme == "dbfs":
+                return None, "No eventlog found"
+            continue
+        total, empty, final = polls[n]
+        before = polls[n - 1][0] if n > start and n - 1 in polls else 0 if n == start else None
+        if before is None:
+            before = polls[max(k for k in polls if k < n)][0] if any(k < n for k in polls) else 0
+        if final is not None and final >= end and (scheme == "s3" or (not empty and total == before)):
+            return n, "ready"
+        size = total
+    return None, "No eventlog found"
+
+
+def test_waits_of_several_runs_for_one_directory(spark):
+    """Counting starts with each wait's first poll; a missing DBFS directory ends the wait."""
+    rng = random.Random(5)
+    entries, targets, want = [], [], {}
+    for d in range(60):
+        polls = {n: (rng.choice([5, 5, 10]), rng.random() < 0.1, rng.choice([None, 50, 100, 150])) for n in range(1, rng.randint(1, 60)) if rng.random() < (0.97 if d % 2 else 1)}
+        for n, (total, empty, final) in polls.items():
+            entries.append((d, n, 0, "x/eventlog" if final else "x/eventlog-1.gz", total, final or 0))
+            if empty:
+                entries.append((d, n, 1, "x/eventlog-2.gz", 0, 0))
+        for run in range(3):
+            scheme, start, end = rng.choice(["s3", "dbfs"]), rng.randint(1, 40), rng.choice([60, 120, 200])
+            targets.append((d, run, scheme, end, start))
+            want[d, run] = plain_wait(polls, scheme, end, start, 20)
+    listed = spark.createDataFrame(entries, "dir long, poll_no long, pos int, path string, file_size long, mtime_ms long")
+    asked = spark.createDataFrame(targets, "dir long, run int, scheme string, run_end_ms long, first_poll long")
+    got = {(r.dir, r.run): (r.ready_poll, r.outcome) for r in lg.ready_per_wait(asked, listed).collect()}
+    assert got == want and len({o for _, o in want.values()}) == 3
