@@ -11,18 +11,14 @@ from fleetlens.session import scratch_dir
 from fleetlens.streaming.timelines import write_batch
 
 
-# A micro-batch sorts the rows of a key in one task, so it must stay small even if one key holds much of it.
-ROWS_PER_SLICE = 5_000_000
-
-
 def replay(
     rows: DataFrame, operator: Callable[[DataFrame], DataFrame], label: str, order: str, slices: int = 2
 ) -> DataFrame:
     """What ``operator`` emits, with the number of the micro-batch as ``batch``.
 
-    ``order`` is a whole-number time column. Each slice of its range is appended to the stream's folder and
-    run to its end on one checkpoint, so state is carried from slice to slice. There are at least ``slices``,
-    more for large tables. To work through long history use the batch operators; a stream follows what is new.
+    ``order`` is a time column. The rows are cut into ``slices`` of about equal size by its quantiles (rows without a time come
+    first); each slice is appended to the stream's folder and run to its end on one checkpoint, so state is carried from slice to slice.
+    To work through long history use the batch operators; a stream follows what is new.
     """
     spark = rows.sparkSession
     base = scratch_dir(spark, label)
@@ -32,12 +28,11 @@ def replay(
     stored.filter(F.lit(False)).write.parquet(f"{base}/in")
     result = operator(spark.readStream.schema(rows.schema).parquet(f"{base}/in"))
     spark.createDataFrame([], result.schema).write.parquet(f"{base}/out/batch=-1")
-    low, high, count = stored.agg(F.min(order), F.max(order), F.count("*")).first()
-    slices = max(slices, -(-count // ROWS_PER_SLICE))
-    width = 0 if low is None else (high - low) // slices + 1
-    for i in range(slices if width else 0):
-        start = low + i * width
-        part = stored.filter((F.col(order) >= start) & (F.col(order) < start + width))
+    shares = [i / slices for i in range(1, slices)]
+    cuts = sorted(set(stored.agg(F.percentile_approx(order, shares)).first()[0] or [])) if shares else []
+    place = sum((F.coalesce(F.col(order) > cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    for i in range(len(cuts) + 1):
+        part = stored.filter(place == i)
         part.write.mode("append").parquet(f"{base}/in")
         (
             result.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint")
