@@ -25,10 +25,13 @@ def files_by_prefix(listing: DataFrame, clusters: DataFrame) -> DataFrame:
     """Objects whose ``key`` starts with ``{base}/eventlog/{cluster_id}`` of a cluster.
 
     ``clusters(cluster_id, base)``. Each key is cut behind its ``eventlog`` folders and at the lengths that
-    cluster ids of that folder have, so the prefix test becomes an equality join.
+    cluster ids of that folder have, so the prefix test becomes an equality join. Where both tables have a ``bucket``, a
+    key belongs to clusters of its own bucket only.
     """
+    bucket = "bucket" in listing.columns and "bucket" in clusters.columns
+    place = F.concat(F.col("bucket"), F.lit("\0")) if bucket else F.lit("")
     owners = clusters.select(
-        "cluster_id", F.ltrim(F.concat("base", F.lit("/eventlog/")), F.lit("/")).alias("_root")
+        "cluster_id", F.concat(place, F.ltrim(F.concat("base", F.lit("/eventlog/")), F.lit("/"))).alias("_root")
     ).distinct()
     # At most one length per character of a name, so the set is small whatever the number of clusters.
     lengths = owners.groupBy("_root").agg(F.collect_set(F.length("cluster_id")).alias("_lengths"))
@@ -36,16 +39,17 @@ def files_by_prefix(listing: DataFrame, clusters: DataFrame) -> DataFrame:
     cuts = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: F.get(parts, i - 1) == "eventlog")
     rooted = (
         unnest(listing, cuts, listing.columns, "_cut")
-        .withColumn("_root", F.concat(F.array_join(F.slice(parts, F.lit(1), F.col("_cut")), "/"), F.lit("/")))
-        .drop("_cut")
+        .withColumn("_folder", F.concat(F.array_join(F.slice(parts, F.lit(1), F.col("_cut")), "/"), F.lit("/")))
+        .withColumn("_leaf", F.substr(F.col("key"), F.length("_folder") + 1))
+        .withColumn("_root", F.concat(place, F.col("_folder")))
+        .drop("_cut", "_folder")
     )
-    leaf = F.substr(F.col("key"), F.length("_root") + 1)
     return (
         rooted.join(lengths, "_root")
         .withColumn("_length", F.explode("_lengths"))
-        .withColumn("cluster_id", F.left(leaf, F.col("_length")))
+        .withColumn("cluster_id", F.left("_leaf", F.col("_length")))
         .filter(F.length("cluster_id") == F.col("_length"))
-        .drop("_lengths", "_length")
+        .drop("_lengths", "_length", "_leaf")
         .join(owners, ["_root", "cluster_id"])
         .drop("_root")
     )

@@ -103,7 +103,9 @@ def read_vm_views(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_projects(spark: SparkSession, path: str) -> DataFrame:
-    return read_documents(spark, path, S.PROJECT)
+    """Projects; documents as delivered carry ``id``, derived ones ``project_id``."""
+    docs = read_documents(spark, path, f"{S.PROJECT}, id string")
+    return docs.withColumn("project_id", F.coalesce("project_id", "id")).drop("id")
 
 
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:

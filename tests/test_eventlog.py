@@ -198,3 +198,10 @@ def test_waits_of_several_runs_for_one_directory(spark):
     asked = spark.createDataFrame(targets, "dir long, run int, scheme string, run_end_ms long, first_poll long")
     got = {(r.dir, r.run): (r.ready_poll, r.outcome) for r in lg.ready_per_wait(asked, listed).collect()}
     assert got == want and len({o for _, o in want.values()}) == 3
+
+
+def test_equal_keys_in_two_buckets(spark):
+    listed = spark.createDataFrame([("b1", "x/eventlog/c1/f"), ("b2", "x/eventlog/c1/f"), ("b3", "x/eventlog/c1/f")], "bucket string, key string")
+    owners = spark.createDataFrame([("b1", "c1", "x"), ("b2", "c1", "/x")], "bucket string, cluster_id string, base string")
+    got = lg.files_by_prefix(listed, owners).select("bucket", "cluster_id").collect()
+    assert sorted(map(tuple, got)) == [("b1", "c1"), ("b2", "c1")]

@@ -163,3 +163,9 @@ def test_scratch_folders_follow_the_setting():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session("yarn", None), "x")
     assert "fleetlens-" in scratch_dir(Session("local[2]", None), "x")
+
+
+def test_projects_as_delivered(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"id": "p1", "app_id": "a"}\n{"project_id": "p2"}\n')
+    got = dc.read_projects(spark, str(tmp_path))
+    assert sorted(r.project_id for r in got.collect()) == ["p1", "p2"] and "id" not in got.columns
