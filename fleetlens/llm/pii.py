@@ -111,9 +111,9 @@ def _name_units(mention: Column) -> Column:
     return F.transform(words, unit)
 
 
-def units_of(mention: Column) -> Column:
+def units_of(mention: Column, kind: Column) -> Column:
     """The units of a mention, in a normal form in which differently written mentions of the same thing are equal."""
-    kind, low = kind_of(mention), F.lower(mention)
+    low = F.lower(mention)
     digits = F.regexp_replace(mention, "[^0-9A-Za-z]", "")
     one = lambda k, norm: F.struct(k.alias("kind"), norm.alias("norm"))
     email = F.array(one(F.lit("email"), low), one(F.lit("domain"), F.substring_index(low, "@", -1)))
@@ -193,9 +193,15 @@ def _name(kind: Column, digest: Column, attempt: Column) -> Column:
     return out
 
 
-def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a unit. That of an e-mail address holds the real domain, which has a surrogate of its own."""
-    digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 256)
+def digest_of(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
+    return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 256)
+
+
+def surrogate(kind: Column, norm: Column, attempt: Column, digest: Column) -> Column:
+    """The surrogate of a unit, drawn by its keyed ``digest``.
+
+    That of an e-mail address holds the real domain, which has a surrogate of its own.
+    """
     no = F.lit(False)
     local = _redrawn(F.substring_index(norm, "@", 1), digest, F.lit(0), no)
     host = F.regexp_replace(norm, r"\.[^.]*$", "")
@@ -225,17 +231,39 @@ def _laid_over(mention: Column, value: Column) -> Column:
     return F.aggregate(_chars(mention), start, step, lambda acc: acc["t"])
 
 
-def replacement(mention: Column, attempt_of: Callable[[Column, Column], Column], key: str) -> Column:
-    """What stands for a mention; ``attempt_of`` gives the attempt of a unit."""
-    units = units_of(mention)
-    made = F.transform(units, lambda u: surrogate(u["kind"], u["norm"], attempt_of(u["kind"], u["norm"]), key))
+def replacement(mention: Column, units: Column, made: Column) -> Column:
+    """What stands for a mention, given its units and their surrogates."""
     first = F.get(units, F.lit(0))["kind"]
     email = F.concat(F.substring_index(F.get(made, F.lit(0)), "@", 1), F.lit("@"), F.get(made, F.lit(1)))
     words = F.split(mention, " ")
     cased = F.zip_with(words, made, lambda w, s: F.when(_is_upper(w), F.upper(s)).when(w.rlike(r"^\p{Lu}"), F.initcap(s)).otherwise(s))
-    name = F.array_join(F.zip_with(cased, F.zip_with(words, units, lambda w, u: F.when(u["kind"] == "title", w)), lambda s, w: F.coalesce(w, s)), " ")
-    return F.when(first.contains(":") | (first == "title"), name).when(first == "email", _laid_over(mention, email)).otherwise(
-        _laid_over(mention, F.get(made, F.lit(0))))
+    titles = F.zip_with(words, units, lambda w, u: F.when(u["kind"] == "title", w))
+    name = F.array_join(F.zip_with(cased, titles, lambda s, w: F.coalesce(w, s)), " ")
+    return F.when(first.contains(":") | (first == "title"), name).otherwise(
+        _laid_over(mention, F.when(first == "email", email).otherwise(F.get(made, F.lit(0)))))
+
+
+def with_units(df: DataFrame, mentions: Column, out: str) -> DataFrame:
+    """Add ``out``: array of (mention, units). Steps are columns of their own, so each is evaluated once."""
+    kinds = F.transform(mentions, lambda m: F.struct(m.alias("mention"), kind_of(m).alias("kind")))
+    return df.withColumn("__llm_kinds", kinds).withColumn(out, F.transform(
+        "__llm_kinds", lambda x: F.struct(x["mention"].alias("mention"), units_of(x["mention"], x["kind"]).alias("units")))).drop("__llm_kinds")
+
+
+def with_replacements(df: DataFrame, units: str, attempt_of: Callable[[Column, Column], Column], key: str, out: str) -> DataFrame:
+    """Add ``out``: what stands for each mention of ``units``; ``attempt_of`` gives the attempt of a unit."""
+    def drawn(u: Column) -> Column:
+        attempt = attempt_of(u["kind"], u["norm"])
+        return F.struct(u["kind"].alias("kind"), u["norm"].alias("norm"), attempt.alias("attempt"),
+                        digest_of(u["kind"], u["norm"], attempt, key).alias("digest"))
+
+    def named(u: Column) -> Column:
+        return surrogate(u["kind"], u["norm"], u["attempt"], u["digest"])
+
+    each = lambda column, part: F.transform(column, lambda x: F.struct(x["mention"].alias("mention"), *part(x)))
+    df = df.withColumn("__llm_drawn", each(units, lambda x: [F.transform(x["units"], drawn).alias("units")]))
+    df = df.withColumn("__llm_made", each("__llm_drawn", lambda x: [x["units"].alias("units"), F.transform(x["units"], named).alias("made")]))
+    return df.withColumn(out, F.transform("__llm_made", lambda x: replacement(x["mention"], x["units"], x["made"]))).drop("__llm_drawn", "__llm_made")
 
 
 def attempts(units: DataFrame, key: str) -> DataFrame:
@@ -243,7 +271,10 @@ def attempts(units: DataFrame, key: str) -> DataFrame:
 
     Each round, of the units that share a surrogate the first stays, by attempt and name; the others draw again.
     """
-    drawn = lambda df: df.withColumn("new", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key))
+    def drawn(df: DataFrame) -> DataFrame:
+        df = df.withColumn("digest", digest_of(F.col("kind"), F.col("norm"), F.col("attempt"), key))
+        return df.withColumn("new", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), F.col("digest"))).drop("digest")
+
     real = units.select(F.col("kind").alias("_kind"), F.col("norm").alias("_norm"))
     table = materialize(drawn(units.withColumn("attempt", F.lit(0))), "pii-units")
     while True:
@@ -262,9 +293,11 @@ def attempts(units: DataFrame, key: str) -> DataFrame:
 def pseudonymize(df: DataFrame, key: str, row_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Replace all mentions in ``text``; adds ``n_entities``, the number of mentions replaced."""
     at = F.struct(F.col(row_id).alias("id"), F.xxhash64(text).alias("hash"))
-    found = materialize(
-        df.where(maybe(F.col(text))).select(at.alias("__llm_at"), F.explode(F.array_distinct(mentions_of(F.col(text)))).alias("mention"))
-        .select("__llm_at", F.explode(units_of(F.col("mention"))).alias("u")).select("__llm_at", "u.*").where("kind <> 'title'"), "pii-mentions")
+    hinted = df.where(maybe(F.col(text))).select(
+        at.alias("__llm_at"), F.explode(F.array_distinct(mentions_of(F.col(text)))).alias("mention"))
+    found = hinted.withColumn("kind", kind_of(F.col("mention"))).select(
+        "__llm_at", F.explode(units_of(F.col("mention"), F.col("kind"))).alias("u"))
+    found = materialize(found.select("__llm_at", "u.*").where("kind <> 'title'"), "pii-mentions")
     tried = attempts(found.select("kind", "norm").distinct(), key).where("attempt > 0").withColumnsRenamed({"kind": "_kind", "norm": "_norm"})
     name = lambda kind, norm: F.concat_ws("\x1f", kind, norm)
     # Rows with units that had to draw again: their attempts. Mostly empty, and then small enough for Spark to broadcast.
@@ -276,7 +309,8 @@ def pseudonymize(df: DataFrame, key: str, row_id: str = "doc_id", text: str = "t
     mentions = F.when(maybe(F.col(text)), mentions_of(F.col(text))).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("__llm_found", mentions)
     attempt_of = lambda kind, norm: F.coalesce(F.try_element_at(F.col("__llm_tried"), name(kind, norm)), F.lit(0))
-    rows = rows.withColumn("__llm_new", F.transform("__llm_found", lambda m: replacement(m, attempt_of, key)))
+    rows = with_units(rows, F.col("__llm_found"), "__llm_units")
+    rows = with_replacements(rows, "__llm_units", attempt_of, key, "__llm_new")
     between = F.split(F.col(text), ANY, -1)
     whole = F.array_join(F.zip_with(between, F.col("__llm_new"), lambda b, s: F.concat(b, F.coalesce(s, F.lit("")))), "")
     others = [c for c in df.columns if c not in (text, "n_entities")]

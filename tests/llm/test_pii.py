@@ -63,7 +63,8 @@ def test_collisions_draw_again(spark):
     ips = [f"{a}.{b}.1.1" for a in range(1, 10) for b in range(1, 10)] * 3
     units = spark.createDataFrame([("ip", i) for i in sorted(set(ips))] + [("ssn", f"00000000{k}") for k in range(9)], "kind string, norm string")
     tried = pii.attempts(units, "k")
-    rows = tried.withColumn("new", pii.surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), "k")).collect()
+    digest = pii.digest_of(F.col("kind"), F.col("norm"), F.col("attempt"), "k")
+    rows = tried.withColumn("new", pii.surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), digest)).collect()
     new = [(r.kind, r.new) for r in rows]
     real = {(r.kind, r.norm) for r in rows}
     assert len(set(new)) == len(new) == units.count() and not set(new) & real
