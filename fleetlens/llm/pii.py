@@ -44,12 +44,14 @@ ENDINGS = {
 
 _WORD = r"\p{Lu}[\p{L}'’]+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-# Kinds in the order in which they are tried at a place.
+# Kinds in the order in which they are tried at a place. Secrets have no greatest length: what is found is replaced to its end.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
-    "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:sk|pk|ghp|gho|xox[bp])[-_][0-9A-Za-z_-]{16,200}",
-    "hex": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
-    "secret": r"(?i:(?<=(?:password|passwd|secret|token|api_key|apikey) {0,3}[=:] {0,3}[\"']?))(?![\"'])[^\s\"',;]{6,200}",
+    "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16,}+(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:sk|pk|ghp|gho|xox[bp])[-_][0-9A-Za-z_-]{16,}+",
+    # Of more than 128 digits, only letters are a run of text: a random secret has no 0-9 with a chance of (3/8)^129.
+    "hex": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![0-9A-Za-z])"
+           r"|(?<![0-9A-Za-z])(?:(?=[a-f]*+[0-9])[0-9a-f]{129,}+|(?=[A-F]*+[0-9])[0-9A-F]{129,}+)(?![0-9A-Za-z])",
+    "secret": r"(?i:(?<=(?:password|passwd|secret|token|api_key|apikey) {0,3}[=:] {0,3}[\"']?))(?![\"'])[^\s\"',;]{6,}+",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])\d{3}-\d{2}-\d{4}(?![0-9-])",
@@ -218,17 +220,17 @@ def surrogate(kind: Column, norm: Column, attempt: Column, digest: Column) -> Co
 
 
 def _laid_over(mention: Column, value: Column) -> Column:
-    """The letters and digits of ``value`` in the place of those of ``mention``, with its separators and case."""
-    new = F.regexp_replace(value, r"[^\p{L}\p{N}]", "")
+    """The letters and digits of ``value`` in the place of those of ``mention``, with its separators and case; linear in the length."""
+    new = F.regexp_extract_all(value, F.lit(r"[\p{L}\p{N}]"), F.lit(0))
+    # Separators and the letter or digit after them; what follows the last one is the tail.
+    parts = F.regexp_extract_all(mention, F.lit(r"[^\p{L}\p{N}]*+[\p{L}\p{N}]"), F.lit(0))
 
-    def step(acc: Column, c: Column) -> Column:
-        drawn = F.substr(new, acc["k"] + 1, F.lit(1))
-        cased = F.when(c.rlike(r"\p{Lu}"), F.upper(drawn)).otherwise(drawn)
-        return F.when(c.rlike(r"[\p{L}\p{N}]"), F.struct(F.concat(acc["t"], cased).alias("t"), (acc["k"] + 1).alias("k"))).otherwise(
-            F.struct(F.concat(acc["t"], c).alias("t"), acc["k"].alias("k")))
+    def part(p: Column, drawn: Column) -> Column:
+        cased = F.when(p.rlike(r"\p{Lu}$"), F.upper(drawn)).otherwise(drawn)
+        return F.concat(F.substr(p, F.lit(1), F.length(p) - 1), F.coalesce(cased, F.lit("")))
 
-    start = F.struct(F.lit("").alias("t"), F.lit(0).alias("k"))
-    return F.aggregate(_chars(mention), start, step, lambda acc: acc["t"])
+    tail = F.substr(mention, F.length(F.array_join(parts, "")) + 1)
+    return F.concat(F.array_join(F.zip_with(parts, new, lambda p, drawn: F.when(p.isNull(), drawn).otherwise(part(p, drawn))), ""), tail)
 
 
 def replacement(mention: Column, units: Column, made: Column) -> Column:

@@ -99,3 +99,15 @@ def test_awkward(spark, awkward, empty):
 def test_native_plan(spark, awkward):
     plan = pii.pseudonymize(awkward, "k")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_long_secrets_are_replaced_to_their_end(spark):
+    body = "".join("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"[k * k % 61] for k in range(100_000))
+    digits = "0123456789abcdef" * 16
+    pieces = {"token: ": [body[:n] for n in (201, 1000, 100_000)], "key sk-": [body[:n] for n in (201, 1000, 100_000)], "sum 1 ": [digits, digits.upper()]}
+    cases = [(before, s) for before, secrets in pieces.items() for s in secrets]
+    for (before, secret), got in zip(cases, run(spark, [f"{b}{s} end" for b, s in cases]), strict=True):
+        new = got.removeprefix(before).removesuffix(" end")
+        assert got == f"{before}{new} end" and len(new) == len(secret)
+        # No stretch of the secret stays: places agree only by chance.
+        assert not any(new[k:k + 16] == secret[k:k + 16] for k in range(0, len(secret) - 15))
