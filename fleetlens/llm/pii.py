@@ -3,7 +3,8 @@
 Mentions are found by patterns. Each is made of units (an e-mail address and its domain, a number, the words of a name), and every unit gets a
 surrogate: characters or syllables drawn by a keyed hash of the unit, of its kind and format. The same unit gets the same surrogate
 everywhere, so coreference survives; a check over the distinct units of all rows makes sure that no two units of a kind share a surrogate and that no
-surrogate is a real unit. Units that fail draw again. Surrogates keep separators, letter case, length, the script and gender of names, the first digit
+surrogate is a real unit. Units that fail draw again, after three attempts from a space that
+grows with each further one, so drawing ends however dense the real units are. Until then surrogates keep separators, letter case, length, the script and gender of names, the first digit
 and check digit of cards, check digits of IBANs, octet lengths, key prefixes and top-level domains.
 
 A surrogate is a function of unit, key and attempt, so texts are rewritten inside their rows; only rows with units whose first attempt failed are joined
@@ -65,6 +66,20 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values()).replace(r"([.-])\d{3}\1",
 # What every mention has: a cheap test before the patterns.
 _HINT = r"[0-9@]|(?i:password|passwd|secret|token|api_?key) {0,3}[=:]|(?<!\p{L})(?:" + "|".join(MALE_TITLES + FEMALE_TITLES + MALE + FEMALE) + r")\.? \p{Lu}"
 
+# What other letters and symbols are drawn from. Letters of further scripts are drawn as Latin ones.
+ALPHABETS = {
+    "IsLatin": "àáâãäåæçèéêëìíîïñòóôõöøùúûüýþ", "IsCyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "IsGreek": "αβγδεζηθικλμνξοπρστυφχψω",
+    "IsArmenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփք", "IsGeorgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "IsHebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "IsArabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "IsDevanagari": "अआइईउऊएऐओऔकखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह",
+    "IsThai": "กขคงจฉชซญดตถทธนบปผพภมยรลวศษสหอ", "IsHiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわん",
+    "IsKatakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン",
+    "IsHangul": "가나다라마바사아자차카타파하거너더러머버서어저처커터퍼허고노도로모보소오조초코토포호",
+    "IsHan": "一二三四五六七八九十上下大小中人口手心日月水火木金土石田山川天地花草風雨雪雲東西南北春夏秋冬白黑青紅",
+}
+SYMBOLS = "!#$%&*?@^~+="
+# Symbols that part a secret; they stay if it has letters or digits.
+_PARTING = r"[-_.:/+=]"
+
 UNITS = "array<struct<kind: string, norm: string>>"
 
 
@@ -78,10 +93,10 @@ def mentions_of(text: Column) -> Column:
 
 def kind_of(mention: Column) -> Column:
     """The kind of a mention that the patterns have found."""
-    out = F.when(mention.contains("@") & mention.rlike(r"@[^\s@]+\.[A-Za-z]+$"), "email")
-    for kind in ("key", "hex", "iban", "ip", "ssn"):
+    out = F.when(mention.contains("@") & mention.rlike(f"^(?:{PATTERNS['email']})$"), "email")
+    for kind in ("key", "hex", "iban", "ip", "ssn", "phone"):
         out = out.when(mention.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
-    out = out.when(mention.rlike(r"^(?:\+|\()\d|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone").when(mention.rlike(r"^\d[\d -]+$"), "card")
+    out = out.when(mention.rlike(r"^\d[\d -]+$"), "card")
     return out.when(mention.rlike(rf"^(?:{PATTERNS['name']})$"), "name").otherwise("secret")
 
 
@@ -135,14 +150,44 @@ def _pick(letters: str, digest: Column, at: Column) -> Column:
     return F.substr(F.lit(letters), _draw(digest, at, len(letters)) + 1, F.lit(1))
 
 
-def _redrawn(value: Column, digest: Column, keep: Column, hexadecimal: Column) -> Column:
-    """Digits for digits and letters for letters, after the first ``keep`` characters."""
-    def char(c: Column, at: Column) -> Column:
+def _wider(value: Column, attempt: Column, pad: Column) -> Column:
+    """``value`` with room for another character in each attempt after the third, so that no space of surrogates is used up."""
+    return F.concat(value, F.repeat(pad, F.greatest(attempt - 2, F.lit(0))))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once, and not again for each character."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _redrawn(value: Column, digest: Column, keep: Column, hexadecimal: Column, symbols: Column | None = None) -> Column:
+    """Digits for digits and letters for letters, after the first ``keep`` characters; letters for symbols where ``symbols`` is true."""
+    given = F.struct(keep.alias("keep"), (F.lit(False) if symbols is None else symbols).alias("symbols"))
+
+    def char(c: Column, at: Column, keep: Column, symbols: Column) -> Column:
         lower = F.when(hexadecimal, _pick("abcdef", digest, at)).otherwise(_pick("abcdefghijklmnopqrstuvwxyz", digest, at))
-        return (F.when(at < keep, c).when(c.rlike("[0-9]"), _pick("0123456789", digest, at)).when(c.rlike("[a-z]"), lower)
-                .when(c.rlike("[A-Z]"), F.upper(lower)).otherwise(c))
+        out = (F.when(at < keep, c).when(c.rlike("[0-9]"), _pick("0123456789", digest, at)).when(c.rlike("[a-z]"), lower)
+               .when(c.rlike("[A-Z]"), F.upper(lower)))
+        return out.when(symbols, lower).otherwise(c)
+
+    return _once(given, lambda g: F.array_join(F.transform(_chars(value), lambda c, at: char(c, at, g["keep"], g["symbols"])), ""))
+
 
-    return F.array_join(F.transform(_chars(value), char), "")
+def _secret(norm: Column, digest: Column, attempt: Column) -> Column:
+    """Every character drawn again: digits, letters within their script and case, symbols from a set of symbols."""
+    def char(c: Column, at: Column, parted: Column) -> Column:
+        lower = _pick("abcdefghijklmnopqrstuvwxyz", digest, at)
+        # Most characters are ASCII: the scripts are tried only for the others.
+        other = F.when(c.rlike(r"\p{N}"), _pick("0123456789", digest, at))
+        for script, letters in ALPHABETS.items():
+            drawn = _pick(letters, digest, at)
+            other = other.when(c.rlike(rf"(?=\p{{L}})\p{{{script}}}"), F.when(c.rlike(r"\p{Lu}"), F.upper(drawn)).otherwise(drawn))
+        other = other.when(c.rlike(r"\p{L}"), lower).otherwise(_pick(SYMBOLS, digest, at))
+        return (F.when(c.rlike("[0-9]"), _pick("0123456789", digest, at)).when(c.rlike("[a-z]"), lower).when(c.rlike("[A-Z]"), F.upper(lower))
+                .when(parted & c.rlike(_PARTING), c).otherwise(other))
+
+    value = _wider(norm, attempt, F.lit("a"))
+    return _once(norm.rlike(r"[\p{L}\p{N}]"), lambda parted: F.array_join(F.transform(_chars(value), lambda c, at: char(c, at, parted)), ""))
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -154,23 +199,27 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(F.reverse(_chars(digits)), add), F.lit(0), lambda acc, d: acc + d)
 
 
-def _card(norm: Column, digest: Column) -> Column:
-    drawn = _redrawn(norm, digest, F.lit(1), F.lit(False))
+def _card(norm: Column, digest: Column, attempt: Column) -> Column:
+    drawn = _redrawn(_wider(norm, attempt, F.lit("0")), digest, F.lit(1), F.lit(False))
     body = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
     check = F.pmod(-luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     return F.when(luhn_sum(norm) % 10 == 0, F.concat(body, check)).otherwise(drawn)
 
 
-def _ip(norm: Column, digest: Column) -> Column:
+def _ip(norm: Column, digest: Column, attempt: Column) -> Column:
+    """Octets of the same lengths; after three attempts of any, and where even those are used up, numbers beyond 255."""
     def octet(o: Column, at: Column) -> Column:
-        return F.when(F.length(o) == 1, 1 + _draw(digest, at, 9)).when(F.length(o) == 2, 10 + _draw(digest, at, 90)).otherwise(
-            100 + _draw(digest, at, 155)).cast("string")
+        alike = F.when(F.length(o) == 1, 1 + _draw(digest, at, 9)).when(F.length(o) == 2, 10 + _draw(digest, at, 90)).otherwise(
+            100 + _draw(digest, at, 155))
+        beyond = 254 * F.pow(F.lit(2), F.greatest(attempt - 9, F.lit(0))).cast("long")
+        return F.when(attempt < 3, alike).otherwise(1 + F.pmod(F.xxhash64(digest, at), beyond)).cast("string")
 
     return F.array_join(F.transform(F.split(norm, r"\."), octet), ".")
 
 
-def _iban(norm: Column, digest: Column) -> Column:
-    body = F.substr(_redrawn(norm, digest, F.lit(2), F.lit(False)), F.lit(5), F.length(norm))
+def _iban(norm: Column, digest: Column, attempt: Column) -> Column:
+    drawn = _redrawn(_wider(norm, attempt, F.lit("0")), digest, F.lit(2), F.lit(False))
+    body = F.substr(drawn, F.lit(5), F.length(drawn))
     country = F.substr(norm, F.lit(1), F.lit(2))
     value = lambda c: F.when(c.rlike("[0-9]"), c).otherwise((F.ascii(c) - 55).cast("string"))
     number = F.array_join(F.transform(_chars(F.concat(body, country, F.lit("00"))), value), "")
@@ -204,17 +253,22 @@ def surrogate(kind: Column, norm: Column, attempt: Column, digest: Column) -> Co
 
     That of an e-mail address holds the real domain, which has a surrogate of its own.
     """
-    no = F.lit(False)
-    local = _redrawn(F.substring_index(norm, "@", 1), digest, F.lit(0), no)
+    no, letter, digit = F.lit(False), F.lit("a"), F.lit("0")
+    own = F.substring_index(norm, "@", 1)
+    local = _redrawn(_wider(own, attempt, letter), digest, F.lit(0), no, ~own.rlike("[0-9A-Za-z]"))
     host = F.regexp_replace(norm, r"\.[^.]*$", "")
-    domain = F.concat(_redrawn(host, digest, F.lit(0), no), F.substr(norm, F.length(host) + 1, F.length(norm)))
+    domain = F.concat(_redrawn(_wider(host, attempt, letter), digest, F.lit(0), no), F.substr(norm, F.length(host) + 1, F.length(norm)))
     prefix = F.when(norm.rlike("^A[KS]IA"), 4).otherwise(F.length(F.regexp_extract(norm, r"^[a-z]+[-_]", 0)))
+    upper = F.when(norm.rlike("^A[KS]IA"), "A").otherwise(letter)
     return (
         F.when(kind == "email", F.concat(local, F.lit("@"), F.substring_index(norm, "@", -1)))
-        .when(kind == "domain", domain).when(kind == "key", _redrawn(norm, digest, prefix, no))
-        .when(kind == "hex", _redrawn(norm, digest, F.lit(0), F.lit(True))).when(kind == "secret", _redrawn(norm, digest, F.lit(0), no))
-        .when(kind == "ip", _ip(norm, digest)).when(kind == "iban", _iban(norm, digest)).when(kind == "card", _card(norm, digest))
-        .when(kind == "phone", _redrawn(norm, digest, F.lit(1), no)).when(kind == "ssn", _redrawn(norm, digest, F.lit(0), no))
+        .when(kind == "domain", domain)
+        .when(kind == "key", _redrawn(_wider(norm, attempt, upper), digest, prefix, no, ~norm.rlike("^[a-z]+[-_].*[0-9A-Za-z]|^A")))
+        .when(kind == "hex", _redrawn(_wider(norm, attempt, F.when(norm.rlike("[A-F]"), "A").otherwise(letter)), digest, F.lit(0), F.lit(True)))
+        .when(kind == "secret", _secret(norm, digest, attempt))
+        .when(kind == "ip", _ip(norm, digest, attempt)).when(kind == "iban", _iban(norm, digest, attempt)).when(kind == "card", _card(norm, digest, attempt))
+        .when(kind == "phone", _redrawn(_wider(norm, attempt, digit), digest, F.lit(1), no))
+        .when(kind == "ssn", _redrawn(_wider(norm, attempt, digit), digest, F.lit(0), no))
         .when(kind == "title", norm).otherwise(_name(kind, digest, attempt))
     )
 
@@ -233,16 +287,24 @@ def _laid_over(mention: Column, value: Column) -> Column:
     return F.concat(F.array_join(F.zip_with(parts, new, lambda p, drawn: F.when(p.isNull(), drawn).otherwise(part(p, drawn))), ""), tail)
 
 
+def _cased(mention: Column, value: Column) -> Column:
+    """``value``, at least as long as ``mention``, with the capitals of ``mention``."""
+    return F.array_join(F.zip_with(_chars(mention), _chars(value), lambda c, v: F.when(c.rlike("[A-Z]"), F.upper(v)).otherwise(v)), "")
+
+
 def replacement(mention: Column, units: Column, made: Column) -> Column:
     """What stands for a mention, given its units and their surrogates."""
     first = F.get(units, F.lit(0))["kind"]
-    email = F.concat(F.substring_index(F.get(made, F.lit(0)), "@", 1), F.lit("@"), F.get(made, F.lit(1)))
+    host = lambda domain: F.regexp_replace(F.substring_index(domain, "@", -1), r"\.[^.]*$", "")
+    email = F.concat(_cased(F.substring_index(mention, "@", 1), F.substring_index(F.get(made, F.lit(0)), "@", 1)), F.lit("@"),
+                     _cased(host(mention), host(F.get(made, F.lit(1)))), F.lit("."), F.substring_index(mention, ".", -1))
     words = F.split(mention, " ")
     cased = F.zip_with(words, made, lambda w, s: F.when(_is_upper(w), F.upper(s)).when(w.rlike(r"^\p{Lu}"), F.initcap(s)).otherwise(s))
     titles = F.zip_with(words, units, lambda w, u: F.when(u["kind"] == "title", w))
     name = F.array_join(F.zip_with(cased, titles, lambda s, w: F.coalesce(w, s)), " ")
-    return F.when(first.contains(":") | (first == "title"), name).otherwise(
-        _laid_over(mention, F.when(first == "email", email).otherwise(F.get(made, F.lit(0)))))
+    whole = first.isin("key", "hex", "secret", "ip")
+    return F.when(first.contains(":") | (first == "title"), name).when(first == "email", email).when(whole, F.get(made, F.lit(0))).otherwise(
+        _laid_over(mention, F.get(made, F.lit(0))))
 
 
 def with_units(df: DataFrame, mentions: Column, out: str) -> DataFrame:
@@ -271,7 +333,8 @@ def with_replacements(df: DataFrame, units: str, attempt_of: Callable[[Column, C
 def attempts(units: DataFrame, key: str) -> DataFrame:
     """(kind, norm, attempt) of distinct units such that surrogates of a kind differ and none is a real unit.
 
-    Each round, of the units that share a surrogate the first stays, by attempt and name; the others draw again.
+    Each round, of the units that share a surrogate the first stays, by attempt and name; the others draw again. The space of surrogates
+    grows with the attempt (longer values, other octet lengths, more syllables), so the rounds end.
     """
     def drawn(df: DataFrame) -> DataFrame:
         df = df.withColumn("digest", digest_of(F.col("kind"), F.col("norm"), F.col("attempt"), key))

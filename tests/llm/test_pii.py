@@ -111,3 +111,32 @@ def test_long_secrets_are_replaced_to_their_end(spark):
         assert got == f"{before}{new} end" and len(new) == len(secret)
         # No stretch of the secret stays: places agree only by chance.
         assert not any(new[k:k + 16] == secret[k:k + 16] for k in range(0, len(secret) - 15))
+
+
+def test_drawing_ends_where_a_format_is_used_up(spark):
+    """Masked and non-ASCII passwords, locals of symbols, every one-letter address of a domain and every one-letter domain."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    addresses = [f"{c}@one.org" for c in letters] + [f"box@{c}.net" for c in letters] + ["_@x.com", "...@x.com"]
+    others = {"password: ": "********", "password=": "пароль", "token: ": "Ключ_ß語ーé", "key 1 ": "sk-" + "_" * 20}
+    got = run(spark, [f"to {a} !" for a in addresses] + [f"{before}{s} end" for before, s in others.items()])
+    new = [re.fullmatch(r"to (\S+@\S+\.(?:org|net|com)) !", t).group(1) for t in got[:len(addresses)]]
+    assert len(set(new)) == len(addresses) and not set(new) & set(addresses)
+    # One domain, one surrogate; none of the drawn domains is a real one.
+    hosts = [(a.split("@")[1], n.split("@")[1]) for a, n in zip(addresses, new, strict=True)]
+    assert len(set(hosts)) == len({a for a, _ in hosts}) == len({n for _, n in hosts}) and not {a for a, _ in hosts} & {n for _, n in hosts}
+    for (before, secret), text in zip(others.items(), got[len(addresses):], strict=True):
+        drawn = text.removeprefix(before).removesuffix(" end")
+        assert text == f"{before}{drawn} end" and drawn != secret and re.fullmatch(r"[^\s\"',;]+", drawn)
+        kept = [k for k in range(len(secret)) if drawn[k] == secret[k] and secret[k].isalpha() and not before.startswith("key")]
+        assert len(kept) <= 2
+    assert re.fullmatch(r"password=[а-я]{6,} end", got[len(addresses) + 1])
+
+
+def test_ips_of_one_digit_octets_can_all_be_served(spark):
+    ips = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    units = spark.createDataFrame([("ip", i) for i in ips], "kind string, norm string")
+    digest = pii.digest_of(F.col("kind"), F.col("norm"), F.col("attempt"), "k")
+    rows = pii.attempts(units, "k").withColumn("new", pii.surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), digest)).collect()
+    new = {r.new for r in rows}
+    assert len(new) == len(rows) == len(ips) and not new & set(ips)
+    assert all(0 < int(o) < 256 for i in new for o in i.split("."))
