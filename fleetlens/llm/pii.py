@@ -63,8 +63,8 @@ PATTERNS = {
             rf"|(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})(?: {_WORD}){{1,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values()).replace(r"([.-])\d{3}\1", r"[.-]\d{3}[.-]")
-# What every mention has: a cheap test before the patterns.
-_HINT = r"[0-9@]|(?i:password|passwd|secret|token|api_?key) {0,3}[=:]|(?<!\p{L})(?:" + "|".join(MALE_TITLES + FEMALE_TITLES + MALE + FEMALE) + r")\.? \p{Lu}"
+# What every mention has: a cheap test before the patterns. Keys and hexadecimal secrets need not hold a digit 0-9.
+_HINT = r"[0-9@]|(?<![0-9A-Za-z])(?:(?:AKIA|ASIA)[A-Z]{16}|(?:sk|pk|ghp|gho|xox[bp])[-_][A-Za-z_-]{16}|[a-f]{32}|[A-F]{32})|(?i:password|passwd|secret|token|api_?key) {0,3}[=:]|(?<!\p{L})(?:" + "|".join(MALE_TITLES + FEMALE_TITLES + MALE + FEMALE) + r")\.? \p{Lu}"
 
 # What other letters and symbols are drawn from. Letters of further scripts are drawn as Latin ones.
 ALPHABETS = {

@@ -140,3 +140,11 @@ def test_ips_of_one_digit_octets_can_all_be_served(spark):
     new = {r.new for r in rows}
     assert len(new) == len(rows) == len(ips) and not new & set(ips)
     assert all(0 < int(o) < 256 for i in new for o in i.split("."))
+
+
+def test_every_kind_is_found_in_a_text_without_digits(spark):
+    tail = "abcdefghijklmnopqrstuvwx"
+    found = [f"{p}{tail}" for p in ("sk-", "pk_", "ghp_", "gho_", "xoxb-", "xoxp-")] + ["AKIA" + tail[:16].upper(), "ASIA" + tail[:16].upper()]
+    found += ["abcdef" * 6, "ABCDEF" * 6, "x@y.org", "password: hidden", "api_key=hiddenaway", "Mr Smith", "Mary Jones"]
+    got = run(spark, [f"so {m} there" for m in found])
+    assert all(re.fullmatch("so .+ there", g) for g in got) and not [m for m, g in zip(found, got, strict=True) if m in g]
