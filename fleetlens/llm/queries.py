@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, chat, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
+from fleetlens.llm import align, bpe, chat, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
 from fleetlens.llm.common import materialize, n_words, read_table, small_batches
 from fleetlens.llm.idfilter import narrowed
 from fleetlens.llm.sql import ORACLE  # noqa: F401
 
 RANKS = "byte_bpe_50k.tiktoken"
+ALIGN_A, ALIGN_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # The key of the queries' surrogates; real runs pass a secret of their own.
 PII_KEY = "registered-queries"
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -103,6 +104,18 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), kept.alias("kept_sha256"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    a, b = (align.Tokenizer.load(public_tokenizers.path(name)) for name in (ALIGN_A, ALIGN_B))
+    found = align.align(read_table(spark, sf_dir, "documents", "doc_id", "text"), a, b)
+    n = {f"n_{side}": align.n_packed(F.col(f"{side}_ids")) for side in "ab"}
+    spelled = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    slim = found.select(
+        "doc_id", *[c.alias(name) for name, c in n.items()], align.n_packed(F.col("a_ends")).alias("n_groups"), "n_links",
+        spelled.alias("groups_sha256"), *align.PACKED)
+    return align.link_counts(slim)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -114,4 +127,5 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_hosts": op9_hosts,
     "op10_suffixes": op10_suffixes,
+    "op11_align": op11_align,
 }
