@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import align, bpe, chat, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
+from fleetlens.llm import align, bpe, chat, collocations, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
 from fleetlens.llm.common import materialize, n_words, read_table, small_batches
 from fleetlens.llm.idfilter import narrowed
 from fleetlens.llm.sql import ORACLE  # noqa: F401
@@ -116,6 +116,10 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.link_counts(slim)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents", "lang", "text"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -128,4 +132,5 @@ QUERIES = {
     "op9_hosts": op9_hosts,
     "op10_suffixes": op10_suffixes,
     "op11_align": op11_align,
+    "op12_collocations": op12_collocations,
 }

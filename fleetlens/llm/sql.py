@@ -181,4 +181,37 @@ SELECT doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_s
 FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op5_quality": OP5, "op7_chat": OP7, "op8_jaccard": OP8, "op9_hosts": OP9, "op10_suffixes": OP10}
+OP12 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), f AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM places, range(1, 5) AS ks(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), cuts AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k >= 2 AND f >= 30
+), halves AS (
+    SELECT c.lang, c.k, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ') AND x.k = c.cut
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ') AND y.k = c.k - c.cut
+), candidates AS (
+    SELECT * FROM halves QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT lang, k, a, string_split(phrase, ' ') AS w FROM candidates WHERE k >= 3) c, range(2, 4) AS ms(m), range(1, 4) AS firsts(i)
+    WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), kept AS (
+    SELECT c.* FROM candidates c LEFT JOIN inside i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 80 * c.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op5_quality": OP5, "op7_chat": OP7, "op8_jaccard": OP8, "op9_hosts": OP9, "op10_suffixes": OP10, "op12_collocations": OP12}
