@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import align, bpe, chat, collocations, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
+from fleetlens.llm import align, bpe, chat, collocations, crf, hosts, jaccard, language, mixing, neighbours, pii, quality, suffixes
 from fleetlens.llm.common import materialize, n_words, read_table, small_batches
 from fleetlens.llm.idfilter import narrowed
 from fleetlens.llm.sql import ORACLE  # noqa: F401
@@ -120,6 +120,15 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents", "lang", "text"))
 
 
+def op13_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    model = crf.train(docs.where(~held), read_table(spark, sf_dir, "labels", "doc_id", "quality").where(~held))
+    scored = crf.score(docs, model).withColumn("held_out", held)
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -133,4 +142,5 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
     "op11_align": op11_align,
     "op12_collocations": op12_collocations,
+    "op13_crf": op13_crf,
 }
