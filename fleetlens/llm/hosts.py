@@ -17,11 +17,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import materialize
+
 # Two-label suffixes under which names are registered.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn",
                       "com.mx", "com.tr", "gov.uk", "ne.jp", "net.au", "or.jp", "org.au", "org.uk")
 
-LEVELS = ("suffix", "domain", "host")
+LEVELS = ("host", "domain", "suffix")
 # The strength of a prior is kept between these numbers of pages.
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0
 
@@ -67,45 +69,55 @@ def with_levels(df: DataFrame, host: str = "host") -> DataFrame:
     return df.withColumns({"domain": domain_of(h), "suffix": suffix_of(h)})
 
 
+def _strength(m: Column) -> Column:
+    """Aggregate: the strength of the prior of mean ``m`` around which the rates ``k / n`` of the rows spread.
+
+    By n-weighted moments: between-children variance = observed - binomial, strength = m (1 - m) / variance - 1.
+    """
+    n = F.col("n")
+    seen, chance = F.sum(n * F.pow(F.col("k") / n - m, 2)), F.sum(m * (1 - m))
+    free, mean = F.sum(n - 1), F.max(m)
+    between = F.when(free > 0, F.greatest(seen - chance, F.lit(0.0)) / free)
+    strength = F.when(between > 0, mean * (1 - mean) / between - 1).otherwise(F.lit(MOST_STRENGTH))
+    return F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
+
+
+def _posterior(key: str, mean: Column, strength: Column) -> list[Column]:
+    total = F.col("n") + strength
+    return [F.col(key), ((F.col("k") + strength * mean) / total).alias("mean"), total.alias("weight")]
+
+
 def _shrunk(children: DataFrame, parents: DataFrame, key: str, parent: str) -> DataFrame:
     """Posterior of each child under a beta prior around its parent's mean.
 
-    ``children``: (key, parent, n, k); ``parents``: (parent, mean). Strength by the moments of the children's rates:
-    between-children variance = observed - binomial, and strength = m (1 - m) / variance - 1.
+    ``children``: (key, parent, n, k); ``parents``: (parent, mean, ...).
     """
-    at = children.join(parents.select(parent, F.col("mean").alias("_mean")), parent, "left")
-    rate, m, n = F.col("k") / F.col("n"), F.col("_mean"), F.col("n")
-    # n-weighted moments, one row per parent
-    spread = at.groupBy(parent).agg(
-        F.sum(n).alias("_pages"), F.sum(n * F.pow(rate - m, 2)).alias("_seen"), F.sum(m * (1 - m)).alias("_chance"),
-        F.sum(n - 1).alias("_free"), F.max(m).alias("_m"))
-    between = F.when(F.col("_free") > 0, F.greatest(F.col("_seen") - F.col("_chance"), F.lit(0.0)) / F.col("_free"))
-    strength = F.when(between > 0, F.col("_m") * (1 - F.col("_m")) / between - 1).otherwise(F.lit(MOST_STRENGTH))
-    spread = spread.select(parent, F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH)).alias("strength"))
-    a, total = F.col("k") + F.col("strength") * m, n + F.col("strength")
-    return at.join(spread, parent).select(
-        key, parent, (a / total).alias("mean"), total.alias("weight"))
-
-
-def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> dict[str, DataFrame]:
+    at = children.join(parents.select(parent, F.col("mean").alias("_mean")), parent)
+    strengths = at.groupBy(parent).agg(_strength(F.col("_mean")).alias("_strength"))
+    return at.join(strengths, parent).select(*_posterior(key, F.col("_mean"), F.col("_strength")))
+
+
+def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> tuple[dict[str, DataFrame], tuple[float, float]]:
     """Posterior (mean, weight) of the rate of bad pages per host, domain and suffix, and over all pages.
 
     ``outcomes``: a row per labelled page; ``bad`` 0, 1 or NULL (no label). A host with very many pages is pre-aggregated
-    before it is shuffled.
+    before it is shuffled. Every level is written once and read by the next.
     """
     labelled = outcomes.where(F.col(bad).isNotNull() & (F.col(host) != ""))
     hosts = labelled.groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col(bad).cast("double")).alias("k"))
-    hosts = with_levels(hosts).withColumn("everything", F.lit(0))
-    domains = hosts.groupBy("domain", "suffix", "everything").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    suffixes = domains.groupBy("suffix", "everything").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    # Half a page of either outcome keeps the overall rate inside (0, 1).
-    everything = suffixes.groupBy("everything").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).select(
-        "everything", ((F.col("k") + 0.5) / (F.col("n") + 1)).alias("mean"), (F.col("n") + 1).alias("weight"))
-    by_suffix = _shrunk(suffixes, everything, "suffix", "everything")
-    by_domain = _shrunk(domains.drop("everything"), by_suffix, "domain", "suffix")
-    by_host = _shrunk(hosts.drop("everything", "suffix"), by_domain, "host", "domain")
-    return {"host": by_host, "domain": by_domain, "suffix": by_suffix, "everything": everything}
+    hosts = materialize(with_levels(hosts), "hosts")
+    domains = materialize(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "domains")
+    suffixes = materialize(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "suffixes")
+    # Two numbers. Half a page of either outcome keeps the overall rate inside (0, 1).
+    n, k = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum("k"), F.lit(0.0))).first()
+    overall = ((k + 0.5) / (n + 1), n + 1)
+    mean = F.lit(overall[0])
+    strength = suffixes.agg(_strength(mean)).first()[0]
+    by_suffix = materialize(suffixes.select(*_posterior("suffix", mean, F.lit(strength))), "suffix-rates")
+    by_domain = materialize(_shrunk(domains, by_suffix, "domain", "suffix"), "domain-rates")
+    by_host = materialize(_shrunk(hosts, by_domain, "host", "domain"), "host-rates")
+    return {"host": by_host, "domain": by_domain, "suffix": by_suffix}, overall
 
 
 def lower_bound(mean: Column, weight: Column, z: float) -> Column:
@@ -121,17 +133,17 @@ def judge(
 
     ``outcomes``: (url, bad) of labelled pages.
     """
-    levels = reputations(outcomes.select(host_of(F.col(url)).alias("host"), "bad"))
+    levels, (mean, weight) = reputations(outcomes.select(host_of(F.col(url)).alias("host"), "bad"))
     named = ["host", "path", "rule", "verdict", "bad_rate", "bad_rate_low"]
     rows = pages.drop(*[c for c in named if c != url]).withColumns({"__llm_host": host_of(F.col(url)), "__llm_path": path_of(F.col(url))})
     # A row per host, not per page, meets the reputations.
     hosts = rows.select("__llm_host").distinct().withColumns(
-        {"__llm_domain": domain_of(F.col("__llm_host")), "__llm_suffix": suffix_of(F.col("__llm_host")), "__llm_everything": F.lit(0)})
-    for level in ("host", "domain", "suffix", "everything"):
+        {"__llm_domain": domain_of(F.col("__llm_host")), "__llm_suffix": suffix_of(F.col("__llm_host"))})
+    for level in LEVELS:
         side = levels[level].select(
             F.col(level).alias(f"__llm_{level}"), F.struct("mean", "weight").alias(f"_at_{level}"))
         hosts = hosts.join(side, f"__llm_{level}", "left")
-    best = F.coalesce("_at_host", "_at_domain", "_at_suffix", "_at_everything")
+    best = F.coalesce("_at_host", "_at_domain", "_at_suffix", F.struct(F.lit(mean).alias("mean"), F.lit(weight).alias("weight")))
     judged = hosts.select("__llm_host", best.alias("_best")).select(
         "__llm_host", F.col("_best.mean").alias("bad_rate"), lower_bound(F.col("_best.mean"), F.col("_best.weight"), z).alias("bad_rate_low"))
     rule, decision = longest_rule(F.col("__llm_host"), F.col("__llm_path"), rules)
