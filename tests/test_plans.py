@@ -4,20 +4,22 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from fleetlens.queries import REGISTRY
+from oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 # Queries that run streams or writes of their own before they return a plan.
-EAGER = {n for n in queries() if n.endswith("_stream")} | {"scan_cluster_info", "read_log_lines", "submission_report_items"}
-BATCH = sorted(set(queries()) - EAGER)
+EAGER = {n for n in REGISTRY if n.endswith("_stream")} | {"scan_cluster_info", "read_log_lines", "submission_report_items"}
+BATCH = sorted(set(REGISTRY) - EAGER)
 
 
 def plan(spark, name):
-    return queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_every_query_has_a_statement():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
 def test_entry_names_a_cluster_per_run(spark):
