@@ -25,6 +25,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,7 +37,9 @@ UNKNOWN = "und"
 LONGEST = 4
 SCALE = 2_000_000
 # Bytes that are worked on at once, and rows that a task adds up before it passes them on.
-BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 1 << 20
+BYTES_AT_ONCE, ROWS_AT_ONCE, WORDS_AT_ONCE = 1 << 20, 1 << 21, 1 << 18
+# Size of the filter of frequent words.
+FILTER_BITS = 23
 # Parts that a language's candidates are ranked in before the best of each meet.
 RANK_PARTS = 64
 
@@ -85,13 +88,14 @@ class _Words:
         of_text = np.array([int.from_bytes(seeds[lang], "little") for lang, *_ in texts], U64)
         self.key = np.maximum(mix(words ^ of_text[self.text]), U64(OTHER + 1)).astype(np.int64)
 
-    def windows(self) -> list[np.ndarray]:
-        """A column per place of the windows that own words lead."""
-        out = [self.key[self.own]]
-        at = np.flatnonzero(self.own)
+    def windows(self, frequent: np.ndarray) -> list[np.ndarray]:
+        """A column per place of the windows that own words lead, each up to the first word that is not frequent."""
+        usable = frequent[self.key.astype(U64) >> U64(64 - FILTER_BITS)]
+        at = np.flatnonzero(self.own & usable)
+        out, inside = [self.key[at]], np.ones(len(at), bool)
         for k in range(1, LONGEST):
             then = np.minimum(at + k, len(self.key) - 1)
-            inside = (at + k < len(self.key)) & (self.piece[then] == self.piece[at])
+            inside &= (at + k < len(self.key)) & (self.piece[then] == self.piece[at]) & usable[then]
             out.append(np.where(inside, self.key[then], NONE))
         return out
 
@@ -114,11 +118,12 @@ def _read(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[_Words
 
 
 def _added_up(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Equal rows as one. They are brought together by a hash and compared whole."""
+    """Equal rows as one, roughly in the order of their first two words, which packs well. They are brought together by a hash and compared whole."""
     h = np.zeros(len(n), U64)
-    for c in columns:
+    for c in columns[2:]:
         h = mix(h * U64(31) + c.astype(U64))
-    order = np.argsort(h)
+    first, second = (c.astype(U64) >> U64(40) for c in columns[:2])
+    order = np.argsort((first << U64(40)) | ((second >> U64(4)) << U64(20)) | (h >> U64(44)))
     columns = [c[order] for c in columns]
     new = np.zeros(len(n), bool)
     new[:1] = True
@@ -128,9 +133,10 @@ def _added_up(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray
     return [c[at] for c in columns], np.add.reduceat(n[order], at) if len(at) else n
 
 
-def _count_windows(seed: int):
+def _count_windows(seed: int, shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        frequent = np.unpackbits(shared.value).astype(bool)
 
         def out():
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
@@ -138,7 +144,7 @@ def _count_windows(seed: int):
             return pa.RecordBatch.from_arrays([pa.array(c) for c in [*columns, n]], [*WORDS, "n"])
 
         for words, _ in _read(batches, seed):
-            held.append(words.windows())
+            held.append(words.windows(frequent))
             size += len(held[-1][0])
             if size >= ROWS_AT_ONCE:
                 yield out()
@@ -151,20 +157,48 @@ def _count_windows(seed: int):
 
 def _list_words(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out():
+            key, n, lang, word = (np.concatenate(c) for c in zip(*held, strict=True))
+            key, first, at = np.unique(key, return_index=True, return_inverse=True)
+            n = np.bincount(at, n).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(lang[first], pa.string()), pa.array(word[first], pa.string()), pa.array(n)], ["key", "lang", "word", "n"])
+
         for words, langs in _read(batches, seed):
             own = np.flatnonzero(words.own)
             key, first, n = np.unique(words.key[own], return_index=True, return_counts=True)
             at = own[first]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(key), pa.array([langs[k] for k in words.text[at]], pa.string()),
-                pa.array([words.word(k) for k in at], pa.string()), pa.array(n.astype(np.int64))], ["key", "lang", "word", "n"])
+            held.append((key, n, np.array([langs[k] for k in words.text[at]], object), np.array([words.word(k) for k in at], object)))
+            size += len(key)
+            if size >= WORDS_AT_ONCE:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
 
     return run
 
 
-def windows(texts: DataFrame, seed: int) -> DataFrame:
-    """(w1 .. w4, n) of the longest windows, each window once per task and batch. ``texts``: (lang, text)."""
-    return texts.mapInArrow(_count_windows(seed), "w1 long, w2 long, w3 long, w4 long, n long")
+def windows(texts: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
+    """(w1 .. w4, n) of the longest windows of frequent words, each window once per task and batch. ``texts``: (lang, text)."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)  # 2^FILTER_BITS bits
+    return texts.mapInArrow(_count_windows(seed, shared), "w1 long, w2 long, w3 long, w4 long, n long")
+
+
+def frequent_words(words: DataFrame, least: int) -> np.ndarray:
+    """2^FILTER_BITS bits, packed: set for all words that occur ``least`` times or more, and for few others.
+
+    Its size doesn't grow with the words; were they too many for it, more words would pass and more windows would be counted.
+    """
+    place = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    bits = words.where(F.col("n") >= least).select(
+        F.shiftright(place, 6).alias("at"), F.expr("shiftleft(1L, CAST(63 - (shiftrightunsigned(key, %d) & 63) AS INT))" % (64 - FILTER_BITS)).alias("bit"))
+    rows = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(FILTER_BITS - 6) rows
+    out = np.zeros(1 << (FILTER_BITS - 6), ">i8")
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return out.view(np.uint8)
 
 
 def vocabulary(texts: DataFrame) -> tuple[DataFrame, int]:
@@ -252,7 +286,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     """The ``top`` phrases of every language: lang, rank, phrase, a, l, r, n, score."""
     texts = df.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("binary").alias("text"))
     words, seed = vocabulary(texts)
-    found = materialize(phrases(windows(texts, seed), least), "phrases")
+    found = materialize(phrases(windows(texts, seed, frequent_words(words, least)), least), "phrases")
     candidates = materialize(scored(found), "candidates")
     named = spelled(kept(candidates, share), words)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))

@@ -74,6 +74,7 @@ def test_parts_of_long_texts(spark, monkeypatch):
     """Windows across the cuts of a long text, and words that are added up in small batches."""
     monkeypatch.setattr(collocations, "BYTES_AT_ONCE", 7)
     monkeypatch.setattr(collocations, "ROWS_AT_ONCE", 5)
+    monkeypatch.setattr(collocations, "WORDS_AT_ONCE", 6)
     rows = [(lang, text * 3) for lang, text in little(60, 2)]
     got = [b"".join(p[:own] for p, own in collocations.parts(t.encode())) for _, t in rows]
     assert got == [t.encode() for _, t in rows]
@@ -106,6 +107,14 @@ def test_shared_hashes_are_noticed(spark, monkeypatch):
     assert plain is collocations.hashlib.blake2b and real is collocations.mix
 
 
+def test_the_filter_holds_all_frequent_words(spark):
+    rng = collocations.np.random.default_rng(1)
+    keys = rng.integers(-(2**63), 2**63 - 1, 5000).tolist()
+    bits = collocations.np.unpackbits(collocations.frequent_words(spark.createDataFrame([(k, 40 if i % 2 else 3) for i, k in enumerate(keys)], "key long, n long"), 30))
+    place = (collocations.np.array(keys).astype("u8") >> collocations.U64(64 - collocations.FILTER_BITS)).astype(int)
+    assert bits[place[1::2]].all() and bits[place[::2]].mean() < 0.01
+
+
 def test_large_counts_stay_exact(spark):
     n = 2**62
     df = spark.createDataFrame([(7, 8, 0, 0, 2, n - 1), (7, 0, 0, 0, 1, n), (8, 0, 0, 0, 1, n - 1)], "w1 long, w2 long, w3 long, w4 long, k int, f long")
@@ -121,5 +130,5 @@ def test_awkward(spark, awkward, empty):
 
 def test_one_rollup_and_no_text_is_shuffled(spark):
     df = spark.createDataFrame(little(5), "lang string, text string").withColumn("text", F.col("text").cast("binary"))
-    plan = collocations.phrases(collocations.windows(df, 0), 2)._jdf.queryExecution().executedPlan().toString()
+    plan = collocations.phrases(collocations.windows(df, 0, collocations.np.zeros(1 << 20, "u1")), 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Expand") == 1 and plan.count("Exchange") == 3 and "text" not in plan.split("MapInArrow")[0]
