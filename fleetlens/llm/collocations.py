@@ -2,8 +2,9 @@
 
 Every word of a piece of text leads one window: itself and the words after it, padded behind the piece's end. Each occurrence of a shorter phrase is
 the prefix of exactly one window, so the counts of all phrases of one to four words are sums of window counts over successively shorter prefixes.
-Windows are counted first; those whose first three (all four) words are rarer than a candidate may be lose the words behind their second (third),
-which no count of interest needs, because no phrase is more frequent than a part of it. Spark's ROLLUP then sums the few rows left.
+Windows end before words that are rarer than a candidate may be, as far as a filter of fixed size knows them. They are counted first; those whose first two, three (all four) words are rarer than a candidate may be lose the words behind their first, second (third),
+which no count of interest needs, because no phrase is more frequent than a part of it. Spark's ROLLUP then sums the few rows left. Windows of
+a pair of words meet in one place, where its count is complete; those of a pair of very frequent words are spread by the words that follow.
 
 Words travel as 64-bit hashes of language and word. The table of words keeps each hash's word; were two words to share a hash, the hashes
 would be taken anew with the next seed, so counts are exact. A task adds up equal windows before they are shuffled.
@@ -37,9 +38,11 @@ UNKNOWN = "und"
 LONGEST = 4
 SCALE = 2_000_000
 # Bytes that are worked on at once, and rows that a task adds up before it passes them on.
-BYTES_AT_ONCE, ROWS_AT_ONCE, WORDS_AT_ONCE = 1 << 20, 1 << 21, 1 << 18
+BYTES_AT_ONCE, ROWS_AT_ONCE, WORDS_AT_ONCE = 1 << 20, 1 << 21, 1 << 19
 # Size of the filter of frequent words.
 FILTER_BITS = 23
+# A word is hot if it makes up one in so many of all words.
+HOT = 1000
 # Parts that a language's candidates are ranked in before the best of each meet.
 RANK_PARTS = 64
 
@@ -133,15 +136,35 @@ def _added_up(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray
     return [c[at] for c in columns], np.add.reduceat(n[order], at) if len(at) else n
 
 
+def _places(columns: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
+    """Where equal windows meet: by their first two words, and by three or four where the words before are all hot.
+
+    The last two bits tell by how many more than two. So all windows of a pair that isn't hot meet, and no place draws more rows than a
+    word may have that isn't hot, but for equal windows, which a task has added up.
+    """
+    place = mix(mix(columns[0].astype(U64)) ^ columns[1].astype(U64))
+    more, level = np.ones(len(place), bool), np.zeros(len(place), U64)
+    for word, following in zip(columns[:2], (None, columns[2]), strict=True):
+        more &= np.isin(word, hot)
+        if following is not None:
+            place = np.where(more, mix(place ^ following.astype(U64)), place)
+            level += more
+    more &= np.isin(columns[2], hot)
+    place = np.where(more, mix(place ^ columns[3].astype(U64)), place)
+    level += more
+    return ((place & ~U64(3)) | level).astype(np.int64)
+
+
 def _count_windows(seed: int, shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        frequent = np.unpackbits(shared.value).astype(bool)
+        bits, hot = shared.value
+        frequent = np.unpackbits(bits).astype(bool)
 
         def out():
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             columns, n = _added_up(columns, np.ones(len(columns[0]), np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in [*columns, n]], [*WORDS, "n"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in [_places(columns, hot), *columns, n]], ["place", *WORDS, "n"])
 
         for words, _ in _read(batches, seed):
             held.append(words.windows(frequent))
@@ -181,10 +204,16 @@ def _list_words(seed: int):
     return run
 
 
-def windows(texts: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
-    """(w1 .. w4, n) of the longest windows of frequent words, each window once per task and batch. ``texts``: (lang, text)."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)  # 2^FILTER_BITS bits
-    return texts.mapInArrow(_count_windows(seed, shared), "w1 long, w2 long, w3 long, w4 long, n long")
+def windows(texts: DataFrame, seed: int, frequent: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """(place, w1 .. w4, n) of the longest windows of frequent words, each window once per task and batch. ``texts``: (lang, text)."""
+    shared = texts.sparkSession.sparkContext.broadcast((frequent, hot))  # 2^FILTER_BITS bits and at most HOT numbers
+    return texts.mapInArrow(_count_windows(seed, shared), "place long, w1 long, w2 long, w3 long, w4 long, n long")
+
+
+def hot_words(words: DataFrame) -> np.ndarray:
+    """Keys of the words that make up one in HOT of all words or more; there are at most HOT of them."""
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    return np.sort(words.where(F.col("n") * HOT >= total).select("key").toArrow().column("key").to_numpy())
 
 
 def frequent_words(words: DataFrame, least: int) -> np.ndarray:
@@ -205,21 +234,29 @@ def vocabulary(texts: DataFrame) -> tuple[DataFrame, int]:
     """(key, lang, word, n) of all words, and a seed with which no two words share a key."""
     for seed in count():
         words = texts.mapInArrow(_list_words(seed), "key long, lang string, word string, n long")
-        words = materialize(words.groupBy("key", "lang", "word").agg(F.sum("n").alias("n")), "words")
-        if not words.groupBy("key").count().where("count > 1").limit(1).count():
-            return words, seed
+        words = words.repartition("key").groupBy("key", "lang", "word").agg(F.sum("n").alias("n"))
+        words = materialize(words.withColumn("sharing", F.count(F.lit(1)).over(W.partitionBy("key"))), "words")
+        if not words.where("sharing > 1").limit(1).count():
+            return words.drop("sharing"), seed
 
 
 def phrases(counted: DataFrame, least: int) -> DataFrame:
     """(w1 .. w4, k, f) of all phrases of one to four words that occur ``least`` times or more; unused places are NONE."""
-    # Rows of equal first three words meet in one partition, where both window counts and their sums of three are complete.
-    whole = counted.repartition("w1", "w2", "w3").groupBy(*WORDS).agg(F.sum("n").alias("n"))
-    whole = whole.withColumn("three", F.sum("n").over(W.partitionBy("w1", "w2", "w3")))
-    third = F.when((F.col("w3") == NONE) | (F.col("three") >= least), F.col("w3")).otherwise(OTHER)
-    fourth = F.when((F.col("w3") != NONE) & (F.col("three") < least), OTHER).when(
-        (F.col("w4") == NONE) | (F.col("n") >= least), F.col("w4")).otherwise(OTHER)
-    short = whole.select("w1", "w2", third.cast("long").alias("w3"), fourth.cast("long").alias("w4"), "n")
-    short = short.groupBy(*WORDS).agg(F.sum("n").alias("n"))
+    whole = counted.repartition("place").groupBy("place", *WORDS).agg(F.sum("n").alias("n"))
+    n = F.sum("n")
+    whole = whole.withColumn("three", n.over(W.partitionBy("place", "w1", "w2", "w3"))).withColumn("two", n.over(W.partitionBy("place", "w1", "w2")))
+    # A sum over windows that meet elsewhere, too, tells nothing; ROLLUP adds those up.
+    level = F.col("place").bitwiseAND(3)
+
+    def cut(word: str, before: Column | None, complete: Column, occurrences: str) -> Column:
+        keep = (F.col(word) == NONE) | ~complete | (F.col(occurrences) >= least)
+        kept = F.when(keep, F.col(word)).otherwise(F.lit(OTHER).cast("long"))
+        return kept if before is None else F.when(before == OTHER, before).otherwise(kept)
+
+    second = cut("w2", None, level == 0, "two")
+    third = cut("w3", second, level <= 1, "three")
+    fourth = cut("w4", third, F.lit(True), "n")
+    short = whole.select("w1", second.alias("w2"), third.alias("w3"), fourth.alias("w4"), "n").groupBy(*WORDS).agg(F.sum("n").alias("n"))
     sums = short.rollup(*WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     # grouping_id has a bit per word that was summed over.
     k = F.when(F.col("rolled") == 0, 4).when(F.col("rolled") == 1, 3).when(F.col("rolled") == 3, 2).when(F.col("rolled") == 7, 1)
@@ -286,7 +323,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     """The ``top`` phrases of every language: lang, rank, phrase, a, l, r, n, score."""
     texts = df.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("binary").alias("text"))
     words, seed = vocabulary(texts)
-    found = materialize(phrases(windows(texts, seed, frequent_words(words, least)), least), "phrases")
+    found = materialize(phrases(windows(texts, seed, frequent_words(words, least), hot_words(words)), least), "phrases")
     candidates = materialize(scored(found), "candidates")
     named = spelled(kept(candidates, share), words)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))

@@ -62,8 +62,10 @@ def little(n, seed=1):
     return [(rng.choice(["en", "en", "de", None, "und", ""]), " ".join(rng.choices(words, [9, 8, 3, 2, 3, 2, 2, 1, 1, 1, 6], k=rng.randint(0, 40)))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("least, share, top", [(2, 80, 2000), (5, 50, 7), (30, 80, 3)])
-def test_like_brute_force(spark, least, share, top):
+@pytest.mark.parametrize("least, share, top, hot", [(2, 80, 2000, 1000), (5, 50, 7, 12), (30, 80, 3, 5), (5, 80, 2000, 0)])
+def test_like_brute_force(spark, monkeypatch, least, share, top, hot):
+    """Whatever words are hot, and so however windows are spread."""
+    monkeypatch.setattr(collocations, "HOT", hot)
     rows = little(300)
     df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
     got = rows_of(collocations.collocations(df, least=least, share=share, top=top))
@@ -130,5 +132,5 @@ def test_awkward(spark, awkward, empty):
 
 def test_one_rollup_and_no_text_is_shuffled(spark):
     df = spark.createDataFrame(little(5), "lang string, text string").withColumn("text", F.col("text").cast("binary"))
-    plan = collocations.phrases(collocations.windows(df, 0, collocations.np.zeros(1 << 20, "u1")), 2)._jdf.queryExecution().executedPlan().toString()
+    plan = collocations.phrases(collocations.windows(df, 0, collocations.np.zeros(1 << 20, "u1"), collocations.np.zeros(0, "i8")), 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Expand") == 1 and plan.count("Exchange") == 3 and "text" not in plan.split("MapInArrow")[0]
