@@ -555,13 +555,13 @@ class Bindings:
                     node_type_id=tag("n", cust % 5), num_workers=job % 8, autoscale=size,
                     custom_tags=project_tags(F.when(owner != 0, tag("p", owner))),
                     policy_id=F.lit("pol" if k == 0 else None), init_scripts=F.array(F.lit(f"b{k}")),
-                ).alias("new_cluster"),
+                ).withField("data_security_mode", tag("M", job % 3)).alias("new_cluster"),
             )
 
         return F.array(*[entry(k) for k in range(3)])
 
     @cached_property
-    def job(self) -> DataFrame:
+    def _typed_job(self) -> DataFrame:
         job, cust = F.col("o_orderkey"), F.col("o_custkey")
         count, mode = job % 5, job % 3
 
@@ -574,11 +574,13 @@ class Bindings:
             own = definition(
                 cluster_name=F.lit("own"), node_type_id=tag("n", (cust + i) % 5), num_workers=(job + i) % 8,
                 custom_tags=project_tags(F.when(owner != 0, tag("p", owner))),
-            )
+            ).withField("data_security_mode", tag("M", job % 3))
+            notebook = F.concat(tag("/n", job), tag("-", i))
             return F.struct(
                 tag("t", i).alias("task_key"),
                 F.when(inline, own).alias("new_cluster"),
                 F.when(~inline, key).alias("job_cluster_key"),
+                F.struct(notebook.alias("notebook_path")).alias("notebook_task"),
             )
 
         tasks = F.when(count > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), task)).otherwise(
@@ -587,9 +589,15 @@ class Bindings:
         return self.raw("orders").select(
             job.alias("job_id"),
             F.struct(tag("job", job).alias("name"), tasks.alias("tasks"),
-                     self._job_clusters().alias("job_clusters")).alias("settings"),
+                     self._job_clusters().alias("job_clusters"),
+                     F.struct(tag("", job % 24).alias("hour")).alias("schedule")).alias("settings"),
         )
 
+    @cached_property
+    def job(self) -> DataFrame:
+        """Whole job documents, with keys beyond those that operators know."""
+        return self._typed_job.select("job_id", F.parse_json(F.to_json("settings")).alias("settings"))
+
     @cached_property
     def whole_document(self) -> DataFrame:
         """Cluster definitions and configurations as JSON texts with keys beyond the typed definition."""
@@ -630,7 +638,7 @@ class Bindings:
 
     @cached_property
     def job_text(self) -> DataFrame:
-        return self.job.select(F.to_json(F.struct("job_id", "settings")).alias("value"))
+        return self._typed_job.select(F.to_json(F.struct("job_id", "settings")).alias("value"))
 
     @cached_property
     def run_text(self) -> DataFrame:
@@ -654,7 +662,7 @@ class Bindings:
             run.alias("run_id"), run.alias("job_id"), F.transform("settings.tasks", task).alias("tasks"),
             F.col("settings.job_clusters").alias("job_clusters"),
         )
-        return self.job.select(F.to_json(doc).alias("value"))
+        return self._typed_job.select(F.to_json(doc).alias("value"))
 
     @cached_property
     def project_definition(self) -> DataFrame:
@@ -662,13 +670,13 @@ class Bindings:
         conf = F.struct(F.struct(F.lit("dbfs:/old").alias("destination")).alias("dbfs"))
         return self.raw("customer").select(
             tag("p", key).alias("project_id"),
-            definition(
+            F.parse_json(F.to_json(definition(
                 cluster_name=F.lit("base"), node_type_id=tag("n", key % 5), num_workers=key % 8,
                 autoscale=F.when(key % 2 == 0, F.struct(F.lit(1).alias("min_workers"), F.lit(9).alias("max_workers"))),
                 custom_tags=project_tags(tag("p", key)),
                 policy_id=F.lit("pol"), init_scripts=F.when(key % 3 != 0, F.array(F.lit("b"))),
                 cluster_log_conf=F.when(key % 4 == 0, conf),
-            ).alias("definition"),
+            ))).alias("definition"),
         )
 
     @cached_property

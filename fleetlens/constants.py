@@ -55,4 +55,5 @@ NO_LOG_LOCATION = "No eventlog location found for cluster."
 RECOMMENDATION_FAILED = "Recommendation failed"
 RECOMMENDATION_NOT_FOUND = "Recommendation not found"
 CONFIGURATION_NOT_FOUND = "Recommendation configuration not found"
+NESTED_TOO_DEEP = "Document nests too deeply"
 BAD_LOG_URL = "Unsupported event log URL scheme"

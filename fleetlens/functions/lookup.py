@@ -16,7 +16,7 @@ def left_lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     A join sends all rows with a NULL key to one task. Here such a row gets a stand-in key, made from its
     other values, that matches nothing, so rows without key are spread like any others.
     """
-    values = [f.name for f in left.schema if isinstance(f.dataType, T.AtomicType)]
+    values = [f.name for f in left.schema if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
     stand_in = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*values), F.lit(_SPREAD)).cast("string"))
     text = F.col(key).cast("string")
     keyed = right.filter(F.col(key).isNotNull()).withColumn(_KEY, text).drop(key)

@@ -1,17 +1,16 @@
-"""Deep merge of JSON patches into typed documents.
+"""Whole JSON documents (VARIANT): reading members, replacing them, and deep merge.
 
-The base is a struct column; a patch is a VARIANT column, because only VARIANT tells a missing key
-(keep the base) from an explicit null (set null). The merge is one expression over the schema, so it
-runs in the JVM without a shuffle.
+Nothing here knows a schema, so keys that no schema lists survive at every level. A missing key and an explicit null differ: a
+missing key keeps the base's value, an explicit null replaces it. Everything is an expression inside the row, without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+# Patches that nest deeper than this are not merged (see :func:`patch_depth`).
+MOST_NESTED = 100
 
 
 def parse_patch(text: Column) -> Column:
@@ -19,91 +18,91 @@ def parse_patch(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
-def deep_merge(base: Column, schema: T.StructType, *patches: Column) -> Column:
-    """Apply patches left to right. Give parsed patches as columns of their own, so each is parsed once per row.
+def members(document: Column) -> Column:
+    """An object's members as a map; NULL for anything else."""
+    return F.try_variant_get(document, "$", "map<string,variant>")
 
-    Structs merge field by field, maps key by key, arrays are concatenated (base first), anything else
-    is replaced by the patch. A patch value the schema cannot hold reads as null.
-    """
-    merged = base
-    for patch in patches:
-        merged = _merge_struct(merged, schema, patch, "$")
-    return merged
 
+def items(document: Column) -> Column:
+    """An array's items; NULL for anything else."""
+    return F.try_variant_get(document, "$", "array<variant>")
+
+
+def text_at(document: Column, path: str) -> Column:
+    return F.try_variant_get(document, path, "string")
+
+
+def is_blank_object(document: Column) -> Column:
+    """Missing, null, or without any member."""
+    return F.coalesce(F.size(F.map_keys(members(document))) < 1, F.lit(True))
+
+
+def nesting(document: Column) -> Column:
+    """How many objects and arrays lie in one another, at most."""
+    unnamed = F.regexp_replace(F.schema_of_variant(document), "`(?:[^`]|``)*`", "")
+    steps = F.split(F.regexp_replace(unnamed, "[^<>]", ""), "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(at: Column, c: Column) -> Column:
+        now = at["now"] + F.when(c == "<", 1).when(c == ">", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
+
+    return F.aggregate(steps, zero, step)["most"]
 
-def unknown_keys(patch: Column, schema: T.StructType) -> Column:
-    """Top-level patch keys that the schema lacks (they cannot be kept in a typed document)."""
-    keys = F.map_keys(F.try_variant_get(patch, "$", "map<string,variant>"))
-    return F.array_except(F.coalesce(keys, F.array().cast("array<string>")),
-                          F.array(*[F.lit(n) for n in schema.names]))
 
+def patch_depth(patches: DataFrame, patch: str) -> int:
+    """The nesting of the deepest patch of a table, 0 without any: how far :func:`merge_documents` has to look."""
+    return patches.select(F.coalesce(F.max(nesting(F.col(patch))), F.lit(0)).alias("n")).first()["n"]
 
-def merge_documents(base: Column, patch: Column, depth: int = 16) -> Column:
-    """Apply a patch to a whole document, both VARIANT, without a schema: keys unknown to any schema survive at every level.
 
-    Objects merge key by key, arrays are concatenated (base first), anything else is replaced; an explicit null replaces, too. Below
-    ``depth`` nested objects the patch's value replaces the base's. A SQL NULL patch changes nothing.
+def merge_documents(base: Column, patch: Column, depth: int) -> Column:
+    """Apply a patch to a document: objects merge member by member, arrays are concatenated (base first), anything else is replaced.
+
+    A SQL NULL patch changes nothing. ``depth`` is that of the deepest patch; the expression is built that deep. Where it is beyond
+    ``MOST_NESTED``, patches that nest deeper give NULL.
     """
-    return F.when(patch.isNull(), base).when(base.isNull(), patch).otherwise(_merged_value(base, patch, depth))
+    merged = F.when(patch.isNull(), base).when(base.isNull(), patch).otherwise(_merged(base, patch, min(depth, MOST_NESTED)))
+    if depth > MOST_NESTED:
+        merged = F.when(nesting(patch) <= MOST_NESTED, merged).when(patch.isNull(), base)
+    return merged
 
 
-def _merged_value(base: Column, patch: Column, depth: int) -> Column:
+def _merged(base: Column, patch: Column, depth: int) -> Column:
     if depth == 0:
         return patch
-    old, new = (F.try_variant_get(v, "$", "map<string,variant>") for v in (base, patch))
-    first, second = (F.try_variant_get(v, "$", "array<variant>") for v in (base, patch))
-    both = F.map_zip_with(
-        old, new,
-        lambda key, a, b: F.when(
-            F.map_contains_key(new, key) & F.map_contains_key(old, key), _merged_value(a, b, depth - 1)
-        ).when(F.map_contains_key(new, key), b).otherwise(a),
-    )
-    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
-    is_array = lambda v: F.schema_of_variant(v).startswith("ARRAY")
-    return (
-        F.when(is_object(base) & is_object(patch), F.to_variant_object(both))
-        .when(is_array(base) & is_array(patch), F.to_variant_object(F.concat(first, second)))
-        .otherwise(patch)
-    )
+
+    def member(_: Column, old: Column, new: Column) -> Column:
+        return F.when(new.isNull(), old).when(old.isNull(), new).otherwise(_merged(old, new, depth - 1))
+
+    # Each is NULL unless both sides are of its kind.
+    objects = F.to_variant_object(F.map_zip_with(members(base), members(patch), member))
+    arrays = F.to_variant_object(F.concat(items(base), items(patch)))
+    return F.coalesce(objects, arrays, patch)
 
 
 def without_keys(document: Column, *keys: str) -> Column:
-    """A VARIANT object without the given top-level keys; other values stay as they are."""
-    members = F.try_variant_get(document, "$", "map<string,variant>")
-    kept = F.map_filter(members, lambda key, value: ~key.isin(*keys))
-    return F.when(members.isNull(), document).otherwise(F.to_variant_object(kept))
-
-
-def _member(path: str, name: str) -> str:
-    return f"{path}['{name}']"
-
-
-def _merge_struct(base: Column, schema: T.StructType, patch: Column, path: str) -> Column:
-    fields: Iterable[Column] = [
-        _merge_value(base[field.name], field.dataType, patch, _member(path, field.name)).alias(field.name)
-        for field in schema.fields
-    ]
-    return F.struct(*fields)
-
-
-def _merge_value(base: Column, dtype: T.DataType, patch: Column, path: str) -> Column:
-    value = F.variant_get(patch, path, "variant")
-    typed = F.try_variant_get(patch, path, dtype.simpleString())
-    if isinstance(dtype, T.StructType):
-        # A JSON object patches field by field; a base that is null stays out of the result.
-        is_object = F.schema_of_variant(value).startswith("OBJECT")
-        present = F.when(base.isNull(), typed).otherwise(_merge_struct(base, dtype, patch, path))
-        replaced = F.when(is_object, present)
-    elif isinstance(dtype, T.MapType):
-        replaced = F.when(
-            base.isNotNull() & typed.isNotNull(),
-            F.map_zip_with(
-                base, typed,
-                lambda k, old, new: F.when(F.map_contains_key(typed, k), new).otherwise(old),
-            ),
-        ).otherwise(typed)
-    elif isinstance(dtype, T.ArrayType):
-        replaced = F.when(base.isNotNull() & typed.isNotNull(), F.concat(base, typed)).otherwise(typed)
-    else:
-        replaced = typed
-    return F.when(value.isNull(), base).otherwise(replaced)
+    """An object without the given members; other values stay as they are."""
+    kept = F.map_filter(members(document), lambda key, value: ~key.isin(*keys))
+    return F.coalesce(F.to_variant_object(kept), document)
+
+
+def with_keys(document: Column, **values: Column) -> Column:
+    """An object with the given members set (VARIANT values); a NULL value removes the member."""
+    kept = F.map_filter(members(document), lambda key, value: ~key.isin(*values))
+    pairs = [F.struct(F.lit(name).alias("key"), value.alias("value")) for name, value in values.items()]
+    new = F.map_from_entries(F.filter(F.array(*pairs), lambda p: p["value"].isNotNull()))
+    return F.to_variant_object(F.map_concat(kept, new))
+
+
+def object_of(**values: Column) -> Column:
+    """An object of the given members (VARIANT values); members that are NULL are left out."""
+    return with_keys(F.parse_json(F.lit("{}")), **values)
+
+
+def array_of(values: Column) -> Column:
+    """An array column of VARIANT as a document."""
+    return F.to_variant_object(values)
+
+
+def scalar(value: Column) -> Column:
+    return value.cast("variant")

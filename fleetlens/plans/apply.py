@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.lookup import left_lookup
-from fleetlens.functions.merge import deep_merge, parse_patch
+from fleetlens.functions.merge import merge_documents
 from fleetlens.operators import jobs, recommend
 from fleetlens.plans.submit import recorded_clusters
 from fleetlens.plans.telemetry import Telemetry
@@ -15,22 +15,17 @@ from fleetlens.plans.telemetry import Telemetry
 def job_updates(job_rows: DataFrame, recommendations: DataFrame, requests: DataFrame) -> DataFrame:
     """Update payloads for ``requests(job_id, project_id, recommendation_id, …)``, or the error of each.
 
-    The new definition is always merged from the stored one, never from an earlier result. Other columns of
-    the requests are kept.
+    The new definition is always merged from the stored one, never from an earlier result, and is a whole document. Other columns of
+    the requests are kept; a request that fails stays, with ``update_error``.
     """
-    kind = jobs.definition_type(job_rows)
-    targets = jobs.target_clusters(requests, jobs.project_job_clusters(job_rows))
-    rows = recommend.with_recommendation(targets, recommendations).withColumn(
-        "_patch", parse_patch(F.col("configuration"))
-    )
-    merged = jobs.recommended_definition(F.col("cluster"), kind, F.col("_patch"))
+    targets = jobs.target_clusters(requests, job_rows)
+    rows, depth = recommend.with_recommendation(targets, recommendations)
+    merged = jobs.recommended_definition(F.col("cluster"), F.col("patch"), depth)
     problem = F.coalesce("target_error", "recommendation_error")
-    payload = jobs.update_payload(F.col("path_kind"), F.col("path_key"), F.col("_new"))
-    usable = F.col("update_error").isNull()
-    return rows.withColumns({"update_error": problem, "_new": merged}).select(
-        *requests.columns, "path_kind", "path_key",
-        F.when(usable, F.col("_new")).alias("definition"),
-        F.when(usable, payload).alias("payload"),
+    rows = rows.withColumn("update_error", problem).withColumn("_new", F.when(F.col("update_error").isNull(), merged))
+    return rows.select(
+        *requests.columns, "path_kind", "path_key", F.col("_new").alias("definition"),
+        jobs.update_payload(F.col("path_kind"), F.col("path_key"), F.col("_new")).alias("payload"),
         "update_error",
     )
 
@@ -40,12 +35,9 @@ def recommended_jobs(job_rows: DataFrame, recommendations: DataFrame, requests:
 
     ``requests(job_id, recommendation_id)``. Jobs that cannot be changed stay as they are, with ``error``.
     """
-    kind = jobs.definition_type(job_rows)
     asked = jobs.single_clusters(job_rows).join(requests.select("job_id", "recommendation_id"), "job_id")
-    rows = recommend.with_recommendation(asked, recommendations).withColumn(
-        "_patch", parse_patch(F.col("configuration"))
-    )
-    merged = jobs.recommended_definition(F.col("cluster"), kind, F.col("_patch"))
+    rows, depth = recommend.with_recommendation(asked, recommendations)
+    merged = jobs.recommended_definition(F.col("cluster"), F.col("patch"), depth)
     return _rewritten(rows, F.col("recommendation_error"), merged, keep_name=False)
 
 
@@ -54,13 +46,11 @@ def project_jobs(job_rows: DataFrame, templates: DataFrame, requests: DataFrame)
 
     ``requests(job_id, project_id)``. Jobs that cannot be changed stay as they are, with ``error``.
     """
-    kind = jobs.definition_type(job_rows)
     asked = jobs.single_clusters(job_rows).join(requests.select("job_id", "project_id"), "job_id")
-    rows = left_lookup(
-        asked, templates.select("project_id", "template", parse_patch(F.col("template")).alias("_patch")), "project_id"
-    )
-    missing = F.when(F.col("template").isNull(), "no_template")
-    return _rewritten(rows, missing, deep_merge(F.col("cluster"), kind, F.col("_patch")), keep_name=True)
+    patches, depth = recommend.parsed_patches(templates.select("project_id", "template"), "template", "_patch")
+    rows = left_lookup(asked, patches, "project_id")
+    problem = F.when(F.col("template").isNull(), "no_template").otherwise(recommend.merge_error(F.col("_patch"), depth))
+    return _rewritten(rows, problem, merge_documents(F.col("cluster"), F.col("_patch"), depth), keep_name=True)
 
 
 def _rewritten(rows: DataFrame, problem: Column, merged: Column, keep_name: bool) -> DataFrame:

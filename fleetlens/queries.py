@@ -429,24 +429,31 @@ def eventlog_bundle_manifest(b):
 
 
 def _definition_columns(definition: str):
-    """A definition flattened to scalar columns."""
-    d = F.col(definition)
+    """A definition (VARIANT) flattened to scalar columns."""
+    def at(path, kind):
+        return F.try_variant_get(definition, path, kind)
+
     pairs = F.transform(
-        F.map_entries(d["custom_tags"]),
+        F.map_entries(at("$.custom_tags", "map<string,string>")),
         lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))),
     )
     return [
-        d["cluster_name"].alias("cluster_name"),
-        d["node_type_id"].alias("node_type_id"),
-        d["num_workers"].alias("num_workers"),
-        d["autoscale"]["max_workers"].alias("max_workers"),
+        at("$.cluster_name", "string").alias("cluster_name"),
+        at("$.node_type_id", "string").alias("node_type_id"),
+        at("$.num_workers", "bigint").alias("num_workers"),
+        at("$.autoscale.max_workers", "bigint").alias("max_workers"),
         F.array_join(F.sort_array(pairs), ";").alias("tags"),
-        d["policy_id"].alias("policy_id"),
-        F.array_join(d["init_scripts"], ",").alias("scripts"),
-        d["cluster_log_conf"]["dbfs"]["destination"].alias("log_url"),
+        at("$.policy_id", "string").alias("policy_id"),
+        F.array_join(at("$.init_scripts", "array<string>"), ",").alias("scripts"),
+        at("$.cluster_log_conf.dbfs.destination", "string").alias("log_url"),
     ]
 
 
+def _mode(definition: str):
+    """A key of definitions that no operator knows."""
+    return F.try_variant_get(definition, "$.data_security_mode", "string").alias("mode")
+
+
 @query
 def scan_run_tasks(b):
     rows = dc.run_tasks_of(dc.parse_documents(b.run_text, "value", sc.RUN))
@@ -479,26 +486,25 @@ def job_project_clusters(b):
 
 @query
 def recommendation_target(b):
-    rows = jb.target_clusters(b.job_request, jb.project_job_clusters(b.job))
+    rows = jb.target_clusters(b.job_request, b.job)
     return rows.select("job_id", "project_id", "path_kind", "path_key", "target_error")
 
 
 @query
 def deep_merge_config(b):
-    patches = b.recommendation.select("id", mg.parse_patch(F.col("recommendation.configuration")).alias("patch"))
-    shared = dc.job_clusters_of(b.job)
-    kind = shared.schema["new_cluster"].dataType
+    patches, depth = rc.parsed_patches(
+        b.recommendation.select("id", F.col("recommendation.configuration").alias("configuration")), "configuration", "patch")
+    shared = jb.job_parts(b.job).filter("section = 'job_clusters'")
     rows = shared.join(patches, shared.job_id == patches.id)
-    merged = mg.deep_merge(F.col("new_cluster"), kind, F.col("patch"))
+    merged = mg.merge_documents(F.col("definition"), F.col("patch"), depth)
     return rows.withColumn("merged", merged).select("job_id", "pos", *_definition_columns("merged"))
 
 
 @query
 def merged_documents(b):
     """Whole definitions with whole configurations merged in: nothing that a schema doesn't know is lost."""
-    rows = b.whole_document.select(
-        "job_id", F.parse_json("definition").alias("base"), mg.parse_patch(F.col("configuration")).alias("patch"))
-    merged = rows.select("job_id", jb.recommended_document(F.col("base"), F.col("patch")).alias("d"))
+    rows, depth = rc.parsed_patches(b.whole_document, "configuration", "patch")
+    merged = rows.select("job_id", jb.recommended_definition(F.parse_json("definition"), F.col("patch"), depth).alias("d"))
     paths = {
         "node_type_id": "$.node_type_id", "num_workers": "$.num_workers", "max_workers": "$.autoscale.max_workers", "mode": "$.data_security_mode",
         "zone": "$.aws_attributes.zone_id", "profile": "$.aws_attributes.instance_profile_arn", "ebs": "$.aws_attributes.ebs_volume_size",
@@ -521,12 +527,14 @@ def definition_vs_recommendation(b):
     latest = pj.latest_recommendation(b.project, b.recommendation)
     rows = rc.definition_and_recommendation(b.project_definition, latest)
     return rows.select(
-        "project_id", F.col("cluster_definition.node_type_id").alias("node_type_id"), "cluster_recommendation", "error"
+        "project_id", mg.text_at(F.col("cluster_definition"), "$.node_type_id").alias("node_type_id"), "cluster_recommendation", "error"
     )
 
 
 def _job_part_rows(jobs):
-    return jb.job_parts(jobs).select("job_id", "section", "pos", "key", *_definition_columns("definition"))
+    return jb.job_parts(jobs).select(
+        "job_id", "section", "pos", "key", *_definition_columns("definition"), _mode("definition"),
+        mg.text_at(F.col("part"), "$.notebook_task.notebook_path").alias("notebook"))
 
 
 @query
@@ -541,9 +549,7 @@ def project_jobs(b):
 
 @query
 def job_update_payloads(b):
-    targets = jb.target_clusters(b.job_request, jb.project_job_clusters(b.job))
-    payload = jb.update_payload(F.col("path_kind"), F.col("path_key"), F.col("cluster"))
-    rows = targets.filter(F.col("target_error").isNull()).withColumn("payload", payload)
+    rows = ap.job_updates(b.job, b.recommendation, b.job_request)
 
     def item(path):
         return F.get_json_object("payload", path)
@@ -554,20 +560,24 @@ def job_update_payloads(b):
         item("$.job_clusters[0].new_cluster.node_type_id").alias("shared_node"),
         item("$.tasks[0].task_key").alias("task_key"),
         item("$.tasks[0].new_cluster.node_type_id").alias("inline_node"),
+        F.coalesce(item("$.job_clusters[0].new_cluster.data_security_mode"), item("$.tasks[0].new_cluster.data_security_mode")).alias("mode"),
+        F.col("update_error").alias("error"),
     )
 
 
 @query
 def one_off_payloads(b):
     rows = jb.one_off_runs(b.job)
-    first = F.get("tasks", F.lit(0))
+    tasks, cluster = F.col("tasks"), F.col("cluster")
     return rows.select(
-        "job_id", "run_name", F.size(F.coalesce("tasks", F.array())).alias("n_tasks"),
-        first["new_cluster"]["node_type_id"].alias("inline_node"),
-        first["new_cluster"]["cluster_name"].alias("inline_name"),
-        F.col("cluster.cluster_name").alias("cluster_name"),
-        F.col("cluster.policy_id").alias("policy_id"),
-        F.col("cluster.autotermination_minutes").alias("autotermination_minutes"),
+        "job_id", "run_name", F.coalesce(F.size(mg.items(tasks)), F.lit(0)).alias("n_tasks"),
+        mg.text_at(tasks, "$[0].new_cluster.node_type_id").alias("inline_node"),
+        mg.text_at(tasks, "$[0].new_cluster.cluster_name").alias("inline_name"),
+        mg.text_at(cluster, "$.cluster_name").alias("cluster_name"),
+        mg.text_at(cluster, "$.policy_id").alias("policy_id"),
+        F.try_variant_get(cluster, "$.autotermination_minutes", "bigint").alias("autotermination_minutes"),
+        F.coalesce(mg.text_at(cluster, "$.data_security_mode"), mg.text_at(tasks, "$[0].new_cluster.data_security_mode")).alias("mode"),
+        F.array_join(F.transform(mg.items(tasks), lambda t: mg.text_at(t, "$.notebook_task.notebook_path")), ",").alias("notebooks"),
         "error",
     )
 
@@ -721,16 +731,20 @@ def handle_successful_runs(b):
         F.get_json_object("payload", "$.job_clusters[0].new_cluster.node_type_id"),
         F.get_json_object("payload", "$.tasks[0].new_cluster.node_type_id"),
     )
+    mode = F.coalesce(
+        F.get_json_object("payload", "$.job_clusters[0].new_cluster.data_security_mode"),
+        F.get_json_object("payload", "$.tasks[0].new_cluster.data_security_mode"),
+    )
     return rows.select(
         "run_id", "job_id", "project_id", "submission_id", "recommendation_id", "apply_status", "path_key",
-        node.alias("new_node"), "error",
+        node.alias("new_node"), mode.alias("mode"), "error",
     )
 
 
 @query
 def apply_recommendations(b):
     rows = ap.job_updates(b.job, b.recommendation, b.job_request)
-    return rows.select("job_id", "project_id", "path_kind", "path_key", *_definition_columns("definition"),
+    return rows.select("job_id", "project_id", "path_kind", "path_key", *_definition_columns("definition"), _mode("definition"),
                        F.col("update_error").alias("error"))
 
 

@@ -401,7 +401,8 @@ SELECT t.job_id, 'tasks' AS section, CAST(t.i AS INTEGER) AS pos, t.task_key AS
        CASE WHEN here THEN m.tags WHEN NOT t.inline THEN NULL
             WHEN t.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || t.project_id END AS tags,
        CASE WHEN here THEN m.policy_id END AS policy_id, CASE WHEN here THEN m.scripts END AS scripts,
-       CAST(NULL AS VARCHAR) AS log_url
+       CAST(NULL AS VARCHAR) AS log_url, CASE WHEN here OR t.inline THEN 'M' || (t.job_id % 3) END AS mode,
+       '/n' || t.job_id || '-' || t.i AS notebook
 FROM (SELECT t.*, t.i = 0 AND m.usable AND m.task_cluster_key IS NULL AS here
       FROM b_job_task t JOIN w_job_merged m ON m.job_id = t.job_id) t JOIN w_job_merged m ON m.job_id = t.job_id
 UNION ALL
@@ -411,23 +412,29 @@ SELECT s.job_id, 'job_clusters',
        CASE WHEN here THEN m.num_workers ELSE s.num_workers END,
        CASE WHEN NOT here THEN CAST(s.max_workers AS BIGINT) END,
        CASE WHEN here THEN m.tags WHEN s.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || s.project_id END,
-       CASE WHEN here THEN m.policy_id ELSE s.policy_id END, CASE WHEN here THEN m.scripts ELSE s.scripts END, NULL
+       CASE WHEN here THEN m.policy_id ELSE s.policy_id END, CASE WHEN here THEN m.scripts ELSE s.scripts END, NULL,
+       'M' || (s.job_id % 3), NULL
 FROM (SELECT s.*, coalesce(m.usable AND m.task_cluster_key = s.job_cluster_key, false) AS here
       FROM b_job_shared s JOIN w_job_merged m ON m.job_id = s.job_id) s JOIN w_job_merged m ON m.job_id = s.job_id"""
 
 SQL["job_update_payloads"] = """
-SELECT job_id, CASE WHEN path_kind = 'job_clusters' THEN path_key END AS job_cluster_key,
-       CASE WHEN path_kind = 'job_clusters' THEN node_type_id END AS shared_node,
-       CASE WHEN path_kind = 'tasks' THEN path_key END AS task_key,
-       CASE WHEN path_kind = 'tasks' THEN node_type_id END AS inline_node
-FROM w_target WHERE target_error IS NULL"""
+SELECT job_id, CASE WHEN error IS NULL AND path_kind = 'job_clusters' THEN path_key END AS job_cluster_key,
+       CASE WHEN error IS NULL AND path_kind = 'job_clusters' THEN 'n' || (job_id % 7) END AS shared_node,
+       CASE WHEN error IS NULL AND path_kind = 'tasks' THEN path_key END AS task_key,
+       CASE WHEN error IS NULL AND path_kind = 'tasks' THEN 'n' || (job_id % 7) END AS inline_node,
+       CASE WHEN error IS NULL THEN 'M' || (job_id % 3) END AS mode, error
+FROM (SELECT *, CASE WHEN target_error IS NOT NULL THEN target_error
+                     WHEN job_id % 5 = 0 THEN 'Recommendation not found'
+                     WHEN job_id % 7 = 0 THEN 'Recommendation configuration not found' END AS error FROM w_target)"""
 
 SQL["one_off_payloads"] = """
 SELECT job_id, 'job' || job_id AS run_name, CASE WHEN error IS NULL THEN CAST(n AS INTEGER) ELSE 0 END AS n_tasks,
        CASE WHEN error IS NULL AND n = 1 THEN node_type_id END AS inline_node, CAST(NULL AS VARCHAR) AS inline_name,
        CASE WHEN error IS NULL AND n > 1 THEN coalesce(cluster_name, 'job' || job_id) END AS cluster_name,
        CAST(NULL AS VARCHAR) AS policy_id,
-       CASE WHEN error IS NULL AND n > 1 THEN CAST(10 AS BIGINT) END AS autotermination_minutes, error
+       CASE WHEN error IS NULL AND n > 1 THEN CAST(10 AS BIGINT) END AS autotermination_minutes,
+       CASE WHEN error IS NULL THEN 'M' || (job_id % 3) END AS mode,
+       CASE WHEN error IS NULL THEN list_aggregate(list_transform(range(n), lambda i: '/n' || job_id || '-' || i), 'string_agg', ',') END AS notebooks, error
 FROM w_job_single"""
 
 SQL["templated_clusters"] = """
@@ -576,7 +583,8 @@ SELECT run_id, job_id, project_id,
        CASE WHEN error IS NULL THEN sha256(run_id || '|' || project_id || '|' || cluster_id) END AS submission_id,
        CASE WHEN apply_status = 'applied' THEN rec END AS recommendation_id, apply_status,
        CASE WHEN apply_status = 'applied' THEN path_key END AS path_key,
-       CASE WHEN apply_status = 'applied' THEN 'n' || (rec % 7) END AS new_node, error
+       CASE WHEN apply_status = 'applied' THEN 'n' || (rec % 7) END AS new_node,
+       CASE WHEN apply_status = 'applied' THEN 'M' || (job_id % 3) END AS mode, error
 FROM picked"""
 
 SQL["apply_recommendations"] = f"""
@@ -600,7 +608,7 @@ SELECT job_id, want AS project_id, path_kind, path_key, CASE WHEN ok THEN cluste
          || 'sync:run-id=r' || job_id || ';team=y' END AS tags,
        CASE WHEN ok AND job_id % 9 <> 0 THEN policy_id END AS policy_id,
        CASE WHEN ok THEN concat_ws(',', scripts, 's' || (job_id % 3)) END AS scripts,
-       CAST(NULL AS VARCHAR) AS log_url, error
+       CAST(NULL AS VARCHAR) AS log_url, CASE WHEN ok THEN 'M' || (job_id % 3) END AS mode, error
 FROM (SELECT *, error IS NULL AS ok FROM t)"""
 
 # -- written and read back, streams -------------------------------------------------------------------
@@ -657,7 +665,8 @@ SELECT t.job_id, 'tasks' AS section, CAST(t.i AS INTEGER) AS pos, t.task_key AS
        CAST(NULL AS BIGINT) AS max_workers,
        CASE WHEN t.here THEN m.tags WHEN NOT t.inline THEN NULL
             WHEN t.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || t.project_id END AS tags,
-       CAST(NULL AS VARCHAR) AS policy_id, CAST(NULL AS VARCHAR) AS scripts, CASE WHEN t.here THEN m.log_url END AS log_url
+       CAST(NULL AS VARCHAR) AS policy_id, CAST(NULL AS VARCHAR) AS scripts, CASE WHEN t.here THEN m.log_url END AS log_url,
+       CASE WHEN t.here OR t.inline THEN 'M' || (t.job_id % 3) END AS mode, '/n' || t.job_id || '-' || t.i AS notebook
 FROM (SELECT t.*, t.i = 0 AND m.usable AND m.task_cluster_key IS NULL AS here
       FROM b_job_task t JOIN w_job_templated m ON m.job_id = t.job_id) t
 JOIN w_job_templated m ON m.job_id = t.job_id
@@ -666,7 +675,7 @@ SELECT s.job_id, 'job_clusters',
        CAST(row_number() OVER (PARTITION BY s.job_id ORDER BY s.here, s.pos) - 1 AS INTEGER), s.job_cluster_key,
        s.cluster_name, s.node_type_id, s.num_workers, CAST(s.max_workers AS BIGINT),
        CASE WHEN s.here THEN m.tags WHEN s.project_id IS NULL THEN 'team=x' ELSE 'sync:project-id=' || s.project_id END,
-       s.policy_id, s.scripts, CASE WHEN s.here THEN m.log_url END
+       s.policy_id, s.scripts, CASE WHEN s.here THEN m.log_url END, 'M' || (s.job_id % 3), NULL
 FROM (SELECT s.*, coalesce(m.usable AND m.task_cluster_key = s.job_cluster_key, false) AS here
       FROM b_job_shared s JOIN w_job_templated m ON m.job_id = s.job_id) s
 JOIN w_job_templated m ON m.job_id = s.job_id"""

@@ -1,16 +1,16 @@
-"""Deep merge against a dictionary merge written for the test, and the published recommendation examples."""
+"""Deep merge of whole documents against a dictionary merge written for the test, and the published recommendation examples."""
 
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fleetlens import schemas
-from fleetlens.functions.merge import deep_merge, parse_patch, unknown_keys
+from fleetlens.functions import merge as mg
 from fleetlens.operators.jobs import recommended_definition
+from fleetlens.operators.recommend import parsed_patches, templated
 
-SCHEMA = "a int, s struct<x int, y string, z struct<q int>>, m map<string,string>, l array<int>, n string"
 BASE = {"a": 1, "s": {"x": 1, "y": "b", "z": {"q": 5}}, "m": {"k": "v", "k2": "w"}, "l": [1], "n": "old"}
 
 
@@ -27,59 +27,85 @@ def merged(base, patch):
     return out
 
 
-def plain(value):
-    if isinstance(value, T.Row):
-        return {k: plain(v) for k, v in value.asDict().items()}
-    return [plain(v) for v in value] if isinstance(value, list) else value
+def run(spark, pairs):
+    """Merge (base, patch) pairs in one table, as deep as its deepest patch."""
+    rows = [(k, json.dumps(a), None if b is None else json.dumps(b)) for k, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "k int, base string, text string")
+    df, depth = parsed_patches(df, "text", "patch")
+    df = df.select("k", F.parse_json("base").alias("base"), "patch")
+    got = df.select("k", F.to_json(mg.merge_documents(F.col("base"), F.col("patch"), depth)).alias("m")).orderBy("k").collect()
+    return [None if r.m is None else json.loads(r.m) for r in got]
 
 
-def run(spark, schema, base, *patches):
-    kind = spark.createDataFrame([], schema).schema
-    df = spark.createDataFrame([(json.dumps(base), *map(json.dumps, patches))],
-                               ["b", *[f"p{i}" for i in range(len(patches))]])
-    df = df.select(F.from_json("b", schema).alias("b"), *[parse_patch(F.col(f"p{i}")).alias(f"p{i}")
-                                                          for i in range(len(patches))])
-    return plain(df.select(deep_merge(F.col("b"), kind, *[F.col(f"p{i}") for i in range(len(patches))]).alias("m"))
-                 .first()["m"])
+FIXED = [
+    (BASE, {}), (BASE, {"a": 2, "s": {"y": None, "z": {"q": 9}}, "m": {"k": None, "n:x": "1"}, "l": [2, 3]}),
+    (BASE, {"a": None, "s": None, "m": None, "l": None}), (BASE, {"n": "new", "s": {"x": 4}}), ({}, {"s": {"x": 3}, "l": []}),
+    (BASE, {"s": 5, "a": {"now": "an object"}, "l": {"k": 1}, "m": [1]}), ({"a": None}, {"a": {"b": 1}}),
+    ({"a": 1, "u": {"x": [1], "y": {"deep": {"er": 1}}}}, {"u": {"x": [2, {"z": None}], "y": {"deep": {"new": 2}}}, "p": {"q": 1}}),
+    ({"we`ird": {"<k>": {"a": 1}}}, {"we`ird": {"<k>": {"b": [1]}}}),
+]
 
 
-@pytest.mark.parametrize(
-    "patches",
-    [
-        [{}],
-        [{"a": 2, "s": {"y": None, "z": {"q": 9}}, "m": {"k": None, "n:x": "1"}, "l": [2, 3]}],
-        [{"a": None, "s": None, "m": None, "l": None}],
-        [{"l": [2]}, {"l": [3], "a": 7}, {"a": None, "m": {"k": "z"}}],
-        [{"n": "new", "s": {"x": 4}}],
-    ],
-)
-def test_merge_matches_dictionaries(spark, patches):
-    want = BASE
-    for patch in patches:
-        want = merged(want, patch)
-    assert run(spark, SCHEMA, BASE, *patches) == want
+def test_merge_matches_dictionaries(spark):
+    assert run(spark, FIXED) == [merged(a, b) for a, b in FIXED]
 
 
-def test_merge_does_not_change_its_base(spark):
-    assert run(spark, SCHEMA, BASE, {"l": [2]}, {})["l"] == [1, 2]
-    assert BASE["l"] == [1]
+def test_no_patch_changes_nothing(spark):
+    assert run(spark, [(BASE, None), ({}, None)]) == [BASE, {}]
 
 
-def test_parts_missing_in_the_base(spark):
-    got = run(spark, SCHEMA, {}, {"s": {"x": 3}, "m": {"a": "b"}, "l": [1]})
-    assert got == {"a": None, "s": {"x": 3, "y": None, "z": None}, "m": {"a": "b"}, "l": [1], "n": None}
+leaf = st.one_of(st.none(), st.booleans(), st.integers(-5, 5), st.text(alphabet="ab<>`\"é", max_size=3))
+document = st.dictionaries(st.sampled_from(["a", "b", "c<", "d`"]), st.recursive(
+    leaf, lambda x: st.one_of(st.lists(x, max_size=2), st.dictionaries(st.sampled_from(["a", "b", ">", "e"]), x, max_size=3)), max_leaves=8), max_size=3)
 
 
-def test_type_clash_reads_as_null(spark):
-    got = run(spark, SCHEMA, BASE, {"s": 5, "a": "text"})
-    assert got["s"] is None and got["a"] is None
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(document, document), min_size=1, max_size=20))
+def test_merge_matches_dictionaries_on_any_documents(spark, pairs):
+    assert run(spark, pairs) == [merged(a, b) for a, b in pairs]
 
 
-def test_unknown_keys_are_named(spark):
-    df = spark.createDataFrame([('{"a":1,"extra":2,"more":{}}',), (None,)], "p string")
-    kind = spark.createDataFrame([], SCHEMA).schema
-    got = df.select(unknown_keys(parse_patch(F.col("p")), kind).alias("u")).collect()
-    assert [sorted(r.u) for r in got] == [["extra", "more"], []]
+def chain(depth, leaf_):
+    out = leaf_
+    for _ in range(depth):
+        out = {"k": out}
+    return out
+
+
+def test_depth_follows_the_patches(spark):
+    """Far deeper than any fixed number of levels; keys of the base survive at the bottom."""
+    base, patch = chain(40, {"old": 1}), chain(40, {"new": 2})
+    assert run(spark, [(base, patch), (BASE, {"a": 3})]) == [chain(40, {"old": 1, "new": 2}), merged(BASE, {"a": 3})]
+
+
+def test_patches_too_deep_are_errors(spark, monkeypatch):
+    monkeypatch.setattr(mg, "MOST_NESTED", 3)
+    monkeypatch.setattr("fleetlens.operators.recommend.MOST_NESTED", 3)
+    rows = spark.createDataFrame([("p", json.dumps(chain(5, 1))), ("q", '{"k":{"b":2}}')], "project_id string, template string")
+    bases = spark.createDataFrame([("p", '{"k":{"a":1}}'), ("q", '{"k":{"a":1}}'), ("r", '{"k":1}')], "project_id string, t string")
+    got = templated(bases.select("project_id", F.parse_json("t").alias("d")), "d", rows)
+    got = {r.project_id: (r.m, r.template_error) for r in got.select("project_id", F.to_json("d").alias("m"), "template_error").collect()}
+    assert got == {"p": (None, "Document nests too deeply"), "q": ('{"k":{"a":1,"b":2}}', None), "r": ('{"k":1}', None)}
+
+
+def test_nesting(spark):
+    texts = ["1", "{}", "[]", '{"a":[1,[2]],"b":{"c<<":1}}', '{"<<<<":1}', '[{"a":{"b":{}}}]']
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", F.parse_json("t").alias("v"))
+    got = [r.n for r in df.select("k", mg.nesting(F.col("v")).alias("n")).orderBy("k").collect()]
+    # Arrays of unlike items count as one level.
+    assert got == [0, 1, 1, 2, 1, 4]
+    assert mg.patch_depth(df, "v") == 4 and mg.patch_depth(df.limit(0), "v") == 0
+
+
+def test_members_are_set_and_removed(spark):
+    df = spark.createDataFrame([('{"a":1,"b":{"c":2},"d":null}',), ("[1]",), ("null",)], "t string").select(F.parse_json("t").alias("v"))
+    got = df.select(
+        F.to_json(mg.with_keys(F.col("v"), a=mg.scalar(F.lit("x")), b=F.lit(None).cast("variant"), e=F.parse_json(F.lit("[1]")))).alias("w"),
+        F.to_json(mg.without_keys(F.col("v"), "a", "none")).alias("o"), mg.is_blank_object(F.col("v")).alias("blank"),
+        F.to_json(mg.object_of(k=mg.scalar(F.lit(5)), none=F.lit(None).cast("variant"))).alias("n"),
+        F.to_json(mg.array_of(mg.items(F.col("v")))).alias("items")).collect()
+    assert json.loads(got[0].w) == {"a": "x", "d": None, "e": [1]} and json.loads(got[0].o) == {"b": {"c": 2}, "d": None}
+    assert [(r.blank, r.o, r.items) for r in got[1:]] == [(True, "[1]", "[1]"), (True, "null", None)] and got[0].n == '{"k":5}'
 
 
 CASES = {
@@ -108,26 +134,7 @@ CASES = {
 def test_recommended_definitions(spark, cloud):
     base, patch = CASES[cloud]
     df = spark.createDataFrame([(json.dumps(base), json.dumps(patch))], "b string, p string").select(
-        F.from_json("b", schemas.CLUSTER).alias("b"), parse_patch(F.col("p")).alias("p")
-    )
-    kind = df.schema["b"].dataType
-    got = df.select(F.to_json(recommended_definition(F.col("b"), kind, F.col("p")))).first()[0]
+        F.parse_json("b").alias("b"), mg.parse_patch(F.col("p")).alias("p"))
+    got = df.select(F.to_json(recommended_definition(F.col("b"), F.col("p"), mg.patch_depth(df, "p")))).first()[0]
     old = {k: v for k, v in base.items() if k not in ("num_workers", "autoscale")}
     assert json.loads(got) == merged(old, patch)
-
-
-def test_whole_documents_keep_unknown_keys(spark):
-    from fleetlens.functions.merge import merge_documents, without_keys
-
-    cases = [
-        ({"a": 1, "u": {"x": [1], "y": {"deep": {"er": 1}}}}, {"u": {"x": [2, {"z": None}], "y": {"deep": {"new": 2}}}, "p": {"q": 1}},
-         {"a": 1, "p": {"q": 1}, "u": {"x": [1, 2, {"z": None}], "y": {"deep": {"er": 1, "new": 2}}}}),
-        ({"a": {"b": 1}, "l": [1]}, {"a": None, "l": {"k": 1}}, {"a": None, "l": {"k": 1}}),
-        ({"a": None}, {"a": {"b": 1}}, {"a": {"b": 1}}), ({"a": 1}, None, {"a": 1}), ({}, {"a": []}, {"a": []}),
-    ]
-    df = spark.createDataFrame([(i, json.dumps(a), None if b is None else json.dumps(b)) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
-    df = df.select("i", F.parse_json("a").alias("a"), F.try_parse_json("b").alias("b"))
-    got = df.select("i", F.to_json(merge_documents(F.col("a"), F.col("b"))).alias("m")).orderBy("i").collect()
-    assert [json.loads(r.m) for r in got] == [want for *_, want in cases]
-    bare = df.where("i = 0").select(F.to_json(without_keys(F.col("a"), "a", "none")).alias("m")).first().m
-    assert json.loads(bare) == {"u": {"x": [1], "y": {"deep": {"er": 1}}}}
