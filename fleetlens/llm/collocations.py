@@ -38,7 +38,7 @@ UNKNOWN = "und"
 LONGEST = 4
 SCALE = 2_000_000
 # Bytes that are worked on at once, and rows that a task adds up before it passes them on.
-BYTES_AT_ONCE, ROWS_AT_ONCE, WORDS_AT_ONCE = 1 << 20, 1 << 21, 1 << 19
+BYTES_AT_ONCE, ROWS_AT_ONCE, WORDS_AT_ONCE = 1 << 20, 3 << 19, 1 << 18
 # Size of the filter of frequent words.
 FILTER_BITS = 23
 # A word is hot if it makes up one in so many of all words.
@@ -58,7 +58,10 @@ _CUT = re.compile(rb"[ \t.,;:!?\n-\r]")
 
 # Stand-ins for a word: none (behind the piece's end), and any of those too rare to matter.
 NONE, OTHER = 0, 1
+# The end of the piece, where windows are told apart by what follows.
+AFTER = 1
 WORDS = ("w1", "w2", "w3", "w4")
+SPREAD = ("s3", "s4")
 
 
 def parts(text: bytes) -> Iterator[tuple[bytes, int]]:
@@ -136,23 +139,14 @@ def _added_up(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray
     return [c[at] for c in columns], np.add.reduceat(n[order], at) if len(at) else n
 
 
-def _places(columns: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
-    """Where equal windows meet: by their first two words, and by three or four where the words before are all hot.
-
-    The last two bits tell by how many more than two. So all windows of a pair that isn't hot meet, and no place draws more rows than a
-    word may have that isn't hot, but for equal windows, which a task has added up.
+def _spread(columns: list[np.ndarray], hot: np.ndarray) -> list[np.ndarray]:
+    """What tells windows of equal first two words apart when they are dealt out: their third word where the first two are hot, their fourth where all
+    three are; else 0. So all windows of a pair that isn't hot meet, and no place draws more rows than a word may have that isn't hot,
+    but for equal windows, which a task has added up.
     """
-    place = mix(mix(columns[0].astype(U64)) ^ columns[1].astype(U64))
-    more, level = np.ones(len(place), bool), np.zeros(len(place), U64)
-    for word, following in zip(columns[:2], (None, columns[2]), strict=True):
-        more &= np.isin(word, hot)
-        if following is not None:
-            place = np.where(more, mix(place ^ following.astype(U64)), place)
-            level += more
-    more &= np.isin(columns[2], hot)
-    place = np.where(more, mix(place ^ columns[3].astype(U64)), place)
-    level += more
-    return ((place & ~U64(3)) | level).astype(np.int64)
+    two = np.isin(columns[0], hot) & np.isin(columns[1], hot)
+    three = two & np.isin(columns[2], hot)
+    return [np.where(where, np.where(word == NONE, AFTER, word), 0) for where, word in ((two, columns[2]), (three, columns[3]))]
 
 
 def _count_windows(seed: int, shared: Broadcast):
@@ -164,7 +158,7 @@ def _count_windows(seed: int, shared: Broadcast):
         def out():
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             columns, n = _added_up(columns, np.ones(len(columns[0]), np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in [_places(columns, hot), *columns, n]], ["place", *WORDS, "n"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in [*_spread(columns, hot), *columns, n]], [*SPREAD, *WORDS, "n"])
 
         for words, _ in _read(batches, seed):
             held.append(words.windows(frequent))
@@ -205,9 +199,9 @@ def _list_words(seed: int):
 
 
 def windows(texts: DataFrame, seed: int, frequent: np.ndarray, hot: np.ndarray) -> DataFrame:
-    """(place, w1 .. w4, n) of the longest windows of frequent words, each window once per task and batch. ``texts``: (lang, text)."""
+    """(s3, s4, w1 .. w4, n) of the longest windows of frequent words, each window once per task and batch. ``texts``: (lang, text)."""
     shared = texts.sparkSession.sparkContext.broadcast((frequent, hot))  # 2^FILTER_BITS bits and at most HOT numbers
-    return texts.mapInArrow(_count_windows(seed, shared), "place long, w1 long, w2 long, w3 long, w4 long, n long")
+    return texts.mapInArrow(_count_windows(seed, shared), "s3 long, s4 long, w1 long, w2 long, w3 long, w4 long, n long")
 
 
 def hot_words(words: DataFrame) -> np.ndarray:
@@ -234,27 +228,26 @@ def vocabulary(texts: DataFrame) -> tuple[DataFrame, int]:
     """(key, lang, word, n) of all words, and a seed with which no two words share a key."""
     for seed in count():
         words = texts.mapInArrow(_list_words(seed), "key long, lang string, word string, n long")
-        words = words.repartition("key").groupBy("key", "lang", "word").agg(F.sum("n").alias("n"))
-        words = materialize(words.withColumn("sharing", F.count(F.lit(1)).over(W.partitionBy("key"))), "words")
-        if not words.where("sharing > 1").limit(1).count():
-            return words.drop("sharing"), seed
+        words = materialize(words.groupBy("key", "lang", "word").agg(F.sum("n").alias("n")), "words")
+        if not words.groupBy("key").count().where("count > 1").limit(1).count():
+            return words, seed
 
 
 def phrases(counted: DataFrame, least: int) -> DataFrame:
     """(w1 .. w4, k, f) of all phrases of one to four words that occur ``least`` times or more; unused places are NONE."""
-    whole = counted.repartition("place").groupBy("place", *WORDS).agg(F.sum("n").alias("n"))
+    dealt = ("w1", "w2", *SPREAD)
+    whole = counted.repartition(*dealt).groupBy(*SPREAD, *WORDS).agg(F.sum("n").alias("n"))
     n = F.sum("n")
-    whole = whole.withColumn("three", n.over(W.partitionBy("place", "w1", "w2", "w3"))).withColumn("two", n.over(W.partitionBy("place", "w1", "w2")))
-    # A sum over windows that meet elsewhere, too, tells nothing; ROLLUP adds those up.
-    level = F.col("place").bitwiseAND(3)
+    whole = whole.withColumn("three", n.over(W.partitionBy(*dealt, "w3"))).withColumn("two", n.over(W.partitionBy(*dealt)))
 
+    # A sum over windows that meet elsewhere, too, tells nothing; ROLLUP adds those up.
     def cut(word: str, before: Column | None, complete: Column, occurrences: str) -> Column:
         keep = (F.col(word) == NONE) | ~complete | (F.col(occurrences) >= least)
         kept = F.when(keep, F.col(word)).otherwise(F.lit(OTHER).cast("long"))
         return kept if before is None else F.when(before == OTHER, before).otherwise(kept)
 
-    second = cut("w2", None, level == 0, "two")
-    third = cut("w3", second, level <= 1, "three")
+    second = cut("w2", None, F.col("s3") == 0, "two")
+    third = cut("w3", second, F.col("s4") == 0, "three")
     fourth = cut("w4", third, F.lit(True), "n")
     short = whole.select("w1", second.alias("w2"), third.alias("w3"), fourth.alias("w4"), "n").groupBy(*WORDS).agg(F.sum("n").alias("n"))
     sums = short.rollup(*WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
