@@ -596,7 +596,7 @@ class Bindings:
     @cached_property
     def job(self) -> DataFrame:
         """Whole job documents, with keys beyond those that operators know."""
-        return self._typed_job.select("job_id", F.parse_json(F.to_json("settings")).alias("settings"))
+        return self._typed_job.select("job_id", F.to_variant_object("settings").alias("settings"))
 
     @cached_property
     def whole_document(self) -> DataFrame:
