@@ -487,7 +487,7 @@ class Bindings:
             key.alias("dir"),
             F.when(key % 10 == 0, None).when(key % 10 == 1, "file").when(key % 10 < 5, "s3").otherwise("dbfs")
             .alias("scheme"),
-            F.lit(RUN_END_MS).alias("run_end_ms"),
+            F.lit(RUN_END_MS).alias("run_end_ms"), F.lit(1).cast("bigint").alias("first_poll"),
         )
 
     @cached_property
@@ -707,7 +707,7 @@ class Bindings:
             "cluster_id",
             F.when(F.col("o_custkey") % 2 == 1, "azure").otherwise("aws").alias("platform"),
             F.when(kind == 0, None).when(kind < 3, "s3").when(kind == 3, "file").otherwise("dbfs").alias("log_scheme"),
-            (F.col("o_orderkey") % 150).alias("log_dir"),
+            (F.col("o_orderkey") % 150).alias("log_dir"), (1 + F.col("o_orderkey") % 7).alias("log_first_poll"),
         )
 
     @cached_property

@@ -1,7 +1,7 @@
 """Event-log files: where they are, whether they are complete, and what goes into a bundle.
 
 ``log_listing(dir, poll_no, pos, path, file_size, mtime_ms)`` holds the files of each polled log directory,
-``log_target(dir, scheme, run_end_ms)`` what is waited for.
+``log_target(dir, scheme, run_end_ms, first_poll)`` what is waited for, and from which poll on.
 """
 
 from __future__ import annotations
@@ -137,51 +137,10 @@ def completeness(targets: DataFrame, listing: DataFrame) -> DataFrame:
     return rows.withColumn("verdict", verdict(F.col("scheme"), F.col("run_end_ms"), found))
 
 
-def first_looks(listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
-    """Per directory its looks among the first ``limit`` polls, as one array, and the number of its last poll.
-
-    The limit bounds the array, so waiting for a directory is one join row however many runs wait for it.
-    """
-    looks = size_changes(poll_summaries(listing))
-    kept = F.struct("poll_no", "final_mtime_ms", (F.col("any_empty") | F.col("size_changed")).alias("unstable"))
-    return looks.groupBy("dir").agg(
-        F.collect_list(F.when(F.col("poll_no") <= limit, kept)).alias("looks"), F.max("poll_no").alias("polls")
-    )
-
-
-def ready_polls(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
-    """Per target the first complete poll among the first ``limit``; otherwise the outcome says why not.
-
-    Other columns of the targets are kept.
-    """
-    end, scheme = F.col("run_end_ms"), F.coalesce("scheme", F.lit(""))
-
-    def complete(look: Column) -> Column:
-        flushed = F.coalesce(look["final_mtime_ms"] >= end, F.lit(False))
-        return flushed & ((scheme == "s3") | ~look["unstable"])
-
-    polled = scheme.isin("s3", "dbfs")
-    first = F.array_min(F.transform(F.filter("looks", complete), lambda look: look["poll_no"]))
-    outcome = (
-        F.when(scheme == "", K.NO_LOG_LOCATION)
-        .when(~polled, F.concat(F.lit("Unknown log destination: "), scheme))
-        .when(F.col("ready_poll").isNotNull(), "ready")
-        .when((scheme == "dbfs") & F.col("polls").isNull(), "No eventlog found")
-        .when(F.col("polls") >= limit, "No eventlog found")
-        .otherwise("waiting")
-    )
-    return (
-        left_lookup(targets, first_looks(listing, limit), "dir")
-        .withColumn("ready_poll", F.when(polled, first))
-        .withColumn("outcome", outcome)
-        .drop("looks")
-    )
-
-
 def ready_per_wait(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
-    """As :func:`ready_polls`, for waits that begin at ``first_poll``: several runs may wait for one directory.
+    """Per wait ``(dir, scheme, run_end_ms, first_poll)`` the first complete poll; otherwise the outcome says why not.
 
-    The ``limit`` polls of a wait count from its own first one, which compares sizes with 0. A DBFS directory that is missing
+    Several runs may wait for one directory; other columns of the waits are kept. The ``limit`` polls of a wait count from its own first one, which compares sizes with 0. A DBFS directory that is missing
     from a poll ends the wait. Polls are looked up in blocks of ``limit``, two of which hold any wait.
     """
     looks = size_changes(poll_summaries(listing))
@@ -234,11 +193,10 @@ def bundle_name(path: Column, scheme: Column) -> Column:
 
 
 def bundle_manifest(targets: DataFrame, listing: DataFrame) -> DataFrame:
-    """All files of each ready log directory with the name they get in the bundle."""
-    ready = ready_polls(targets, listing).filter(F.col("outcome") == "ready")
-    files = listing.join(
-        ready.select("dir", "scheme", F.col("ready_poll").alias("poll_no")), ["dir", "poll_no"]
-    )
+    """All files that each ready wait found, with the name they get in its bundle. Other columns of the waits are kept."""
+    ready = ready_per_wait(targets, listing).filter(F.col("outcome") == "ready")
+    ready = ready.select(*targets.columns, F.col("ready_poll").alias("poll_no"))
+    files = listing.select("dir", "poll_no", "path", "file_size").join(ready, ["dir", "poll_no"])
     return files.select(
-        "dir", "poll_no", "path", bundle_name(F.col("path"), F.col("scheme")).alias("bundle_name"), "file_size"
+        *targets.columns, "poll_no", "path", bundle_name(F.col("path"), F.col("scheme")).alias("bundle_name"), "file_size"
     )

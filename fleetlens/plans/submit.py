@@ -81,15 +81,19 @@ def cluster_reports_for_runs(
 
 
 def with_log(t: Telemetry, rows: DataFrame) -> DataFrame:
-    """Add ``log_error`` from waiting for the event log of each row's cluster and Spark context."""
-    places = t.clusters.select("cluster_id", F.col("log_dir").alias("dir"), F.col("log_scheme").alias("scheme"))
+    """Add ``log_error`` from waiting for the event log of each row's cluster and Spark context.
+
+    Each cluster is a wait of its own, whose polls count from ``log_first_poll``, however many clusters log to its directory.
+    """
+    places = t.clusters.select(
+        "cluster_id", F.col("log_dir").alias("dir"), F.col("log_scheme").alias("scheme"), F.col("log_first_poll").alias("first_poll"))
     targets = left_lookup(rows, places, "cluster_id").withColumn("run_end_ms", F.col("end_time_ms"))
-    waited = eventlog.ready_polls(targets, t.listing)
+    waited = eventlog.ready_per_wait(targets, t.listing)
     # Without a usable context id a DBFS directory cannot be told; S3 listings do not need it.
     needs_context = (F.col("scheme") == "dbfs") & F.col("context_error").isNotNull()
     error = F.when(needs_context, F.col("context_error")).when(F.col("outcome") != "ready", F.col("outcome"))
     return waited.withColumn("log_error", F.when(F.col("cluster_id").isNotNull(), error)).drop(
-        "run_end_ms", "dir", "scheme", "ready_poll", "polls", "outcome"
+        "run_end_ms", "dir", "scheme", "first_poll", "ready_poll", "polls", "outcome"
     )
 
 

@@ -13,7 +13,7 @@ class Telemetry:
 
     tasks, job_clusters     tasks and shared clusters of runs (see operators.tasks)
     projects                project_id, project_model_id, auto_apply_recs
-    clusters                cluster_id, platform, log_scheme, log_dir
+    clusters                cluster_id, platform, log_scheme, log_dir, log_first_poll (first poll made for its run)
     cluster_states          observations of cluster states (see operators.waits)
     info_headers, info_items  cluster-info documents (see operators.reports)
     cluster_events          one row per cluster event, with cluster_id

@@ -29,6 +29,7 @@ from fleetlens.plans import submit as sb
 from fleetlens.session import scratch_dir
 from fleetlens.sources import documents as dc
 from fleetlens.sources import logs as ls
+from fleetlens.streaming import logwaits as lw
 from fleetlens.streaming import timelines as tl
 from fleetlens.streaming import waits as sw
 from fleetlens.streaming.replay import replay
@@ -412,7 +413,7 @@ def eventlog_completeness(b):
 
 @query
 def eventlog_ready_poll(b):
-    return lg.ready_polls(b.log_target, b.listing).select("dir", "scheme", "ready_poll", "polls", "outcome")
+    return lg.ready_per_wait(b.log_target, b.listing).select("dir", "scheme", "ready_poll", "polls", "outcome")
 
 
 @query
@@ -422,7 +423,7 @@ def eventlog_ready_per_run(b):
 
 @query
 def eventlog_bundle_manifest(b):
-    return lg.bundle_manifest(b.log_target, b.listing)
+    return lg.bundle_manifest(b.log_wait, b.listing).select("dir", "nth", "poll_no", "path", "bundle_name", "file_size")
 
 
 # -- jobs, definitions and recommendations ----------------------------------------------------------
@@ -807,11 +808,17 @@ def monitored_clusters_stream(b):
 
 @query
 def eventlog_ready_stream(b):
-    looks = b.log_target.join(lg.poll_summaries(b.listing), "dir").select(
-        "dir", "scheme", "poll_no", "total_size", "any_empty",
-        lg.final_flushed(F.col("run_end_ms")).alias("flushed"),
-    )
-    return replay(looks, sw.ready_logs, "ready-logs", "poll_no").select("dir", "poll_no", "outcome")
+    """Three waits per directory, each announced half a day before its first poll; a poll a day; waits end after 20 days and a quarter."""
+    def day(n):
+        return F.timestamp_seconds((F.lit(20_000) + n) * 86_400)
+
+    first = F.col("first_poll")
+    waits = b.log_wait.select(
+        "dir", F.col("nth").cast("bigint").alias("run_id"), "scheme", "run_end_ms", "first_poll", day(first + 20.25).alias("deadline"), day(first - 0.5).alias("at"))
+    looks = lg.poll_summaries(b.listing).withColumn("at", day(F.col("poll_no")))
+    rows = lw.wait_rows(waits).unionByName(lw.look_rows(looks))
+    ended = replay(rows, lw.ready_logs, "ready-logs", "at")
+    return ended.select("dir", F.col("run_id").cast("int").alias("nth"), "poll_no", "outcome")
 
 
 @query

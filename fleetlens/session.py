@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     # A skewed join is split even where that costs one more shuffle of its result.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Map state and timers of streams.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -1,4 +1,4 @@
-"""Streaming forms of waiting for logs, runs, recommendations and terminations."""
+"""Streaming forms of waiting for runs, recommendations and terminations (for logs see :mod:`logwaits`)."""
 
 from __future__ import annotations
 
@@ -6,71 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
-from fleetlens.functions.paths import is_final_log
 from fleetlens.operators import waits
 from fleetlens.streaming.machine import run_machine
 
-LISTING_SCHEMA = (
-    "dir bigint, scheme string, run_end_ms bigint, poll_no bigint,"
-    " files array<struct<path string, file_size bigint, mtime_ms bigint>>"
-)
-
-
-def looks_of(listings: DataFrame) -> DataFrame:
-    """Listing documents (one row per poll of a directory) → what each says, worked out inside its row."""
-    files = F.col("files")
-    size = F.aggregate(files, F.lit(0).cast("bigint"), lambda a, f: a + F.coalesce(f["file_size"], F.lit(0)))
-    final = F.get(F.filter(files, lambda f: is_final_log(f["path"])), F.lit(0))["mtime_ms"]
-    return listings.select(
-        "dir", "scheme", "poll_no",
-        F.coalesce(size, F.lit(0)).alias("total_size"),
-        F.coalesce(F.exists(files, lambda f: f["file_size"] == 0), F.lit(False)).alias("any_empty"),
-        F.coalesce(final >= F.col("run_end_ms"), F.lit(False)).alias("flushed"),
-    )
-
-
-class _LogWait:
-    def __init__(self, carried: tuple | None, limit: int):
-        self.tries, self.last_size, self.done = carried or (0, 0, False)
-        self.limit = limit
-
-    def step(self, row) -> list[tuple]:
-        if self.done:
-            return []
-        poll, size = int(row.poll_no), int(row.total_size)
-        outcome = None
-        if not row.scheme:
-            outcome = K.NO_LOG_LOCATION
-        elif row.scheme not in ("s3", "dbfs"):
-            outcome = f"Unknown log destination: {row.scheme}"
-        elif row.flushed and (row.scheme == "s3" or (not row.any_empty and size == self.last_size)):
-            outcome = "ready"
-        else:
-            self.tries += 1
-            self.last_size = size
-            if self.tries >= self.limit:
-                outcome = "No eventlog found"
-        self.done = outcome is not None
-        return [(poll, outcome)] if self.done else []
-
-    def finish(self) -> list[tuple]:
-        return []
-
-    def dump(self) -> tuple:
-        return (self.tries, self.last_size, self.done)
-
-
-def ready_logs(looks: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
-    """One row per directory once its wait ends: ``outcome`` is ``ready`` with the poll, or why it failed.
-
-    ``looks(dir, scheme, poll_no, total_size, any_empty, flushed)``.
-    """
-    return run_machine(
-        looks, ["dir"], ["poll_no"], lambda carried: _LogWait(carried, limit),
-        "dir bigint, poll_no bigint, outcome string", "tries int, last_size bigint, done boolean",
-    )
-
-
 def final_runs(observations: DataFrame) -> DataFrame:
     """Runs that have ended, by their first final state in time order (one state row per run is kept).
 

@@ -297,27 +297,15 @@ SELECT dir, poll_no, total_size, last_size, total_size <> last_size AS size_chan
 
 SQL["eventlog_completeness"] = "SELECT dir, scheme, poll_no, verdict FROM w_verdict"
 
-SQL["eventlog_ready_per_run"] = """
-WITH t AS (SELECT dir, scheme, nth::INTEGER AS nth, 1 + 5 * nth + dir % 4 AS first_poll, 1705406400000 + (nth - 1) * 432000000 AS run_end
-           FROM b_log_target, range(3) AS r(nth)),
-seen AS (SELECT t.dir, t.nth, min(l.poll_no) FILTER (
-           l.final_mtime_ms >= t.run_end AND (t.scheme = 's3' OR (t.scheme = 'dbfs' AND NOT l.any_empty
-             AND l.total_size = CASE WHEN l.poll_no = t.first_poll THEN 0 ELSE l.last_size END))) AS ready_poll
-         FROM t JOIN w_look l ON l.dir = t.dir AND l.poll_no BETWEEN t.first_poll AND t.first_poll + 19 GROUP BY t.dir, t.nth),
-last AS (SELECT dir, max(poll_no) AS polls FROM b_listing GROUP BY dir)
-SELECT t.dir, t.nth, t.scheme, t.first_poll, s.ready_poll, last.polls,
-       CASE WHEN t.scheme IS NULL THEN 'No eventlog location found for cluster.' WHEN t.scheme NOT IN ('s3', 'dbfs') THEN 'Unknown log destination: ' || t.scheme
-            WHEN s.ready_poll IS NOT NULL THEN 'ready' WHEN t.scheme = 'dbfs' AND last.polls IS NULL THEN 'No eventlog found'
-            WHEN last.polls >= t.first_poll + 19 THEN 'No eventlog found' ELSE 'waiting' END AS outcome
-FROM t LEFT JOIN seen s ON s.dir = t.dir AND s.nth = t.nth LEFT JOIN last ON last.dir = t.dir"""
+SQL["eventlog_ready_per_run"] = "SELECT dir, nth, scheme, first_poll, ready_poll, polls, outcome FROM w_wait"
 
 SQL["eventlog_ready_poll"] = "SELECT dir, scheme, ready_poll, polls, outcome FROM w_ready"
 
 SQL["eventlog_bundle_manifest"] = """
-SELECT l.dir, l.poll_no, l.path,
+SELECT l.dir, r.nth, l.poll_no, l.path,
        CASE WHEN r.scheme = 'dbfs' AND NOT ends_with(l.path, '.gz') THEN split_part(l.path, '/', -1) || '.gz'
             ELSE split_part(l.path, '/', -1) END AS bundle_name, l.file_size::BIGINT AS file_size
-FROM b_listing l JOIN w_ready r ON r.dir = l.dir AND r.ready_poll = l.poll_no"""
+FROM b_listing l JOIN w_wait r ON r.dir = l.dir AND r.ready_poll = l.poll_no"""
 
 # -- jobs, definitions and recommendations ------------------------------------------------------------
 
@@ -626,8 +614,10 @@ SQL["instance_timelines_stream"] = SQL["instance_timelines"]
 SQL["monitored_clusters_stream"] = SQL["monitored_clusters"]
 
 SQL["eventlog_ready_stream"] = """
-SELECT dir, coalesce(ready_poll, CASE WHEN outcome = 'No eventlog found' THEN 20 ELSE 1 END) AS poll_no, outcome
-FROM w_ready WHERE polls IS NOT NULL AND outcome <> 'waiting'"""
+WITH horizon AS (SELECT greatest((SELECT max(poll_no) FROM b_listing), (SELECT max(first_poll) - 0.5 FROM w_wait)) AS day)
+SELECT dir, nth, ready_poll AS poll_no, CASE WHEN outcome = 'waiting' THEN 'No eventlog found' ELSE outcome END AS outcome
+FROM w_wait, horizon
+WHERE ready_poll IS NOT NULL OR scheme IS NULL OR scheme NOT IN ('s3', 'dbfs') OR polls >= first_poll + 19 OR first_poll + 20.25 < day"""
 
 SQL["run_first_final_stream"] = SQL["run_first_final_state"]
 

@@ -251,6 +251,24 @@ SELECT t.dir, t.scheme, l.poll_no, l.total_size,
             ELSE 'Event log was missing or incomplete. Please retry.' END AS verdict
 FROM b_log_target t LEFT JOIN w_look l ON l.dir = t.dir"""
 
+# Three waits for each directory, one after the other.
+TABLES["w_wait"] = """
+SELECT t.*, s.ready_poll, l.polls,
+       CASE WHEN t.scheme IS NULL THEN 'No eventlog location found for cluster.' WHEN t.scheme NOT IN ('s3', 'dbfs') THEN 'Unknown log destination: ' || t.scheme
+            WHEN s.ready_poll IS NOT NULL THEN 'ready' WHEN t.scheme = 'dbfs' AND l.polls IS NULL THEN 'No eventlog found'
+            WHEN l.polls >= t.first_poll + 19 THEN 'No eventlog found' ELSE 'waiting' END AS outcome
+FROM (SELECT dir, scheme, nth::INTEGER AS nth, 1 + 5 * nth + dir % 4 AS first_poll, 1705406400000 + (nth - 1) * 432000000 AS run_end
+      FROM b_log_target, range(3) AS r(nth)) t
+LEFT JOIN (
+  SELECT x.dir, x.nth, min(l.poll_no) AS ready_poll
+  FROM (SELECT dir, scheme, nth::INTEGER AS nth, 1 + 5 * nth + dir % 4 AS first_poll, 1705406400000 + (nth - 1) * 432000000 AS run_end
+        FROM b_log_target, range(3) AS r(nth)) x
+  JOIN w_look l ON l.dir = x.dir AND l.poll_no BETWEEN x.first_poll AND x.first_poll + 19
+  WHERE l.final_mtime_ms >= x.run_end AND (x.scheme = 's3' OR (x.scheme = 'dbfs' AND NOT l.any_empty
+        AND l.total_size = CASE WHEN l.poll_no = x.first_poll THEN 0 ELSE l.last_size END))
+  GROUP BY x.dir, x.nth) s ON s.dir = t.dir AND s.nth = t.nth
+LEFT JOIN (SELECT dir, max(poll_no) AS polls FROM b_listing GROUP BY dir) l ON l.dir = t.dir"""
+
 TABLES["w_ready"] = """
 SELECT dir, scheme, ready_poll, polls,
        CASE WHEN ready_poll IS NOT NULL THEN 'ready'
@@ -337,7 +355,7 @@ SELECT *, CASE w % 10 WHEN 0 THEN NULL WHEN 1 THEN 's3' WHEN 2 THEN 's3' WHEN 3
             WHEN w % 17 = 0 THEN 'Unexpected cluster state: RUNNING' END AS ending,
        CASE WHEN c % 5 >= 2 THEN 'stored' WHEN aws AND c % 5 = 1 THEN 'live' END AS source
 FROM (SELECT o_orderkey AS run_id, o_custkey AS c, k, o_orderkey + k AS w, o_custkey % 2 = 0 AS aws,
-             o_orderkey || '-c' || k AS cluster_id, o_orderkey % 150 AS dir
+             o_orderkey || '-c' || k AS cluster_id, o_orderkey % 150 AS dir, 1 + o_orderkey % 7 AS first_poll
       FROM orders, (VALUES (0), (1), (2)) AS t(k))"""
 
 TABLES["w_info"] = """
@@ -367,12 +385,13 @@ SELECT f.run_id, f.cluster_id,
        CASE WHEN c.scheme IS NULL THEN 'No eventlog location found for cluster.'
             WHEN c.scheme = 'file' THEN 'Unknown log destination: file'
             WHEN c.scheme = 'dbfs' AND f.context_error IS NOT NULL THEN f.context_error
-            WHEN bool_or(l.poll_no <= 20 AND l.final_mtime_ms >= f.end_time_ms
-                         AND (c.scheme = 's3' OR (NOT l.any_empty AND l.total_size = l.last_size))) THEN NULL
+            WHEN bool_or(l.poll_no BETWEEN c.first_poll AND c.first_poll + 19 AND l.final_mtime_ms >= f.end_time_ms
+                         AND (c.scheme = 's3' OR (NOT l.any_empty
+                              AND l.total_size = CASE WHEN l.poll_no = c.first_poll THEN 0 ELSE l.last_size END))) THEN NULL
             WHEN c.scheme = 'dbfs' AND count(l.dir) = 0 THEN 'No eventlog found'
-            WHEN max(l.poll_no) >= 20 THEN 'No eventlog found' ELSE 'waiting' END AS log_error
+            WHEN max(l.poll_no) >= c.first_poll + 19 THEN 'No eventlog found' ELSE 'waiting' END AS log_error
 FROM w_fact f JOIN b_run_cluster c ON c.cluster_id = f.cluster_id LEFT JOIN w_look l ON l.dir = c.dir
-GROUP BY f.run_id, f.cluster_id, c.scheme, f.context_error"""
+GROUP BY f.run_id, f.cluster_id, c.scheme, c.first_poll, f.context_error"""
 
 TABLES["w_located"] = """
 SELECT q.run_id, q.want AS requested_project, s.cluster_id, f.n_tasks, f.end_time_ms, f.context_error,

@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.operators import eventlog as lg
-from fleetlens.streaming import waits as sw
+from fleetlens.streaming import logwaits as lw
 from fleetlens.streaming.replay import replay
 
 LISTING = "dir bigint, poll_no bigint, pos bigint, path string, file_size bigint, mtime_ms bigint"
 TARGET = "dir bigint, scheme string, run_end_ms bigint"
+WAIT = TARGET + ", first_poll bigint"
+LISTED = "dir long, poll_no long, pos int, path string, file_size long, mtime_ms long"
+ASKED = "dir long, run int, scheme string, run_end_ms long, first_poll long"
 
 
 def listing(spark, polls, folder=1):
@@ -83,44 +86,81 @@ def random_polls(rng):
     }
 
 
-def test_waiting_in_batch_and_stream(spark):
-    rng = random.Random(3)
-    cases = {d: (rng.choice(["dbfs", "dbfs", "s3", "file"]), random_polls(rng)) for d in range(60)}
+def cases_of(rng, n):
+    cases = {d: (rng.choice(["dbfs", "dbfs", "s3", "file"]), random_polls(rng)) for d in range(n)}
     # Some logs never get their final file.
-    for d in range(0, 60, 4):
-        cases[d] = (cases[d][0], {n: [("eventlog-1.gz", 5, 1)] for n in range(1, 26)})
+    for d in range(0, n, 4):
+        cases[d] = (cases[d][0], {k: [("eventlog-1.gz", 5, 1)] for k in range(1, 26)})
+    return cases
+
+
+def test_waiting_from_the_first_poll_on(spark):
+    cases = cases_of(random.Random(3), 60)
     files = [(d, n, i, f"x/{name}", s, m) for d, (_, polls) in cases.items() for n, fs in polls.items()
              for i, (name, s, m) in enumerate(fs)]
-    rows = spark.createDataFrame(files, LISTING)
-    targets = spark.createDataFrame([(d, scheme, 100) for d, (scheme, _) in cases.items()], TARGET)
+    targets = spark.createDataFrame([(d, scheme, 100, 1) for d, (scheme, _) in cases.items()], WAIT)
     want = {d: ready_by_rules(scheme, polls, 100) for d, (scheme, polls) in cases.items()}
-    batch = {r.dir: (r.ready_poll, r.outcome) for r in lg.ready_polls(targets, rows).collect()}
-    assert {d: p for d, (p, _) in batch.items()} == want
-    assert any(want.values()) and {o for _, o in batch.values()} >= {"ready", "No eventlog found"}
-
-    docs = rows.join(targets, "dir").groupBy("dir", "scheme", "run_end_ms", "poll_no").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "path", "file_size", "mtime_ms"))),
-                    lambda f: f.dropFields("pos")).alias("files")
-    ).select("dir", "scheme", "run_end_ms", "poll_no", "files")
-    looks = sw.looks_of(spark.createDataFrame(docs.collect(), sw.LISTING_SCHEMA))
-    streamed = {r.dir: (r.poll_no if r.outcome == "ready" else None, r.outcome)
-                for r in replay(looks, sw.ready_logs, "test", "poll_no", slices=3).collect()}
-    assert streamed == {d: v for d, v in batch.items() if v[1] != "waiting"}
-
-
-def test_more_polls_than_the_limit_do_not_count(spark):
-    polls = {n: [("eventlog-1.gz", 5, 1)] for n in range(1, 21)} | {n: [("eventlog", 5, 100)] for n in (21, 22)}
-    target = spark.createDataFrame([(1, "dbfs", 100)], TARGET)
-    row = lg.ready_polls(target, listing(spark, polls)).first()
-    assert (row.ready_poll, row.polls, row.outcome) == (None, 22, "No eventlog found")
+    got = {r.dir: (r.ready_poll, r.outcome) for r in lg.ready_per_wait(targets, spark.createDataFrame(files, LISTING)).collect()}
+    assert {d: p for d, (p, _) in got.items()} == want
+    assert any(want.values()) and {o for _, o in got.values()} >= {"ready", "No eventlog found"}
+
+
+def seconds(n):
+    return F.timestamp_seconds(F.lit(1_000_000) + n)
+
+
+def stream_rows(waits, looks):
+    """A poll a second; waits are announced half a second before their first poll."""
+    waits = waits.withColumn("at", seconds(F.col("first_poll") - 0.5)).withColumn("deadline", seconds(F.col("deadline")))
+    return lw.wait_rows(waits).unionByName(lw.look_rows(looks.withColumn("at", seconds(F.col("poll_no")))))
+
+
+def test_stream_says_what_the_batch_says(spark):
+    """Gaps, more polls than a wait has, several runs per directory, directories that were never listed."""
+    entries, targets, want = random_waits(random.Random(8))
+    targets += [(900 + k, 0, scheme, 60, 3) for k, scheme in enumerate(["dbfs", "s3", "file", None])]
+    listed = spark.createDataFrame(entries, LISTED)
+    asked = spark.createDataFrame(targets, ASKED)
+    batch = {(r.dir, r.run): (r.ready_poll, r.outcome) for r in lg.ready_per_wait(asked, listed).collect()}
+    assert {k: v for k, v in batch.items() if k[0] < 900} == want
+    # Without deadlines, a wait that goes on emits nothing.
+    waits = asked.withColumnRenamed("run", "run_id").withColumn("deadline", F.lit(None).cast("double"))
+    got = {(r.dir, r.run_id): (r.poll_no, r.outcome) for r in replay(
+        stream_rows(waits, lg.poll_summaries(listed)), lw.ready_logs, "test-logs", "at", slices=4).collect()}
+    listed_dirs = {e[0] for e in entries}
+    unlisted = {k for k, (_, outcome) in batch.items() if k[0] not in listed_dirs and outcome == "No eventlog found"}
+    assert got == {k: v for k, v in batch.items() if v[1] != "waiting" and k not in unlisted}
+    assert batch[900, 0] == (None, "No eventlog found") and batch[901, 0] == (None, "waiting") and (902, 0) in got
+
+
+def test_deadlines_end_waits_and_state_goes_with_them(spark, tmp_path):
+    waits = spark.createDataFrame(
+        [(1, 1, "dbfs", 100, 1, 21.5), (1, 2, "dbfs", 100, 30, None), (2, 1, "s3", 100, 1, 5.5), (3, 1, "dbfs", 100, 2, 500.5)],
+        "dir long, run_id long, scheme string, run_end_ms long, first_poll long, deadline double")
+    looks = spark.createDataFrame(
+        [(1, n, 5, False, 50 if n < 30 else 100) for n in range(1, 40)],
+        "dir long, poll_no long, total_size long, any_empty boolean, final_mtime_ms long")
+    rows = stream_rows(waits, looks)
+    place = str(tmp_path)
+    rows.write.parquet(f"{place}/in")
+    out = []
+    stream = lw.ready_logs(spark.readStream.schema(rows.schema).parquet(f"{place}/in")).writeStream.outputMode("update").option(
+        "checkpointLocation", f"{place}/state").trigger(availableNow=True)
+    stream.foreachBatch(lambda batch, _: out.extend(map(tuple, batch.collect()))).start().awaitTermination()
+    assert sorted(out, key=repr) == sorted(
+        [(1, 1, None, "No eventlog found"), (1, 2, 31, "ready"), (2, 1, None, "No eventlog found")], key=repr)
+    # Only the wait that goes on is kept.
+    kept = spark.read.format("statestore").option("stateVarName", "waits").load(f"{place}/state")
+    assert kept.count() == 1
 
 
 def test_bundle_names(spark):
     polls = {1: [("eventlog", 5, 100), ("eventlog-1.gz", 5, 1)], 2: [("eventlog", 5, 100), ("eventlog-1.gz", 5, 1)]}
-    target = spark.createDataFrame([(1, "dbfs", 100)], TARGET)
-    got = lg.bundle_manifest(target, listing(spark, polls)).collect()
-    assert {(r.poll_no, r.path, r.bundle_name) for r in got} == {
-        (2, "x/eventlog", "eventlog.gz"), (2, "x/eventlog-1.gz", "eventlog-1.gz")
+    polls[25] = polls[26] = [("eventlog", 7, 900)]
+    targets = spark.createDataFrame([(1, "dbfs", 100, 1, "a"), (1, "dbfs", 800, 25, "b")], WAIT + ", run string")
+    got = lg.bundle_manifest(targets, listing(spark, polls)).collect()
+    assert {(r.run, r.poll_no, r.path, r.bundle_name) for r in got} == {
+        ("a", 2, "x/eventlog", "eventlog.gz"), ("a", 2, "x/eventlog-1.gz", "eventlog-1.gz"), ("b", 26, "x/eventlog", "eventlog.gz")
     }
 
 
@@ -180,9 +220,7 @@ def plain_wait(polls, scheme, end, start, limit):
     return None, "No eventlog found"
 
 
-def test_waits_of_several_runs_for_one_directory(spark):
-    """Counting starts with each wait's first poll; a missing DBFS directory ends the wait."""
-    rng = random.Random(5)
+def random_waits(rng):
     entries, targets, want = [], [], {}
     for d in range(60):
         polls = {n: (rng.choice([5, 5, 10]), rng.random() < 0.1, rng.choice([None, 50, 100, 150])) for n in range(1, rng.randint(1, 60)) if rng.random() < (0.97 if d % 2 else 1)}
@@ -194,9 +232,14 @@ def test_waits_of_several_runs_for_one_directory(spark):
             scheme, start, end = rng.choice(["s3", "dbfs"]), rng.randint(1, 40), rng.choice([60, 120, 200])
             targets.append((d, run, scheme, end, start))
             want[d, run] = plain_wait(polls, scheme, end, start, 20)
-    listed = spark.createDataFrame(entries, "dir long, poll_no long, pos int, path string, file_size long, mtime_ms long")
-    asked = spark.createDataFrame(targets, "dir long, run int, scheme string, run_end_ms long, first_poll long")
-    got = {(r.dir, r.run): (r.ready_poll, r.outcome) for r in lg.ready_per_wait(asked, listed).collect()}
+    return entries, targets, want
+
+
+def test_waits_of_several_runs_for_one_directory(spark):
+    """Counting starts with each wait's first poll; a missing DBFS directory ends the wait."""
+    entries, targets, want = random_waits(random.Random(5))
+    got = {(r.dir, r.run): (r.ready_poll, r.outcome) for r in lg.ready_per_wait(
+        spark.createDataFrame(targets, ASKED), spark.createDataFrame(entries, LISTED)).collect()}
     assert got == want and len({o for _, o in want.values()}) == 3
 
 
