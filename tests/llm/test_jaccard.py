@@ -80,6 +80,62 @@ def test_large_groups_in_blocks(spark, monkeypatch, small, block, group):
     check(df, jaccard.classes(df))
 
 
+def test_maps_and_sketches_rule_no_similar_pair_out():
+    """Pairs at the threshold, of equal sizes and one inside the other, over all sizes."""
+    rng = np.random.default_rng(4)
+    missed = 0
+    for k in range(3000):
+        size = int(rng.integers(5, 700))
+        # 10 and 10 of 100, or 80 of 100
+        own = max(1, size // 9) if k % 2 else 0
+        common = rng.integers(0, 2**63, size, dtype=np.uint64)
+        a = np.unique(np.concatenate([common, rng.integers(0, 2**63, own, dtype=np.uint64)]))
+        b = np.unique(np.concatenate([common, rng.integers(0, 2**63, own if k % 2 else size // 4, dtype=np.uint64)]))
+        a, b = jaccard.mix(a), jaccard.mix(b)
+        a.sort()
+        b.sort()
+        if len(np.intersect1d(a, b)) * 1.8 < 0.8 * (len(a) + len(b)):
+            continue
+        pair = [jaccard._sketches([jaccard.sketch(x)]) for x in (a, b)]
+        missed += not jaccard._candidates(np.array([len(a)]), pair[0], np.array([len(b)]), pair[1])[0, 0]
+        unlike = jaccard.mix(rng.integers(0, 2**63, len(a), dtype=np.uint64))
+        if len(a) > 20:
+            unlike.sort()
+            assert not jaccard._candidates(np.array([len(a)]), pair[0], np.array([len(a)]), jaccard._sketches([jaccard.sketch(unlike)]))[0, 0]
+    assert missed == 0
+
+
+def test_groups_of_a_bucket(monkeypatch):
+    """Tiles find the groups that all pairs give."""
+    rng = np.random.default_rng(3)
+    sets = []
+    for k in range(120):
+        base = np.unique(jaccard.mix(np.arange(200, dtype=np.uint64) + np.uint64(1000 * (k % 7))))
+        sets.append(np.unique(np.concatenate([rng.choice(base, 190, replace=False), jaccard.mix(rng.integers(0, 2**60, 3, dtype=np.uint64))])))
+    n, sketches = np.array([len(x) for x in sets]), jaccard._sketches([jaccard.sketch(x) for x in sets])
+    want = jaccard._roots(jaccard._candidates(n, sketches, n, sketches))
+    monkeypatch.setattr(jaccard, "TILE", 5)
+    got = jaccard._grouped(n, sketches)
+    assert len({(a, b) for a, b in zip(want, got, strict=True)}) == len(set(want)) == len(set(got)) == 7
+
+
+@pytest.mark.parametrize("n", [300, 1200])
+def test_rows_per_set_do_not_grow_with_the_group(spark, n):
+    texts = spark.createDataFrame([(k, t) for k, t in enumerate(variants(n))], "doc_id long, text string")
+    named = texts.selectExpr("doc_id", "text")
+    sets = jaccard.features(named, jaccard.runs_for(), "text").where("set IS NOT NULL").dropDuplicates(["set"])
+    step = sets.selectExpr("explode(paths) AS p", "set", "n", "sketch").selectExpr("p.node AS node", "set", "n", "sketch", "p.deeper AS deeper")
+    rows = step.repartition("node").sortWithinPartitions("node").mapInPandas(jaccard._split_or_compare(False), jaccard.STEP).count()
+    assert rows <= 20 * sets.count()
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Every link of 4000 texts, among them copies of copies that are like some of the group only."""
+    texts = variants(3900) + [" ".join(f"c{max(j, k)}" for j in range(160)) for k in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    check(df, jaccard.classes(df))
+
+
 def test_awkward(spark, awkward, empty):
     check(awkward, jaccard.classes(awkward))
     assert jaccard.classes(empty).count() == 0 and jaccard.representatives(empty).columns == empty.columns
