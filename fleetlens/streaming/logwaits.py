@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetlens import constants as K
-from fleetlens.streaming import machine  # noqa: F401  (processors travel to the executors by value)
 
 SCHEMA = (
     "dir bigint, at timestamp, run_id bigint, scheme string, run_end_ms bigint, first_poll bigint, deadline timestamp,"

@@ -10,15 +10,9 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-import fleetlens
-
-# Machines travel to the executors by value, so the package need not be installed there.
-cloudpickle.register_pickle_by_value(fleetlens)
-
 
 class Machine(Protocol):
     def step(self, row) -> list[tuple]:
