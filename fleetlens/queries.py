@@ -823,12 +823,10 @@ def eventlog_ready_stream(b):
 
 @query
 def run_first_final_stream(b):
-    """Ended runs by the newest word of the stream; the others from the table of runs."""
+    """Ended runs from the stream; the others from the table of runs."""
     rows = b.run_status.withColumn("ts", F.unix_micros("ts"))
-    newest = F.max_by(F.struct("state", "error"), "batch")
-    ended = replay(rows, sw.final_runs, "final-runs", "ts").groupBy("run_id").agg(newest.alias("_n"))
-    runs = rows.select("run_id").distinct()
-    return runs.join(ended, "run_id", "left").select("run_id", "_n.state", "_n.error")
+    ended = replay(rows, sw.final_runs, "final-runs", "ts")
+    return rows.select("run_id").distinct().join(ended, "run_id", "left").select("run_id", "state", "error")
 
 
 @query
@@ -842,5 +840,4 @@ def recommendation_first_final_stream(b):
         F.col("run_id").alias("recommendation_id"), F.unix_micros("ts").alias("ts"), "seq",
         F.when(F.col("state") == "FAILED", "FAILURE").otherwise(F.col("state")).alias("state"),
     )
-    ended = replay(rows, sw.final_recommendations, "final-recommendations", "ts")
-    return ended.groupBy("recommendation_id").agg(F.max_by("outcome", "batch").alias("outcome"))
+    return replay(rows, sw.final_recommendations, "final-recommendations", "ts").select("recommendation_id", "outcome")

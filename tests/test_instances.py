@@ -116,12 +116,12 @@ def from_us(df):
                              to_ts("last_us").alias("last_seen"), "is_active"))
 
 
-@pytest.mark.parametrize("buckets, slices, stop", [(1, 1, False), (3, 4, True)])
-def test_stream_matches_the_machine(spark, buckets, slices, stop):
+@pytest.mark.parametrize("slices, stop", [(1, False), (4, True), (7, False)])
+def test_stream_matches_the_machine(spark, slices, stop):
     polls = history(9, clusters=2, polls=30)
 
     def operator(rows):
-        return tl.timeline_updates(rows, stop_on_termination=stop, buckets=buckets)
+        return tl.timeline_updates(rows, stop_on_termination=stop)
 
     updates = replay(stream_rows(spark, polls), operator, "test", "poll_us", slices)
     assert from_us(tl.current_timelines(updates)) == machine(polls, only_ok=True, stop=stop)
@@ -136,9 +136,7 @@ def test_monitor_goes_on_from_its_checkpoint_and_calls_a_function(spark, tmp_pat
         stream_rows(spark, {c: h[part] for c, h in polls.items()}).write.mode("append").parquet(source)
         stream = spark.readStream.schema(tl.POLL_SCHEMA).parquet(source)
         tl.start_monitor(stream, tl.Destination("s3", "s3://bucket/path"), checkpoint, override).awaitTermination()
-    schema = ("cluster_id string, bucket int, instance_id string, first_us bigint, last_us bigint, is_active boolean,"
-              " as_of_us bigint, late_rows bigint")
-    assert from_us(tl.current_timelines(spark.createDataFrame(got, schema))) == machine(polls, only_ok=True)
+    assert from_us(tl.current_timelines(spark.createDataFrame(got, tl.OUT))) == machine(polls, only_ok=True)
 
 
 def test_monitored_clusters_are_published_as_documents(spark, tmp_path):
@@ -154,6 +152,42 @@ def test_monitored_clusters_are_published_as_documents(spark, tmp_path):
                                        "last_seen_running_time": "1970-01-01T00:00:01+00:00"}
 
 
+def test_documents_follow_every_batch(spark, tmp_path):
+    clusters = spark.createDataFrame([("c", 7, True), ("d", 8, True)], "cluster_id string, spark_context_id bigint, writable boolean")
+    for us, ids in ((1_000_000, ["a"]), (2_000_000, ["a", "b"]), (3_000_000, [])):
+        rows = [("c", us, i, True, "RUNNING") for i in (None, *ids)]
+        spark.createDataFrame(rows, tl.POLL_SCHEMA).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(tl.POLL_SCHEMA).parquet(f"{tmp_path}/in")
+        tl.start_monitor(stream, tl.Destination("file", f"{tmp_path}/updates"), f"{tmp_path}/c",
+                         documents=(clusters, f"{tmp_path}/info")).awaitTermination()
+    got = {json.loads(r.item)["instance_id"]: json.loads(r.item)["last_seen_running_time"]
+           for r in read_cluster_info_items(spark, f"{tmp_path}/info").collect()}
+    assert got == {"a": "1970-01-01T00:00:02+00:00", "b": "1970-01-01T00:00:02+00:00"}
+
+
+def entries(spark, checkpoint, name="open"):
+    return spark.read.format("statestore").option("stateVarName", name).load(checkpoint).count()
+
+
+def test_state_holds_open_intervals_only_and_goes_with_a_silent_cluster(spark, tmp_path):
+    """An interval's entry goes when it is over; a cluster that is silent for long leaves nothing."""
+    hour = 3_600_000_000
+    got, sizes = [], []
+    override = {"filesystem": "lambda", "write_function": lambda df: got.extend(df.collect())}
+    polls = [[("c", hour, list("abcdef"))], [("c", 2 * hour, ["a"]), ("c", 3 * hour, ["a"])], [("d", 60 * hour, ["z"])], [("d", 61 * hour, ["z"])]]
+    for batch in polls:
+        rows = [(c, us, i, True, "RUNNING") for c, us, ids in batch for i in (None, *ids)]
+        spark.createDataFrame(rows, tl.POLL_SCHEMA).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(tl.POLL_SCHEMA).parquet(f"{tmp_path}/in")
+        tl.start_monitor(stream, tl.Destination("file", "x"), f"{tmp_path}/c", override, forget_after="1 day").awaitTermination()
+        sizes.append(entries(spark, f"{tmp_path}/c"))
+    assert sizes[0] == 6 and sizes[1] == 1 and sizes[-1] == 1 and entries(spark, f"{tmp_path}/c", "clock") == 1
+    last = {r.instance_id: (r.first_us, r.last_us, r.is_active) for r in sorted(got, key=lambda r: (r.as_of_us, not r.is_active))}
+    assert last["a"] == (hour, 3 * hour, False) and last["b"] == (hour, hour, False) and last["z"] == (60 * hour, 61 * hour, True)
+    # Nothing is said twice.
+    assert len({tuple(r)[1:5] for r in got}) == len(got)
+
+
 def test_late_polls_are_dropped_and_counted(spark, tmp_path):
     source = f"{tmp_path}/in"
     got = []
@@ -162,7 +196,7 @@ def test_late_polls_are_dropped_and_counted(spark, tmp_path):
         rows = [("c", us, None, True, "RUNNING"), *[("c", us, i, True, "RUNNING") for i in ids]]
         spark.createDataFrame(rows, tl.POLL_SCHEMA).write.mode("append").parquet(source)
         stream = spark.readStream.schema(tl.POLL_SCHEMA).parquet(source)
-        tl.start_monitor(stream, tl.Destination("file", "x"), f"{tmp_path}/c", override, buckets=1).awaitTermination()
+        tl.start_monitor(stream, tl.Destination("file", "x"), f"{tmp_path}/c", override).awaitTermination()
     last = got[-1]
     assert (last.instance_id, last.first_us, last.last_us, last.late_rows) == ("a", 100, 110, 2)
     assert {r.instance_id for r in got} == {"a"}

@@ -18,6 +18,7 @@ def elsewhere(make):
 
 
 def test_machines_load_without_the_package():
-    assert elsewhere(lambda s: timelines._Lifetimes(s, True)) == "(-1, -1, 0, [], [], [])"
-    assert elsewhere(lambda s: types.SimpleNamespace(dump=lambda: logwaits._LogWaits(20).limit)) == "20"
-    assert elsewhere(lambda s: waits._TerminationWait(s, 600)) == "(-1, False)"
+    show = types.SimpleNamespace
+    assert elsewhere(lambda s: show(dump=lambda: timelines._Timelines(True, 5).forget_us)) == "5"
+    assert elsewhere(lambda s: show(dump=lambda: logwaits._LogWaits(20).limit)) == "20"
+    assert elsewhere(lambda s: show(dump=lambda: waits._FirstEnd(waits._run_end, ["ts"], [], False, 7).forget_ms)) == "7"

@@ -116,7 +116,7 @@ def test_terminations_in_batch_and_stream(spark):
 
 def test_first_final_runs_in_batch_and_stream(spark):
     rows = spark.sql("""
-        SELECT run_id, timestamp_seconds(s) AS ts, s AS seq, state, error_code FROM VALUES
+        SELECT CAST(run_id AS bigint) AS run_id, s * 1000000L AS ts, s AS seq, state, error_code FROM VALUES
         (1, 1, NULL, NULL), (1, 2, 'RUNNING', NULL), (1, 3, 'FAILED', NULL), (1, 4, 'SUCCESS', NULL),
         (2, 1, NULL, NULL), (3, 1, NULL, '404'), (3, 2, 'SUCCESS', NULL), (4, 9, 'CANCELED', NULL)
         AS t(run_id, s, state, error_code)""")
@@ -128,7 +128,7 @@ def test_first_final_runs_in_batch_and_stream(spark):
 
 def test_first_final_recommendations_in_batch_and_stream(spark):
     rows = spark.sql("""
-        SELECT recommendation_id, timestamp_seconds(s) AS ts, s AS seq, state FROM VALUES
+        SELECT CAST(recommendation_id AS bigint) AS recommendation_id, s * 1000000L AS ts, s AS seq, state FROM VALUES
         (1, 1, 'PENDING'), (1, 2, 'SUCCESS'), (2, 1, 'FAILURE'), (3, 1, 'PENDING') AS t(recommendation_id, s, state)""")
     got = {r.recommendation_id: r.outcome for r in wt.first_final_recommendations(rows).collect()}
     assert got == {1: "ready", 2: "Recommendation failed", 3: "pending"}
@@ -136,6 +136,22 @@ def test_first_final_recommendations_in_batch_and_stream(spark):
     assert {(r.recommendation_id, r.outcome) for r in out.collect()} == {(1, "ready"), (2, "Recommendation failed")}
 
 
+def test_ended_waits_are_forgotten(spark, tmp_path):
+    """Each wait is told once; its state goes when the stream is a day past its end."""
+    day, out, sizes = 86_400_000_000, [], []
+    schema = "run_id bigint, state string, error_code string, ts bigint, seq bigint"
+    for n in range(6):
+        rows = [(n, "RUNNING", None, n * day + 1, 0), (n, "SUCCESS", None, n * day + 5, 1), (n, "FAILED", None, n * day + 9, 2)]
+        rows += [(n - 1, "FAILED", None, n * day + 2, 3)] if n else []  # heard of again
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = sw.final_runs(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), forget_after="1 day")
+        (stream.writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True)
+         .foreachBatch(lambda batch, _: out.extend(map(tuple, batch.collect()))).start().awaitTermination())
+        sizes.append(spark.read.format("statestore").option("stateVarName", "wait").load(f"{tmp_path}/c").count())
+    assert sorted(out) == [(n, "SUCCESS", None) for n in range(6)]
+    assert max(sizes) <= 3 and sizes[-1] <= 3
+
+
 def test_report_completeness(spark):
     clusters = spark.createDataFrame([("a", "aws"), ("b", "aws"), ("c", "aws"), ("d", "azure"), ("e", "azure")],
                                      "cluster_id string, platform string")
