@@ -118,8 +118,9 @@ def cluster_reports(info: DataFrame, events: DataFrame, plan_type: str, compute_
 
 
 def info_documents(clusters: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
-    """Items of the cluster-info documents to write: ``(cluster_id, spark_context_id, section, item)``.
+    """The cluster-info documents to write: ``(cluster_id, spark_context_id, section, item)``.
 
+    Each document has a header row, whose ``section`` is NULL, and a row per item, so a document without items is a document, too.
     ``clusters(cluster_id, spark_context_id, writable)``; a cluster without context or destination is not
     written. Each section is a table with ``cluster_id``; its other columns become the JSON ``item``.
     """
@@ -133,7 +134,9 @@ def info_documents(clusters: DataFrame, sections: dict[str, DataFrame]) -> DataF
         )
         for name, rows in sections.items()
     ]
-    return reduce(DataFrame.unionByName, parts).join(targets, "cluster_id")
+    nothing = F.lit(None).cast("string")
+    headers = targets.distinct().withColumns({"section": nothing, "item": nothing})
+    return reduce(DataFrame.unionByName, parts).join(targets, "cluster_id").unionByName(headers)
 
 
 def submission_id(run_id: Column, project_id: Column, cluster_id: Column) -> Column:

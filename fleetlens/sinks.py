@@ -7,26 +7,72 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _INFO_KEYS = ["cluster_id", "spark_context_id"]
+_INFO = "cluster_id string, spark_context_id bigint, section string, item string"
+_COMMITS = "version bigint, is_whole boolean"
 
 
-def write_cluster_info(items: DataFrame, path: str) -> None:
-    """Replace the documents of the clusters in ``items`` (see ``reports.info_documents``); others stay.
+def _info_commits(spark: SparkSession, path: str) -> tuple[int, int]:
+    """The newest version of the documents at ``path``, -1 without any, and the newest one that holds all documents."""
+    try:
+        commits = spark.read.schema(_COMMITS).parquet(f"{path}/commits")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1, 0
+    newest, whole = commits.agg(F.max("version"), F.max(F.when(F.col("is_whole"), F.col("version")))).first()
+    return (-1 if newest is None else newest), (whole or 0)
+
+
+def _write_info(documents: DataFrame, path: str, version: int, is_whole: bool) -> None:
+    spark = documents.sparkSession
+    rows = documents.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(_INFO)])
+    # Few files, each with the documents of a range of clusters; a large document may take several.
+    rows.hint("rebalance", *_INFO_KEYS).sortWithinPartitions(*_INFO_KEYS, "section").write.mode("overwrite").parquet(
+        f"{path}/documents/version={version}")
+    # Only now does the version count: a write that failed half-way leaves nothing to be seen and is overwritten.
+    spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(is_whole).alias("is_whole")).coalesce(1).write.mode(
+        "append").parquet(f"{path}/commits")
 
-    A document is a folder of JSON lines. Rebalancing gathers small clusters into few files and splits the
-    items of a large one over several.
+
+def write_cluster_info(documents: DataFrame, path: str, version: int | None = None) -> int:
+    """Replace the documents that have a header row in ``documents`` (see ``reports.info_documents``); others stay.
+
+    Every write is a version, committed when it is complete; an emptied document is a header without items. The same
+    ``version`` written again replaces itself, so a repeated micro-batch changes nothing. One writer at a time.
     """
-    (
-        items.hint("rebalance", *_INFO_KEYS)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_INFO_KEYS).json(path)
-    )
+    spark = documents.sparkSession
+    if version is None:
+        version = _info_commits(spark, path)[0] + 1
+    _write_info(documents, path, version, False)
+    return version
+
+
+def _current_info(spark: SparkSession, path: str) -> DataFrame:
+    """Header and item rows of the newest version of every document."""
+    newest, whole = _info_commits(spark, path)
+    if newest < 0:
+        return spark.createDataFrame([], _INFO)
+    rows = spark.read.schema(f"{_INFO}, version bigint").parquet(f"{path}/documents").filter(F.col("version").between(whole, newest))
+    committed = spark.read.schema(_COMMITS).parquet(f"{path}/commits").select("version").distinct()
+    headers = rows.filter("section IS NULL").join(committed, "version", "left_semi")
+    current = headers.groupBy(*_INFO_KEYS).agg(F.max("version").alias("version"))
+    return rows.join(current, [*_INFO_KEYS, "version"], "left_semi").drop("version")
 
 
 def read_cluster_info_items(spark: SparkSession, path: str) -> DataFrame:
-    schema = "section string, item string, cluster_id string, spark_context_id bigint"
-    return spark.read.schema(schema).json(path)
+    """Items of the newest version of every document."""
+    return _current_info(spark, path).filter("section IS NOT NULL")
+
+
+def compact_cluster_info(spark: SparkSession, path: str) -> int:
+    """Write all documents as one version; versions before it are no longer read and may be deleted."""
+    version = _info_commits(spark, path)[0] + 1
+    _write_info(_current_info(spark, path), path, version, True)
+    return version
 
 
 def write_log_bundle(lines: DataFrame, keys: list[str], path: str) -> None:

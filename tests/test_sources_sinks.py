@@ -119,6 +119,39 @@ def test_cluster_info_replaces_only_its_clusters(spark, tmp_path):
     assert len(got) == 2
 
 
+def documents(spark, clusters, seen):
+    rows = spark.createDataFrame(clusters, "cluster_id string, spark_context_id bigint, writable boolean")
+    return rp.info_documents(rows, {"instances": spark.createDataFrame(seen, "cluster_id string, instance_id string")})
+
+
+def stored(spark, path):
+    return sorted((r.cluster_id, r.spark_context_id, json.loads(r.item)["instance_id"]) for r in sk.read_cluster_info_items(spark, path).collect())
+
+
+def test_an_emptied_document_replaces_its_old_one(spark, tmp_path):
+    path = f"{tmp_path}/info"
+    both = [("a", 1, True), ("b", 2, True)]
+    assert stored(spark, path) == []
+    assert sk.write_cluster_info(documents(spark, both, [("a", "x"), ("a", "y"), ("b", "z")]), path) == 0
+    assert sk.write_cluster_info(documents(spark, both[:1], [("b", "other")]), path) == 1
+    assert stored(spark, path) == [("b", 2, "z")]
+    assert sk.write_cluster_info(documents(spark, both[:1], [("a", "x")]), path, version=1) == 1  # the same batch again
+    assert stored(spark, path) == [("a", 1, "x"), ("b", 2, "z")]
+    assert sorted(p.name for p in (tmp_path / "info" / "documents").iterdir()) == ["version=0", "version=1"]
+
+
+def test_half_written_versions_do_not_count_and_compaction_keeps_all(spark, tmp_path):
+    path = f"{tmp_path}/info"
+    sk.write_cluster_info(documents(spark, [("a", 1, True), ("b", 2, True)], [("a", "x"), ("b", "z")]), path)
+    sk.write_cluster_info(documents(spark, [("b", 2, True)], []), path)
+    # A write that died before its commit.
+    documents(spark, [("a", 1, True)], [("a", "lost")]).write.parquet(f"{path}/documents/version=2")
+    assert stored(spark, path) == [("a", 1, "x")]
+    assert sk.compact_cluster_info(spark, path) == 2 and stored(spark, path) == [("a", 1, "x")]
+    sk.write_cluster_info(documents(spark, [("b", 2, True)], [("b", "new")]), path)
+    assert stored(spark, path) == [("a", 1, "x"), ("b", 2, "new")]
+
+
 def test_submissions_are_written_once(spark, tmp_path):
     rows = spark.createDataFrame([(1, "p", "c"), (2, "p", "d")], "run_id int, project_id string, cluster_id string")
     made = rp.submissions(rows, F.lit("aws-databricks"))
