@@ -131,7 +131,7 @@ def select_project_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
     tag of the run with its paths. With a project P: (a) the entry tagged P, else (b) the entry holding the
     requested path, else (c) the only entry. Without: all tagged entries, holding the path if one is given.
     A chosen entry with several paths yields the cluster at the requested path or nothing; an entry with
-    one path yields its cluster. Result: run_id, requested_project, project_id, cluster_id, branch.
+    one path yields its cluster. Result: run_id, requested_project, requested_path, project_id, cluster_id, branch.
 
     The one join is on the run, and both groupings keep the run's partitioning.
     """
@@ -147,6 +147,7 @@ def select_project_clusters(paths: DataFrame, requests: DataFrame) -> DataFrame:
         .select(
             "run_id",
             F.col("_want").alias("requested_project"),
+            F.col("_at").alias("requested_path"),
             F.coalesce("_want", "_slot").alias("project_id"),
             F.when(free, F.col("_pick_c")).otherwise(_picked()).alias("cluster_id"),
             "branch",

@@ -169,25 +169,28 @@ def recorded_clusters(
     rows = with_log(t, with_report(t, join_projects(selected, t.projects), allow_incomplete))
     done = _submitted(rows, F.coalesce("project_error", "report_error", "log_error"))
     return done.select(
-        "run_id", "requested_project", "project_id", "cluster_id", "auto_apply_recs", "submission_id", "error"
+        "run_id", "requested_project", "requested_path", "project_id", "cluster_id", "auto_apply_recs", "submission_id", "error"
     )
 
 
 def recorded_runs(requests: DataFrame, recorded: DataFrame, projects: DataFrame) -> DataFrame:
-    """Per request (a run, for a project or for all) how many projects got a submission; none at all is an error.
+    """Per request (a run, for a project or for all, at a path or any) how many projects got a submission; none at all is an error.
 
-    A requested project that doesn't exist is an error of its own, whatever was found in the run.
+    A requested project that doesn't exist is an error of its own, whatever was found in the run. Which submission a project got is a row of
+    ``recorded``.
     """
-    counts = recorded.groupBy(F.col("run_id").alias("_run"), F.col("requested_project").alias("_wanted")).agg(
+    key = ["run_id", "requested_project", "requested_path"]
+    counts = recorded.groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(
         F.count("*").alias("n_clusters"), F.count("submission_id").alias("n_submitted")
     )
     known = projects.select(F.col("project_id").alias("_known")).distinct()
-    wanted = F.nullif("project_id", F.lit(""))
-    rows = (
-        requests.select("run_id", wanted.alias("project_id"))
-        .join(counts, (F.col("run_id") == F.col("_run")) & F.col("project_id").eqNullSafe(F.col("_wanted")), "left")
-        .join(known, F.col("project_id") == F.col("_known"), "left")
+    asked = requests.select(
+        "run_id", F.nullif("project_id", F.lit("")).alias("project_id"), F.nullif("cluster_path", F.lit("")).alias("cluster_path"))
+    own = (
+        (F.col("run_id") == F.col("_run_id")) & F.col("project_id").eqNullSafe(F.col("_requested_project"))
+        & F.col("cluster_path").eqNullSafe(F.col("_requested_path"))
     )
+    rows = asked.join(counts, own, "left").join(known, F.col("project_id") == F.col("_known"), "left")
     error = F.when(
         F.col("project_id").isNotNull() & F.col("_known").isNull(),
         F.concat(F.lit("Failed to retrieve project "), F.col("project_id")),

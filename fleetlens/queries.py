@@ -101,7 +101,7 @@ def run_end_time(b):
 
 @query
 def project_cluster_selection(b):
-    return tk.select_project_clusters(tk.unambiguous_paths(_resolved(b)), b.request).drop("requested_project")
+    return tk.select_project_clusters(tk.unambiguous_paths(_resolved(b)), b.request).drop("requested_project", "requested_path")
 
 
 @query
