@@ -17,6 +17,7 @@ from fleetlens.functions.blocked import running_number
 from fleetlens.functions.paths import log_destination
 from fleetlens.plans.telemetry import Telemetry
 from fleetlens.session import tune
+from fleetlens.sources import pages
 
 # Schemas of the supplied files read so far, so that a file's footer is looked at once per process.
 _SCHEMAS: dict[str, StructType] = {}
@@ -285,11 +286,19 @@ class Bindings:
             user.cast("string").alias("InstanceId"),
             F.struct(F.when(user % 4 != 0, "running").otherwise("stopped").alias("Name")).alias("State"),
             F.array(pair(K.VENDOR_TAG, vendor), pair(K.CLUSTER_TAG, (user % 5).cast("string"))).alias("Tags"),
+            tag("m", user % 3).alias("InstanceType"),
         )
-        return (
-            self.raw("events").select("user_id").distinct()
-            .select(F.array(F.struct(F.array(instance).alias("Instances"))).alias("Reservations"))
-        )
+        page = F.struct(F.array(F.struct(F.array(instance).alias("Instances"))).alias("Reservations"))
+        return self.raw("events").select("user_id").distinct().select(F.to_json(page).alias("value"))
+
+    @cached_property
+    def instance(self) -> DataFrame:
+        return pages.instances(self.reservation_page)
+
+    def _pages(self, rows: DataFrame, page: Column, item: Column, name: str) -> DataFrame:
+        """JSON pages of a bounded number of items."""
+        grouped = rows.groupBy(page.alias("_page")).agg(F.collect_list(item).alias(name))
+        return grouped.select(F.to_json(F.struct(name)).alias("value"))
 
     @cached_property
     def volume(self) -> DataFrame:
@@ -299,24 +308,29 @@ class Bindings:
             return F.struct(owner.cast("string").alias("InstanceId"))
 
         vendor = F.when(F.col("o_orderstatus") != "P", K.VENDOR).otherwise("other")
-        return self.raw("orders").select(
+        item = F.struct(
             key.alias("VolumeId"),
             F.array(F.struct(F.lit(K.VENDOR_TAG).alias("Key"), vendor.alias("Value"))).alias("Tags"),
             F.when(key % 10 == 0, F.array(attachment(cust), attachment(cust + 5)))
             .otherwise(F.array(attachment(cust))).alias("Attachments"),
         )
+        return pages.volumes(self._pages(self.raw("orders"), F.floor(key / 500), item, "Volumes"))
 
     @cached_property
     def vm(self) -> DataFrame:
         key = F.col("s_suppkey")
-        return self.raw("supplier").select(
-            key.cast("string").alias("vm_name"),
+        item = F.struct(
+            key.cast("string").alias("name"),
             F.when(key % 10 != 0, F.create_map(
                 F.lit(K.VENDOR_TAG), F.when(key % 8 != 0, K.VENDOR).otherwise("other"),
                 F.lit(K.CLUSTER_TAG), tag("z", key % 7),
             )).alias("tags"),
-            (F.col("s_nationkey") % 2 == 0).alias("group_known"),
+            F.struct(tag("D", key % 4).alias("vmSize")).alias("hardwareProfile"),
         )
+        known = F.col("s_nationkey") % 2 == 0
+        halves = [self._pages(self.raw("supplier").filter(side), F.floor(key / 200), item, "value").withColumn("group_known", F.lit(given))
+                  for side, given in ((known, True), (~known, False))]
+        return pages.vms(halves[0].unionByName(halves[1]))
 
     @cached_property
     def vm_view(self) -> DataFrame:
@@ -325,14 +339,9 @@ class Bindings:
         power = F.struct(
             F.when(F.col("s_acctbal") > 0, K.POWER_RUNNING).otherwise("PowerState/deallocated").alias("code")
         )
-        return (
-            self.raw("supplier")
-            .select(
-                key.cast("string").alias("vm_name"),
-                F.when(key % 3 == 1, F.array(ready)).when(key % 3 == 2, F.array(ready, power)).alias("statuses"),
-            )
-            .filter(F.col("statuses").isNotNull())
-        )
+        statuses = F.when(key % 3 == 1, F.array(ready)).when(key % 3 == 2, F.array(ready, power))
+        view = F.struct(key.cast("string").alias("name"), statuses.alias("statuses"))
+        return pages.vm_views(self.raw("supplier").filter(key % 3 != 0).select(F.to_json(view).alias("value")))
 
     @cached_property
     def poll(self) -> DataFrame:
@@ -502,23 +511,29 @@ class Bindings:
 
     @cached_property
     def log_entry(self) -> DataFrame:
-        """Directories under three log roots with the sub-directories they hold."""
+        """Listings of three log roots and of the directories under them; a fourth root can't be listed."""
         user = F.col("user_id")
         root = F.concat(tag("dbfs:/logs", user % 3), F.lit("/eventlog/"))
-        return self.raw("events").select(user).distinct().select(
-            root.alias("root"),
-            (user % 5).alias("dir_pos"),
-            (user % 5 != 4).alias("is_dir"),
-            user.alias("sub_pos"),
-            F.concat(root, tag("c", user % 5), tag("_10_0_0_1/", user * 1000 + 7)).alias("path"),
-        )
+        folder = F.concat(root, tag("c", user % 5), F.lit("_10_0_0_1"))
+        users = self.raw("events").select(user).distinct().select(root.alias("root"), folder.alias("folder"), user)
+        # A root has five folders at most; a folder's listing is one page, in the order of its entries.
+        dirs = users.groupBy("root").agg(F.sort_array(F.collect_set(F.struct("folder", (user % 5 != 4).alias("is_dir")))).alias("d"))
+        listed = dirs.select("root", F.to_json(F.struct(F.transform("d", lambda d: F.struct(
+            F.concat(d["folder"], F.lit("/")).alias("path"), d["is_dir"].alias("is_dir"))).alias("files"))).alias("value"))
+        gone = self.spark.range(1).select(
+            F.lit("dbfs:/gone/eventlog/").alias("root"), F.lit('{"error_code":"RESOURCE_DOES_NOT_EXIST","message":"No file"}').alias("value"))
+        entry = F.struct(F.concat("folder", F.lit("/"), (user * 1000 + 7).cast("string")).alias("path"), F.lit(True).alias("is_dir"))
+        inside = users.groupBy("folder").agg(F.sort_array(F.collect_list(F.struct(user, entry.alias("e")))).alias("s")).select(
+            "folder", F.to_json(F.struct(F.transform("s", lambda x: x["e"]).alias("files"))).alias("value"))
+        return pages.log_entries(listed.unionByName(gone), inside)
 
     @cached_property
     def log_context(self) -> DataFrame:
         key = F.col("c_custkey")
         return self.raw("customer").select(
             key.alias("run_id"),
-            F.concat(tag("dbfs:/logs", F.col("c_nationkey") % 3), F.lit("/eventlog/")).alias("root"),
+            F.when(key % 50 == 0, "dbfs:/gone/eventlog/").otherwise(
+                F.concat(tag("dbfs:/logs", F.col("c_nationkey") % 3), F.lit("/eventlog/"))).alias("root"),
             F.when(key % 4 == 0, key + 700).otherwise(key * 1000 + 7).alias("spark_context_id"),
         )
 
@@ -526,11 +541,9 @@ class Bindings:
     def object_key(self) -> DataFrame:
         user = F.col("user_id")
         base = F.when(user % 7 != 0, F.concat(tag("base", user % 3), F.lit("/x/"))).otherwise("")
-        return self.raw("events").select(
-            "event_id",
-            F.concat(base, tag("eventlog/c", user % 50), F.lit("_10_0_0_1/"), tag("eventlog-", F.col("event_id")))
-            .alias("key"),
-        )
+        key = F.concat(base, tag("eventlog/c", user % 50), F.lit("_10_0_0_1/"), tag("eventlog-", F.col("event_id")))
+        item = F.struct(key.alias("Key"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("LastModified"), (user * 10).alias("Size"))
+        return pages.objects(self._pages(self.raw("events"), F.floor(F.col("event_id") / 1000), item, "Contents"))
 
     @cached_property
     def log_owner(self) -> DataFrame:

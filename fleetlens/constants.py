@@ -51,6 +51,7 @@ TASKS_NOT_SHARED = "Not all tasks use the same cluster"
 NO_TASK_IN_JOB = "No task found in job"
 TASKS_NOT_SUCCESSFUL = "Tasks did not complete successfully"
 LOG_INCOMPLETE = "Event log was missing or incomplete. Please retry."
+NO_LOG_ROOT = "Unable to locate files in DBFS dir "
 NO_LOG_LOCATION = "No eventlog location found for cluster."
 RECOMMENDATION_FAILED = "Recommendation failed"
 RECOMMENDATION_NOT_FOUND = "Recommendation not found"

@@ -58,8 +58,8 @@ def files_by_prefix(listing: DataFrame, clusters: DataFrame) -> DataFrame:
 def log_dirs_by_context(targets: DataFrame, entries: DataFrame) -> DataFrame:
     """The log directory of each Spark context: the entry whose path contains the context id.
 
-    ``targets(run_id, root, spark_context_id)``, ``entries(root, dir_pos, is_dir, sub_pos, path)`` with the
-    sub-entries of the directories under a root. Directories are tried from the last listed one, their
+    ``targets(run_id, root, spark_context_id)``, ``entries(root, dir_pos, is_dir, sub_pos, path, error)`` with the
+    sub-entries of the directories under a root (``pages.log_entries``). A root that couldn't be listed is the target's ``log_error``. Directories are tried from the last listed one, their
     entries from the first. A context id is all digits, so containment is an equality join with the digit
     strings of a path at the lengths the root's contexts have; only the first entry per string is joined.
     """
@@ -80,9 +80,11 @@ def log_dirs_by_context(targets: DataFrame, entries: DataFrame) -> DataFrame:
         .groupBy("root", "_id")
         .agg(F.min_by("path", "_order").alias("path"))
     )
+    failed = entries.filter("error IS NOT NULL").groupBy("root").agg(F.min("error").alias("log_error"))
     return (
         targets.withColumn("_id", F.col("spark_context_id").cast("string"))
         .join(first, ["root", "_id"], "left")
+        .join(failed, "root", "left")
         .drop("_id")
         .withColumnRenamed("path", "log_dir")
     )

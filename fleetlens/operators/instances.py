@@ -24,18 +24,21 @@ def has_vendor_tag(tags: Column) -> Column:
     return F.coalesce(F.exists(tags, lambda t: (t["Key"] == K.VENDOR_TAG) & (t["Value"] == K.VENDOR)), F.lit(False))
 
 
-def ec2_instances(pages: DataFrame) -> DataFrame:
-    """Reservation pages → the platform's instances with their cluster."""
-    flat = unnest(unnest(pages, F.col("Reservations"), [], "r"), F.col("r.Instances"), [], "i")
-    return flat.filter(has_vendor_tag(F.col("i.Tags"))).select(
-        tag_value(F.col("i.Tags"), K.CLUSTER_TAG).alias("cluster_id"),
-        F.col("i.InstanceId").alias("instance_id"),
-        F.col("i.State.Name").alias("state"),
+def ec2_instances(listed: DataFrame) -> DataFrame:
+    """Listed instances (``pages.instances``) → the platform's with their cluster; the whole instance stays as ``document``."""
+    return listed.filter(has_vendor_tag(F.col("Tags"))).select(
+        tag_value(F.col("Tags"), K.CLUSTER_TAG).alias("cluster_id"),
+        F.col("InstanceId").alias("instance_id"),
+        F.col("State.Name").alias("state"),
+        "document",
     ).filter(F.col("cluster_id").isNotNull())
 
 
 def ebs_volumes(volumes: DataFrame, instances: DataFrame) -> DataFrame:
-    """(cluster, volume) for every platform volume attached to one of the cluster's instances."""
+    """(cluster, volume) for every platform volume (``pages.volumes``) attached to one of the cluster's instances.
+
+    A volume attached to several instances of a cluster counts once.
+    """
     attached = (
         volumes.filter(has_vendor_tag(F.col("Tags")))
         .select(F.col("VolumeId").alias("volume_id"), F.explode("Attachments").alias("a"))
@@ -46,13 +49,13 @@ def ebs_volumes(volumes: DataFrame, instances: DataFrame) -> DataFrame:
 
 
 def azure_vms(vms: DataFrame, views: DataFrame) -> DataFrame:
-    """Platform VMs with the statuses of their instance view; VMs without tags are not the platform's."""
+    """Platform VMs (``pages.vms``) with the statuses of their instance view; VMs without tags are not the platform's."""
     tagged = vms.filter(F.coalesce(F.col("tags")[K.VENDOR_TAG] == K.VENDOR, F.lit(False)))
     return (
         tagged.withColumn("cluster_id", F.col("tags")[K.CLUSTER_TAG])
         .filter(F.col("cluster_id").isNotNull())
-        .join(views, "vm_name", "left")
-        .select("cluster_id", F.col("vm_name").alias("instance_id"), "group_known", "statuses")
+        .join(views.select("vm_name", "statuses"), "vm_name", "left")
+        .select("cluster_id", F.col("vm_name").alias("instance_id"), "group_known", "statuses", "document")
     )
 
 

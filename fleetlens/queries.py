@@ -232,23 +232,24 @@ def eventlog_url_class(b):
 
 @query
 def ec2_instances(b):
-    return fl.ec2_instances(b.reservation_page)
+    rows = fl.ec2_instances(b.instance)
+    return rows.select("cluster_id", "instance_id", "state", mg.text_at(F.col("document"), "$.InstanceType").alias("type"))
 
 
 @query
 def ebs_volumes_for_instances(b):
-    return fl.ebs_volumes(b.volume, fl.ec2_instances(b.reservation_page))
+    return fl.ebs_volumes(b.volume, fl.ec2_instances(b.instance))
 
 
 @query
 def azure_running_vms(b):
     rows = fl.azure_vms(b.vm, b.vm_view).withColumns({"platform": F.lit("azure"), "state": F.lit(None).cast("string")})
-    return fl.running_only(rows).select("cluster_id", "instance_id")
+    return fl.running_only(rows).select("cluster_id", "instance_id", mg.text_at(F.col("document"), "$.hardwareProfile.vmSize").alias("size"))
 
 
 @query
 def running_instances(b):
-    aws = fl.ec2_instances(b.reservation_page).withColumn("platform", F.lit("aws"))
+    aws = fl.ec2_instances(b.instance).withColumn("platform", F.lit("aws"))
     azure = fl.azure_vms(b.vm, b.vm_view).withColumn("platform", F.lit("azure"))
     rows = aws.unionByName(azure, allowMissingColumns=True)
     return fl.running_only(rows).select("platform", "cluster_id", "instance_id")
@@ -256,7 +257,7 @@ def running_instances(b):
 
 @query
 def fleet_counts(b):
-    instances = fl.ec2_instances(b.reservation_page)
+    instances = fl.ec2_instances(b.instance)
     return fl.fleet_counts(instances, fl.ebs_volumes(b.volume, instances))
 
 
@@ -377,12 +378,14 @@ def json_time_encodings(b):
 
 @query
 def log_listing_by_prefix(b):
-    return lg.files_by_prefix(b.object_key, b.log_owner).select("event_id", "cluster_id", "key")
+    rows = lg.files_by_prefix(b.object_key.select("key", "file_size", "mtime_ms"), b.log_owner)
+    event = F.regexp_extract("key", "eventlog-([0-9]+)$", 1).cast("bigint")
+    return rows.select(event.alias("event_id"), "cluster_id", "key", "file_size", "mtime_ms")
 
 
 @query
 def log_dir_by_context(b):
-    return lg.log_dirs_by_context(b.log_context, b.log_entry).select("run_id", "spark_context_id", "log_dir")
+    return lg.log_dirs_by_context(b.log_context, b.log_entry).select("run_id", "spark_context_id", "log_dir", "log_error")
 
 
 @query
@@ -656,7 +659,7 @@ def _info_documents(b):
         (cluster != 4).alias("writable"),
     )
     instances = fl.inventory_latest(b.sighting, ["seen_ms", "event_id"], ["seen_ms", "state"])
-    volumes = fl.ebs_volumes(b.volume, fl.ec2_instances(b.reservation_page)).withColumn(
+    volumes = fl.ebs_volumes(b.volume, fl.ec2_instances(b.instance)).withColumn(
         "cluster_id", F.col("cluster_id").cast("bigint")
     )
     return rp.info_documents(clusters, {

@@ -53,13 +53,6 @@ instance_timelines array<struct<instance_id string, first_seen_running_time stri
 timelines array<struct<instance_id string, first_seen_running_time string, last_seen_running_time string>>
 """
 
-RESERVATION_PAGE = f"""
-Reservations array<struct<Instances array<struct<InstanceId string, State struct<Name string>, Tags {_TAGS}>>>>
-"""
-VOLUME = f"VolumeId string, Tags {_TAGS}, Attachments array<struct<InstanceId string>>"
-VM = "vm_name string, tags map<string,string>, group_known boolean"
-VM_VIEW = "vm_name string, statuses array<struct<code string>>"
-
 RECOMMENDATION = """
 created_at string, updated_at string, id string, project_id string, state string, error string,
 recommendation struct<configuration string>

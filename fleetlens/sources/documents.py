@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import schemas as S
 from fleetlens.functions.unnest import unnest
+from fleetlens.sources import pages
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -86,20 +87,25 @@ def read_cluster_events(spark: SparkSession, path: str) -> DataFrame:
     return cluster_events_of(read_documents(spark, path, S.EVENT_PAGE))
 
 
-def read_reservations(spark: SparkSession, path: str) -> DataFrame:
-    return read_documents(spark, path, S.RESERVATION_PAGE)
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Stored pages, one JSON document a line, as text (see :mod:`fleetlens.sources.pages`)."""
+    return spark.read.text(path)
+
+
+def read_instances(spark: SparkSession, path: str) -> DataFrame:
+    return pages.instances(read_pages(spark, path))
 
 
 def read_volumes(spark: SparkSession, path: str) -> DataFrame:
-    return read_documents(spark, path, S.VOLUME)
+    return pages.volumes(read_pages(spark, path))
 
 
 def read_vms(spark: SparkSession, path: str) -> DataFrame:
-    return read_documents(spark, path, S.VM)
+    return pages.vms(read_pages(spark, path))
 
 
 def read_vm_views(spark: SparkSession, path: str) -> DataFrame:
-    return read_documents(spark, path, S.VM_VIEW)
+    return pages.vm_views(read_pages(spark, path))
 
 
 def read_projects(spark: SparkSession, path: str) -> DataFrame:

@@ -176,13 +176,13 @@ SELECT page_id, CASE split_part(url, ':', 1) WHEN 's3' THEN 'presign' WHEN 'http
 
 SQL["ec2_instances"] = """
 SELECT CAST(cluster_id AS VARCHAR) AS cluster_id, CAST(instance_id AS VARCHAR) AS instance_id,
-       CASE WHEN running THEN 'running' ELSE 'stopped' END AS state
+       CASE WHEN running THEN 'running' ELSE 'stopped' END AS state, 'm' || (instance_id % 3) AS type
 FROM b_instance WHERE ours"""
 
 SQL["ebs_volumes_for_instances"] = """
-SELECT CAST(cluster_id AS VARCHAR) AS cluster_id, volume_id FROM w_cluster_volume"""
+SELECT CAST(cluster_id AS VARCHAR) AS cluster_id, CAST(volume_id AS VARCHAR) AS volume_id FROM w_cluster_volume"""
 
-SQL["azure_running_vms"] = "SELECT cluster_id, instance_id FROM w_running_vm"
+SQL["azure_running_vms"] = "SELECT cluster_id, instance_id, 'D' || (CAST(instance_id AS BIGINT) % 4) AS size FROM w_running_vm"
 
 SQL["running_instances"] = """
 SELECT 'aws' AS platform, CAST(cluster_id AS VARCHAR) AS cluster_id, CAST(instance_id AS VARCHAR) AS instance_id
@@ -269,8 +269,8 @@ FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp,
       FROM events)"""
 
 SQL["log_listing_by_prefix"] = """
-SELECT k.event_id, o.cluster_id, k.key
-FROM (SELECT event_id, CASE WHEN user_id % 7 <> 0 THEN 'base' || (user_id % 3) || '/x/' ELSE '' END || 'eventlog/c'
+SELECT k.event_id, o.cluster_id, k.key, k.file_size, k.mtime_ms
+FROM (SELECT event_id, user_id * 10 AS file_size, epoch_ms(date_trunc('second', ts)) AS mtime_ms, CASE WHEN user_id % 7 <> 0 THEN 'base' || (user_id % 3) || '/x/' ELSE '' END || 'eventlog/c'
              || (user_id % 50) || '_10_0_0_1/eventlog-' || event_id AS key FROM events) k
 JOIN (SELECT DISTINCT 'c' || (s_suppkey % 60) AS cluster_id,
              CASE WHEN s_nationkey % 5 <> 0 THEN 'base' || (s_nationkey % 3) || '/x/' ELSE '' END || 'eventlog/c'
@@ -279,10 +279,11 @@ JOIN (SELECT DISTINCT 'c' || (s_suppkey % 60) AS cluster_id,
 SQL["log_dir_by_context"] = """
 WITH sub AS (SELECT DISTINCT user_id, 'dbfs:/logs' || (user_id % 3) || '/eventlog/c' || (user_id % 5)
              || '_10_0_0_1/' || (user_id * 1000 + 7) AS path FROM events WHERE user_id % 5 <> 4),
-want AS (SELECT c_custkey AS run_id, 'dbfs:/logs' || (c_nationkey % 3) || '/' AS root, CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 700 ELSE c_custkey * 1000 + 7 END
+want AS (SELECT c_custkey AS run_id, CASE WHEN c_custkey % 50 = 0 THEN 'dbfs:/gone/eventlog/' END AS gone, 'dbfs:/logs' || (c_nationkey % 3) || '/' AS root, CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 700 ELSE c_custkey * 1000 + 7 END
          AS spark_context_id FROM customer)
-SELECT run_id, spark_context_id, arg_min(path, (-(user_id % 5), user_id)) AS log_dir
-FROM want LEFT JOIN sub ON starts_with(path, root) AND contains(path, CAST(spark_context_id AS VARCHAR))
+SELECT run_id, spark_context_id, arg_min(path, (-(user_id % 5), user_id)) AS log_dir,
+       'Unable to locate files in DBFS dir ' || any_value(gone) AS log_error
+FROM want LEFT JOIN sub ON gone IS NULL AND starts_with(path, root) AND contains(path, CAST(spark_context_id AS VARCHAR))
 GROUP BY run_id, spark_context_id"""
 
 SQL["final_rollover_files"] = """

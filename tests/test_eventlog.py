@@ -1,11 +1,13 @@
 """Event-log completeness, waiting, and finding log files."""
 
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.operators import eventlog as lg
+from fleetlens.sources import pages
 from fleetlens.streaming import logwaits as lw
 from fleetlens.streaming.replay import replay
 
@@ -188,7 +190,7 @@ def test_contexts_match_like_contains(spark):
     targets = [(n, f"r{rng.randrange(2)}", rng.choice([rng.randrange(100), rng.randrange(10**5)])) for n in range(200)]
     got = lg.log_dirs_by_context(
         spark.createDataFrame(targets, "run_id int, root string, spark_context_id bigint"),
-        spark.createDataFrame(entries, "root string, dir_pos int, is_dir boolean, sub_pos int, path string"),
+        spark.createDataFrame(entries, "root string, dir_pos int, is_dir boolean, sub_pos int, path string").withColumn("error", F.lit(None).cast("string")),
     )
     want = {}
     for run, root, context in targets:
@@ -243,6 +245,26 @@ def test_waits_of_several_runs_for_one_directory(spark):
     assert got == want and len({o for _, o in want.values()}) == 3
 
 
+def test_listings_as_delivered(spark):
+    """Objects of a bucket, and log folders under roots, one of which can't be listed."""
+    def text(rows, schema):
+        return spark.createDataFrame([(*keys, json.dumps(page)) for *keys, page in rows], schema)
+
+    bucket = text([("b", {"Contents": [{"Key": "x/eventlog/c1/f", "LastModified": "2024-01-02T03:04:05Z", "Size": 9}, {"Key": "y", "Size": 1}], "KeyCount": 2}),
+                   ("b", {"IsTruncated": False})], "bucket string, value string")
+    got = lg.files_by_prefix(pages.objects(bucket), spark.createDataFrame([("b", "c1", "x")], "bucket string, cluster_id string, base string")).collect()
+    assert [(r.cluster_id, r.key, r.file_size, r.mtime_ms, r.pos) for r in got] == [("c1", "x/eventlog/c1/f", 9, 1704164645000, 0)]
+    roots = text([("r1", {"files": [{"path": "r1/a/", "is_dir": True}, {"path": "r1/f", "file_size": 3}, {"path": "r1/b", "is_dir": True}]}),
+                  ("r2", {"error_code": "RESOURCE_DOES_NOT_EXIST", "message": "gone"}), ("r3", {})], "root string, value string")
+    folders = text([("r1/a", {"files": [{"path": "r1/a/1_77", "is_dir": True}]}), ("r1/b/", {"files": [{"path": "r1/b/2_77"}, {"path": "r1/b/3_77"}]}),
+                    ("r1/f", {"files": [{"path": "r1/f"}]})], "folder string, value string")
+    targets = spark.createDataFrame([(1, "r1", 77), (2, "r1", 78), (3, "r2", 77), (4, "r3", 77)], "run_id int, root string, spark_context_id long")
+    got = {r.run_id: (r.log_dir, r.log_error) for r in lg.log_dirs_by_context(targets, pages.log_entries(roots, folders)).collect()}
+    assert got == {1: ("r1/b/2_77", None), 2: (None, None), 3: (None, "Unable to locate files in DBFS dir r2"), 4: (None, None)}
+    errors = pages.page_errors(roots).collect()
+    assert [(r.root, r.error) for r in errors] == [("r2", "Databricks API Error: RESOURCE_DOES_NOT_EXIST: gone")]
+
+
 def test_equal_keys_in_two_buckets(spark):
     listed = spark.createDataFrame([("b1", "x/eventlog/c1/f"), ("b2", "x/eventlog/c1/f"), ("b3", "x/eventlog/c1/f")], "bucket string, key string")
     owners = spark.createDataFrame([("b1", "c1", "x"), ("b2", "c1", "/x")], "bucket string, cluster_id string, base string")

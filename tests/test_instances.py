@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators import instances as fl
 from fleetlens.sinks import read_cluster_info_items
+from fleetlens.sources import pages
 from fleetlens.streaming import timelines as tl
 from fleetlens.streaming.replay import replay
 
@@ -205,24 +206,41 @@ def test_late_polls_are_dropped_and_counted(spark, tmp_path):
 TAGS = [{"Key": "Vendor", "Value": "Databricks"}, {"Key": "ClusterId", "Value": "c1"}]
 
 
+def listed(spark, *documents):
+    return spark.createDataFrame([(d if isinstance(d, str) else json.dumps(d),) for d in documents], "value string")
+
+
 def test_instances_and_volumes(spark):
-    tag = "array<struct<Key string, Value string>>"
-    pages = spark.createDataFrame(
-        [([([("i1", ("running",), TAGS), ("i2", ("stopped",), TAGS)],), ([("i3", ("running",), TAGS[:1])],)],),
-         ([([("i4", ("running",), None)],)],), ([],)],
-        f"Reservations array<struct<Instances array<struct<InstanceId string, State struct<Name string>, Tags {tag}>>>>",
-    )
-    found = fl.ec2_instances(pages)
-    assert {tuple(r) for r in found.collect()} == {("c1", "i1", "running"), ("c1", "i2", "stopped")}
-    volumes = spark.createDataFrame(
-        [("v1", TAGS[:1], [("i1",), ("i2",)]), ("v2", TAGS[:1], [("i9",)]), ("v3", None, [("i1",)]), ("v4", TAGS, [])],
-        f"VolumeId string, Tags {tag}, Attachments array<struct<InstanceId string>>",
-    )
+    """Pages as delivered; whole instances stay, pages without a list and pages that are no JSON are empty."""
+    def instance(name, state, tags):
+        return {"InstanceId": name, "State": {"Name": state, "Code": 1}, "Tags": tags, "Placement": {"Zone": name}}
+
+    found = fl.ec2_instances(pages.instances(listed(
+        spark, {"Reservations": [{"Instances": [instance("i1", "running", TAGS), instance("i2", "stopped", TAGS)]},
+                                 {"Instances": [instance("i3", "running", TAGS[:1])]}, {"Owner": "x"}]},
+        {"Reservations": [{"Instances": [instance("i4", "running", None), {"InstanceId": "i5"}]}]}, {"Reservations": []}, {}, "no json", "null")))
+    got = found.select("cluster_id", "instance_id", "state", F.try_variant_get("document", "$.Placement.Zone", "string")).collect()
+    assert {tuple(r) for r in got} == {("c1", "i1", "running", "i1"), ("c1", "i2", "stopped", "i2")}
+    volumes = pages.volumes(listed(spark, {"Volumes": [
+        {"VolumeId": "v1", "Tags": TAGS[:1], "Attachments": [{"InstanceId": "i1", "Device": "d"}, {"InstanceId": "i2"}], "Size": 7},
+        {"VolumeId": "v2", "Tags": TAGS[:1], "Attachments": [{"InstanceId": "i9"}]}]}, {"Volumes": [
+            {"VolumeId": "v3", "Attachments": [{"InstanceId": "i1"}]}, {"VolumeId": "v4", "Tags": TAGS, "Attachments": []}], "NextToken": "t"}))
+    assert [r.size for r in volumes.filter("VolumeId = 'v1'").select(F.try_variant_get("document", "$.Size", "int").alias("size")).collect()] == [7]
     attached = fl.ebs_volumes(volumes, found)
     assert [tuple(r) for r in attached.collect()] == [("c1", "v1")]
     assert [tuple(r) for r in fl.fleet_counts(found, attached).collect()] == [("c1", 2, 1)]
 
 
+def test_vms_as_delivered(spark):
+    vms = pages.vms(listed(spark, {"value": [
+        {"name": "a", "tags": {"Vendor": "Databricks", "ClusterId": "c"}, "zones": ["1"]}, {"name": "b", "tags": None},
+        {"name": "d", "tags": {"Vendor": "Databricks", "ClusterId": "c"}}]}, {"value": None}).withColumn("group_known", F.lit(True)))
+    views = pages.vm_views(listed(spark, {"name": "a", "statuses": [{"code": "x"}, {"code": "PowerState/running"}]}, {"name": "d"}))
+    rows = fl.azure_vms(vms, views).withColumns({"platform": F.lit("azure"), "state": F.lit(None).cast("string")})
+    assert {(r.cluster_id, r.instance_id) for r in fl.running_only(rows).collect()} == {("c", "a")}
+    assert {r.instance_id for r in rows.collect()} == {"a", "d"}
+
+
 def test_inventory_keeps_unseen_instances(spark):
     rows = spark.createDataFrame(
         [("c", "a", 1, "running"), ("c", "a", 3, "stopped"), ("c", "b", 2, "running")],

@@ -59,15 +59,16 @@ def test_jobs_clusters_and_events(spark, tmp_path):
 
 
 def test_tables_of_the_other_documents(spark, tmp_path):
-    doc = lines(tmp_path / "x.json", {"project_id": "p", "workspace_id": "w", "VolumeId": "v", "vm_name": "m", "id": "i"})
+    doc = lines(tmp_path / "x.json", {"project_id": "p", "workspace_id": "w", "id": "i", "name": "m", "Volumes": [{"VolumeId": "v"}], "value": [{"name": "m"}],
+                                      "Reservations": [{"Instances": [{"InstanceId": "j"}]}]})
     assert dc.read_projects(spark, doc).first().project_id == "p"
     assert dc.read_workspaces(spark, doc).first().workspace_id == "w"
     assert dc.read_volumes(spark, doc).first().VolumeId == "v"
     assert dc.read_vms(spark, doc).first().vm_name == "m"
-    assert dc.read_vm_views(spark, doc).first().statuses is None
+    assert (dc.read_vm_views(spark, doc).first().vm_name, dc.read_vm_views(spark, doc).first().statuses) == ("m", None)
     assert dc.read_submissions(spark, doc).first().id == "i"
     assert dc.read_recommendations(spark, doc).first().id == "i"
-    assert dc.read_reservations(spark, doc).first().Reservations is None
+    assert [r.InstanceId for r in dc.read_instances(spark, doc).collect()] == ["j"]
 
 
 def test_snapshots_of_both_clouds(spark, tmp_path):
