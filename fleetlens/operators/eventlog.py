@@ -139,35 +139,41 @@ def completeness(targets: DataFrame, listing: DataFrame) -> DataFrame:
     return rows.withColumn("verdict", verdict(F.col("scheme"), F.col("run_end_ms"), found))
 
 
+def _blocks_of_looks(listing: DataFrame, limit: int) -> DataFrame:
+    """``(_key, _looks, polls)``: the looks at a directory by blocks of ``limit`` polls, each with those of the block after it.
+
+    So one block holds all polls of a wait that begins in it. A row whose key is the directory alone tells its last poll.
+    """
+    looks = poll_summaries(listing)
+    block = F.floor((F.col("poll_no") - 1) / limit)
+    places = F.array(F.concat_ws(":", "dir", block.cast("string")), F.concat_ws(":", "dir", (block - 1).cast("string")), F.col("dir").cast("string"))
+    entry = F.struct("poll_no", "final_mtime_ms", "any_empty", "total_size")
+    dealt = looks.select(entry.alias("look"), F.posexplode(places).alias("_place", "_key"))
+    return dealt.groupBy("_key").agg(
+        F.array_sort(F.collect_list(F.when(F.col("_place") < 2, F.col("look")))).alias("_looks"), F.max("look.poll_no").alias("polls"))
+
+
 def ready_per_wait(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_POLL_LIMIT) -> DataFrame:
     """Per wait ``(dir, scheme, run_end_ms, first_poll)`` the first complete poll; otherwise the outcome says why not.
 
-    Several runs may wait for one directory; other columns of the waits are kept. The ``limit`` polls of a wait count from its own first one, which compares sizes with 0. A DBFS directory that is missing
-    from a poll ends the wait. Polls are looked up in blocks of ``limit``, two of which hold any wait.
+    Several runs may wait for one directory; other columns of the waits are kept. The ``limit`` polls of a wait count from its own first one, which
+    compares sizes with 0. A DBFS directory that is missing from a poll ends the wait.
     """
-    looks = size_changes(poll_summaries(listing))
-    block = F.floor((F.col("poll_no") - 1) / limit)
-    entry = F.struct("poll_no", "final_mtime_ms", "any_empty", "size_changed", "total_size")
-    key = lambda at: F.concat_ws(":", F.col("dir").cast("string"), at.cast("string"))
-    blocks = looks.groupBy(key(block).alias("_key")).agg(F.array_sort(F.collect_list(entry)).alias("_looks"))
-    last = looks.groupBy("dir").agg(F.max("poll_no").alias("polls"))
+    blocks = _blocks_of_looks(listing, limit)
     start, end, scheme = F.col("first_poll"), F.col("run_end_ms"), F.coalesce("scheme", F.lit(""))
-    first_block = F.floor((start - 1) / limit)
-    rows = left_lookup(targets.withColumn("_key", key(first_block)), blocks, "_key").withColumnRenamed("_looks", "_a")
-    rows = left_lookup(rows.withColumn("_key", key(first_block + 1)), blocks, "_key").withColumnRenamed("_looks", "_b")
-    rows = left_lookup(rows.drop("_key"), last, "dir")
-    none = F.expr("CAST(array() AS " + looks.select(F.array(entry).alias("x")).schema["x"].dataType.simpleString() + ")")
-    seen = F.filter(
-        F.concat(F.coalesce("_a", none), F.coalesce("_b", none)),
-        lambda x: (x["poll_no"] >= start) & (x["poll_no"] < start + limit),
-    )
+    own = F.concat_ws(":", F.col("dir").cast("string"), F.floor((start - 1) / limit).cast("string"))
+    rows = left_lookup(targets.withColumn("_key", own), blocks.drop("polls"), "_key")
+    rows = left_lookup(rows.withColumn("_key", F.col("dir").cast("string")), blocks.drop("_looks"), "_key").drop("_key")
+    none = F.expr("CAST(array() AS " + blocks.schema["_looks"].dataType.simpleString() + ")")
+    seen = F.filter(F.coalesce("_looks", none), lambda x: (x["poll_no"] >= start) & (x["poll_no"] < start + limit))
     rows = rows.withColumn("_seen", seen)
 
     def complete(look: Column, at: Column) -> Column:
-        changed = F.when(look["poll_no"] == start, look["total_size"] != 0).otherwise(look["size_changed"])
-        unbroken = (scheme == "s3") | (look["poll_no"] == start + at)
+        # Without a gap before it, a look follows the one made a poll earlier.
+        unbroken = look["poll_no"] == start + at
+        before = F.when(at == 0, F.lit(0)).otherwise(F.get("_seen", at - 1)["total_size"])
         flushed = F.coalesce(look["final_mtime_ms"] >= end, F.lit(False))
-        return unbroken & flushed & ((scheme == "s3") | ~(look["any_empty"] | changed))
+        return flushed & ((scheme == "s3") | (unbroken & ~look["any_empty"] & (look["total_size"] == before)))
 
     polled = scheme.isin("s3", "dbfs")
     first = F.array_min(F.transform(F.filter("_seen", complete), lambda x: x["poll_no"]))
@@ -182,7 +188,7 @@ def ready_per_wait(targets: DataFrame, listing: DataFrame, limit: int = K.LOG_PO
         .when(gap | (F.col("polls") >= start + limit - 1), "No eventlog found")
         .otherwise("waiting")
     )
-    return rows.withColumn("ready_poll", F.when(polled, first)).withColumn("outcome", outcome).drop("_a", "_b", "_seen")
+    return rows.withColumn("ready_poll", F.when(polled, first)).withColumn("outcome", outcome).drop("_looks", "_seen")
 
 
 # -- bundles ----------------------------------------------------------------------------------------
