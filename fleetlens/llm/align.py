@@ -43,8 +43,8 @@ SEGMENT_CHARS = 1 << 20
 # A worker remembers the ids of about so many chunks, or of so many tokens.
 REMEMBERED, REMEMBERED_IDS = 1 << 19, 1 << 22
 # A block of texts holds about so many token pairs at most, but for a single text.
-BLOCK_PAIRS = 1 << 21
-PAIRS_AT_ONCE = 1 << 22
+BLOCK_PAIRS = 1 << 19
+PAIRS_AT_ONCE = 1 << 21
 
 # White space as the byte-level pattern sees it.
 _OTHER_SPACE = "\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -85,29 +85,30 @@ def _byte_characters() -> dict[str, int]:
 
 class _Bytes:
     def __init__(self, blob: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        import tokenizers
-
-        self._encoder = tokenizers.Tokenizer.from_str(blob.decode())
-        self._encoder.encode_special_tokens = True
+        parts = json.loads(blob)
+        split, model = parts.get("pre_tokenizer") or {}, parts["model"]
         spelled = _byte_characters()
-        vocabulary = self._encoder.get_vocab(with_added_tokens=True)
+        vocabulary = model["vocab"] | {t["content"]: t["id"] for t in parts.get("added_tokens") or []}
         self.tokens = [b""] * (max(vocabulary.values()) + 1)
         for token, k in vocabulary.items():
             self.tokens[k] = bytes(spelled[c] for c in token) if all(c in spelled for c in token) else token.encode()
-        parts = json.loads(blob)
-        split, model = parts.get("pre_tokenizer") or {}, parts["model"]
         self.cuts = (parts.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
                      and not split.get("add_prefix_space", True))
         # Where tokens are numbered in the order of their merges, the ids are ranks, and the ranked encoder gives the same ids sooner.
-        joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
-        ids = [model["vocab"][t] for t in joined]
+        joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model.get("merges", [])]
+        ids = [model["vocab"].get(t) for t in joined]
         self._ranked = None
         if self.cuts and not model.get("ignore_merges") and ids == list(range(256, 256 + len(ids))) and len(model["vocab"]) == 256 + len(ids):
             import tiktoken
 
             ranks = {self.tokens[k]: k for k in model["vocab"].values()}
             self._ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+            import tokenizers
+
+            self._encoder = tokenizers.Tokenizer.from_str(blob.decode())
+            self._encoder.encode_special_tokens = True
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         if self._ranked:

@@ -38,7 +38,7 @@ UNKNOWN = "und"
 LONGEST = 4
 SCALE = 2_000_000
 # Bytes that are worked on at once, and rows that a task adds up before it passes them on.
-BYTES_AT_ONCE, ROWS_AT_ONCE, WORDS_AT_ONCE = 1 << 20, 3 << 19, 1 << 18
+BYTES_AT_ONCE, ROWS_AT_ONCE, WORDS_AT_ONCE, ROWS_PER_BATCH = 1 << 20, 5 << 18, 1 << 18, 1 << 16
 # Size of the filter of frequent words.
 FILTER_BITS = 23
 # A word is hot if it makes up one in so many of all words.
@@ -130,7 +130,8 @@ def _added_up(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray
         h = mix(h * U64(31) + c.astype(U64))
     first, second = (c.astype(U64) >> U64(40) for c in columns[:2])
     order = np.argsort((first << U64(40)) | ((second >> U64(4)) << U64(20)) | (h >> U64(44)))
-    columns = [c[order] for c in columns]
+    for k in range(len(columns)):
+        columns[k] = columns[k][order]
     new = np.zeros(len(n), bool)
     new[:1] = True
     for c in columns:
@@ -157,17 +158,20 @@ def _count_windows(seed: int, shared: Broadcast):
 
         def out():
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            held.clear()
             columns, n = _added_up(columns, np.ones(len(columns[0]), np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in [*_spread(columns, hot), *columns, n]], [*SPREAD, *WORDS, "n"])
+            columns = [*_spread(columns, hot), *columns, n]
+            for k in range(0, len(n), ROWS_PER_BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k:k + ROWS_PER_BATCH]) for c in columns], [*SPREAD, *WORDS, "n"])
 
         for words, _ in _read(batches, seed):
             held.append(words.windows(frequent))
             size += len(held[-1][0])
             if size >= ROWS_AT_ONCE:
-                yield out()
-                held, size = [], 0
+                yield from out()
+                size = 0
         if held:
-            yield out()
+            yield from out()
 
     return run
 
