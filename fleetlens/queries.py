@@ -765,6 +765,22 @@ def scan_cluster_info(b):
     return rp.section_counts(sk.read_cluster_info_items(b.spark, path), ["cluster_id", "spark_context_id"])
 
 
+@query
+def delivered_documents(b):
+    """Cluster-info documents as an override sends them: to a user's function, and under another prefix."""
+    place = scratch_dir(b.spark, "delivered")
+    rows = _info_documents(b).withColumn("cluster_id", F.col("cluster_id").cast("string"))
+    usual = sk.Destination("s3", "s3://logs/reports")
+
+    def own(documents):
+        documents.write.parquet(f"{place}/function")
+
+    for via, override in (("function", {"filesystem": "lambda", "write_function": own}), ("path", {"filesystem": "file", "base_prefix": f"{place}/path"})):
+        sk.deliver(rows, usual.overridden(override), lambda documents, prefix: documents.write.parquet(prefix))
+    sent = [b.spark.read.schema(rows.schema).parquet(f"{place}/{via}").withColumn("via", F.lit(via)) for via in ("function", "path")]
+    return rp.section_counts(sent[0].unionByName(sent[1]), ["via", "cluster_id", "spark_context_id"])
+
+
 @query
 def read_log_lines(b):
     """Texts as gzipped log bundles, one folder per source, and their lines read back."""

@@ -606,6 +606,8 @@ SQL["scan_cluster_info"] = SQL["cluster_info_documents"].replace(
     "c AS cluster_id", "CAST(c AS VARCHAR) AS cluster_id"
 )
 
+SQL["delivered_documents"] = f"""SELECT via, d.* FROM ({SQL["scan_cluster_info"]}) d, (VALUES ('function'), ('path')) AS v(via)"""
+
 SQL["read_log_lines"] = """
 SELECT source, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars
 FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source"""
