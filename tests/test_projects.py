@@ -48,12 +48,13 @@ def test_latest_recommendations(spark):
     got = {r.project_id: (r.configuration, r.error) for r in latest.collect()}
     assert got == {"good": ('{"node":"n2"}', None), "empty": (None, "Recommendation not found"),
                    "bare": (None, "Recommendation configuration not found"), "none": (None, None)}
-    defs = projects.withColumn("definition", F.struct(F.lit("old").alias("node"), F.lit(3).alias("num_workers")))
-    new = {r.project_id: (r.definition and tuple(r.definition), r.error) for r in rc.updated_definitions(defs, latest).collect()}
-    assert new == {"good": (("n2", None), None), "empty": (None, "Recommendation not found"),
+    defs = projects.withColumn("definition", F.parse_json(F.lit('{"node":"old","num_workers":3,"other":1}')))
+    merged = rc.updated_definitions(defs, latest).select("project_id", F.to_json("definition").alias("definition"), "error")
+    new = {r.project_id: (r.definition, r.error) for r in merged.collect()}
+    assert new == {"good": ('{"node":"n2","other":1}', None), "empty": (None, "Recommendation not found"),
                    "bare": (None, "Recommendation configuration not found"), "none": (None, "no_recommendation")}
-    both = {r.project_id: (bool(r.cluster_definition), r.cluster_recommendation, r.error)
-            for r in rc.definition_and_recommendation(defs, latest).collect()}
+    both = {r.project_id: (r.known, r.cluster_recommendation, r.error) for r in rc.definition_and_recommendation(defs, latest).withColumn(
+        "known", F.col("cluster_definition").isNotNull()).collect()}
     assert both["good"] == (True, '{"node":"n2"}', None)
     assert both["none"] == (False, None, "Recommendation failed")
 
