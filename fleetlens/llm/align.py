@@ -39,9 +39,9 @@ from fleetlens.llm.common import materialize
 # Tokenizer files beyond this are refused, as every executor gets a copy.
 MAX_FILE_BYTES = 64 << 20
 # Texts are aligned together up to so many characters; longer ones in segments.
-SEGMENT_CHARS = 1 << 20
+SEGMENT_CHARS = 1 << 18
 # A worker remembers the ids of about so many chunks, or of so many tokens.
-REMEMBERED, REMEMBERED_IDS = 1 << 19, 1 << 22
+REMEMBERED, REMEMBERED_IDS = 1 << 17, 1 << 20
 # A block of texts holds about so many token pairs at most, but for a single text.
 BLOCK_PAIRS = 1 << 19
 PAIRS_AT_ONCE = 1 << 21
