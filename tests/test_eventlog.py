@@ -156,6 +156,27 @@ def test_deadlines_end_waits_and_state_goes_with_them(spark, tmp_path):
     assert kept.count() == 1
 
 
+def test_stream_state_is_one_value_per_block_of_directories(spark, tmp_path):
+    """However many directories and waits a block has; run ids beyond the whole numbers of a double stay whole."""
+    big = 2**53 + 1
+    waits = spark.createDataFrame(
+        [(d, big + k, "s3", 100, 1 + k, 30.5 + d if k else None) for d in range(64, 128) for k in range(3)] + [(500, 1, "dbfs", 100, 1, 2.5)],
+        "dir long, run_id long, scheme string, run_end_ms long, first_poll long, deadline double")
+    looks = spark.createDataFrame(
+        [(70, 2, 5, False, 100), (90, 1, 5, False, 99), (500, 1, 0, True, None)],
+        "dir long, poll_no long, total_size long, any_empty boolean, final_mtime_ms long")
+    rows = stream_rows(waits, looks)
+    place = str(tmp_path)
+    rows.write.parquet(f"{place}/in")
+    out = []
+    lw.ready_logs(spark.readStream.schema(rows.schema).parquet(f"{place}/in")).writeStream.outputMode("update").option(
+        "checkpointLocation", f"{place}/state").trigger(availableNow=True).foreachBatch(
+        lambda batch, _: out.extend(map(tuple, batch.collect()))).start().awaitTermination()
+    assert sorted(out, key=repr) == sorted([(70, big, 2, "ready"), (70, big + 1, 2, "ready"), (500, 1, None, "No eventlog found")], key=repr)
+    kept = spark.read.format("statestore").option("stateVarName", "waits").load(f"{place}/state")
+    assert kept.count() == 1
+
+
 def test_bundle_names(spark):
     polls = {1: [("eventlog", 5, 100), ("eventlog-1.gz", 5, 1)], 2: [("eventlog", 5, 100), ("eventlog-1.gz", 5, 1)]}
     polls[25] = polls[26] = [("eventlog", 7, 900)]
