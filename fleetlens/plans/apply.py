@@ -18,8 +18,9 @@ def job_updates(job_rows: DataFrame, recommendations: DataFrame, requests: DataF
     The new definition is always merged from the stored one, never from an earlier result, and is a whole document. Other columns of
     the requests are kept; a request that fails stays, with ``update_error``.
     """
-    targets = jobs.target_clusters(requests, job_rows)
-    rows, depth = recommend.with_recommendation(targets, recommendations)
+    # Small rows meet first, so that clusters move once.
+    asked, depth = recommend.with_recommendation(requests, recommendations)
+    rows = jobs.target_clusters(asked, job_rows)
     merged = jobs.recommended_definition(F.col("cluster"), F.col("patch"), depth)
     problem = F.coalesce("target_error", "recommendation_error")
     rows = rows.withColumn("update_error", problem).withColumn("_new", F.when(F.col("update_error").isNull(), merged))
@@ -35,8 +36,9 @@ def recommended_jobs(job_rows: DataFrame, recommendations: DataFrame, requests:
 
     ``requests(job_id, recommendation_id)``. Jobs that cannot be changed stay as they are, with ``error``.
     """
-    asked = jobs.single_clusters(job_rows).join(requests.select("job_id", "recommendation_id"), "job_id")
-    rows, depth = recommend.with_recommendation(asked, recommendations)
+    # Small rows meet first, so that whole jobs move once.
+    asked, depth = recommend.with_recommendation(requests.select("job_id", "recommendation_id"), recommendations)
+    rows = jobs.single_clusters(job_rows).join(asked, "job_id")
     merged = jobs.recommended_definition(F.col("cluster"), F.col("patch"), depth)
     return _rewritten(rows, F.col("recommendation_error"), merged, keep_name=False)
 
@@ -46,9 +48,10 @@ def project_jobs(job_rows: DataFrame, templates: DataFrame, requests: DataFrame)
 
     ``requests(job_id, project_id)``. Jobs that cannot be changed stay as they are, with ``error``.
     """
-    asked = jobs.single_clusters(job_rows).join(requests.select("job_id", "project_id"), "job_id")
     patches, depth = recommend.parsed_patches(templates.select("project_id", "template"), "template", "_patch")
-    rows = left_lookup(asked, patches, "project_id")
+    # Small rows meet first, so that whole jobs move once.
+    asked = left_lookup(requests.select("job_id", "project_id"), patches, "project_id")
+    rows = jobs.single_clusters(job_rows).join(asked, "job_id")
     problem = F.when(F.col("template").isNull(), "no_template").otherwise(recommend.merge_error(F.col("_patch"), depth))
     return _rewritten(rows, problem, merge_documents(F.col("cluster"), F.col("_patch"), depth), keep_name=True)
 
