@@ -184,15 +184,17 @@ def one_off_runs(jobs: DataFrame) -> DataFrame:
     )
 
 
-def job_parts(jobs: DataFrame) -> DataFrame:
+def job_parts(jobs: DataFrame, sections: Iterable[str] = ("tasks", "job_clusters")) -> DataFrame:
     """Tasks and shared clusters of jobs, one row each: ``(job_id, section, pos, key, definition, part)``.
 
-    ``definition`` is the part's cluster, ``part`` the whole part.
+    ``definition`` is the part's cluster, ``part`` the whole part. Only the ``sections`` asked for are opened.
     """
+    keys = {"tasks": "task_key", "job_clusters": "job_cluster_key"}
+
     def parts(section: str, key: str) -> Column:
         return F.coalesce(F.transform(
             items(F.variant_get(F.col("settings"), f"$.{section}", "variant")),
             lambda x, i: F.struct(F.lit(section).alias("section"), i.alias("pos"), text_at(x, f"$.{key}").alias("key"),
                                   F.variant_get(x, "$.new_cluster", "variant").alias("definition"), x.alias("part"))), F.array())
 
-    return unnest(jobs, F.concat(parts("tasks", "task_key"), parts("job_clusters", "job_cluster_key")), ["job_id"], "p").select("job_id", "p.*")
+    return unnest(jobs, F.concat(*[parts(s, keys[s]) for s in sections]), ["job_id"], "p").select("job_id", "p.*")
