@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from fleetlens.functions.lookup import left_lookup
 from fleetlens.operators import jobs as jb
 from fleetlens.operators import reports as rp
 from fleetlens.operators import tasks as tk
 from fleetlens.plans import apply as ap
+from fleetlens.plans import submit as sb
+from fleetlens.plans.telemetry import Telemetry
 
 DEFINITION = "struct<node_type_id string, custom_tags map<string,string>>"
 TAG = "sync:project-id"
@@ -64,3 +67,72 @@ def test_whole_jobs_meet_looked_up_requests(spark):
 def test_only_the_sections_asked_for(spark):
     rows = jb.job_parts(jobs_of(spark), ["job_clusters"]).select("job_id", "section", "pos", "key").collect()
     assert [tuple(r) for r in rows] == [(1, "job_clusters", 0, "k")]
+
+
+def telemetry(spark, folder):
+    """Small files of runs 1 to 4: one that is recorded, one whose cluster lacks information, one whose log is missing, one without project tag."""
+    paths = (str(folder / str(k)) for k in range(99))
+
+    def rows(data, schema):
+        path = next(paths)
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    tag = lambda p: ("n", {TAG: p})
+    return Telemetry(
+        tasks=rows(
+            [(1, 0, "a", None, "k", "c1", 11, "SUCCESS", 100), (1, 1, "b", None, "k", "c1", 11, "FAILED", 200), (1, 2, "c", tag("p9"), None, "c9", 12, "SUCCESS", 300),
+             (1, 3, "d", None, "k", None, None, "SUCCESS", 900), (2, 0, "a", tag("p1"), "k", "c2", 21, "SUCCESS", 100), (3, 0, "a", tag("p1"), None, "c3", 31, "SUCCESS", 100),
+             (4, 0, "a", ("n", None), None, "c4", 41, "SUCCESS", 100)],
+            f"run_id long, pos int, task_key string, new_cluster {DEFINITION}, job_cluster_key string, cluster_id string, spark_context_id long,"
+            " result_state string, end_time_ms long"),
+        job_clusters=rows([(1, 0, "k", tag("old")), (1, 1, "k", tag("p1")), (2, 0, "k", tag("p2"))],
+                          f"run_id long, pos int, job_cluster_key string, new_cluster {DEFINITION}"),
+        projects=rows([("p1", "GRADIENT_ML", True)], "project_id string, project_model_id string, auto_apply_recs boolean"),
+        clusters=rows([(f"c{k}", "aws", "s3", k, 1) for k in (1, 2, 3, 4, 9)],
+                      "cluster_id string, platform string, log_scheme string, log_dir long, log_first_poll long"),
+        cluster_states=rows([(f"c{k}", 5, 0, "TERMINATED", None) for k in (1, 2, 3, 4, 9)],
+                            "cluster_id string, seen_s long, seq int, state string, error_code string"),
+        info_headers=rows([(f"c{k}", "stored") for k in (1, 2, 3, 4, 9)], "cluster_id string, source string"),
+        info_items=rows([(f"c{k}", "stored", "instances", "i") for k in (1, 1, 3, 4, 9)], "cluster_id string, source string, section string, item string"),
+        cluster_events=rows([("c1", "x", {"k": "v"})] * 3, "cluster_id string, type string, parameters map<string,string>"),
+        listing=rows([(d, 1, 0, "dbfs:/l/eventlog", 10, 10_000) for d in (1, 2)],
+                     "dir long, poll_no long, pos long, path string, file_size long, mtime_ms long"),
+    )
+
+
+REQUEST = "run_id long, project_id string, cluster_path string"
+LACKING = "Unable to find any active or recently terminated instances for cluster `c2`."
+
+
+def asked(spark):
+    return spark.createDataFrame([(k, "p1", None) for k in (1, 2, 3, 5)] + [(4, None, None), (None, "p1", None)], REQUEST)
+
+
+def test_reports_join_runs_and_clusters_by_merge(spark, tmp_path):
+    """However small they look in files: a broadcast of all clusters or runs is gathered on the driver."""
+    df = sb.cluster_reports_for_runs(telemetry(spark, tmp_path), asked(spark), "Standard", "Jobs Compute")
+    assert executed(df).count("BroadcastHashJoin") <= 1  # projects
+    got = {r.run_id: (r.cluster_id, r.n_tasks, r.n_instances, r.n_events, r.error) for r in df.collect()}
+    lost = "Failed to locate cluster in run {} for project {}"
+    assert got == {1: ("c1", 2, 2, 3, None), 2: (None, None, None, None, LACKING), 3: ("c3", 1, 1, 0, None),
+                   4: (None, None, None, None, lost.format(4, None)), 5: (None, None, None, None, lost.format(5, "p1")),
+                   None: (None, None, None, 0, None)}
+
+
+def test_tasks_move_once_to_choose_clusters(spark, tmp_path):
+    """Paths and facts of their clusters come from one shuffle of tasks and entries, and equal those of two groupings."""
+    t = telemetry(spark, tmp_path)
+    extra = [(7, k, f"t{k}", None, f"k{k % 3}", f"c{k % 2}", k % 4, "SUCCESS", k) for k in range(9)] + [(7, 9, "t9", None, "k4", "c5", None, None, None)] * 2
+    tasks = tk.eligible_tasks(t.tasks.unionByName(spark.createDataFrame(extra, t.tasks.schema)))
+    shared = t.job_clusters.unionByName(spark.createDataFrame([(7, k, f"k{k}", ("n", {TAG: "p"})) for k in (0, 1, 2, 4)], t.job_clusters.schema))
+    found = tk.unambiguous_paths_with_facts(tk.resolved_tags(tasks, shared))
+    assert executed(found).count("Exchange ") == 1
+    resolved = tk.resolved_only(tk.resolve_clusters(tasks, shared))
+    facts = resolved.groupBy("run_id", "cluster_id").agg(
+        F.count("*").alias("n_tasks"), F.max("end_time_ms").alias("end_time_ms"),
+        F.min("spark_context_id").alias("_low"), F.max("spark_context_id").alias("_high"))
+    want = tk.unambiguous_paths(resolved).join(facts, ["run_id", "cluster_id"])
+    columns = ["run_id", "project_id", "cluster_path", "cluster_id", *tk.FACTS]
+    rows = sorted(found.select(*columns).collect(), key=repr)
+    assert rows == sorted(want.select(*columns).collect(), key=repr) and len(rows) == 6
