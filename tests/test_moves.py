@@ -120,6 +120,14 @@ def test_reports_join_runs_and_clusters_by_merge(spark, tmp_path):
                    None: (None, None, None, 0, None)}
 
 
+def test_recorded_runs_are_joined_by_merge(spark, tmp_path):
+    df = sb.recorded_clusters(telemetry(spark, tmp_path), spark.createDataFrame([(1, None, None), (2, "p1", None), (3, "p1", None)], REQUEST))
+    assert executed(df).count("BroadcastHashJoin") <= 1  # projects
+    got = {(r.run_id, r.project_id): (r.cluster_id, r.submission_id is not None, r.error) for r in df.collect()}
+    assert got == {(1, "p1"): ("c1", True, None), (1, "p9"): ("c9", False, "Failed to retrieve project p9"),
+                   (2, "p1"): ("c2", False, LACKING), (3, "p1"): ("c3", False, "waiting")}
+
+
 def test_tasks_move_once_to_choose_clusters(spark, tmp_path):
     """Paths and facts of their clusters come from one shuffle of tasks and entries, and equal those of two groupings."""
     t = telemetry(spark, tmp_path)
