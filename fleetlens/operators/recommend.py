@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,11 @@ def merge_error(patch: Column, depth: int) -> Column:
     return F.when(nesting(patch) > MOST_NESTED, K.NESTED_TOO_DEEP) if depth > MOST_NESTED else F.lit(None).cast("string")
 
 
-def with_recommendation(rows: DataFrame, recommendations: DataFrame) -> tuple[DataFrame, int]:
-    """Look up ``recommendation_id``; add its ``patch`` (VARIANT) or ``recommendation_error``. Also returns the patches' depth."""
+def with_recommendation(rows: DataFrame, recommendations: DataFrame, spread: Sequence[str] | None = None) -> tuple[DataFrame, int]:
+    """Look up ``recommendation_id``; add its ``patch`` (VARIANT) or ``recommendation_error``. Also returns the patches' depth.
+
+    ``spread`` as in :func:`left_lookup`.
+    """
     known = recommendations.select(
         F.col("id").alias("recommendation_id"),
         F.lit(True).alias("_known"),
@@ -33,11 +38,13 @@ def with_recommendation(rows: DataFrame, recommendations: DataFrame) -> tuple[Da
     found, depth = parsed_patches(known, "configuration", "patch")
     error = (
         F.when(F.col("_known").isNull() | ~F.col("_given"), K.RECOMMENDATION_NOT_FOUND)
-        .when(F.col("configuration").isNull(), K.CONFIGURATION_NOT_FOUND)
+        .when(~F.col("_configured"), K.CONFIGURATION_NOT_FOUND)
         .otherwise(merge_error(F.col("patch"), depth))
     )
-    looked_up = left_lookup(rows, found, "recommendation_id").withColumn("recommendation_error", error)
-    return looked_up.drop("_known", "_given", "configuration"), depth
+    # The text stays behind: its patch is looked up.
+    found = found.withColumn("_configured", F.col("configuration").isNotNull()).drop("configuration")
+    looked_up = left_lookup(rows, found, "recommendation_id", spread).withColumn("recommendation_error", error)
+    return looked_up.drop("_known", "_given", "_configured"), depth
 
 
 def updated_definitions(definitions: DataFrame, latest: DataFrame) -> DataFrame:

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.lookup import left_lookup
 from fleetlens.functions.merge import merge_documents
 from fleetlens.operators import jobs, recommend
-from fleetlens.plans.submit import recorded_clusters
+from fleetlens.plans.submit import as_recorded, recorded_rows
 from fleetlens.plans.telemetry import Telemetry
 
 
-def job_updates(job_rows: DataFrame, recommendations: DataFrame, requests: DataFrame) -> DataFrame:
+def job_updates(job_rows: DataFrame, recommendations: DataFrame, requests: DataFrame, spread: Sequence[str] | None = None) -> DataFrame:
     """Update payloads for ``requests(job_id, project_id, recommendation_id, …)``, or the error of each.
 
     The new definition is always merged from the stored one, never from an earlier result, and is a whole document. Other columns of
-    the requests are kept; a request that fails stays, with ``update_error``.
+    the requests are kept; a request that fails stays, with ``update_error``. ``spread`` as in :func:`left_lookup`.
     """
     # Small rows meet first, so that clusters move once.
-    asked, depth = recommend.with_recommendation(requests, recommendations)
+    asked, depth = recommend.with_recommendation(requests, recommendations, spread)
     rows = jobs.target_clusters(asked, job_rows)
     merged = jobs.recommended_definition(F.col("cluster"), F.col("patch"), depth)
     problem = F.coalesce("target_error", "recommendation_error")
@@ -74,9 +76,10 @@ def ready_recommendations(recommendations: DataFrame) -> DataFrame:
 def handled_runs(t: Telemetry, requests: DataFrame) -> DataFrame:
     """Record runs, then update the runs' jobs for submitted projects that ask for it with their newest ready
     recommendation. A failed update does not undo the submission."""
-    recorded = recorded_clusters(t, requests).join(t.runs.select("run_id", "job_id"), "run_id", "left")
-    asked = recorded.join(ready_recommendations(t.recommendations), "project_id", "left")
-    updates = job_updates(t.jobs, t.recommendations, asked)
+    # Ids and texts of errors are made last, so that no shuffle carries them.
+    rows = recorded_rows(t, requests).join(t.runs.select("run_id", "job_id"), "run_id", "left")
+    asked = rows.join(ready_recommendations(t.recommendations), "project_id", "left")
+    updates = as_recorded(job_updates(t.jobs, t.recommendations, asked, ["run_id"]))
     status = (
         F.when(F.col("submission_id").isNull(), "not recorded")
         .when(~F.coalesce("auto_apply_recs", F.lit(False)), "not wanted")

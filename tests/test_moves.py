@@ -144,3 +144,11 @@ def test_tasks_move_once_to_choose_clusters(spark, tmp_path):
     columns = ["run_id", "project_id", "cluster_path", "cluster_id", *tk.FACTS]
     rows = sorted(found.select(*columns).collect(), key=repr)
     assert rows == sorted(want.select(*columns).collect(), key=repr) and len(rows) == 6
+
+
+def test_a_look_up_moves_what_is_asked_for(spark):
+    left = spark.createDataFrame([(1, "a", "text"), (2, None, "text")], "id long, k string, long_text string")
+    right = spark.createDataFrame([("a", 5)], "k string, v long")
+    found = left_lookup(left, right.hint("merge"), "k", ["id"]).select("id", "v")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("long_text") == 1  # in the table alone
+    assert sorted(map(tuple, found.collect())) == [(1, 5), (2, None)]
