@@ -146,6 +146,21 @@ def test_tasks_move_once_to_choose_clusters(spark, tmp_path):
     assert rows == sorted(want.select(*columns).collect(), key=repr) and len(rows) == 6
 
 
+def test_items_of_submissions_move_once(spark):
+    """Items meet the submissions of their chosen document in one join."""
+    rows = spark.createDataFrame
+    submitted = rows([("s", 1, "c", "aws"), ("u", 2, "c", "azure"), ("v", 3, "d", "aws")], "submission_id string, run_id long, cluster_id string, platform string")
+    tasks = rows([(1, "c", "t", "SUCCESS", 5), (9, "c", "t", "SUCCESS", 5)], "run_id long, cluster_id string, task_key string, result_state string, end_time_ms long")
+    events = rows([("c", "x", {"k": "v"})], "cluster_id string, type string, parameters map<string,string>")
+    headers = rows([("c", "stored"), ("c", "live"), ("d", "live")], "cluster_id string, source string")
+    items = rows([("c", "stored", "volumes", "a"), ("c", "live", "volumes", "b"), ("d", "live", "instances", "i"), ("e", "live", "instances", "j")],
+                 "cluster_id string, source string, section string, item string")
+    found = rp.submission_items(submitted, tasks, events, headers, items)
+    assert executed(found).count("Union") == 1 and "Broadcast" not in executed(found)
+    assert sorted((r.submission_id, r.section) for r in found.collect()) == [
+        ("s", "cluster_events"), ("s", "tasks"), ("s", "volumes"), ("u", "cluster_events"), ("v", "instances")]
+
+
 def test_a_look_up_moves_what_is_asked_for(spark):
     left = spark.createDataFrame([(1, "a", "text"), (2, None, "text")], "id long, k string, long_text string")
     right = spark.createDataFrame([("a", 5)], "k string, v long")
